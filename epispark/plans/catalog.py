@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import Config
 from ..operators import clean as CL
 from ..operators import index as IX
+from ..session import scratch_path
 from ..sources import adapter
+from ..sources.cases import conform
 
 # analysis year of the stand-in line list (orders span several years)
 TEST_CFG = Config(year=1998)
@@ -68,9 +70,22 @@ class Inputs:
     def centroids(self) -> DataFrame:
         return self._get("centroids", lambda: adapter.region_centroids(self.spark, self.sf_dir))
 
+    @property
+    def typed_raw(self) -> DataFrame:
+        """The raw file as a typed reader returns it (names trimmed, codes
+        kept as text, numbers via try_cast)."""
+        return self._get("typed_raw", lambda: conform(CL.trim_column_names(self.raw)))
+
     @property
     def clean(self) -> DataFrame:
-        return self._get("clean", lambda: CL.clean(self.raw, self.cfg, self.aliases))
+        """Clean case table, written once as Parquet under the shared
+        checkpoint folder and re-read (lineage cut, column pruning for every
+        later aggregate)."""
+        def build():
+            path = scratch_path(self.spark, "clean")
+            CL.clean(self.raw, self.cfg, self.aliases).write.parquet(path)
+            return self.spark.read.parquet(path)
+        return self._get("clean", build)
 
     @property
     def areas(self) -> DataFrame:
