@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..config import GROUP_DEFAULT, Config
 from ..functions import derive as D
-from ..functions.core import count_if, is_true, share, strip_text, zfill
+from ..functions.core import count_if, is_true, round_half_even, share, strip_text, zfill
 from ..sources.cases import conform
 from .joins import broadcast_if_small
 
@@ -212,7 +212,7 @@ def clean_report(raw: DataFrame, cfg: Config | None = None, aliases=None) -> Dat
     )
     return rep.withColumn("duplicates_removed", F.col("rows_in") - F.col("rows_dedup")) \
               .withColumn("pct_excluded",
-                          F.round(share(F.col("excluded_total"), F.col("rows_dedup")) * 100, 6))
+                          round_half_even(share(F.col("excluded_total"), F.col("rows_dedup")) * 100, 2))
 
 
 def age_outliers(df: DataFrame, col: str = "age") -> DataFrame:
@@ -230,4 +230,5 @@ def age_outliers(df: DataFrame, col: str = "age") -> DataFrame:
         q1.alias("q1"), q3.alias("q3"), iqr.alias("iqr"),
         lo.alias("lower_fence"), hi.alias("upper_fence"),
         F.col("n_outliers"),
-        F.round(share(F.col("n_outliers"), F.col("n_rows")) * 100, 6).alias("pct_outliers"))
+        round_half_even(share(F.col("n_outliers"), F.col("n_rows")) * 100, 2)
+         .alias("pct_outliers"))

@@ -161,23 +161,27 @@ def region_mean_index(idx: DataFrame) -> DataFrame:
 
 
 def region_table(idx: DataFrame, top: int = 5) -> DataFrame:
-    """Per region: mean and max index, total cases, distinct area names, and
-    whether the region is among the ``top`` by max index."""
+    """Per region: mean and max index (2 dp), total cases, distinct area
+    names, and whether the region is among the ``top`` by max index (ties:
+    region name).  The top list has ``top`` rows, so it is broadcast."""
     reg = idx.groupBy("region_name").agg(
         round_half_even(F.avg("score"), 2).alias("mean_score"),
-        F.max("score").alias("max_score"),
+        round_half_even(F.max("score"), 2).alias("max_score"),
         F.sum("cases").cast("bigint").alias("cases"),
         F.count_distinct("local_name").cast("bigint").alias("areas"))
-    return with_rank(reg, "max_score", "_r").withColumn("is_top", F.col("_r") <= top) \
-        .drop("_r")
+    best = reg.orderBy(F.col("max_score").desc(), "region_name").limit(top) \
+              .select("region_name", F.lit(True).alias("is_top"))
+    return reg.join(F.broadcast(best), "region_name", "left") \
+              .withColumn("is_top", F.coalesce("is_top", F.lit(False)))
 
 
 def map_points(regions: DataFrame, centroids: DataFrame) -> DataFrame:
-    """Region bubbles: lon/lat, size = max(index, 10) * 0.9 + 8, border flag."""
+    """Region bubbles: lon/lat, size = max(mean index, 10) * 0.9 + 8, and a
+    border flag for the top regions."""
     from .joins import join_centroids
     j = join_centroids(regions, centroids)
     return j.select("region_name", "lon", "lat", "mean_score", "max_score", "cases",
-                    (F.greatest(F.col("max_score"), F.lit(10.0)) * 0.9 + 8)
+                    (F.greatest(F.col("mean_score"), F.lit(10.0)) * 0.9 + 8)
                     .alias("bubble_size"),
                     F.col("is_top").alias("border"))
 

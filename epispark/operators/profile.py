@@ -142,4 +142,6 @@ def regions_sharing_code(clean: DataFrame, code: str = "001", n: int = 8) -> Dat
     from ..functions.core import zfill
     return (clean.where(zfill("local_code", 3) == code)
                  .select("region_code", "region_name", "area_code", "local_name")
-                 .distinct().orderBy("area_code", "region_name", "local_name").limit(n))
+                 .distinct().orderBy(*[F.col(c).asc_nulls_last()
+                                        for c in ("area_code", "region_name", "local_name")])
+                 .limit(n))

@@ -8,30 +8,37 @@ from pyspark.sql import functions as F
 from ..functions.core import count_if, flag01, round_half_even
 from .describe import pct1
 
-# FIXED VALUES: rule thresholds on the area table
+# FIXED VALUES: rule thresholds on the area table (id, column, op, value, text)
 RULES = (
-    ("immediate_intervention", F.col("priority") == "Crítica",
+    ("immediate_intervention", "priority", "==", "Crítica",
      "Immediate intervention: activate the comprehensive mental-health care route."),
-    ("school_prevention", F.col("pct_adolescent") > 0.30,
+    ("school_prevention", "pct_adolescent", ">", 0.30,
      "School prevention: mental-health programmes for ages 12-17."),
-    ("intensified_surveillance", F.col("trend") > 0.3,
+    ("intensified_surveillance", "trend", ">", 0.3,
      "Intensified surveillance: sustained growth in the second half."),
-    ("rural_access", F.col("pct_rural") > 0.20,
+    ("rural_access", "pct_rural", ">", 0.20,
      "Rural access: strengthen rural health posts and telemedicine."),
-    ("hospital_capacity", F.col("pct_hospitalised") > 0.70,
+    ("hospital_capacity", "pct_hospitalised", ">", 0.70,
      "Hospital capacity: review emergency protocols and the secondary mental-health network."),
-    ("post_event_follow_up", F.col("pct_psychiatric") > 0.05,
+    ("post_event_follow_up", "pct_psychiatric", ">", 0.05,
      "Post-event follow-up: strengthen support after the first event."),
 )
 DEFAULT_RULE = ("keep_surveillance",
                 "Keep active surveillance and community mental-health promotion.")
 
 
+def _cond(col, op, value):
+    c = F.col(col)
+    return c == F.lit(value) if op == "==" else c > F.lit(value)
+
+
 def rules(idx: DataFrame) -> DataFrame:
     """Per area: triggered rule ids (in rule order) and their texts; the
     default rule when none fires."""
-    ids = F.array_compact(F.array(*[F.when(c, F.lit(rid)) for rid, c, _ in RULES]))
-    texts = F.array_compact(F.array(*[F.when(c, F.lit(txt)) for _, c, txt in RULES]))
+    ids = F.array_compact(F.array(*[F.when(_cond(c, op, v), F.lit(rid))
+                                    for rid, c, op, v, _ in RULES]))
+    texts = F.array_compact(F.array(*[F.when(_cond(c, op, v), F.lit(txt))
+                                      for _, c, op, v, txt in RULES]))
     ids = F.when(F.size(ids) == 0, F.array(F.lit(DEFAULT_RULE[0]))).otherwise(ids)
     texts = F.when(F.size(texts) == 0, F.array(F.lit(DEFAULT_RULE[1]))).otherwise(texts)
     return idx.select("area_code", "region_name", "local_name", "priority",

@@ -18,12 +18,38 @@ from ..functions.core import count_if
 
 FINDING_FIELDS = ("rule_id", "severity", "triggered", "n_rows", "vals", "message")
 
+MESSAGES = {
+    "not_empty": "the file has no data rows",
+    "max_rows": "more than {max_rows} rows: check this is the right file",
+    "required_columns": "required columns are missing (names are case-sensitive)",
+    "empty_required": "required columns are completely empty",
+    "empty_other": "completely empty columns will be dropped (first 10 listed)",
+    "year": "rows from years other than {year}: excluded by cleaning",
+    "date_format": "notification dates that are not yyyy-mm-dd",
+    "date_year": "notification dates outside {year}",
+    "sex_domain": "sex accepts only F or M",
+    "area_domain": "area type accepts only 1, 2 or 3",
+    "hospital_domain": "hospitalisation accepts only 1 or 2",
+    "short_region_code": "region codes shorter than 2 characters (leading zero lost?)",
+    "short_local_code": "local codes shorter than 3 characters (leading zeros lost?)",
+    "age_not_numeric": "non-numeric ages are treated as missing",
+    "age_range": "ages outside {age_min}-{age_max}",
+    "event_code": "event codes differ from the expected event",
+    "optional_columns": "{found} of {total} optional columns present",
+}
+
+
+def message(rule_id: str, cfg: Config | None = None, **kw) -> str:
+    cfg = cfg or Config()
+    return MESSAGES[rule_id].format(max_rows=cfg.max_rows, year=cfg.year, age_min=cfg.age_min,
+                                     age_max=cfg.age_max, **kw)
+
 
 def _finding(rule_id, severity, triggered: Column, n_rows: Column, vals: Column,
-             message: str) -> Column:
+             text: str) -> Column:
     return F.struct(F.lit(rule_id).alias("rule_id"), F.lit(severity).alias("severity"),
                     triggered.alias("triggered"), n_rows.cast("bigint").alias("n_rows"),
-                    vals.cast("array<string>").alias("vals"), F.lit(message).alias("message"))
+                    vals.cast("array<string>").alias("vals"), F.lit(text).alias("message"))
 
 
 def _names(names) -> Column:
@@ -47,11 +73,11 @@ def findings(df: DataFrame, cfg: Config | None = None) -> DataFrame:
     n = F.col("_n")
     aggs = [F.count(F.lit(1)).alias("_n")]
     rows = [
-        _finding("not_empty", "error", n == 0, n, _names([]), "the file has no data rows"),
+        _finding("not_empty", "error", n == 0, n, _names([]), message("not_empty", cfg)),
         _finding("max_rows", "warning", n > cfg.max_rows, n, _names([]),
-                 f"more than {cfg.max_rows} rows: check this is the right file"),
+                 message("max_rows", cfg)),
         _finding("required_columns", "error", F.lit(bool(missing)), F.lit(len(missing)),
-                 _names(missing), "required columns are missing (names are case-sensitive)"),
+                 _names(missing), message("required_columns", cfg)),
     ]
     if not missing:
         aggs += [F.count(F.col(c)).alias(f"_cnt_{i}") for i, c in enumerate(cols)]
@@ -96,47 +122,47 @@ def findings(df: DataFrame, cfg: Config | None = None) -> DataFrame:
         ev_sorted = F.array_sort(F.col("_events"))
         rows += [
             _finding("empty_required", "error", F.size(empty_req) > 0, F.size(empty_req),
-                     empty_req, "required columns are completely empty"),
+                     empty_req, message("empty_required", cfg)),
             _finding("empty_other", "warning", F.size(empty_other) > 0, F.size(empty_other),
                      F.slice(empty_other, 1, 10),
-                     "completely empty columns will be dropped (first 10 listed)"),
+                     message("empty_other", cfg)),
             _finding("year", "warning", F.size(unexpected_years) > 0,
                      F.col("_n_years") if cfg.year is not None else F.lit(0),
                      _sorted_num_labels(unexpected_years),
-                     f"rows from years other than {cfg.year}: excluded by cleaning"),
+                     message("year", cfg)),
             _finding("date_format", "warning", F.col("_bad_dates") > 0, F.col("_bad_dates"),
-                     _names([]), "notification dates that are not yyyy-mm-dd"),
+                     _names([]), message("date_format", cfg)),
             _finding("date_year", "warning", F.col("_out_year") > 0, F.col("_out_year"),
-                     _names([]), f"notification dates outside {cfg.year}"),
+                     _names([]), message("date_year", cfg)),
             _finding("sex_domain", "error", F.size("_sex_vals") > 0, F.col("_sex_rows"),
-                     F.array_sort("_sex_vals"), "sex accepts only F or M"),
+                     F.array_sort("_sex_vals"), message("sex_domain", cfg)),
             _finding("area_domain", "error", F.size("_area_type_vals") > 0,
                      F.col("_area_type_rows"), _sorted_num_labels(F.col("_area_type_vals")),
-                     "area type accepts only 1, 2 or 3"),
+                     message("area_domain", cfg)),
             _finding("hospital_domain", "error", F.size("_hospital_code_vals") > 0,
                      F.col("_hospital_code_rows"),
                      _sorted_num_labels(F.col("_hospital_code_vals")),
-                     "hospitalisation accepts only 1 or 2"),
+                     message("hospital_domain", cfg)),
             _finding("short_region_code", "warning", F.col("_short_region") > 0,
                      F.col("_short_region"), _names([]),
-                     "region codes shorter than 2 characters (leading zero lost?)"),
+                     message("short_region_code", cfg)),
             _finding("short_local_code", "warning", F.col("_short_local") > 0,
                      F.col("_short_local"), _names([]),
-                     "local codes shorter than 3 characters (leading zeros lost?)"),
+                     message("short_local_code", cfg)),
             _finding("age_not_numeric", "warning", F.col("_age_text") > 0, F.col("_age_text"),
-                     _names([]), "non-numeric ages are treated as missing"),
+                     _names([]), message("age_not_numeric", cfg)),
             _finding("age_range", "warning", F.col("_age_range") > 0, F.col("_age_range"),
-                     _names([]), f"ages outside {cfg.age_min}-{cfg.age_max}"),
+                     _names([]), message("age_range", cfg)),
             _finding("event_code", "warning",
                      ~((F.size(ev_sorted) == F.size(expected_ev))
                        & (F.size(F.array_except(ev_sorted, expected_ev)) == 0)),
                      F.size(ev_sorted), _sorted_num_labels(ev_sorted),
-                     "event codes differ from the expected event"),
+                     message("event_code", cfg)),
         ]
     rows.append(_finding("optional_columns", "info", F.lit(True), F.lit(len(optional_found)),
                          _names(optional_found),
-                         f"{len(optional_found)} of {len(C.OPTIONAL_COLUMNS)} optional "
-                         "columns present"))
+                         message("optional_columns", cfg, found=len(optional_found),
+                                 total=len(C.OPTIONAL_COLUMNS))))
     one = df.agg(*aggs)
     return one.select(F.explode(F.array(*rows)).alias("f")).select("f.*")
 
