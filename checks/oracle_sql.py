@@ -854,6 +854,23 @@ q("rec_findings", f"""SELECT {pct1(cnt_if('is_adolescent'), 'count(*)')} AS pct_
   {_mode_sql('region_name')} AS top_region
 FROM clean""", ("idx",))
 
+# --------------------------------------------------------------------------
+# 2.15 deterministic parts of the model stage
+# --------------------------------------------------------------------------
+_FEATS = list(_C.MODEL_FEATURES)
+_FEAT_SEL = ", ".join(f"coalesce(CAST({c} AS double), 0.0) AS {c}" for c in _FEATS)
+_PREP = f"""(SELECT {AREA_KEYS}, {_FEAT_SEL}, priority,
+  CAST(dense_rank() OVER (ORDER BY priority) - 1 AS double) AS label FROM idx WHERE cases >= 5)"""
+q("ml_prepare", f"SELECT * FROM {_PREP}", ("idx",))
+q("ml_class_weight", f"""SELECT priority, label, CAST(n AS bigint) AS n,
+  CAST(sum(n) OVER () AS double) / (count(*) OVER () * n) AS weight
+FROM (SELECT priority, label, count(*) AS n FROM {_PREP} GROUP BY priority, label)""", ("idx",))
+_Z = ", ".join(
+    f"{rnd(f'({c} - avg({c}) OVER ()) / CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1.0 ELSE stddev_pop({c}) OVER () END', 6)} AS {c}_z"
+    for c in _FEATS)
+q("ml_standardize", f"SELECT {AREA_KEYS}, {_Z} FROM (SELECT {AREA_KEYS}, {_FEAT_SEL} FROM idx)",
+  ("idx",))
+
 
 def load_all() -> dict[str, str]:
     return QUERIES

@@ -527,3 +527,52 @@ query("cht_area_share")(lambda s, d: DS.by_area_type(_clean(s, d)))
 query("rec_rules")(lambda s, d: RC.rules(inputs(s, d).index))
 query("rec_top_area")(lambda s, d: RC.area_profile(inputs(s, d).index))
 query("rec_findings")(lambda s, d: RC.findings(_clean(s, d), inputs(s, d).index))
+
+# --------------------------------------------------------------------------
+# 2.15 machine learning on the area table (rows-only checks, except the
+# deterministic preparation and z-scores)
+# --------------------------------------------------------------------------
+from ..operators import ml as ML  # noqa: E402
+
+
+@query("ml_prepare")
+def ml_prepare(spark, d):
+    i = inputs(spark, d)
+    return ML.prepare(i.index, i.cfg).select(*ML.KEYS, *i.cfg.model_features, "priority",
+                                             "label")
+
+
+@query("ml_split")
+def ml_split(spark, d):
+    i = inputs(spark, d)
+    return ML.split(ML.prepare(i.index, i.cfg), 0.2, i.cfg.seed).select(
+        "area_code", "priority", "is_test")
+
+
+@query("ml_class_weight")
+def ml_class_weight(spark, d):
+    i = inputs(spark, d)
+    p = ML.prepare(i.index, i.cfg)
+    return ML.with_class_weight(p.groupBy("priority", "label").count(), p) \
+             .select("priority", "label", F.col("count").cast("bigint").alias("n"), "weight")
+
+
+query("ml_tree")(lambda s, d: ML.tree_predictions(inputs(s, d).index, inputs(s, d).cfg))
+query("ml_tree_rules")(lambda s, d: ML.tree_rules(inputs(s, d).index, inputs(s, d).cfg))
+query("ml_forest")(lambda s, d: ML.forest_predictions(inputs(s, d).index, inputs(s, d).cfg))
+query("ml_importance")(lambda s, d: ML.importances(inputs(s, d).index, inputs(s, d).cfg))
+query("ml_cv")(lambda s, d: ML.cross_validate(inputs(s, d).index, inputs(s, d).cfg))
+query("ml_metrics")(lambda s, d: ML.metrics(
+    ML.forest_predictions(inputs(s, d).index, inputs(s, d).cfg)))
+query("ml_confusion")(lambda s, d: ML.confusion(
+    ML.forest_predictions(inputs(s, d).index, inputs(s, d).cfg)))
+query("ml_standardize")(lambda s, d: ML.standardize(inputs(s, d).index, inputs(s, d).cfg, 6))
+query("ml_elbow")(lambda s, d: ML.elbow(inputs(s, d).index, inputs(s, d).cfg))
+query("ml_kmeans")(lambda s, d: ML.kmeans(inputs(s, d).index, inputs(s, d).cfg).select(
+    *ML.KEYS, "cluster", "cluster_label"))
+query("ml_cluster_profile")(lambda s, d: ML.cluster_profile(
+    ML.kmeans(inputs(s, d).index, inputs(s, d).cfg), inputs(s, d).cfg))
+query("ml_cluster_label")(lambda s, d: ML.kmeans(inputs(s, d).index, inputs(s, d).cfg)
+                          .select("cluster", "cluster_label").distinct())
+query("win_cluster_rank")(lambda s, d: ML.kmeans(inputs(s, d).index, inputs(s, d).cfg)
+                          .groupBy("cluster").agg(F.avg("rate_100k").alias("mean_rate")))
