@@ -201,6 +201,8 @@ SELECT a.* EXCLUDE (population),
 FROM areas2 a LEFT JOIN regmean r USING (region_name)
 )"""
 
+MEAN2 = ("CAST(sum(CAST(round_even(score * CAST(100.0 AS double), 0) AS bigint)) AS double)"
+         " / CAST(count(score) AS double) / CAST(100.0 AS double)")
 COMPS = ("rate_100k", "pct_adolescent", "trend", "pct_hospitalised", "pct_psychiatric")
 WEIGHTS = ("0.35", "0.25", "0.2", "0.1", "0.1")
 
@@ -699,7 +701,7 @@ CENTROIDS = """cen AS (SELECT upper(n_name) AS region_key,
   CAST(-4.0 AS double) + n_regionkey * CAST(3.0 AS double) AS lat FROM nation WHERE n_nationkey % 8 <> 5)"""
 _REGTAB = f"""regtab AS (
 SELECT r.*, coalesce(t.is_top, false) AS is_top FROM (
-  SELECT region_name, {rnd('avg(score)', 2)} AS mean_score, {rnd('max(score)', 2)} AS max_score,
+  SELECT region_name, {rnd(MEAN2, 2)} AS mean_score, {rnd('max(score)', 2)} AS max_score,
     CAST(sum(cases) AS bigint) AS cases, CAST(count(DISTINCT local_name) AS bigint) AS areas
   FROM idx GROUP BY region_name) r
 LEFT JOIN (SELECT region_name, true AS is_top FROM (
@@ -772,7 +774,7 @@ q("idx_distribution", f"""SELECT c.priority, c.priority_ord, CAST(coalesce(n.are
 FROM (VALUES ('Crítica', 1), ('Alta', 2), ('Media', 3), ('Baja', 4)) c(priority, priority_ord)
 LEFT JOIN (SELECT priority, count(*) AS areas FROM idx GROUP BY priority) n USING (priority)
 CROSS JOIN (SELECT count(*) AS t FROM idx) t""", ("idx",))
-q("idx_region_mean", f"SELECT region_name, {rnd('avg(score)', 2)} AS mean_score FROM idx GROUP BY region_name",
+q("idx_region_mean", f"SELECT region_name, {rnd(MEAN2, 2)} AS mean_score FROM idx GROUP BY region_name",
   ("idx",))
 q("idx_region_table", f"WITH {_REGTAB} SELECT * FROM regtab", ("idx",))
 q("idx_map_points", f"""WITH {CENTROIDS}, {_REGTAB}

@@ -38,6 +38,15 @@ def round_half_even(c, digits: int = 0) -> Column:
     return F.rint(x * F.lit(scale)) / F.lit(scale)
 
 
+def mean_2dp(c) -> Column:
+    """Mean of a column that holds 2-dp values, summed as exact integer
+    hundredths so the result does not depend on summation order (and so
+    on partitioning)."""
+    x = col(c)
+    return F.sum(F.rint(x * F.lit(100.0)).cast("bigint")).cast("double") \
+        / F.count(x).cast("double") / F.lit(100.0)
+
+
 def share(num: Column, den: Column) -> Column:
     """Exact ratio of two counts as a double; null when the denominator is 0."""
     return F.when(den != 0, num.cast("double") / den.cast("double"))

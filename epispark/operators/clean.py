@@ -185,34 +185,45 @@ def clean(raw: DataFrame, cfg: Config | None = None, aliases=None) -> DataFrame:
     return _derive(df, cfg)
 
 
-def clean_report(raw: DataFrame, cfg: Config | None = None, aliases=None) -> DataFrame:
+def clean_report(raw: DataFrame, cfg: Config | None = None, aliases=None,
+                 cleaned: DataFrame | None = None) -> DataFrame:
     """One-row audit of the cleaning: rows in, duplicates, exclusions (each
     reason and their union), rows out, distinct regions/areas kept, onset
-    corrections and age inconsistencies — computed in one pass over the
-    de-duplicated rows, which carry their multiplicity."""
+    corrections and age inconsistencies.
+
+    Exclusion counts come from one pass over the de-duplicated raw rows
+    (which carry their multiplicity, so ``rows_in`` needs no extra scan);
+    kept-row statistics come from the clean table (``cleaned``, e.g. the
+    written one; rebuilt from ``raw`` when not given)."""
     cfg = cfg or Config()
     prepared = _prepare(raw, aliases, cfg)
-    grouped = prepared.groupBy(*prepared.columns).agg(F.count(F.lit(1)).alias("_mult"))
-    derived = _derive(grouped, cfg).withColumn("_keep", scope_predicate(cfg))
-    keep = F.col("_keep")
+    grouped = prepared.groupBy("region_name", "epi_year", *[
+        c for c in prepared.columns if c not in ("region_name", "epi_year")]) \
+        .agg(F.count(F.lit(1)).alias("_mult"))
     non_terr = is_true(F.col("region_name").isin(*cfg.non_territorial))
     bad_year = ~is_true(F.col("epi_year") == F.lit(cfg.year)) if cfg.year is not None \
         else F.lit(False)
-    rep = derived.agg(
+    keep = scope_predicate(cfg)
+    rep = grouped.agg(
         F.sum("_mult").cast("bigint").alias("rows_in"),
         F.count(F.lit(1)).cast("bigint").alias("rows_dedup"),
         count_if(non_terr).alias("excluded_non_territorial"),
         count_if(bad_year).alias("excluded_year"),
         count_if(~keep).alias("excluded_total"),
-        count_if(keep).alias("rows_out"),
-        F.count_distinct(F.when(keep, F.col("region_name"))).cast("bigint").alias("regions"),
-        F.count_distinct(F.when(keep, F.col("area_code"))).cast("bigint").alias("areas"),
-        count_if(keep & F.col("onset_corrected")).alias("onset_corrected"),
-        count_if(keep & F.col("age_inconsistent")).alias("age_inconsistent"),
-    )
-    return rep.withColumn("duplicates_removed", F.col("rows_in") - F.col("rows_dedup")) \
-              .withColumn("pct_excluded",
-                          round_half_even(share(F.col("excluded_total"), F.col("rows_dedup")) * 100, 2))
+        count_if(keep).alias("rows_out"))
+    kept = cleaned if cleaned is not None else clean(raw, cfg, aliases)
+    k = kept.select(F.struct(
+        F.count_distinct("region_name").cast("bigint").alias("regions"),
+        count_if(F.col("onset_corrected")).alias("onset_corrected"),
+        count_if(F.col("age_inconsistent")).alias("age_inconsistent"))).scalar()
+    areas = kept.select(F.count_distinct("area_code").cast("bigint")).scalar()
+    return rep.select(
+        "*", k["regions"].alias("regions"), areas.alias("areas"),
+        k["onset_corrected"].alias("onset_corrected"),
+        k["age_inconsistent"].alias("age_inconsistent"),
+        (F.col("rows_in") - F.col("rows_dedup")).alias("duplicates_removed"),
+        round_half_even(share(F.col("excluded_total"), F.col("rows_dedup")) * 100, 2)
+        .alias("pct_excluded"))
 
 
 def age_outliers(df: DataFrame, col: str = "age") -> DataFrame:

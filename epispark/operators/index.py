@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..config import PRIORITY_ORDER, Config
 from ..functions import derive as D
-from ..functions.core import flag01, round_half_even, share
+from ..functions.core import flag01, mean_2dp, round_half_even, share
 from ..session import materialize
 from .joins import impute_population, join_population
 
@@ -157,7 +157,7 @@ def priority_distribution(idx: DataFrame) -> DataFrame:
 
 def region_mean_index(idx: DataFrame) -> DataFrame:
     return idx.groupBy("region_name").agg(
-        round_half_even(F.avg("score"), 2).alias("mean_score"))
+        round_half_even(mean_2dp("score"), 2).alias("mean_score"))
 
 
 def region_table(idx: DataFrame, top: int = 5) -> DataFrame:
@@ -165,7 +165,7 @@ def region_table(idx: DataFrame, top: int = 5) -> DataFrame:
     names, and whether the region is among the ``top`` by max index (ties:
     region name).  The top list has ``top`` rows, so it is broadcast."""
     reg = idx.groupBy("region_name").agg(
-        round_half_even(F.avg("score"), 2).alias("mean_score"),
+        round_half_even(mean_2dp("score"), 2).alias("mean_score"),
         round_half_even(F.max("score"), 2).alias("max_score"),
         F.sum("cases").cast("bigint").alias("cases"),
         F.count_distinct("local_name").cast("bigint").alias("areas"))

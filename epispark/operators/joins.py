@@ -1,8 +1,10 @@
 """Joins: lookup, population imputation, semi/anti filters.
 
-Broadcast is used only behind a size check: lookup tables supplied by the
-caller are counted (``limit(n+1).count()``) before being hinted, otherwise the
-join is left to the planner/AQE, which re-plans on measured sizes.
+Broadcast is used only behind a size check: a caller-supplied lookup is
+hinted only when the optimizer's size estimate for it (file sizes after
+pruning; unknown sizes count as unbounded) is under ``LOOKUP_MAX_BYTES``.
+Otherwise the join is left to the planner/AQE, which re-plans on the
+measured sizes at run time (sort-merge join when the lookup is large).
 """
 
 from __future__ import annotations
@@ -13,13 +15,21 @@ from pyspark.sql import functions as F
 from ..config import Config
 from ..functions.core import accent_key, round_half_even
 
-LOOKUP_MAX_ROWS = 1_000_000
+LOOKUP_MAX_BYTES = 32 * 1024 * 1024
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only when the table is proven to hold <= max_rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def estimated_bytes(df: DataFrame) -> int:
+    """Optimizer size estimate of a plan (no job is run)."""
+    try:
+        stats = df._jdf.queryExecution().optimizedPlan().stats()
+        return int(str(stats.sizeInBytes()))
+    except Exception:  # noqa: BLE001 — unknown size: treat as unbounded
+        return 1 << 62
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = LOOKUP_MAX_BYTES) -> DataFrame:
+    """Hint a broadcast only when the estimated size is under ``max_bytes``."""
+    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
 
 
 def join_population(areas: DataFrame, population: DataFrame) -> DataFrame:

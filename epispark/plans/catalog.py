@@ -56,7 +56,14 @@ class Inputs:
 
     @property
     def raw(self) -> DataFrame:
-        return self._get("raw", lambda: adapter.raw_cases(self.spark, self.sf_dir))
+        """The raw line list as delivered: built once from the test tables
+        and written as a Parquet file set under the shared checkpoint
+        folder; every raw-level query reads that file set."""
+        def build():
+            path = scratch_path(self.spark, "raw_cases")
+            adapter.raw_cases(self.spark, self.sf_dir).write.parquet(path)
+            return self.spark.read.parquet(path)
+        return self._get("raw", build)
 
     @property
     def aliases(self) -> DataFrame:

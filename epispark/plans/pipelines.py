@@ -1,0 +1,77 @@
+"""Composed pipelines: batch index, incremental update, publication.
+
+Each pipeline writes its outputs as new versioned folders and returns the
+paths; nothing is overwritten in place, so a failure leaves the previous
+published version intact (switch happens by reading the newest version).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..config import Config
+from ..operators import clean as CL
+from ..operators import describe as DS
+from ..operators import index as IX
+from ..operators import privacy as PV
+from ..operators import update as UP
+from ..operators import validate as VA
+from ..sources import cases as SRC
+
+
+def batch_index(raw: DataFrame, population: DataFrame, out_root: str,
+                cfg: Config | None = None, aliases=None) -> dict:
+    """read -> clean (written, partitioned by year) -> area index (written)
+    -> ranking extract (CSV)."""
+    cfg = cfg or Config()
+    spark = raw.sparkSession
+    clean_path = f"{out_root}/clean"
+    SRC.write_clean(CL.clean(raw, cfg, aliases), clean_path)
+    clean = spark.read.parquet(clean_path)
+    idx = IX.index_pipeline(clean, population, cfg)
+    SRC.write_areas(idx, f"{out_root}/areas", f"{out_root}/ranking_csv")
+    return {"clean": clean_path, "areas": f"{out_root}/areas",
+            "ranking": f"{out_root}/ranking_csv"}
+
+
+def publish(clean: DataFrame, idx: DataFrame, out_root: str, k: int = 5) -> dict:
+    """Write only suppressed aggregates; refuse to publish a frame that
+    fails the k-anonymity check."""
+    areas = PV.public_areas(idx, k).drop(*[c for c in idx.columns if c.endswith("_norm")])
+    cells = PV.public_case_cells(clean, k)
+    for name, frame in (("areas", areas), ("cells", cells)):
+        chk = PV.k_anonymity_check(frame, "cases", k).first()
+        if not chk["is_safe"]:
+            raise ValueError(f"{name}: not safe to publish ({chk})")
+    areas.write.mode("overwrite").parquet(f"{out_root}/public_areas")
+    cells.write.mode("overwrite").parquet(f"{out_root}/public_cells")
+    return {"areas": f"{out_root}/public_areas", "cells": f"{out_root}/public_cells"}
+
+
+def update(spark: SparkSession, base: DataFrame, new: DataFrame, population: DataFrame,
+           out_root: str, version: int, cfg: Config | None = None, aliases=None) -> dict:
+    """validate -> merge by case id (stored rows win) -> write accumulated
+    snapshot ``version`` -> re-run the batch index on it.  Stops before
+    writing anything when the new file has a triggered error."""
+    cfg = cfg or Config()
+    found = VA.findings(new, cfg)
+    errors = found.where((F.col("severity") == "error") & F.col("triggered")).collect()
+    if errors:
+        return {"ok": False, "errors": [r["rule_id"] for r in errors]}
+    merged = UP.merge(base, new)
+    report = UP.update_report(base, new).first().asDict()
+    snap = SRC.write_snapshot(merged, f"{out_root}/accumulated", version)
+    paths = batch_index(spark.read.parquet(snap), population,
+                        f"{out_root}/version={version}", cfg, aliases)
+    return {"ok": True, "report": report, "snapshot": snap, **paths}
+
+
+def dashboard_tables(clean: DataFrame, idx: DataFrame, **filters) -> dict:
+    """The parameterised tables behind the interactive views: every table is
+    a lazy DataFrame over the filtered selection (index tables are global)."""
+    sel = DS.filter_cases(clean, **filters)
+    return {"kpis": DS.kpis_filtered(sel), "by_sex": DS.by_sex(sel),
+            "by_age_group": DS.by_age_group(sel), "by_region": DS.by_region(sel, 15),
+            "by_area": PV.suppress(DS.by_area(sel, 1_000_000), "cases", 5),
+            "ranking": IX.top_ranking(idx, 20), "distribution": IX.priority_distribution(idx)}

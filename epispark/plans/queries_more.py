@@ -221,7 +221,7 @@ def flt_scope(spark, d):
 @query("flt_scope_report")
 def flt_scope_report(spark, d):
     i = inputs(spark, d)
-    return CL.clean_report(i.raw, i.cfg, i.aliases).select(
+    return CL.clean_report(i.raw, i.cfg, i.aliases, i.clean).select(
         "excluded_non_territorial", "excluded_year", "excluded_total", "rows_out")
 
 
@@ -250,7 +250,7 @@ def cln_area_override(spark, d):
 @query("cln_report")
 def cln_report(spark, d):
     i = inputs(spark, d)
-    return CL.clean_report(i.raw, i.cfg, i.aliases)
+    return CL.clean_report(i.raw, i.cfg, i.aliases, i.clean)
 
 
 @query("cln_outliers_iqr")

@@ -1,0 +1,93 @@
+import os
+
+import duckdb
+import pytest
+
+from epispark.config import Config
+from epispark.operators import index as IX
+from epispark.plans import catalog, pipelines
+from epispark.sources import adapter
+from conftest import SF_SMALL
+
+TABLES = ("region nation customer supplier part orders lineitem events documents "
+          "embeddings pages benchmark labels conversations").split()
+
+
+def _norm(v):
+    if isinstance(v, float):
+        return round(v, 9)
+    if isinstance(v, list):
+        return tuple(_norm(x) for x in v)
+    return v
+
+
+def _rows(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in TABLES:
+        p = f"{SF_SMALL}/{t}.parquet"
+        if os.path.exists(p):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return con
+
+
+def test_entry_smoke(spark):
+    import __spark_entry__ as E
+    df = E.entry(spark)
+    assert df.count() > 0 and "score" in df.columns
+
+
+def test_every_oracle_key_is_registered():
+    import __spark_entry__ as E
+    assert set(E.oracle_sql()) <= set(E.queries())
+
+
+ORACLE_KEYS = sorted(__import__("checks.oracle_sql", fromlist=["load_all"]).load_all())
+
+
+@pytest.mark.parametrize("key", ORACLE_KEYS)
+def test_matches_oracle(spark, duck, key):
+    import __spark_entry__ as E
+    df = E.queries()[key](spark, SF_SMALL)
+    rel = duck.sql(E.oracle_sql()[key])
+    assert sorted(df.columns) == sorted(rel.columns)
+    assert _rows(df.columns, [tuple(r) for r in df.collect()]) == \
+        _rows(rel.columns, rel.fetchall())
+
+
+def test_index_same_with_1_and_8_partitions(spark):
+    i = catalog.inputs(spark, SF_SMALL)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    out = []
+    for n in ("1", "8"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        idx = IX.index_pipeline(i.clean, i.population, i.cfg)
+        out.append(sorted(tuple(r) for r in idx.select("area_code", "score", "rank").collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert out[0] == out[1]
+
+
+def test_batch_index_and_publish(spark, tmp_dir):
+    cfg = Config(year=1998)
+    raw = adapter.raw_cases(spark, SF_SMALL)
+    paths = pipelines.batch_index(raw, adapter.population(spark, SF_SMALL), tmp_dir, cfg,
+                                  adapter.region_aliases(spark, SF_SMALL))
+    clean = spark.read.parquet(paths["clean"])
+    areas = spark.read.parquet(paths["areas"])
+    assert areas.count() > 0 and spark.read.option("header", True).csv(paths["ranking"]).count() \
+        == areas.count()
+    pub = pipelines.publish(clean, areas, tmp_dir + "/pub", 5)
+    assert spark.read.parquet(pub["areas"]).agg({"cases": "min"}).first()[0] >= 5
+
+
+def test_update_pipeline_stops_on_errors(spark, tmp_dir):
+    cfg = Config(year=1998)
+    raw = catalog.inputs(spark, SF_SMALL).typed_raw
+    res = pipelines.update(spark, raw, raw, adapter.population(spark, SF_SMALL), tmp_dir, 1,
+                           cfg)
+    assert res["ok"] is False and "sex_domain" in res["errors"]
