@@ -401,29 +401,31 @@ FINDINGS = f"""
 agg AS (
 SELECT count(*) AS n,
   list_filter({_empty_list}, lambda x: x IS NOT NULL) AS empty_cols,
-  list(DISTINCT TRY_CAST(epi_year AS double)) FILTER (WHERE TRY_CAST(epi_year AS double) IS NOT NULL) AS years,
+  list_sort(list(DISTINCT TRY_CAST(epi_year AS double)) FILTER (WHERE TRY_CAST(epi_year AS double) <> {YEAR}))[1:20] AS bad_years0,
   {cnt_if(f'TRY_CAST(epi_year AS double) IS NOT NULL AND TRY_CAST(epi_year AS double) <> {YEAR}')} AS n_years,
   {cnt_if("notified_text IS NOT NULL AND try_strptime(notified_text, '%Y-%m-%d') IS NULL")} AS bad_dates,
   {cnt_if(f"try_strptime(notified_text, '%Y-%m-%d') IS NOT NULL AND year(try_strptime(notified_text, '%Y-%m-%d')) <> {YEAR}")} AS out_year,
-  list(DISTINCT upper(trim(sex))) FILTER (WHERE sex IS NOT NULL AND upper(trim(sex)) NOT IN ('F', 'M')) AS sex_vals,
+  list_sort(list(DISTINCT upper(trim(sex))) FILTER (WHERE sex IS NOT NULL AND upper(trim(sex)) NOT IN ('F', 'M')))[1:20] AS sex_vals,
   {cnt_if("sex IS NOT NULL AND upper(trim(sex)) NOT IN ('F', 'M')")} AS sex_rows,
-  list(DISTINCT TRY_CAST(CAST(area_type AS varchar) AS double)) FILTER (WHERE TRY_CAST(CAST(area_type AS varchar) AS double) NOT IN (1, 2, 3)) AS area_vals,
+  list_sort(list(DISTINCT TRY_CAST(CAST(area_type AS varchar) AS double)) FILTER (WHERE TRY_CAST(CAST(area_type AS varchar) AS double) NOT IN (1, 2, 3)))[1:20] AS area_vals,
   {cnt_if("TRY_CAST(CAST(area_type AS varchar) AS double) NOT IN (1, 2, 3)")} AS area_rows,
-  list(DISTINCT TRY_CAST(CAST(hospital_code AS varchar) AS double)) FILTER (WHERE TRY_CAST(CAST(hospital_code AS varchar) AS double) NOT IN (1, 2)) AS hosp_vals,
+  list_sort(list(DISTINCT TRY_CAST(CAST(hospital_code AS varchar) AS double)) FILTER (WHERE TRY_CAST(CAST(hospital_code AS varchar) AS double) NOT IN (1, 2)))[1:20] AS hosp_vals,
   {cnt_if("TRY_CAST(CAST(hospital_code AS varchar) AS double) NOT IN (1, 2)")} AS hosp_rows,
   {cnt_if("length(trim(CAST(region_code AS varchar))) < 2")} AS short_region,
   {cnt_if("length(trim(CAST(local_code AS varchar))) < 3")} AS short_local,
   {cnt_if("age IS NOT NULL AND TRY_CAST(CAST(age AS varchar) AS double) IS NULL")} AS age_text,
   {cnt_if(f"TRY_CAST(CAST(age AS varchar) AS double) < {_VCFG.age_min} OR TRY_CAST(CAST(age AS varchar) AS double) > {_VCFG.age_max}")} AS age_range,
-  list(DISTINCT floor(TRY_CAST(CAST(event_code AS varchar) AS double))) FILTER (WHERE TRY_CAST(CAST(event_code AS varchar) AS double) IS NOT NULL) AS events
+  list_sort(list(DISTINCT floor(TRY_CAST(CAST(event_code AS varchar) AS double))) FILTER (WHERE TRY_CAST(CAST(event_code AS varchar) AS double) IS NOT NULL))[1:20] AS events,
+  {cnt_if("floor(TRY_CAST(CAST(event_code AS varchar) AS double)) <> 356")} AS ev_other,
+  count(TRY_CAST(CAST(event_code AS varchar) AS double)) AS ev_rows
 FROM raw
 ),
 agg2 AS (
 SELECT *, list_filter(empty_cols, lambda x: x IN ({_req})) AS empty_req,
   list_filter(empty_cols, lambda x: x NOT IN ({_req})) AS empty_other,
-  list_filter(coalesce(years, []), lambda y: y <> {YEAR}) AS bad_years,
+  coalesce(bad_years0, []) AS bad_years,
   coalesce(sex_vals, []) AS sv, coalesce(area_vals, []) AS av, coalesce(hosp_vals, []) AS hv,
-  list_sort(coalesce(events, [])) AS ev
+  coalesce(events, []) AS ev
 FROM agg
 ),
 findings AS (
@@ -432,17 +434,17 @@ UNION ALL SELECT 'max_rows', 'warning', n > {_VCFG.max_rows}, n, CAST([] AS varc
 UNION ALL SELECT 'required_columns', 'error', false, 0, CAST([] AS varchar[]), {_m('required_columns')} FROM agg2
 UNION ALL SELECT 'empty_required', 'error', len(empty_req) > 0, len(empty_req), empty_req, {_m('empty_required')} FROM agg2
 UNION ALL SELECT 'empty_other', 'warning', len(empty_other) > 0, len(empty_other), empty_other[1:10], {_m('empty_other')} FROM agg2
-UNION ALL SELECT 'year', 'warning', len(bad_years) > 0, n_years, {_labels('bad_years')}, {_m('year')} FROM agg2
+UNION ALL SELECT 'year', 'warning', n_years > 0, n_years, {_labels('bad_years')}, {_m('year')} FROM agg2
 UNION ALL SELECT 'date_format', 'warning', bad_dates > 0, bad_dates, CAST([] AS varchar[]), {_m('date_format')} FROM agg2
 UNION ALL SELECT 'date_year', 'warning', out_year > 0, out_year, CAST([] AS varchar[]), {_m('date_year')} FROM agg2
-UNION ALL SELECT 'sex_domain', 'error', len(sv) > 0, sex_rows, list_sort(sv), {_m('sex_domain')} FROM agg2
-UNION ALL SELECT 'area_domain', 'error', len(av) > 0, area_rows, {_labels('av')}, {_m('area_domain')} FROM agg2
-UNION ALL SELECT 'hospital_domain', 'error', len(hv) > 0, hosp_rows, {_labels('hv')}, {_m('hospital_domain')} FROM agg2
+UNION ALL SELECT 'sex_domain', 'error', sex_rows > 0, sex_rows, sv, {_m('sex_domain')} FROM agg2
+UNION ALL SELECT 'area_domain', 'error', area_rows > 0, area_rows, {_labels('av')}, {_m('area_domain')} FROM agg2
+UNION ALL SELECT 'hospital_domain', 'error', hosp_rows > 0, hosp_rows, {_labels('hv')}, {_m('hospital_domain')} FROM agg2
 UNION ALL SELECT 'short_region_code', 'warning', short_region > 0, short_region, CAST([] AS varchar[]), {_m('short_region_code')} FROM agg2
 UNION ALL SELECT 'short_local_code', 'warning', short_local > 0, short_local, CAST([] AS varchar[]), {_m('short_local_code')} FROM agg2
 UNION ALL SELECT 'age_not_numeric', 'warning', age_text > 0, age_text, CAST([] AS varchar[]), {_m('age_not_numeric')} FROM agg2
 UNION ALL SELECT 'age_range', 'warning', age_range > 0, age_range, CAST([] AS varchar[]), {_m('age_range')} FROM agg2
-UNION ALL SELECT 'event_code', 'warning', NOT (ev = [356.0]), len(ev), {_labels('ev')}, {_m('event_code')} FROM agg2
+UNION ALL SELECT 'event_code', 'warning', ev_other > 0 OR ev_rows = 0, ev_other, {_labels('ev')}, {_m('event_code')} FROM agg2
 UNION ALL SELECT 'optional_columns', 'info', true, {len(_opt_found)}, [{', '.join(repr(c) for c in _opt_found)}],
   {_m('optional_columns', found=len(_opt_found), total=len(_C.OPTIONAL_COLUMNS))} FROM agg2
 )"""

@@ -47,6 +47,16 @@ def mean_2dp(c) -> Column:
         / F.count(x).cast("double") / F.lit(100.0)
 
 
+def quantiles(c, probs, exact: bool = True) -> Column:
+    """Linear-interpolated quantiles (pandas/numpy rule).  The exact form
+    keeps a value -> count map per group, which is bounded on the integer
+    domains used here (age 0-150, week 1-53); pass ``exact=False`` for
+    continuous columns (``percentile_approx``, bounded memory)."""
+    x = col(c).cast("double")
+    arr = F.array(*[F.lit(float(p)) for p in probs])
+    return F.percentile(x, arr) if exact else F.percentile_approx(x, arr, 10000)
+
+
 def share(num: Column, den: Column) -> Column:
     """Exact ratio of two counts as a double; null when the denominator is 0."""
     return F.when(den != 0, num.cast("double") / den.cast("double"))

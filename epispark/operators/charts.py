@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.core import count_if
+from ..functions.core import count_if, quantiles
 
 
 def histogram(df: DataFrame, col: str = "age", bins: int = 30) -> DataFrame:
@@ -42,14 +42,13 @@ def center_lines(df: DataFrame, col: str = "age") -> DataFrame:
 
 
 def boxplot(df: DataFrame, col: str = "age", by: str = "sex",
-            groups=("F", "M")) -> DataFrame:
+            groups=("F", "M"), exact: bool = True) -> DataFrame:
     """Per group: quartiles (linear), whiskers = furthest points within
     1.5 IQR of the box, and the count of points beyond them.  Quartiles come
     from a per-group aggregate joined back (group count is tiny)."""
     x = F.col(col).cast("double")
     f = df.where(F.col(by).isin(*groups) & x.isNotNull())
-    q = f.groupBy(by).agg(
-        F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
+    q = f.groupBy(by).agg(quantiles(x, (0.25, 0.5, 0.75), exact).alias("q"))
     q = q.select(by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
                  F.col("q")[2].alias("q3"))
     j = f.join(F.broadcast(q), by)

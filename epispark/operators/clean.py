@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 from ..config import GROUP_DEFAULT, Config
 from ..functions import derive as D
-from ..functions.core import count_if, is_true, round_half_even, share, strip_text, zfill
+from ..functions.core import (count_if, is_true, quantiles, round_half_even, share,
+                              strip_text, zfill)
 from ..sources.cases import conform
 from .joins import broadcast_if_small
 
@@ -226,11 +227,10 @@ def clean_report(raw: DataFrame, cfg: Config | None = None, aliases=None,
         .alias("pct_excluded"))
 
 
-def age_outliers(df: DataFrame, col: str = "age") -> DataFrame:
+def age_outliers(df: DataFrame, col: str = "age", exact: bool = True) -> DataFrame:
     """IQR fences on age (linear-interpolated quartiles); rows outside the
     fences are counted, never removed."""
-    q = df.select(F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.75))).alias("q")) \
-          .scalar()
+    q = df.select(quantiles(col, (0.25, 0.75), exact).alias("q")).scalar()
     q1, q3 = q.getItem(0), q.getItem(1)
     iqr = q3 - q1
     lo, hi = q1 - 1.5 * iqr, q3 + 1.5 * iqr

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.core import round_half_even
+from ..functions.core import quantiles, round_half_even
 
 
 def shape(df: DataFrame, id_col: str = "case_id") -> DataFrame:
@@ -37,16 +37,16 @@ def dtypes(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     return spark.createDataFrame(df.dtypes, "column string, type string")
 
 
-def describe(df: DataFrame, cols=("age", "epi_week")) -> DataFrame:
+def describe(df: DataFrame, cols=("age", "epi_week"), exact: bool = True) -> DataFrame:
     """count, mean, sample std, min, quartiles (linear interpolation), max,
-    rounded to 2 dp — one row per variable."""
+    rounded to 2 dp — one row per variable, all from one aggregation."""
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-                  .alias(f"{c}__q"), F.max(x).alias(f"{c}__max")]
+                 quantiles(x, (0.25, 0.5, 0.75), exact).alias(f"{c}__q"),
+                 F.max(x).alias(f"{c}__max")]
     wide = df.agg(*aggs)
     rows = []
     for c in cols:

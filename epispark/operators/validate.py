@@ -17,6 +17,9 @@ from ..config import Config
 from ..functions.core import count_if
 
 FINDING_FIELDS = ("rule_id", "severity", "triggered", "n_rows", "vals", "message")
+# offending values listed per rule: the smallest MAX_LISTED distinct values
+# in sorted order (a display list; n_rows counts every offending row).
+MAX_LISTED = 20
 
 MESSAGES = {
     "not_empty": "the file has no data rows",
@@ -60,8 +63,17 @@ def _num_label(v: Column) -> Column:
     return F.when(v == F.floor(v), v.cast("bigint").cast("string")).otherwise(v.cast("string"))
 
 
-def _sorted_num_labels(col: Column) -> Column:
-    return F.transform(F.array_sort(col), _num_label)
+def _first_values(df: DataFrame, value: Column, cond: Column, n: int = MAX_LISTED,
+                  numeric: bool = False) -> Column:
+    """Scalar subquery: the n smallest distinct values where ``cond`` holds,
+    as text (numbers without a trailing .0).  Distinct runs as a distributed
+    aggregate and the top-n as a per-partition TakeOrdered, so nothing
+    unbounded reaches one task or the driver."""
+    d = df.where(cond).select(value.alias("v")).distinct().orderBy("v").limit(n)
+    vals = F.array_sort(F.collect_list("v"))
+    if numeric:
+        vals = F.transform(vals, _num_label)
+    return d.select(vals.cast("array<string>")).scalar()
 
 
 def findings(df: DataFrame, cfg: Config | None = None) -> DataFrame:
@@ -83,9 +95,9 @@ def findings(df: DataFrame, cfg: Config | None = None) -> DataFrame:
         aggs += [F.count(F.col(c)).alias(f"_cnt_{i}") for i, c in enumerate(cols)]
         # content rules, all in the same pass
         year_v = F.col("epi_year").try_cast("double")
-        aggs.append(F.collect_set(year_v).alias("_years"))
-        if cfg.year is not None:
-            aggs.append(count_if(year_v.isNotNull() & (year_v != cfg.year)).alias("_n_years"))
+        bad_year = year_v.isNotNull() & (year_v != cfg.year) if cfg.year is not None \
+            else F.lit(False)
+        aggs.append(count_if(bad_year).alias("_n_years"))
         nt_raw = F.col("notified_text").cast("string")
         nt = F.try_to_date(nt_raw, "yyyy-M-d")
         aggs += [count_if(nt_raw.isNotNull() & nt.isNull()).alias("_bad_dates"),
@@ -93,13 +105,13 @@ def findings(df: DataFrame, cfg: Config | None = None) -> DataFrame:
                  .alias("_out_year") if cfg.year is not None else F.lit(0).alias("_out_year")]
         sex = F.upper(F.trim(F.col("sex").cast("string")))
         bad_sex = sex.isNotNull() & ~sex.isin(*C.VALID_SEX)
-        aggs += [F.collect_set(F.when(bad_sex, sex)).alias("_sex_vals"),
-                 count_if(bad_sex).alias("_sex_rows")]
+        aggs.append(count_if(bad_sex).alias("_sex_rows"))
+        domain_vals = {}
         for name, valid in (("area_type", C.VALID_AREA), ("hospital_code", C.VALID_HOSPITAL)):
             v = F.col(name).cast("string").try_cast("double")
             bad = v.isNotNull() & ~v.isin(*[float(x) for x in valid])
-            aggs += [F.collect_set(F.when(bad, v)).alias(f"_{name}_vals"),
-                     count_if(bad).alias(f"_{name}_rows")]
+            aggs.append(count_if(bad).alias(f"_{name}_rows"))
+            domain_vals[name] = _first_values(df, v, bad, numeric=True)
         aggs += [count_if(F.length(F.trim(F.col("region_code").cast("string"))) < 2)
                  .alias("_short_region"),
                  count_if(F.length(F.trim(F.col("local_code").cast("string"))) < 3)
@@ -107,41 +119,39 @@ def findings(df: DataFrame, cfg: Config | None = None) -> DataFrame:
         age_v = F.col("age").cast("string").try_cast("double")
         aggs += [count_if(F.col("age").isNotNull() & age_v.isNull()).alias("_age_text"),
                  count_if((age_v < cfg.age_min) | (age_v > cfg.age_max)).alias("_age_range")]
-        ev = F.col("event_code").cast("string").try_cast("double")
-        aggs.append(F.collect_set(F.when(ev.isNotNull(), F.floor(ev).cast("double")))
-                    .alias("_events"))
+        ev = F.floor(F.col("event_code").cast("string").try_cast("double")).cast("double")
+        expected = [float(e) for e in C.EXPECTED_EVENT_CODES]
+        aggs += [count_if(ev.isNotNull() & ~ev.isin(*expected)).alias("_ev_other"),
+                 F.count(ev).alias("_ev_rows")]
+        year_vals = _first_values(df, year_v, bad_year, numeric=True)
+        sex_vals = _first_values(df, sex, bad_sex)
+        ev_vals = _first_values(df, ev, ev.isNotNull(), numeric=True)
 
         empty = F.filter(F.array(*[F.when(F.col(f"_cnt_{i}") == 0, F.lit(c))
                                    for i, c in enumerate(cols)]), lambda x: x.isNotNull())
         req = set(C.REQUIRED_COLUMNS)
         empty_req = F.filter(empty, lambda x: x.isin(*req))
         empty_other = F.filter(empty, lambda x: ~x.isin(*req))
-        unexpected_years = F.array_except(F.col("_years"), F.array(F.lit(float(cfg.year)))) \
-            if cfg.year is not None else F.array().cast("array<double>")
-        expected_ev = F.array(*[F.lit(float(e)) for e in C.EXPECTED_EVENT_CODES])
-        ev_sorted = F.array_sort(F.col("_events"))
         rows += [
             _finding("empty_required", "error", F.size(empty_req) > 0, F.size(empty_req),
                      empty_req, message("empty_required", cfg)),
             _finding("empty_other", "warning", F.size(empty_other) > 0, F.size(empty_other),
                      F.slice(empty_other, 1, 10),
                      message("empty_other", cfg)),
-            _finding("year", "warning", F.size(unexpected_years) > 0,
-                     F.col("_n_years") if cfg.year is not None else F.lit(0),
-                     _sorted_num_labels(unexpected_years),
-                     message("year", cfg)),
+            _finding("year", "warning", F.col("_n_years") > 0, F.col("_n_years"),
+                     year_vals, message("year", cfg)),
             _finding("date_format", "warning", F.col("_bad_dates") > 0, F.col("_bad_dates"),
                      _names([]), message("date_format", cfg)),
             _finding("date_year", "warning", F.col("_out_year") > 0, F.col("_out_year"),
                      _names([]), message("date_year", cfg)),
-            _finding("sex_domain", "error", F.size("_sex_vals") > 0, F.col("_sex_rows"),
-                     F.array_sort("_sex_vals"), message("sex_domain", cfg)),
-            _finding("area_domain", "error", F.size("_area_type_vals") > 0,
-                     F.col("_area_type_rows"), _sorted_num_labels(F.col("_area_type_vals")),
+            _finding("sex_domain", "error", F.col("_sex_rows") > 0, F.col("_sex_rows"),
+                     sex_vals, message("sex_domain", cfg)),
+            _finding("area_domain", "error", F.col("_area_type_rows") > 0,
+                     F.col("_area_type_rows"), domain_vals["area_type"],
                      message("area_domain", cfg)),
-            _finding("hospital_domain", "error", F.size("_hospital_code_vals") > 0,
+            _finding("hospital_domain", "error", F.col("_hospital_code_rows") > 0,
                      F.col("_hospital_code_rows"),
-                     _sorted_num_labels(F.col("_hospital_code_vals")),
+                     domain_vals["hospital_code"],
                      message("hospital_domain", cfg)),
             _finding("short_region_code", "warning", F.col("_short_region") > 0,
                      F.col("_short_region"), _names([]),
@@ -154,9 +164,8 @@ def findings(df: DataFrame, cfg: Config | None = None) -> DataFrame:
             _finding("age_range", "warning", F.col("_age_range") > 0, F.col("_age_range"),
                      _names([]), message("age_range", cfg)),
             _finding("event_code", "warning",
-                     ~((F.size(ev_sorted) == F.size(expected_ev))
-                       & (F.size(F.array_except(ev_sorted, expected_ev)) == 0)),
-                     F.size(ev_sorted), _sorted_num_labels(ev_sorted),
+                     (F.col("_ev_other") > 0) | (F.col("_ev_rows") == 0),
+                     F.col("_ev_other"), ev_vals,
                      message("event_code", cfg)),
         ]
     rows.append(_finding("optional_columns", "info", F.lit(True), F.lit(len(optional_found)),
