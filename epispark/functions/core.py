@@ -62,9 +62,14 @@ def share(num: Column, den: Column) -> Column:
     return F.when(den != 0, num.cast("double") / den.cast("double"))
 
 
+# the characters Python's str.strip() removes (str.isspace), built from the rule
+WHITESPACE = "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
+
+
 def strip_text(c) -> Column:
-    """Trim Unicode whitespace at both ends; blank text becomes null."""
-    trimmed = F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+    """Trim whitespace at both ends exactly like ``str.strip()`` (every
+    Unicode whitespace character, no regex); blank text becomes null."""
+    trimmed = F.btrim(col(c), F.lit(WHITESPACE))
     return F.when(F.length(trimmed) > 0, trimmed)
 
 

@@ -61,7 +61,9 @@ class Inputs:
         folder; every raw-level query reads that file set."""
         def build():
             path = scratch_path(self.spark, "raw_cases")
-            adapter.raw_cases(self.spark, self.sf_dir).write.parquet(path)
+            n = self.spark.sparkContext.defaultParallelism
+            adapter.raw_cases(self.spark, self.sf_dir).repartition(n, "case_id") \
+                .write.parquet(path)
             return self.spark.read.parquet(path)
         return self._get("raw", build)
 
@@ -90,7 +92,9 @@ class Inputs:
         later aggregate)."""
         def build():
             path = scratch_path(self.spark, "clean")
-            CL.clean(self.raw, self.cfg, self.aliases).write.parquet(path)
+            n = self.spark.sparkContext.defaultParallelism
+            CL.clean(self.raw, self.cfg, self.aliases).repartition(n, "area_code") \
+                .write.parquet(path)
             return self.spark.read.parquet(path)
         return self._get("clean", build)
 
