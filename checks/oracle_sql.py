@@ -736,6 +736,7 @@ GROUP BY _source, epi_year""", _UPD)
 q_raw("set_dedup_first", f"""SELECT case_id, epi_year, region_name, age, sex FROM (
   SELECT 0 AS s, * FROM base UNION ALL SELECT 1 AS s, * FROM new)
 QUALIFY row_number() OVER (PARTITION BY case_id ORDER BY s) = 1""", _UPD)
+QUERIES["stm_incremental_merge"] = None  # filled below (same result as set_dedup_first)
 q_raw("upd_report", f"""SELECT e AS existing, i AS incoming, e + i - m AS duplicates, m - e AS added FROM (
   SELECT CAST((SELECT count(*) FROM base) AS bigint) AS e, CAST((SELECT count(*) FROM new) AS bigint) AS i,
   CAST((SELECT count(*) FROM (SELECT DISTINCT case_id FROM (SELECT case_id FROM base UNION ALL SELECT case_id FROM new))) AS bigint) AS m)""", _UPD)
@@ -787,7 +788,9 @@ FROM regtab JOIN cen ON upper(trim(strip_accents(region_name))) = upper(trim(str
 q("idx_counts", f"""SELECT {cnt_if("priority = 'Crítica'")} AS n_critical, {cnt_if("priority = 'Alta'")} AS n_high,
   (SELECT local_name FROM idx ORDER BY rank, area_code LIMIT 1) AS top_local,
   (SELECT region_name FROM idx ORDER BY rank, area_code LIMIT 1) AS top_region,
-  max(score) AS max_score FROM idx""", ("idx",))
+  max(score) AS max_score,
+  (SELECT region_name FROM (SELECT region_name, {MEAN2} AS m FROM idx GROUP BY region_name)
+   ORDER BY m DESC, region_name LIMIT 1) AS top_region_by_mean FROM idx""", ("idx",))
 q("idx_scatter", f"""SELECT {AREA_KEYS}, rate_100k, pct_adolescent, priority, cases, score FROM idx
 WHERE cases >= 5""", ("idx",))
 q("idx_pipeline", f"SELECT {AREA_KEYS}, cases, score, priority, rank FROM idx", ("idx",))
@@ -876,5 +879,8 @@ q("ml_standardize", f"SELECT {AREA_KEYS}, {_Z} FROM (SELECT {AREA_KEYS}, {_FEAT_
   ("idx",))
 
 
+QUERIES["stm_incremental_merge"] = QUERIES["set_dedup_first"]
+
+
 def load_all() -> dict[str, str]:
     return QUERIES

@@ -187,13 +187,19 @@ def map_points(regions: DataFrame, centroids: DataFrame) -> DataFrame:
 
 
 def priority_counts(idx: DataFrame) -> DataFrame:
-    """# Crítica, # Alta and the first-ranked area (ties -> smallest code)."""
+    """# Crítica, # Alta, the first-ranked area (ties -> smallest code), the
+    highest index, and the region with the highest mean index (ties ->
+    smallest name; the mean comes from a per-region aggregate)."""
+    reg = idx.groupBy("region_name").agg(mean_2dp("score").alias("_m"))
+    top_reg = reg.select(F.min_by("region_name", F.struct((-F.col("_m")).alias("a"),
+                                                          F.col("region_name").alias("b"))))
     return idx.agg(
         F.sum(flag01(F.col("priority") == "Crítica")).cast("bigint").alias("n_critical"),
         F.sum(flag01(F.col("priority") == "Alta")).cast("bigint").alias("n_high"),
         F.min_by("local_name", F.struct("rank", "area_code")).alias("top_local"),
         F.min_by("region_name", F.struct("rank", "area_code")).alias("top_region"),
-        F.max("score").alias("max_score"))
+        F.max("score").alias("max_score")).select("*", top_reg.scalar().alias(
+            "top_region_by_mean"))
 
 
 def scatter(idx: DataFrame, min_cases: int = 5) -> DataFrame:

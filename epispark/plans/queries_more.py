@@ -576,3 +576,24 @@ query("ml_cluster_label")(lambda s, d: ML.kmeans(inputs(s, d).index, inputs(s, d
                           .select("cluster", "cluster_label").distinct())
 query("win_cluster_rank")(lambda s, d: ML.kmeans(inputs(s, d).index, inputs(s, d).cfg)
                           .groupBy("cluster").agg(F.avg("rate_100k").alias("mean_rate")))
+
+# --------------------------------------------------------------------------
+# incremental ingestion as Structured Streaming (the update path)
+# --------------------------------------------------------------------------
+from ..streaming import incremental as INC  # noqa: E402
+
+
+@query("stm_incremental_merge")
+def stm_incremental_merge(spark, d):
+    """The stored base is seeded as snapshot 0; the new file lands in a
+    watched folder; an available-now file stream merges it by case id
+    (stored rows win) into snapshot 1, which is returned."""
+    base, new = _update_inputs(spark, d)
+    root = scratch_path(spark, "stream")
+    base.write.parquet(f"{root}/table/snapshot=0")
+    new.write.parquet(f"{root}/landing/file1")
+    q = INC.start(spark, f"{root}/landing/*", f"{root}/table", f"{root}/checkpoint",
+                  new.schema, fmt="parquet", once=True)
+    q.awaitTermination()
+    return INC.read_latest(spark, f"{root}/table").select(
+        "case_id", "epi_year", "region_name", "age", "sex")
