@@ -61,16 +61,28 @@ def dedup_rows(df: DataFrame) -> DataFrame:
 
 
 def scope_predicate(cfg: Config) -> F.Column:
-    """Keep territorial regions (null region kept) in the analysis year
-    (null year dropped)."""
+    """Null-safe keep flag (never null): territorial region (null region
+    kept) in the analysis year (null year dropped).  Used where the flag is
+    counted."""
     keep = ~is_true(F.col("region_name").isin(*cfg.non_territorial))
     if cfg.year is not None:
         keep = keep & is_true(F.col("epi_year") == F.lit(cfg.year))
     return keep
 
 
+def scope_filter(cfg: Config) -> F.Column:
+    """The same rows as ``scope_predicate`` in a WHERE clause, written in a
+    form the Parquet reader can push down (``epi_year = y``; a null year
+    fails the equality and is dropped)."""
+    region = F.col("region_name")
+    keep = region.isNull() | ~region.isin(*cfg.non_territorial)
+    if cfg.year is not None:
+        keep = (F.col("epi_year") == F.lit(cfg.year)) & keep
+    return keep
+
+
 def filter_scope(df: DataFrame, cfg: Config | None = None) -> DataFrame:
-    return df.where(scope_predicate(cfg or Config()))
+    return df.where(scope_filter(cfg or Config()))
 
 
 def drop_columns(df: DataFrame, cfg: Config | None = None) -> DataFrame:
