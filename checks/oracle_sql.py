@@ -793,7 +793,7 @@ q("idx_counts", f"""SELECT {cnt_if("priority = 'Crítica'")} AS n_critical, {cnt
    ORDER BY m DESC, region_name LIMIT 1) AS top_region_by_mean FROM idx""", ("idx",))
 q("idx_scatter", f"""SELECT {AREA_KEYS}, rate_100k, pct_adolescent, priority, cases, score FROM idx
 WHERE cases >= 5""", ("idx",))
-q("idx_pipeline", f"SELECT {AREA_KEYS}, cases, score, priority, rank FROM idx", ("idx",))
+q("idx_full_run", f"SELECT {AREA_KEYS}, cases, score, priority, rank FROM idx", ("idx",))
 
 # --------------------------------------------------------------------------
 # 2.14 chart tables

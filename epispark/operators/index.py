@@ -135,7 +135,7 @@ def priority_index(areas: DataFrame, cfg: Config | None = None) -> DataFrame:
     return with_rank(scored)
 
 
-def index_pipeline(cases: DataFrame, population: DataFrame,
+def index_flow(cases: DataFrame, population: DataFrame,
                    cfg: Config | None = None, checkpoint: bool = True) -> DataFrame:
     """clean cases -> area table -> population -> index, class and rank."""
     return priority_index(area_base(cases, population, cfg, checkpoint), cfg)

@@ -1 +1 @@
-"""Composed pipelines and the query catalogue."""
+"""Composed workflows and the query catalogue."""

@@ -501,11 +501,11 @@ query("idx_counts")(lambda s, d: IX.priority_counts(inputs(s, d).index))
 query("idx_scatter")(lambda s, d: IX.scatter(inputs(s, d).index, 5))
 
 
-@query("idx_pipeline")
-def idx_pipeline(spark, d):
+@query("idx_full_run")
+def idx_full_run(spark, d):
     """cases -> area table -> index in one call (no shared stage reuse)."""
     i = inputs(spark, d)
-    return IX.index_pipeline(i.clean, i.population, i.cfg).select(
+    return IX.index_flow(i.clean, i.population, i.cfg).select(
         "area_code", "region_name", "local_name", "cases", "score", "priority", "rank")
 
 

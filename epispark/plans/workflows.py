@@ -1,6 +1,6 @@
-"""Composed pipelines: batch index, incremental update, publication.
+"""Composed workflows: batch index, incremental update, publication.
 
-Each pipeline writes its outputs as new versioned folders and returns the
+Each workflow writes its outputs as new versioned folders and returns the
 paths; nothing is overwritten in place, so a failure leaves the previous
 published version intact (switch happens by reading the newest version).
 """
@@ -29,7 +29,7 @@ def batch_index(raw: DataFrame, population: DataFrame, out_root: str,
     clean_path = f"{out_root}/clean"
     SRC.write_clean(CL.clean(raw, cfg, aliases), clean_path)
     clean = spark.read.parquet(clean_path)
-    idx = IX.index_pipeline(clean, population, cfg)
+    idx = IX.index_flow(clean, population, cfg)
     SRC.write_areas(idx, f"{out_root}/areas", f"{out_root}/ranking_csv")
     return {"clean": clean_path, "areas": f"{out_root}/areas",
             "ranking": f"{out_root}/ranking_csv"}

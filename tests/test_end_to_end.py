@@ -5,7 +5,7 @@ import pytest
 
 from epispark.config import Config
 from epispark.operators import index as IX
-from epispark.plans import catalog, pipelines
+from epispark.plans import catalog, workflows
 from epispark.sources import adapter
 from conftest import SF_SMALL
 
@@ -66,7 +66,7 @@ def test_index_same_with_1_and_8_partitions(spark):
     out = []
     for n in ("1", "8"):
         spark.conf.set("spark.sql.shuffle.partitions", n)
-        idx = IX.index_pipeline(i.clean, i.population, i.cfg)
+        idx = IX.index_flow(i.clean, i.population, i.cfg)
         out.append(sorted(tuple(r) for r in idx.select("area_code", "score", "rank").collect()))
     spark.conf.set("spark.sql.shuffle.partitions", old)
     assert out[0] == out[1]
@@ -75,19 +75,19 @@ def test_index_same_with_1_and_8_partitions(spark):
 def test_batch_index_and_publish(spark, tmp_dir):
     cfg = Config(year=1998)
     raw = adapter.raw_cases(spark, SF_SMALL)
-    paths = pipelines.batch_index(raw, adapter.population(spark, SF_SMALL), tmp_dir, cfg,
+    paths = workflows.batch_index(raw, adapter.population(spark, SF_SMALL), tmp_dir, cfg,
                                   adapter.region_aliases(spark, SF_SMALL))
     clean = spark.read.parquet(paths["clean"])
     areas = spark.read.parquet(paths["areas"])
     assert areas.count() > 0 and spark.read.option("header", True).csv(paths["ranking"]).count() \
         == areas.count()
-    pub = pipelines.publish(clean, areas, tmp_dir + "/pub", 5)
+    pub = workflows.publish(clean, areas, tmp_dir + "/pub", 5)
     assert spark.read.parquet(pub["areas"]).agg({"cases": "min"}).first()[0] >= 5
 
 
-def test_update_pipeline_stops_on_errors(spark, tmp_dir):
+def test_update_workflow_stops_on_errors(spark, tmp_dir):
     cfg = Config(year=1998)
     raw = catalog.inputs(spark, SF_SMALL).typed_raw
-    res = pipelines.update(spark, raw, raw, adapter.population(spark, SF_SMALL), tmp_dir, 1,
+    res = workflows.update(spark, raw, raw, adapter.population(spark, SF_SMALL), tmp_dir, 1,
                            cfg)
     assert res["ok"] is False and "sex_domain" in res["errors"]

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from epispark.config import Config
 from epispark.operators import clean as CL
 from epispark.operators import profile as PF
-from epispark.plans import pipelines
+from epispark.plans import workflows
 from epispark.sources import adapter
 from epispark.sources import cases as SRC
 from conftest import SF_SMALL
@@ -60,12 +60,12 @@ def test_dtypes_and_roles(spark):
     assert "region_code" in roles["geographic"]
 
 
-def test_update_pipeline_success(spark, tmp_dir):
+def test_update_workflow_success(spark, tmp_dir):
     cfg = Config(year=1998)
     raw = adapter.raw_cases(spark, SF_SMALL).where(
         F.col("sex").isin("F", "M") & F.col("area_type").isin(1, 2, 3))
     base, new = raw.where(F.col("case_id") % 2 == 0), raw.where(F.col("case_id") % 3 == 0)
-    res = pipelines.update(spark, base, new, adapter.population(spark, SF_SMALL), tmp_dir, 2,
+    res = workflows.update(spark, base, new, adapter.population(spark, SF_SMALL), tmp_dir, 2,
                            cfg, adapter.region_aliases(spark, SF_SMALL))
     assert res["ok"], res
     merged = spark.read.parquet(res["snapshot"])
