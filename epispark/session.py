@@ -42,7 +42,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="epispark-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...): "
+                               "lineage cuts must survive the loss of any machine")
+        configured = tempfile.mkdtemp(prefix="epispark-ckpt-")   # local runs only
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
