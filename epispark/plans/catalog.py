@@ -93,8 +93,9 @@ class Inputs:
         def build():
             path = scratch_path(self.spark, "clean")
             n = self.spark.sparkContext.defaultParallelism
-            CL.clean(self.raw, self.cfg, self.aliases).repartition(n, "area_code") \
-                .write.parquet(path)
+            # even files whatever the key skew (round-robin; Spark sorts before
+            # a round-robin repartition, so a retried task writes the same rows)
+            CL.clean(self.raw, self.cfg, self.aliases).repartition(n).write.parquet(path)
             return self.spark.read.parquet(path)
         return self._get("clean", build)
 

@@ -7,7 +7,7 @@ published version intact (switch happens by reading the newest version).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config
@@ -27,12 +27,18 @@ def batch_index(raw: DataFrame, population: DataFrame, out_root: str,
     cfg = cfg or Config()
     spark = raw.sparkSession
     clean_path = f"{out_root}/clean"
-    SRC.write_clean(CL.clean(raw, cfg, aliases), clean_path)
+    # audit counts gathered while the clean table is written (no extra pass)
+    obs = Observation("clean_audit")
+    cleaned = CL.clean(raw, cfg, aliases).observe(
+        obs, F.count(F.lit(1)).alias("rows_out"),
+        F.sum(F.col("onset_corrected").cast("int")).alias("onset_corrected"),
+        F.sum(F.col("age_inconsistent").cast("int")).alias("age_inconsistent"))
+    SRC.write_clean(cleaned, clean_path)
     clean = spark.read.parquet(clean_path)
     idx = IX.index_flow(clean, population, cfg)
     SRC.write_areas(idx, f"{out_root}/areas", f"{out_root}/ranking_csv")
     return {"clean": clean_path, "areas": f"{out_root}/areas",
-            "ranking": f"{out_root}/ranking_csv"}
+            "ranking": f"{out_root}/ranking_csv", "audit": dict(obs.get)}
 
 
 def publish(clean: DataFrame, idx: DataFrame, out_root: str, k: int = 5) -> dict:

@@ -79,6 +79,7 @@ def test_batch_index_and_publish(spark, tmp_dir):
                                   adapter.region_aliases(spark, SF_SMALL))
     clean = spark.read.parquet(paths["clean"])
     areas = spark.read.parquet(paths["areas"])
+    assert paths["audit"]["rows_out"] == clean.count()
     assert areas.count() > 0 and spark.read.option("header", True).csv(paths["ranking"]).count() \
         == areas.count()
     pub = workflows.publish(clean, areas, tmp_dir + "/pub", 5)
