@@ -90,85 +90,118 @@ def drop_columns(df: DataFrame, cfg: Config | None = None) -> DataFrame:
     return df.drop(*[c for c in cfg.drop_columns if c in df.columns])
 
 
-def area_code(df: DataFrame, cfg: Config | None = None) -> DataFrame:
+# ---------------------------------------------------------------------------
+# expression builders (each takes columns of the row being cleaned)
+# ---------------------------------------------------------------------------
+def area_code_expr(cfg: Config) -> F.Column:
     """5-character area code = region code (2) + local code (3), zero padded
     without truncation; configured regions get a fixed code."""
-    cfg = cfg or Config()
     code = F.concat(zfill("region_code", 2), zfill("local_code", 3))
     for region, fixed in cfg.area_code_overrides.items():
         code = F.when(is_true(F.col("region_name") == region), F.lit(fixed)).otherwise(code)
-    return df.withColumn("area_code", code)
+    return code
+
+
+def parsed_dates(df: DataFrame, cfg: Config) -> dict:
+    """Strict ``yyyy-M-d`` parse of the text dates present; bad text -> null."""
+    return {date_col: F.try_to_date(F.col(text_col), DATE_FORMAT)
+            for text_col, date_col in cfg.date_columns if text_col in df.columns}
+
+
+def onset_flag(onset: F.Column, notified: F.Column, cfg: Config) -> F.Column:
+    """Onset after notification, or more than ``onset_max_days`` before it."""
+    return onset.isNotNull() & is_true(
+        (onset > notified) | (F.datediff(notified, onset) > cfg.onset_max_days))
+
+
+def age_flag(born: F.Column, notified: F.Column, age: F.Column, cfg: Config) -> F.Column:
+    """Reported age differs from the birth-date age by more than the gap."""
+    computed = F.datediff(notified, born) / F.lit(cfg.year_days)
+    return born.isNotNull() & is_true(F.abs(computed - age) > F.lit(cfg.age_gap_years))
+
+
+def _whole_number(c) -> F.Column:
+    d = (F.col(c) if isinstance(c, str) else c).try_cast("double")
+    return F.when(d == F.floor(d), d.cast("int"))
+
+
+def derived_columns(df: DataFrame, cfg: Config) -> tuple[dict, list]:
+    """Every column the cleaning adds or rewrites, as expressions over the
+    incoming columns, plus the text columns it replaces.  Applied as ONE
+    projection (``withColumns``) so the plan stays flat."""
+    dates = parsed_dates(df, cfg)
+    nt = dates.get("notified_on", F.lit(None).cast("date"))
+    age, week, area = F.col("age"), F.col("epi_week"), F.col("area_type")
+    cols = {"area_code": area_code_expr(cfg), **dates}
+    if "onset_on" in dates:
+        bad = onset_flag(dates["onset_on"], nt, cfg)
+        cols["onset_corrected"] = bad
+        cols["onset_on"] = F.when(~bad, dates["onset_on"])
+    else:
+        cols["onset_corrected"] = F.lit(False)
+    month = F.month(nt)
+    cols.update({
+        "month": month, "month_name": D.month_name(month),
+        "quarter": D.quarter(week), "semester": D.semester(week),
+        "age_group": D.age_group(age), "age_group_ord": D.age_group_ord(age),
+        "sex_label": D.sex_label("sex"), "area_label": D.area_label(area),
+        "hospital_label": D.hospital_label("hospital_code"),
+        "is_minor": D.is_minor(age), "is_adolescent": D.is_adolescent(age),
+        "is_rural": D.is_rural(area),
+        "age_inconsistent": age_flag(dates["born_on"], nt, age, cfg)
+        if "born_on" in dates else F.lit(False),
+    })
+    if "group_name" in df.columns:
+        cols["group_name"] = F.coalesce("group_name", F.lit(GROUP_DEFAULT))
+    for c in ("stratum", "gestation_weeks"):
+        if c in df.columns:
+            cols[c] = _whole_number(c)
+    replaced = [t for t, d in cfg.date_columns if t in df.columns and t != d]
+    return cols, replaced
+
+
+# ---------------------------------------------------------------------------
+# single steps (each one projection), for callers that need one of them
+# ---------------------------------------------------------------------------
+def area_code(df: DataFrame, cfg: Config | None = None) -> DataFrame:
+    return df.withColumn("area_code", area_code_expr(cfg or Config()))
 
 
 def parse_dates(df: DataFrame, cfg: Config | None = None) -> DataFrame:
-    """Strict ``yyyy-M-d`` parse of the text dates; bad text -> null."""
     cfg = cfg or Config()
-    for text_col, date_col in cfg.date_columns:
-        if text_col in df.columns:
-            df = df.withColumn(date_col, F.try_to_date(F.col(text_col), DATE_FORMAT))
-            if text_col != date_col:
-                df = df.drop(text_col)
-    return df
+    replaced = [t for t, d in cfg.date_columns if t in df.columns and t != d]
+    return df.withColumns(parsed_dates(df, cfg)).drop(*replaced)
 
 
 def onset_check(df: DataFrame, cfg: Config | None = None) -> DataFrame:
-    """Onset after notification, or more than ``onset_max_days`` before it,
-    is a capture error: flag it and null the onset."""
+    """Flag an implausible onset and null it (expects parsed dates)."""
     cfg = cfg or Config()
     if "onset_on" not in df.columns:
         return df.withColumn("onset_corrected", F.lit(False))
-    on, nt = F.col("onset_on"), F.col("notified_on")
-    bad = on.isNotNull() & is_true((on > nt) | (F.datediff(nt, on) > cfg.onset_max_days))
-    return df.withColumn("onset_corrected", bad) \
-             .withColumn("onset_on", F.when(~F.col("onset_corrected"), on))
-
-
-def derive_temporal(df: DataFrame) -> DataFrame:
-    return (df.withColumn("month", D.month_of("notified_on"))
-              .withColumn("month_name", D.month_name("month"))
-              .withColumn("quarter", D.quarter("epi_week"))
-              .withColumn("semester", D.semester("epi_week")))
-
-
-def derive_demographic(df: DataFrame, cfg: Config | None = None) -> DataFrame:
-    cfg = cfg or Config()
-    df = (df.withColumn("age_group", D.age_group("age"))
-            .withColumn("age_group_ord", D.age_group_ord("age"))
-            .withColumn("sex_label", D.sex_label("sex"))
-            .withColumn("area_label", D.area_label("area_type"))
-            .withColumn("hospital_label", D.hospital_label("hospital_code"))
-            .withColumn("is_minor", D.is_minor("age"))
-            .withColumn("is_adolescent", D.is_adolescent("age"))
-            .withColumn("is_rural", D.is_rural("area_type")))
-    return age_check(df, cfg)
+    bad = onset_flag(F.col("onset_on"), F.col("notified_on"), cfg)
+    return df.withColumns({"onset_corrected": bad,
+                           "onset_on": F.when(~bad, F.col("onset_on"))})
 
 
 def age_check(df: DataFrame, cfg: Config | None = None) -> DataFrame:
-    """Flag rows whose reported age differs from the birth-date age by more
-    than ``age_gap_years``; values are kept."""
+    """Flag an age inconsistent with the birth date (expects parsed dates)."""
     cfg = cfg or Config()
     if "born_on" not in df.columns:
         return df.withColumn("age_inconsistent", F.lit(False))
-    computed = F.datediff("notified_on", "born_on") / F.lit(cfg.year_days)
-    bad = F.col("born_on").isNotNull() & is_true(
-        F.abs(computed - F.col("age")) > F.lit(cfg.age_gap_years))
-    return df.withColumn("age_inconsistent", bad)
-
-
-def _whole_number(c: str) -> F.Column:
-    d = F.col(c).try_cast("double")
-    return F.when(d == F.floor(d), d.cast("int"))
+    return df.withColumn("age_inconsistent", age_flag(
+        F.col("born_on"), F.col("notified_on"), F.col("age"), cfg))
 
 
 def text_fields(df: DataFrame) -> DataFrame:
     """Group name default; stratum / gestation weeks to nullable integers
     (fractional or non-numeric text -> null)."""
+    cols = {}
     if "group_name" in df.columns:
-        df = df.withColumn("group_name", F.coalesce("group_name", F.lit(GROUP_DEFAULT)))
+        cols["group_name"] = F.coalesce("group_name", F.lit(GROUP_DEFAULT))
     for c in ("stratum", "gestation_weeks"):
         if c in df.columns:
-            df = df.withColumn(c, _whole_number(c))
-    return df
+            cols[c] = _whole_number(c)
+    return df.withColumns(cols) if cols else df
 
 
 def _prepare(raw: DataFrame, aliases, cfg: Config) -> DataFrame:
@@ -180,12 +213,8 @@ def _prepare(raw: DataFrame, aliases, cfg: Config) -> DataFrame:
 
 def _derive(df: DataFrame, cfg: Config) -> DataFrame:
     df = drop_columns(df, cfg)
-    df = area_code(df, cfg)
-    df = parse_dates(df, cfg)
-    df = onset_check(df, cfg)
-    df = derive_temporal(df)
-    df = derive_demographic(df, cfg)
-    return text_fields(df)
+    cols, replaced = derived_columns(df, cfg)
+    return df.withColumns(cols).drop(*replaced)
 
 
 def clean(raw: DataFrame, cfg: Config | None = None, aliases=None) -> DataFrame:

@@ -138,10 +138,6 @@ def prof_code_sample(spark, d):
 # --------------------------------------------------------------------------
 # 2.3 validation (raw file, one aggregation for all rules)
 # --------------------------------------------------------------------------
-VAL_RULES = ("not_empty", "max_rows", "required_columns", "empty_required", "empty_other",
-             "year", "date_format", "date_year", "sex_domain", "area_domain",
-             "hospital_domain", "short_region_code", "short_local_code", "age_not_numeric",
-             "age_range", "event_code", "optional_columns")
 VAL_KEYS = {"not_empty": "val_not_empty", "max_rows": "val_max_rows",
             "required_columns": "val_required_columns", "empty_required": "val_empty_required",
             "empty_other": "val_empty_other", "year": "val_year",
