@@ -115,6 +115,18 @@ MODEL_FEATURES = (
     "pct_psychiatric", "cases", "pct_minor", "pct_female", "pct_rural",
 )
 MODEL_TARGET = "priority"
+FEATURE_LABELS = {
+    "rate_100k": "Tasa por 100k hab.",
+    "pct_adolescent": "% Adolescentes (12–17)",
+    "pct_young_adult": "% Jóvenes Adultos (18–25)",
+    "trend": "Tendencia H2 vs H1",
+    "pct_hospitalised": "% Hospitalizados",
+    "pct_psychiatric": "% Antec. psiquiátrico",
+    "cases": "Total de casos",
+    "pct_minor": "% Menores de 18",
+    "pct_female": "% Femenino",
+    "pct_rural": "% Rural",
+}
 # cluster names by ascending mean rate (fallback "Cluster <k>")
 CLUSTER_LABELS = (
     "Cluster A – Perfil Rural/Bajo",

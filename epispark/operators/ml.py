@@ -121,9 +121,11 @@ def forest_predictions(idx: DataFrame, cfg: Config | None = None) -> DataFrame:
     return predictions(fit_forest(train, cfg.seed), test, prepared)
 
 
-def tree_rules(idx: DataFrame, cfg: Config | None = None, max_lines: int | None = None
+def tree_rules(idx: DataFrame, cfg: Config | None = None, max_depth: int | None = None
                ) -> DataFrame:
-    """The fitted tree as text rows (line number, rule text)."""
+    """The fitted tree as text rows (line number, depth, rule text), optionally
+    only the rules down to ``max_depth`` (the model text is driver-side model
+    metadata, not data)."""
     cfg = cfg or Config()
     train, _ = _train_test(prepare(idx, cfg), cfg)
     model = fit_tree(train, cfg.seed)
@@ -131,11 +133,15 @@ def tree_rules(idx: DataFrame, cfg: Config | None = None, max_lines: int | None
     text = model.toDebugString
     for i, n in enumerate(names):
         text = text.replace(f"feature {i} ", f"{n} ")
-    lines = [ln for ln in text.splitlines() if ln.strip()]
-    if max_lines:
-        lines = lines[:max_lines]
+    rows = []
+    for ln in text.splitlines()[1:]:                   # first line: model summary
+        if not ln.strip():
+            continue
+        depth = (len(ln) - len(ln.lstrip(" "))) - 1
+        if max_depth is None or depth <= max_depth:
+            rows.append((len(rows) + 1, depth, ln.strip()))
     spark = idx.sparkSession
-    return spark.createDataFrame(list(enumerate(lines, 1)), "line int, rule string")
+    return spark.createDataFrame(rows, "line int, depth int, rule string")
 
 
 def importances(idx: DataFrame, cfg: Config | None = None) -> DataFrame:
@@ -149,7 +155,12 @@ def importances(idx: DataFrame, cfg: Config | None = None) -> DataFrame:
     df = spark.createDataFrame(list(zip(cfg.model_features, vals)),
                                "feature string, importance double")
     mean = 1.0 / len(vals) if vals else 0.0
-    return df.select("feature", "importance", (F.col("importance") > mean).alias("above_mean"))
+    kv = []
+    for k, v in C.FEATURE_LABELS.items():
+        kv += [F.lit(k), F.lit(v)]
+    label = F.coalesce(F.element_at(F.create_map(*kv), F.col("feature")), F.col("feature"))
+    return df.select("feature", label.alias("label"), "importance",
+                     (F.col("importance") > mean).alias("above_mean"))
 
 
 def cross_validate(idx: DataFrame, cfg: Config | None = None, max_folds: int = 5) -> DataFrame:
@@ -243,26 +254,33 @@ def _zscored_vectors(idx: DataFrame, cfg: Config) -> DataFrame:
     return VectorAssembler(inputCols=zc, outputCol="features").transform(z)
 
 
-def _best_kmeans(data: DataFrame, k: int, n_init: int, seed: int, parallel: int = 4):
+def _fit_kmeans(data: DataFrame, k: int, seed: int):
+    return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(data)
+
+
+def _best_kmeans(data: DataFrame, k: int, n_init: int, seed: int, parallel: int = 8):
     """Best (lowest within-cluster cost) of ``n_init`` seeded runs; runs are
     submitted concurrently as independent Spark jobs."""
-    def fit(i):
-        return KMeans(k=k, seed=seed + i, featuresCol="features",
-                      predictionCol="cluster").fit(data)
     with ThreadPoolExecutor(max_workers=max(1, min(parallel, n_init))) as ex:
-        models = list(ex.map(fit, range(n_init)))
+        models = list(ex.map(lambda i: _fit_kmeans(data, k, seed + i), range(n_init)))
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
-def elbow(idx: DataFrame, cfg: Config | None = None, ks=range(2, 9), n_init: int = 10
-          ) -> DataFrame:
-    """Within-cluster sum of squares for each k (best of n_init starts)."""
+def elbow(idx: DataFrame, cfg: Config | None = None, ks=range(2, 9), n_init: int = 10,
+          parallel: int = 8) -> DataFrame:
+    """Within-cluster sum of squares for each k (best of n_init starts); all
+    (k, start) fits run as concurrent Spark jobs over the cached z-scores."""
     cfg = cfg or Config()
     data = _zscored_vectors(idx, cfg).cache()
-    rows = [(k, float(_best_kmeans(data, k, n_init, cfg.seed).summary.trainingCost))
-            for k in ks]
+    jobs = [(k, cfg.seed + i) for k in ks for i in range(n_init)]
+    with ThreadPoolExecutor(max_workers=parallel) as ex:
+        costs = list(ex.map(lambda j: (j[0], _fit_kmeans(data, *j).summary.trainingCost), jobs))
     data.unpersist()
-    return idx.sparkSession.createDataFrame(rows, "k int, inertia double")
+    best = {}
+    for k, c in costs:
+        best[k] = min(c, best.get(k, float("inf")))
+    return idx.sparkSession.createDataFrame([(k, float(best[k])) for k in ks],
+                                            "k int, inertia double")
 
 
 def kmeans(idx: DataFrame, cfg: Config | None = None, n_init: int = 10) -> DataFrame:
