@@ -445,6 +445,7 @@ UNION ALL SELECT 'short_local_code', 'warning', short_local > 0, short_local, CA
 UNION ALL SELECT 'age_not_numeric', 'warning', age_text > 0, age_text, CAST([] AS varchar[]), {_m('age_not_numeric')} FROM agg2
 UNION ALL SELECT 'age_range', 'warning', age_range > 0, age_range, CAST([] AS varchar[]), {_m('age_range')} FROM agg2
 UNION ALL SELECT 'event_code', 'warning', ev_other > 0 OR ev_rows = 0, ev_other, {_labels('ev')}, {_m('event_code')} FROM agg2
+UNION ALL SELECT 'psychiatric_flag_missing', 'warning', false, 0, CAST([] AS varchar[]), {_m('psychiatric_flag_missing')} FROM agg2
 UNION ALL SELECT 'optional_columns', 'info', true, {len(_opt_found)}, [{', '.join(repr(c) for c in _opt_found)}],
   {_m('optional_columns', found=len(_opt_found), total=len(_C.OPTIONAL_COLUMNS))} FROM agg2
 )"""

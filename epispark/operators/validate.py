@@ -39,6 +39,7 @@ MESSAGES = {
     "age_range": "ages outside {age_min}-{age_max}",
     "event_code": "event codes differ from the expected event",
     "optional_columns": "{found} of {total} optional columns present",
+    "psychiatric_flag_missing": "gp_psychiatric is absent: its share enters the index as 0",
 }
 
 
@@ -168,6 +169,9 @@ def findings(df: DataFrame, cfg: Config | None = None) -> DataFrame:
                      F.col("_ev_other"), ev_vals,
                      message("event_code", cfg)),
         ]
+    rows.append(_finding("psychiatric_flag_missing", "warning",
+                         F.lit("gp_psychiatric" not in cols), F.lit(0), _names([]),
+                         message("psychiatric_flag_missing", cfg)))
     rows.append(_finding("optional_columns", "info", F.lit(True), F.lit(len(optional_found)),
                          _names(optional_found),
                          message("optional_columns", cfg, found=len(optional_found),

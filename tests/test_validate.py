@@ -32,6 +32,12 @@ def test_missing_required_columns_stop(spark):
     assert "sex_domain" not in f
 
 
+def test_missing_psychiatric_flag_warns(spark):
+    f = findings(raw_df(spark, [{}]).drop("gp_psychiatric"))
+    assert f["psychiatric_flag_missing"]["triggered"]
+    assert not findings(raw_df(spark, [{}]))["psychiatric_flag_missing"]["triggered"]
+
+
 def test_empty_columns(spark):
     raw = raw_df(spark, [{}, {}]).withColumn("group_name", F.lit(None).cast("string")) \
         .withColumn("age", F.lit(None).cast("int"))
