@@ -318,7 +318,8 @@ AREA_KEYS = "area_code, region_name, local_name"
 # --------------------------------------------------------------------------
 q_raw("src_cases", "SELECT * FROM typed_raw")
 QUERIES["src_population"] = "WITH " + POP + "\nSELECT area_code, population FROM pop"
-q("src_clean", "SELECT * FROM clean")
+q("src_clean", """SELECT * REPLACE (strftime(notified_on, '%Y-%m-%d') AS notified_on,
+  strftime(onset_on, '%Y-%m-%d') AS onset_on, strftime(born_on, '%Y-%m-%d') AS born_on) FROM clean""")
 q("snk_ranking_export", f"""SELECT rank, region_name, local_name, cases,
   {rnd('rate_100k', 1)} AS rate_100k, {rnd('score', 1)} AS score, priority
 FROM idx WHERE cases >= 5""", ("idx",))
@@ -455,7 +456,7 @@ def q_find(name, select):
     QUERIES[name] = "WITH " + RAW + ",\n" + FINDINGS + "\n" + select
 
 
-q_find("val_findings", "SELECT * FROM findings")
+q_find("val_findings", "SELECT * REPLACE (array_to_string(vals, ', ') AS vals) FROM findings")
 _VAL_KEYS = {"not_empty": "val_not_empty", "max_rows": "val_max_rows",
              "required_columns": "val_required_columns", "empty_required": "val_empty_required",
              "empty_other": "val_empty_other", "year": "val_year",
@@ -466,7 +467,8 @@ _VAL_KEYS = {"not_empty": "val_not_empty", "max_rows": "val_max_rows",
              "age_range": "val_age_range", "event_code": "val_event_code",
              "optional_columns": "val_optional_columns"}
 for _r, _k in _VAL_KEYS.items():
-    q_find(_k, f"SELECT * FROM findings WHERE rule_id = '{_r}'")
+    q_find(_k, f"SELECT * REPLACE (array_to_string(vals, ', ') AS vals) FROM findings "
+               f"WHERE rule_id = '{_r}'")
 q_find("val_summary", f"""SELECT
   sum(CASE WHEN severity = 'error' AND triggered THEN 1 ELSE 0 END) = 0 AS is_valid,
   max(CASE WHEN rule_id = 'not_empty' THEN n_rows END) AS rows,
@@ -499,8 +501,10 @@ q("flt_scope_report", f"""SELECT
   {cnt_if(f"NOT coalesce(region_name IN ('EXTERIOR'), false) AND coalesce(epi_year = {YEAR}, false)")} AS rows_out
 FROM dedup""")
 q("cln_area_code", "SELECT case_id, region_code, local_code, area_code FROM clean")
-q("cln_parse_dates", "SELECT case_id, notified_on, born_on FROM clean")
-q("cln_onset_check", "SELECT case_id, onset_on, onset_corrected FROM clean")
+q("cln_parse_dates", """SELECT case_id, strftime(notified_on, '%Y-%m-%d') AS notified_on,
+  strftime(born_on, '%Y-%m-%d') AS born_on FROM clean""")
+q("cln_onset_check", """SELECT case_id, strftime(onset_on, '%Y-%m-%d') AS onset_on, onset_corrected
+FROM clean""")
 q("cln_age_check", "SELECT case_id, age, age_inconsistent FROM clean")
 q("cln_group_default", "SELECT case_id, group_name FROM clean")
 q("cln_to_int", "SELECT case_id, stratum FROM clean")

@@ -112,6 +112,22 @@ def inputs(spark, sf_dir) -> Inputs:
     return Inputs.of(spark, sf_dir)
 
 
+def portable(df: DataFrame) -> DataFrame:
+    """Result columns in engine-neutral form for cross-engine comparison:
+    dates as ISO ``yyyy-MM-dd`` text, string arrays joined with ', '."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.DateType):
+            c = F.date_format(c, "yyyy-MM-dd")
+        elif isinstance(f.dataType, T.ArrayType):
+            c = F.array_join(c.cast("array<string>"), ", ")
+        cols.append(c.alias(f.name))
+    return df.select(*cols)
+
+
 IDX_COLS = ("area_code", "region_name", "local_name", "cases", "cases_h1", "cases_h2",
             "pct_adolescent", "pct_young_adult", "pct_hospitalised", "pct_psychiatric",
             "pct_minor", "pct_female", "pct_rural", "trend", "population", "rate_100k",

@@ -24,7 +24,7 @@ from ..operators import validate as VA
 from ..operators import windows as WN
 from ..sources import cases as SRC
 from ..session import scratch_path
-from .catalog import inputs, query
+from .catalog import inputs, portable, query
 
 # --------------------------------------------------------------------------
 # 2.1 sources and sinks
@@ -60,7 +60,7 @@ def src_clean(spark, d):
     """Persist the clean table (Parquet, partitioned by year) and re-read."""
     path = scratch_path(spark, "clean_parquet")
     SRC.write_clean(inputs(spark, d).clean, path)
-    return SRC.read_clean(spark, path)
+    return portable(SRC.read_clean(spark, path))
 
 
 @query("snk_ranking_export")
@@ -155,12 +155,12 @@ def _findings(spark, d):
 
 @query("val_findings")
 def val_findings(spark, d):
-    return _findings(spark, d)
+    return portable(_findings(spark, d))
 
 
 def _rule_query(rule):
     def run(spark, d):
-        return _findings(spark, d).where(F.col("rule_id") == rule)
+        return portable(_findings(spark, d).where(F.col("rule_id") == rule))
     run.__doc__ = f"Validation rule '{rule}' (one row of the findings table)."
     return run
 
@@ -223,7 +223,7 @@ def flt_scope_report(spark, d):
 
 def _clean_cols(*cols):
     def run(spark, d):
-        return inputs(spark, d).clean.select(*cols)
+        return portable(inputs(spark, d).clean.select(*cols))
     return run
 
 
