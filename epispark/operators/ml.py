@@ -29,7 +29,7 @@ KEYS = ("area_code", "region_name", "local_name")
 def prepare(idx: DataFrame, cfg: Config | None = None, min_cases: int | None = None,
             target: str = C.MODEL_TARGET) -> DataFrame:
     """Areas with at least ``min_cases`` cases, features null -> 0, target
-    indexed alphabetically (the class order of the reference models)."""
+    indexed in alphabetical class order."""
     cfg = cfg or Config()
     m = cfg.min_cases if min_cases is None else min_cases
     f = idx.where(F.col("cases") >= m) if m else idx
@@ -160,7 +160,8 @@ def importances(idx: DataFrame, cfg: Config | None = None) -> DataFrame:
         kv += [F.lit(k), F.lit(v)]
     label = F.coalesce(F.element_at(F.create_map(*kv), F.col("feature")), F.col("feature"))
     return df.select("feature", label.alias("label"), "importance",
-                     (F.col("importance") > mean).alias("above_mean"))
+                     (F.col("importance") > mean).alias("above_mean")) \
+             .orderBy(F.col("importance").desc(), "feature")
 
 
 def cross_validate(idx: DataFrame, cfg: Config | None = None, max_folds: int = 5) -> DataFrame:

@@ -86,7 +86,7 @@ def null_pct(df: DataFrame) -> DataFrame:
     return long.select(
         "column", F.col("n_null").cast("bigint").alias("n_null"),
         round_half_even(F.col("n_null") / F.col("_t") * 100, 1).alias("pct_null"),
-    ).where(F.col("pct_null") > 0)
+    ).where(F.col("pct_null") > 0).orderBy(F.col("pct_null").desc(), "column")
 
 
 def value_counts(df: DataFrame, cols=("sex", "area_type", "hospital_code")) -> DataFrame:

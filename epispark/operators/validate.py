@@ -1,7 +1,8 @@
 """Input contract validation: ``findings(df, cfg)`` -> one row per rule.
 
-Every row-level rule is a conditional aggregate evaluated in ONE ``agg``
-over the incoming file; schema rules (required / optional columns) are
+Every row-level count is a conditional aggregate evaluated in ONE ``agg``
+over the incoming file; the listed offending values come from small bounded
+subqueries (distinct + top-n, one column each); schema rules (required / optional columns) are
 decided on the driver from ``df.columns`` (case-sensitive, as the contract
 requires).  Output columns: rule_id, severity, triggered, n_rows, vals
 (sorted offending values as text), message.

@@ -499,7 +499,8 @@ query("idx_scatter")(lambda s, d: IX.scatter(inputs(s, d).index, 5))
 
 @query("idx_full_run")
 def idx_full_run(spark, d):
-    """cases -> area table -> index in one call (no shared stage reuse)."""
+    """cases -> area table -> index in one call: rebuilds (and checkpoints)
+    its own area table from the clean table instead of the shared one."""
     i = inputs(spark, d)
     return IX.index_flow(i.clean, i.population, i.cfg).select(
         "area_code", "region_name", "local_name", "cases", "score", "priority", "rank")
