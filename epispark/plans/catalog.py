@@ -92,10 +92,9 @@ class Inputs:
         later aggregate)."""
         def build():
             path = scratch_path(self.spark, "clean")
-            n = self.spark.sparkContext.defaultParallelism
-            # even files whatever the key skew (round-robin; Spark sorts before
-            # a round-robin repartition, so a retried task writes the same rows)
-            CL.clean(self.raw, self.cfg, self.aliases).repartition(n).write.parquet(path)
+            # the de-duplication shuffle already hash-partitions on every column
+            # (even files whatever the key skew); AQE sizes the partitions
+            CL.clean(self.raw, self.cfg, self.aliases).write.parquet(path)
             return self.spark.read.parquet(path)
         return self._get("clean", build)
 
