@@ -76,6 +76,24 @@ GP_LABELS = {
     "gp_other": "Otros grupos",
 }
 
+# original line-list column names -> canonical names (for read_cases(mapping=...))
+SOURCE_NAMES = {
+    "CONSECUTIVE": "case_id", "COD_EVE": "event_code", "Nombre_evento": "event_name",
+    "ANO": "epi_year", "SEMANA": "epi_week", "FEC_NOT": "notified_text",
+    "INI_SIN": "onset_text", "FEC_CON": "consulted_text", "FEC_HOS": "admitted_text",
+    "FECHA_NTO": "born_text", "EDAD": "age", "UNI_MED": "age_unit", "SEXO": "sex",
+    "AREA": "area_type", "PAC_HOS": "hospital_code", "COD_DPTO_O": "region_code",
+    "COD_MUN_O": "local_code", "Departamento_ocurrencia": "region_name",
+    "Municipio_ocurrencia": "local_name", "GP_PSIQUIA": "gp_psychiatric",
+    "GP_MIGRANT": "gp_migrant", "GP_CARCELA": "gp_prison", "GP_GESTAN": "gp_pregnant",
+    "GP_INDIGEN": "gp_indigenous", "GP_POBICFB": "gp_icbf", "GP_DISCAPA": "gp_disabled",
+    "GP_DESPLAZ": "gp_displaced", "GP_VIC_VIO": "gp_violence", "GP_OTROS": "gp_other",
+    "nom_grupo": "group_name", "estrato": "stratum", "sem_ges": "gestation_weeks",
+    "PER_ETN": "ethnicity", "OCUPACION": "occupation", "nacionalidad": "nationality",
+    "COD_DPTO_R": "residence_region_code", "COD_MUN_R": "residence_local_code",
+    "COD_DPTO_N": "notifier_region_code", "COD_MUN_N": "notifier_local_code",
+}
+
 # input contract (canonical names); dates arrive as text
 REQUIRED_COLUMNS = (
     "case_id", "event_code", "event_name", "epi_year", "epi_week", "notified_text",

@@ -73,3 +73,30 @@ def test_update_workflow_success(spark, tmp_dir):
                                        (F.col("case_id") % 3 == 0)).count()
     assert res["report"]["added"] == merged.count() - base.count()
     assert spark.read.parquet(res["areas"]).count() > 0
+
+
+def test_original_column_names_end_to_end(spark, tmp_dir):
+    """A file with the original headers reads, cleans and indexes directly."""
+    from epispark.config import SOURCE_NAMES
+    from epispark.operators import index as IX
+    path = f"{tmp_dir}/orig.csv"
+    head = ("CONSECUTIVE,COD_EVE,Nombre_evento,ANO,SEMANA,FEC_NOT,INI_SIN,FECHA_NTO,EDAD,UNI_MED,"
+            "SEXO,AREA,PAC_HOS,COD_DPTO_O,COD_MUN_O,Departamento_ocurrencia,"
+            "Municipio_ocurrencia,GP_PSIQUIA,nom_grupo,estrato,GRU_POB\n")
+    rows = ["1,356,INTENTO,2024,10,2024-03-05,2024-03-01,2000-01-01,24,1,F,1,1,05,001,"
+            "ANTIOQUIA,MEDELLIN,1, ,2,",
+            "2,356,INTENTO,2024,30,2024-07-05,,2010-01-01,14,1,M,3,2,5,1,antioquia ,"
+            "MEDELLIN,2,g,x,",
+            "3,356,INTENTO,2024,31,2024-07-06,,2009-01-01,15,1,F,1,1,11,001,BOGOTA DC,"
+            "BOGOTA,2,,3,"]
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(head + "\n".join(rows) + "\n")
+    raw = SRC.read_cases(spark, path, "csv", mapping=SOURCE_NAMES)
+    clean = CL.clean(raw, Config(year=2024))
+    assert "GRU_POB" not in clean.columns
+    codes = {r["case_id"]: r["area_code"] for r in clean.collect()}
+    assert codes == {1: "05001", 2: "05001", 3: "11001"}
+    pop = spark.createDataFrame([("05001", 2700000.0)], "area_code string, population double")
+    idx = {r["area_code"]: r for r in IX.index_flow(clean, pop, Config(year=2024),
+                                                    checkpoint=False).collect()}
+    assert idx["05001"]["cases"] == 2 and idx["11001"]["population"] == 50000.0
