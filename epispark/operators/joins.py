@@ -32,6 +32,20 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = LOOKUP_MAX_BYTES) -> Data
     return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
 
 
+def broadcast_if_few(df: DataFrame, max_rows: int = 4_000_000,
+                     max_bytes: int = LOOKUP_MAX_BYTES) -> DataFrame:
+    """Broadcast a side whose size estimate is small, or — when the estimate
+    is large or unknown (in-memory or streamed input) — whose row count,
+    checked with a bounded ``limit(max_rows + 1).count()`` (stops reading after
+    max_rows + 1 rows), is at most ``max_rows``.  Otherwise leave the join to
+    the planner (shuffle join)."""
+    if estimated_bytes(df) <= max_bytes:
+        return F.broadcast(df)
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
+
+
 def join_population(areas: DataFrame, population: DataFrame) -> DataFrame:
     """Left equi-join of the area table to the population lookup on code."""
     pop = population.select("area_code", F.col("population").cast("double"))

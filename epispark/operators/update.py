@@ -1,10 +1,18 @@
 """Incremental update: merge a new line-list file into the stored base.
 
 The merged table keeps one row per case id with the stored row winning.
-De-duplication is a ``groupBy(case_id)`` with ``min_by`` — a partial
-aggregate, so a hot id (or the null-id group, which pandas-style
-de-duplication treats as one id) collapses map-side before the shuffle,
-instead of a window that would sort the whole hot group in one task.
+
+* ``merge`` (general form, any base): de-duplication is a
+  ``groupBy(case_id)`` with ``min_by`` — a partial aggregate, so a hot id (or
+  the null-id group, which pandas-style de-duplication treats as one id)
+  collapses map-side before the shuffle, instead of a window that would sort
+  the whole hot group in one task.
+* ``new_rows`` (incremental form, base already unique on the id — true of
+  every table ``merge`` produced): only the incoming file is de-duplicated;
+  the ids it shares with the base are found by scanning the base's id column
+  against the incoming ids (broadcast when their size is proven small, else
+  a shuffle join on the id), and only the remaining rows are appended.
+  The base is neither shuffled nor rewritten.  Ids match null-safely.
 """
 
 from __future__ import annotations
@@ -12,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import anti_join_new
+from .joins import anti_join_new, broadcast_if_few
 
 SOURCE_COL = "_source"        # 0 = stored base, 1 = new file
 
@@ -43,6 +51,23 @@ def merge_by_anti_join(base: DataFrame, new: DataFrame, key: str = "case_id") ->
     return base.unionByName(anti_join_new(new, base, key), allowMissingColumns=True)
 
 
+def existing_ids(base: DataFrame, new: DataFrame, key: str = "case_id") -> DataFrame:
+    """Incoming ids already stored (null-safe), reading only the base id
+    column; the distinct incoming ids are the broadcast side when small."""
+    ids = new.select(F.col(key).alias("_k")).distinct()
+    b = base.select(F.col(key).alias("_b"))
+    return b.join(broadcast_if_few(ids), F.col("_b").eqNullSafe(F.col("_k")),
+                  "left_semi").select(F.col("_b").alias(key)).distinct()
+
+
+def new_rows(base: DataFrame, new: DataFrame, key: str = "case_id") -> DataFrame:
+    """Rows to append so that base + result equals ``merge(base, new)``,
+    given a base that is unique on ``key``."""
+    first = dedup_first(new.withColumn(SOURCE_COL, F.lit(1)), key)
+    seen = existing_ids(base, new, key).withColumnRenamed(key, "_seen")
+    return first.join(seen, F.col(key).eqNullSafe(F.col("_seen")), "left_anti")
+
+
 def update_report(base: DataFrame, new: DataFrame, key: str = "case_id") -> DataFrame:
     """Existing rows, new rows, rows dropped as duplicates and rows really
     added (negative when the base itself had duplicate ids)."""

@@ -582,15 +582,15 @@ from ..streaming import incremental as INC  # noqa: E402
 
 @query("stm_incremental_merge")
 def stm_incremental_merge(spark, d):
-    """The stored base is seeded as snapshot 0; the new file lands in a
-    watched folder; an available-now file stream merges it by case id
-    (stored rows win) into snapshot 1, which is returned."""
+    """The stored base seeds the append-only batch table (batch 0); the new
+    file lands in a watched folder; an available-now file stream appends its
+    unseen case ids as batch 1 (stored rows win); the table is returned."""
     base, new = _update_inputs(spark, d)
     root = scratch_path(spark, "stream")
-    base.write.parquet(f"{root}/table/snapshot=0")
+    INC.seed(base, f"{root}/table")
     new.write.parquet(f"{root}/landing/file1")
     q = INC.start(spark, f"{root}/landing/*", f"{root}/table", f"{root}/checkpoint",
                   new.schema, fmt="parquet", once=True)
     q.awaitTermination()
-    return INC.read_latest(spark, f"{root}/table").select(
+    return INC.read_table(spark, f"{root}/table").select(
         "case_id", "epi_year", "region_name", "age", "sex")

@@ -15,9 +15,9 @@ from ..operators import clean as CL
 from ..operators import describe as DS
 from ..operators import index as IX
 from ..operators import privacy as PV
-from ..operators import update as UP
 from ..operators import validate as VA
 from ..sources import cases as SRC
+from ..streaming import incremental as INC
 
 
 def batch_index(raw: DataFrame, population: DataFrame, out_root: str,
@@ -55,22 +55,25 @@ def publish(clean: DataFrame, idx: DataFrame, out_root: str, k: int = 5) -> dict
     return {"areas": f"{out_root}/public_areas", "cells": f"{out_root}/public_cells"}
 
 
-def update(spark: SparkSession, base: DataFrame, new: DataFrame, population: DataFrame,
-           out_root: str, version: int, cfg: Config | None = None, aliases=None) -> dict:
-    """validate -> merge by case id (stored rows win) -> write accumulated
-    snapshot ``version`` -> re-run the batch index on it.  Stops before
-    writing anything when the new file has a triggered error."""
+def update(spark: SparkSession, base: DataFrame | None, new: DataFrame,
+           population: DataFrame, out_root: str, version: int, cfg: Config | None = None,
+           aliases=None) -> dict:
+    """validate -> append the new file's unseen case ids to the accumulated
+    batch table (stored rows win; the base, when given, seeds it once) ->
+    re-run the batch index into ``version=<n>``.  Stops before writing
+    anything when the new file has a triggered error."""
     cfg = cfg or Config()
     found = VA.findings(new, cfg)
     errors = found.where((F.col("severity") == "error") & F.col("triggered")).collect()
     if errors:
         return {"ok": False, "errors": [r["rule_id"] for r in errors]}
-    merged = UP.merge(base, new)
-    report = UP.update_report(base, new).first().asDict()
-    snap = SRC.write_snapshot(merged, f"{out_root}/accumulated", version)
-    paths = batch_index(spark.read.parquet(snap), population,
+    table = f"{out_root}/accumulated"
+    if base is not None:
+        INC.seed(base, table)
+    report = INC.append(new, table, version)
+    paths = batch_index(INC.read_table(spark, table), population,
                         f"{out_root}/version={version}", cfg, aliases)
-    return {"ok": True, "report": report, "snapshot": snap, **paths}
+    return {"ok": True, "report": report, "table": table, **paths}
 
 
 def dashboard_tables(clean: DataFrame, idx: DataFrame, **filters) -> dict:

@@ -1,17 +1,27 @@
 """Incremental line-list ingestion with Structured Streaming.
 
-New line-list files dropped in a landing folder are picked up by a file
-stream; every micro-batch is merged into the accumulated raw table by case
-id (stored rows win) and written as a NEW snapshot version, so a failed batch
-never leaves a half-written live table.  The batch id fixes the version, so
-a batch replayed after a failure rewrites the same version (idempotent,
-exactly-once output with the stream checkpoint).  A per-batch update report
-(existing / incoming / duplicates / added) is appended next to it.
+The accumulated line list is an append-only *batch table*:
+
+    <root>/batch=0/   the seeded base, de-duplicated by case id once
+    <root>/batch=1/   rows of update 1 whose id was not stored yet
+    <root>/batch=n/   ...
+
+A batch counts once its ``_SUCCESS`` marker exists (job commit); readers
+union the committed batches.  Because the stored table is unique on the id,
+an update only de-duplicates the incoming file, finds which of its ids are
+stored (scanning the stored id column against the broadcast incoming ids)
+and appends the rest — the stored rows are never shuffled or rewritten.
+
+New files dropped in a landing folder are picked up by a file stream; micro-
+batch ``b`` appends ``batch=b+1`` on top of the batches up to ``b``.  A
+replayed micro-batch overwrites the same folder with the same rows, so with
+the stream checkpoint the output is exactly-once.  Each batch writes its
+update report (existing / incoming / duplicates / added) next to it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,51 +29,87 @@ from ..operators import update as UP
 from ..sources.cases import conform
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _fs(spark: SparkSession, path: str):
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def latest_version(spark: SparkSession, table_root: str) -> int | None:
-    """Highest committed snapshot version (a version counts once its
-    ``_SUCCESS`` marker exists)."""
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(table_root)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return None
-    best = None
-    for st in fs.listStatus(root):
+def _exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs(spark, path)
+    return fs.exists(p)
+
+
+def committed_batches(spark: SparkSession, root: str, upto: int | None = None) -> list[int]:
+    """Committed batch numbers (``_SUCCESS`` present), optionally <= upto."""
+    p, fs = _fs(spark, root)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if name.startswith("snapshot=") and fs.exists(
-                jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            v = int(name.split("=", 1)[1])
-            best = v if best is None or v > best else best
-    return best
-
-
-def read_latest(spark: SparkSession, table_root: str) -> DataFrame | None:
-    v = latest_version(spark, table_root)
-    return None if v is None else spark.read.parquet(f"{table_root}/snapshot={v}")
-
-
-def merge_batch(batch: DataFrame, batch_id: int, table_root: str, key: str = "case_id"):
-    """foreachBatch body: merge micro-batch ``b`` onto snapshot ``b`` (the
-    previous version, or a seeded ``snapshot=0``) and write snapshot ``b+1``
-    and its report.  A replayed batch rewrites the same outputs."""
-    spark = batch.sparkSession
-    new = conform(batch)
-    base_path = f"{table_root}/snapshot={batch_id}"
-    if _exists(spark, f"{base_path}/_SUCCESS"):
-        base = spark.read.parquet(base_path)
-        merged, report = UP.merge(base, new, key), UP.update_report(base, new, key)
+        if name.startswith("batch=") and fs.exists(
+                spark._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            n = int(name.split("=", 1)[1])
+            if upto is None or n <= upto:
+                out.append(n)
+    return sorted(out)
+
+
+def read_table(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame | None:
+    """Union of the committed batches (leaf folders, no partition column)."""
+    batches = committed_batches(spark, root, upto)
+    if not batches:
+        return None
+    return spark.read.parquet(*[f"{root}/batch={n}" for n in batches])
+
+
+def latest_version(spark: SparkSession, root: str) -> int | None:
+    batches = committed_batches(spark, root)
+    return batches[-1] if batches else None
+
+
+def read_latest(spark: SparkSession, root: str) -> DataFrame | None:
+    return read_table(spark, root)
+
+
+def seed(base: DataFrame, root: str, key: str = "case_id") -> None:
+    """Write the stored base as batch 0, de-duplicated by id (stored-first
+    rule within the base), which establishes the unique-id invariant."""
+    if _exists(base.sparkSession, f"{root}/batch=0/_SUCCESS"):
+        return
+    UP.dedup_first(base.withColumn(UP.SOURCE_COL, F.lit(0)), key) \
+      .write.mode("overwrite").parquet(f"{root}/batch=0")
+
+
+def append(new: DataFrame, root: str, version: int, key: str = "case_id") -> dict:
+    """Append the rows of ``new`` whose id is not stored as ``batch=version``
+    (on top of the committed batches < version); returns the update report."""
+    spark = new.sparkSession
+    base = read_table(spark, root, upto=version - 1)
+    obs = Observation(f"append_{version}")
+    if base is None:
+        rows = UP.dedup_first(new.withColumn(UP.SOURCE_COL, F.lit(1)), key)
+        existing = 0
     else:
-        merged = UP.dedup_first(new.withColumn(UP.SOURCE_COL, F.lit(1)), key)
-        report = UP.update_report(new.limit(0), new, key)
-    merged.write.mode("overwrite").parquet(f"{table_root}/snapshot={batch_id + 1}")
-    report.withColumn("version", F.lit(batch_id + 1)) \
-          .write.mode("overwrite").parquet(f"{table_root}/_reports/batch={batch_id}")
+        rows = UP.new_rows(base, new, key)
+        existing = base.count()                       # no column is read
+    rows.observe(obs, F.count(F.lit(1)).alias("added")) \
+        .write.mode("overwrite").parquet(f"{root}/batch={version}")
+    incoming = new.count()
+    added = int(obs.get["added"])
+    report = {"existing": existing, "incoming": incoming,
+              "duplicates": incoming - added, "added": added, "version": version}
+    spark.createDataFrame([report],
+                          "existing bigint, incoming bigint, duplicates bigint, added bigint, "
+                          "version int") \
+         .write.mode("overwrite").parquet(f"{root}/_reports/batch={version}")
+    return report
+
+
+def merge_batch(batch: DataFrame, batch_id: int, root: str, key: str = "case_id"):
+    """foreachBatch body: micro-batch ``b`` becomes ``batch=b+1``."""
+    append(conform(batch), root, batch_id + 1, key)
 
 
 def start(spark: SparkSession, landing_dir: str, table_root: str, checkpoint: str,

@@ -74,3 +74,14 @@ def test_merge_independent_of_partitions(spark, parts):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert got == [(0, 0), (1, 1), (2, 2), (3, 3), (4, 4)]
+
+
+def test_incremental_append_does_not_shuffle_the_base(spark, tmp_dir):
+    base = raw_df(spark, [{"case_id": i} for i in range(50)])
+    base.write.parquet(f"{tmp_dir}/base")
+    stored = spark.read.parquet(f"{tmp_dir}/base")
+    new = raw_df(spark, [{"case_id": i} for i in range(45, 55)])
+    p = plan_of(UP.existing_ids(stored, new))
+    assert "BroadcastHashJoin" in p and "LeftSemi" in p
+    scan = [ln for ln in p.splitlines() if "FileScan parquet" in ln][0]
+    assert "ReadSchema: struct<case_id:bigint>" in scan          # only the id column is read

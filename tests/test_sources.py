@@ -68,7 +68,8 @@ def test_update_workflow_success(spark, tmp_dir):
     res = workflows.update(spark, base, new, adapter.population(spark, SF_SMALL), tmp_dir, 2,
                            cfg, adapter.region_aliases(spark, SF_SMALL))
     assert res["ok"], res
-    merged = spark.read.parquet(res["snapshot"])
+    from epispark.streaming import incremental as INC
+    merged = INC.read_table(spark, res["table"])
     assert merged.count() == raw.where((F.col("case_id") % 2 == 0) |
                                        (F.col("case_id") % 3 == 0)).count()
     assert res["report"]["added"] == merged.count() - base.count()

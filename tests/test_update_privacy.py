@@ -48,3 +48,15 @@ def test_suppression_and_k_check(spark):
     assert chk["is_safe"] and chk["min_cell"] == 5
     bad = PV.k_anonymity_check(df.withColumn("case_id", F.lit(1))).first()
     assert not bad["is_safe"] and bad["n_case_level_columns"] == 1
+
+
+def test_incremental_new_rows_equals_full_merge(spark):
+    base = raw_df(spark, [{"case_id": i, "age": i} for i in range(6)] + [{"case_id": None,
+                                                                          "age": 50}])
+    new = raw_df(spark, [{"case_id": i, "age": 90 + i} for i in range(4, 9)] +
+                 [{"case_id": 8, "age": 1}, {"case_id": None, "age": 60}])
+    full = sorted((r["case_id"] or -1, r["age"]) for r in UP.merge(base, new).collect())
+    inc = base.unionByName(UP.new_rows(base, new))
+    got = sorted((r["case_id"] or -1, r["age"]) for r in inc.collect())
+    assert got == full
+    assert UP.new_rows(base, new).count() == 3            # ids 6, 7, 8 (first of the two 8s)
