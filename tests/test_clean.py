@@ -92,3 +92,15 @@ def test_outliers_iqr_keeps_rows(spark):
     o = CL.age_outliers(c).first()
     assert o["q1"] == 20.0 and o["q3"] == 22.5 and o["n_outliers"] == 2
     assert c.count() == 7
+
+
+def test_all_years_config(spark):
+    from epispark.operators import validate as VA
+    cfg = Config(year=None)
+    raw = raw_df(spark, [{"epi_year": 2023}, {"epi_year": 2024}, {"epi_year": None},
+                         {"region_name": "EXTERIOR"}])
+    assert sorted(r["case_id"] for r in CL.clean(raw, cfg).collect()) == [1, 2, 3]
+    rep = CL.clean_report(raw, cfg).first()
+    assert rep["excluded_year"] == 0 and rep["excluded_total"] == 1 and rep["rows_out"] == 3
+    f = {r["rule_id"]: r for r in VA.findings(raw, cfg).collect()}
+    assert not f["year"]["triggered"] and not f["date_year"]["triggered"]
