@@ -110,12 +110,16 @@ def by_area(df: DataFrame, top: int = 20) -> DataFrame:
 
 
 def _with_share(t: DataFrame, n_col: str = "cases") -> DataFrame:
-    total = t.select(F.sum(n_col)).scalar()
+    """Share of each group in the grand total.  ``t`` is an aggregate over a
+    label domain (a handful of rows), so the total is a window over it —
+    no second scan of the case table."""
+    total = F.sum(n_col).over(Window.partitionBy())
     return t.withColumn("pct", pct1(F.col(n_col), total))
 
 
 def by_label(df: DataFrame, col: str) -> DataFrame:
-    """Cases and % for a label column (null group excluded)."""
+    """Cases and % for a label column with a small fixed domain (sex, area
+    type, ...); the null group is excluded."""
     t = df.where(F.col(col).isNotNull()).groupBy(col) \
           .agg(F.count(F.lit(1)).cast("bigint").alias("cases"))
     return _with_share(t)
@@ -161,7 +165,7 @@ def cumulative_age(df: DataFrame) -> DataFrame:
     share under 26 is the running value at the 18–25 group)."""
     t = by_age_group(df)
     w = Window.orderBy("age_group_ord").rowsBetween(Window.unboundedPreceding, 0)  # <= 7 rows
-    total = t.select(F.sum("cases")).scalar()
+    total = F.sum("cases").over(Window.partitionBy())
     return t.withColumn("cum_cases", F.sum("cases").over(w).cast("bigint")) \
             .withColumn("cum_pct", pct1(F.col("cum_cases"), total))
 
