@@ -47,11 +47,22 @@ def region_list(df: DataFrame) -> DataFrame:
     return df.where(F.col("region_name").isNotNull()).select("region_name").distinct()
 
 
+def _mode_of_domain(counts: Column, labels) -> Column:
+    """Most frequent value of a fixed domain from its per-value counts
+    (first maximum = smallest value on ties); null when all counts are 0."""
+    top = F.array_max(counts)
+    pos = F.array_position(counts, top).cast("int")
+    return F.when(top > 0, F.element_at(F.array(*[F.lit(v) for v in labels]), pos))
+
+
 def kpis(df: DataFrame) -> DataFrame:
-    """14 headline KPIs in one row.  Distinct counts and modes are computed
-    as separate small aggregates (joined as scalar subqueries) so the main
-    pass stays a single partial aggregation."""
+    """14 headline KPIs in one row.  One aggregation computes the shares,
+    mean, median and the per-value counts of the fixed domains (12 months,
+    7 age groups) whose modes follow; distinct counts and the region mode
+    (open domain) are small separate aggregates joined as scalar subqueries."""
     n = F.count(F.lit(1))
+    month_counts = F.array(*[count_if(F.col("month") == m) for m in range(1, 13)])
+    age_counts = F.array(*[count_if(F.col("age_group") == g) for g in C.AGE_LABELS])
     main = df.agg(
         n.cast("bigint").alias("total_cases"),
         round_half_even(F.avg("age"), 1).alias("mean_age"),
@@ -62,14 +73,16 @@ def kpis(df: DataFrame) -> DataFrame:
         pct1(F.sum(flag01(F.col("is_adolescent"))), n).alias("pct_adolescent"),
         pct1(F.sum(flag01(F.col("hospital_code") == 1)), n).alias("pct_hospitalised"),
         pct1(F.sum(flag01(F.col("is_rural"))), n).alias("pct_rural"),
+        month_counts.alias("_mc"), age_counts.alias("_ac"),
     )
     regions = df.select(F.count_distinct("region_name")).scalar()
     areas = df.select(F.count_distinct("area_code")).scalar()
     return main.select(
-        "*", regions.cast("bigint").alias("regions"), areas.cast("bigint").alias("areas"),
+        *[c for c in main.columns if not c.startswith("_")],
+        regions.cast("bigint").alias("regions"), areas.cast("bigint").alias("areas"),
         _mode(df, "region_name").alias("top_region"),
-        _mode(df, "month").alias("top_month"),
-        _mode(df, "age_group").alias("top_age_group"))
+        _mode_of_domain(F.col("_mc"), list(range(1, 13))).alias("top_month"),
+        _mode_of_domain(F.col("_ac"), C.AGE_LABELS).alias("top_age_group"))
 
 
 def kpis_filtered(df: DataFrame) -> DataFrame:
