@@ -72,8 +72,11 @@ def with_trend(areas: DataFrame) -> DataFrame:
 
 
 def with_rate(areas: DataFrame) -> DataFrame:
+    """Cases per 100,000 inhabitants; null when the population is 0 (ANSI
+    mode would otherwise fail the job on the division)."""
+    pop = F.col("population")
     return areas.withColumn(
-        "rate_100k", F.col("cases").cast("double") / F.col("population") * F.lit(100000.0))
+        "rate_100k", F.when(pop != 0, F.col("cases").cast("double") / pop * F.lit(100000.0)))
 
 
 def area_base(cases: DataFrame, population: DataFrame, cfg: Config | None = None,

@@ -67,3 +67,10 @@ def test_emerging_filters(spark):
         "area_code string, trend double, priority string, cases int, score double") \
         .withColumn("region_name", F.lit("R")).withColumn("local_name", F.lit("L"))
     assert [r["area_code"] for r in IX.emerging(df, CFG, 10).collect()] == ["a"]
+
+
+def test_zero_population_gives_null_rate(spark):
+    rows = [{"local_code": "001"}, {"local_code": "002"}]
+    a = {r["area_code"]: r for r in areas_of(spark, rows, [("05001", 0.0),
+                                                           ("05002", 1000.0)]).collect()}
+    assert a["05001"]["rate_100k"] is None and a["05002"]["rate_100k"] == 100.0
