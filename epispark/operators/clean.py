@@ -122,7 +122,7 @@ def age_flag(born: F.Column, notified: F.Column, age: F.Column, cfg: Config) ->
 
 def _whole_number(c) -> F.Column:
     d = (F.col(c) if isinstance(c, str) else c).try_cast("double")
-    return F.when(d == F.floor(d), d.cast("int"))
+    return F.when(d == F.floor(d), d.try_cast("int"))       # out of int range -> null
 
 
 def derived_columns(df: DataFrame, cfg: Config) -> tuple[dict, list]:

@@ -306,7 +306,7 @@ def cluster_order(assigned: DataFrame) -> DataFrame:
     labels = F.array(*[F.lit(x) for x in C.CLUSTER_LABELS])
     rank = (F.row_number().over(w) - 1).cast("int")
     return means.select("raw_cluster", rank.alias("cluster"),
-                        F.coalesce(F.element_at(labels, rank + 1),
+                        F.coalesce(F.try_element_at(labels, rank + 1),
                                    F.concat(F.lit("Cluster "), rank.cast("string")))
                         .alias("cluster_label"))
 

@@ -62,7 +62,9 @@ def _names(names) -> Column:
 
 
 def _num_label(v: Column) -> Column:
-    return F.when(v == F.floor(v), v.cast("bigint").cast("string")).otherwise(v.cast("string"))
+    whole = v.try_cast("bigint")                       # out of range -> null -> as double
+    return F.when((v == F.floor(v)) & whole.isNotNull(), whole.cast("string")) \
+            .otherwise(v.cast("string"))
 
 
 def _first_values(df: DataFrame, value: Column, cond: Column, n: int = MAX_LISTED,

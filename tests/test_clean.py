@@ -104,3 +104,8 @@ def test_all_years_config(spark):
     assert rep["excluded_year"] == 0 and rep["excluded_total"] == 1 and rep["rows_out"] == 3
     f = {r["rule_id"]: r for r in VA.findings(raw, cfg).collect()}
     assert not f["year"]["triggered"] and not f["date_year"]["triggered"]
+
+
+def test_stratum_out_of_int_range_is_null(spark):
+    raw = raw_df(spark, [{"stratum": "1e20"}, {"stratum": "4"}])
+    assert by_id(CL.clean(raw, CFG), "stratum") == {1: None, 2: 4}

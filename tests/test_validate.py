@@ -48,3 +48,9 @@ def test_empty_columns(spark):
 def test_contract_doc_lists_columns():
     doc = VA.contract_doc()
     assert "`case_id`" in doc and "`gp_psychiatric`" in doc
+
+
+def test_huge_codes_do_not_fail(spark):
+    raw = raw_df(spark, [{}]).withColumn("area_type", F.lit("1e30"))
+    f = findings(raw)
+    assert f["area_domain"]["triggered"] and f["area_domain"]["vals"] == ["1.0E30"]
