@@ -42,7 +42,7 @@ def src_cases(spark, d):
     raw.write.options(**CSV_OPTS).csv(path)
     reader = spark.read.options(**CSV_OPTS).schema(
         ", ".join(f"`{c}` string" for c in raw.columns))
-    return SRC.conform(reader.csv(path))
+    return SRC.conform(reader.csv(path), {"case_id": "bigint"})     # numeric ids
 
 
 @query("src_population")

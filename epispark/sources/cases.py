@@ -13,9 +13,12 @@ from pyspark.sql import types as T
 
 from ..config import Config
 
-# canonical raw types; anything not listed stays text
+# canonical raw types; anything not listed keeps its source type (text from
+# CSV).  The case id is not listed: ids may be alphanumeric, and a failed
+# cast would turn them into nulls that then merge as one id — callers with
+# numeric ids pass ``types={"case_id": "bigint"}``.
 RAW_TYPES = {
-    "case_id": "bigint", "event_code": "int", "epi_year": "int", "epi_week": "int",
+    "event_code": "int", "epi_year": "int", "epi_week": "int",
     "age": "int", "age_unit": "int", "area_type": "int", "hospital_code": "int",
 }
 GP_PREFIX = "gp_"

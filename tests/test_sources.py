@@ -18,8 +18,12 @@ def test_read_cases_csv_keeps_codes_and_try_casts(spark, tmp_dir):
                                                      "COD_DPTO_O": "region_code",
                                                      "EDAD": "age", "ANO": "epi_year"})
     rows = {r["case_id"]: r for r in df.collect()}
-    assert rows[1]["region_code"] == "05" and rows[1]["age"] == 24 and rows[2]["age"] is None
-    assert dict(df.dtypes)["epi_year"] == "int"
+    assert rows["1"]["region_code"] == "05" and rows["1"]["age"] == 24
+    assert rows["2"]["age"] is None
+    assert dict(df.dtypes)["epi_year"] == "int" and dict(df.dtypes)["case_id"] == "string"
+    typed = SRC.read_cases(spark, path, "csv", mapping={"CONSECUTIVE": "case_id"},
+                           types={"case_id": "bigint"})
+    assert dict(typed.dtypes)["case_id"] == "bigint"
 
 
 def test_write_clean_partitioned_and_snapshot(spark, tmp_dir):
@@ -96,7 +100,7 @@ def test_original_column_names_end_to_end(spark, tmp_dir):
     clean = CL.clean(raw, Config(year=2024))
     assert "GRU_POB" not in clean.columns
     codes = {r["case_id"]: r["area_code"] for r in clean.collect()}
-    assert codes == {1: "05001", 2: "05001", 3: "11001"}
+    assert codes == {"1": "05001", "2": "05001", "3": "11001"}      # ids keep their text
     pop = spark.createDataFrame([("05001", 2700000.0)], "area_code string, population double")
     idx = {r["area_code"]: r for r in IX.index_flow(clean, pop, Config(year=2024),
                                                     checkpoint=False).collect()}
