@@ -41,17 +41,23 @@ def batch_index(raw: DataFrame, population: DataFrame, out_root: str,
             "ranking": f"{out_root}/ranking_csv", "audit": dict(obs.get)}
 
 
-def publish(clean: DataFrame, idx: DataFrame, out_root: str, k: int = 5) -> dict:
-    """Write only suppressed aggregates; refuse to publish a frame that
-    fails the k-anonymity check."""
+def publish(clean: DataFrame, idx: DataFrame, out_root: str, k: int = 5,
+            fmt: str = "parquet") -> dict:
+    """Write only suppressed aggregates (Parquet, or CSV with a header for
+    hand-off files); refuse to publish a frame that fails the k-anonymity
+    check."""
     areas = PV.public_areas(idx, k).drop(*[c for c in idx.columns if c.endswith("_norm")])
     cells = PV.public_case_cells(clean, k)
     for name, frame in (("areas", areas), ("cells", cells)):
         chk = PV.k_anonymity_check(frame, "cases", k).first()
         if not chk["is_safe"]:
             raise ValueError(f"{name}: not safe to publish ({chk})")
-    areas.write.mode("overwrite").parquet(f"{out_root}/public_areas")
-    cells.write.mode("overwrite").parquet(f"{out_root}/public_cells")
+    for name, frame in (("public_areas", areas), ("public_cells", cells)):
+        w = frame.write.mode("overwrite")
+        if fmt == "csv":
+            w.option("header", "true").csv(f"{out_root}/{name}")
+        else:
+            w.parquet(f"{out_root}/{name}")
     return {"areas": f"{out_root}/public_areas", "cells": f"{out_root}/public_cells"}
 
 

@@ -32,6 +32,23 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a cluster run over ``input_bytes`` of line lists: initial
+    shuffle partitions sized so every reducer gets ~``partition_bytes`` of the
+    largest shuffle (the full-row de-duplication moves about the input size);
+    AQE then coalesces small ones and splits skewed ones."""
+    parts = max(200, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(2 * partition_bytes),
+        "spark.sql.parquet.filterPushdown": "true",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's reliable checkpoint folder, creating a scratch
     one only when the session names none (local runs)."""

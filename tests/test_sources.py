@@ -105,3 +105,11 @@ def test_original_column_names_end_to_end(spark, tmp_dir):
     idx = {r["area_code"]: r for r in IX.index_flow(clean, pop, Config(year=2024),
                                                     checkpoint=False).collect()}
     assert idx["05001"]["cases"] == 2 and idx["11001"]["population"] == 50000.0
+
+
+def test_cluster_conf_sizes_partitions():
+    from epispark.session import cluster_conf
+    c = cluster_conf(100 * 1024 ** 4)                       # 100 TB
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert c["spark.sql.adaptive.enabled"] == "true"
+    assert int(cluster_conf(1)["spark.sql.shuffle.partitions"]) == 200
