@@ -92,3 +92,20 @@ def test_update_workflow_stops_on_errors(spark, tmp_dir):
     res = workflows.update(spark, raw, raw, adapter.population(spark, SF_SMALL), tmp_dir, 1,
                            cfg)
     assert res["ok"] is False and "sex_domain" in res["errors"]
+
+
+def test_dashboard_tables_follow_filters(spark):
+    i = catalog.inputs(spark, SF_SMALL)
+    t = workflows.dashboard_tables(i.clean, i.index, region="NATION_1", sex="Femenino")
+    k = t["kpis"].first()
+    assert k["regions"] in (0, 1)
+    assert k["total_cases"] == sum(r["cases"] for r in t["by_sex"].collect())
+    assert t["ranking"].count() <= 20 and t["distribution"].count() == 4
+
+
+def test_no_population_file_uses_default(spark):
+    from epispark.sources import cases as SRC
+    i = catalog.inputs(spark, SF_SMALL)
+    idx = IX.index_flow(i.clean, SRC.empty_population(spark), i.cfg, checkpoint=False)
+    pops = {r["population"] for r in idx.select("population").distinct().collect()}
+    assert pops == {50000.0}
