@@ -174,6 +174,7 @@ class Config:
     date_columns: tuple = DATE_COLUMNS
     model_features: tuple = MODEL_FEATURES
     n_clusters: int = 4
+    dedup_full_rows: bool = True            # False only for feeds known to hold no copies
     seed: int = 42
 
     def __post_init__(self):

@@ -222,7 +222,9 @@ def clean(raw: DataFrame, cfg: Config | None = None, aliases=None) -> DataFrame:
     scope filter -> drop columns -> area code -> dates -> onset check ->
     temporal and demographic variables -> text fields."""
     cfg = cfg or Config()
-    df = dedup_rows(_prepare(raw, aliases, cfg))
+    df = _prepare(raw, aliases, cfg)
+    if cfg.dedup_full_rows:          # the one full-width shuffle of the pipeline
+        df = dedup_rows(df)
     df = filter_scope(df, cfg)
     return _derive(df, cfg)
 

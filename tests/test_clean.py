@@ -109,3 +109,12 @@ def test_all_years_config(spark):
 def test_stratum_out_of_int_range_is_null(spark):
     raw = raw_df(spark, [{"stratum": "1e20"}, {"stratum": "4"}])
     assert by_id(CL.clean(raw, CFG), "stratum") == {1: None, 2: 4}
+
+
+def test_dedup_can_be_skipped_for_clean_feeds(spark):
+    raw = raw_df(spark, [{"case_id": 1}, {"case_id": 1}, {"case_id": 2}])
+    assert CL.clean(raw, CFG).count() == 2
+    assert CL.clean(raw, CFG.with_(dedup_full_rows=False)).count() == 3
+    plan = CL.clean(raw, CFG.with_(dedup_full_rows=False))._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
