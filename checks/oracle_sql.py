@@ -372,6 +372,10 @@ q_raw("prof_empty_columns", f"""SELECT "column" FROM (
   INTO NAME "column" VALUE n_values) WHERE n_values = 0""")
 q("prof_code_uniqueness", """SELECT CAST(count(DISTINCT local_code) AS bigint) AS local_codes,
   CAST(count(DISTINCT area_code) AS bigint) AS area_codes FROM clean""")
+q("prof_code_names", """SELECT area_code, CAST(count(DISTINCT (region_name, local_name)) AS bigint) AS n_names,
+  min(region_name || ' / ' || local_name) AS first_name, max(region_name || ' / ' || local_name) AS last_name
+FROM clean WHERE area_code IS NOT NULL AND region_name IS NOT NULL AND local_name IS NOT NULL
+GROUP BY area_code HAVING count(DISTINCT (region_name, local_name)) > 1""")
 q("prof_code_sample", f"""SELECT DISTINCT region_code, region_name, area_code, local_name
 FROM clean WHERE {_zfill('local_code', 3)} = '001'
 ORDER BY area_code NULLS LAST, region_name NULLS LAST, local_name NULLS LAST LIMIT 8""")

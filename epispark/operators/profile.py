@@ -137,6 +137,20 @@ def code_uniqueness(clean: DataFrame) -> DataFrame:
                      F.count_distinct("area_code").cast("bigint").alias("area_codes"))
 
 
+def codes_with_several_names(clean: DataFrame) -> DataFrame:
+    """Area codes that appear under more than one (region, local) spelling:
+    the index keys areas by code and names, so each spelling becomes its own
+    area row — this check makes that visible (smallest and largest spelling
+    shown, the count is exact)."""
+    named = clean.where(F.col("area_code").isNotNull() & F.col("region_name").isNotNull()
+                        & F.col("local_name").isNotNull())
+    name = F.concat_ws(" / ", "region_name", "local_name")
+    per = named.groupBy("area_code").agg(
+        F.count_distinct("region_name", "local_name").cast("bigint").alias("n_names"),
+        F.min(name).alias("first_name"), F.max(name).alias("last_name"))
+    return per.where(F.col("n_names") > 1)
+
+
 def regions_sharing_code(clean: DataFrame, code: str = "001", n: int = 8) -> DataFrame:
     """Sample of areas in different regions that share one short local code."""
     from ..functions.core import zfill

@@ -130,6 +130,11 @@ def prof_code_uniqueness(spark, d):
     return PF.code_uniqueness(inputs(spark, d).clean)
 
 
+@query("prof_code_names")
+def prof_code_names(spark, d):
+    return PF.codes_with_several_names(inputs(spark, d).clean)
+
+
 @query("prof_code_sample")
 def prof_code_sample(spark, d):
     return PF.regions_sharing_code(inputs(spark, d).clean, "001", 8)

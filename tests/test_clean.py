@@ -118,3 +118,11 @@ def test_dedup_can_be_skipped_for_clean_feeds(spark):
     plan = CL.clean(raw, CFG.with_(dedup_full_rows=False))._jdf.queryExecution() \
         .executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan
+
+
+def test_codes_with_several_names(spark):
+    from epispark.operators import profile as PF
+    raw = raw_df(spark, [{"local_name": "MEDELLIN"}, {"local_name": "MEDELLÍN"},
+                         {"local_code": "002", "local_name": "BELLO"}])
+    r = PF.codes_with_several_names(CL.clean(raw, CFG)).collect()
+    assert len(r) == 1 and r[0]["area_code"] == "05001" and r[0]["n_names"] == 2
