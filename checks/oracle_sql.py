@@ -134,6 +134,7 @@ SELECT * EXCLUDE (onset0, group_name, stratum),
       OR date_diff('day', onset0, notified_on) > 365, false)) THEN onset0 END AS onset_on,
   CAST(month(notified_on) AS integer) AS month,
   {MONTHS}[month(notified_on)] AS month_name,
+  strftime(notified_on, '%Y-%m') AS year_month,
   {_bins('epi_week', WK_E, WK_L)} AS quarter,
   CASE WHEN coalesce(epi_week <= 26, false) THEN 'H1 (Sem 1–26)' ELSE 'H2 (Sem 27–52)' END AS semester,
   {_bins('age', AGE_E, AGE_L)} AS age_group,
@@ -540,7 +541,7 @@ FROM clean, qq GROUP BY q1, q3""")
 # --------------------------------------------------------------------------
 # 2.5 derived columns
 # --------------------------------------------------------------------------
-q("drv_month", "SELECT case_id, month, month_name FROM clean")
+q("drv_month", "SELECT case_id, month, month_name, year_month FROM clean")
 q("drv_quarter", "SELECT case_id, epi_week, quarter FROM clean")
 q("drv_semester", "SELECT case_id, epi_week, semester FROM clean")
 q("drv_age_group", "SELECT case_id, age, age_group, age_group_ord FROM clean")

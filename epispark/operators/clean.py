@@ -142,6 +142,7 @@ def derived_columns(df: DataFrame, cfg: Config) -> tuple[dict, list]:
     month = F.month(nt)
     cols.update({
         "month": month, "month_name": D.month_name(month),
+        "year_month": F.date_format(nt, "yyyy-MM"),     # month alone mixes years
         "quarter": D.quarter(week), "semester": D.semester(week),
         "age_group": D.age_group(age), "age_group_ord": D.age_group_ord(age),
         "sex_label": D.sex_label("sex"), "area_label": D.area_label(area),

@@ -262,7 +262,7 @@ def cln_outliers_iqr(spark, d):
 # --------------------------------------------------------------------------
 # 2.5 derived columns
 # --------------------------------------------------------------------------
-query("drv_month")(_clean_cols("case_id", "month", "month_name"))
+query("drv_month")(_clean_cols("case_id", "month", "month_name", "year_month"))
 query("drv_quarter")(_clean_cols("case_id", "epi_week", "quarter"))
 query("drv_semester")(_clean_cols("case_id", "epi_week", "semester"))
 query("drv_age_group")(_clean_cols("case_id", "age", "age_group", "age_group_ord"))
