@@ -712,7 +712,9 @@ CENTROIDS = """cen AS (SELECT upper(n_name) AS region_key,
   CAST(-80.0 AS double) + n_nationkey * CAST(0.5 AS double) AS lon,
   CAST(-4.0 AS double) + n_regionkey * CAST(3.0 AS double) AS lat FROM nation WHERE n_nationkey % 8 <> 5)"""
 _REGTAB = f"""regtab AS (
-SELECT r.*, coalesce(t.is_top, false) AS is_top FROM (
+SELECT r.*, coalesce(t.is_top, false) AS is_top,
+  CASE WHEN r.max_score >= 80 THEN 'Crítica' WHEN r.max_score >= 60 THEN 'Alta'
+       WHEN r.max_score >= 40 THEN 'Media' ELSE 'Baja' END AS max_priority FROM (
   SELECT region_name, {rnd(MEAN2, 2)} AS mean_score, {rnd('max(score)', 2)} AS max_score,
     CAST(sum(cases) AS bigint) AS cases, CAST(count(DISTINCT local_name) AS bigint) AS areas
   FROM idx GROUP BY region_name) r
@@ -758,6 +760,9 @@ q("set_distinct_rows", "SELECT DISTINCT region_code, region_name FROM clean")
 q("prv_suppress", f"""SELECT {AREA_KEYS}, CAST(count(case_id) AS bigint) AS cases FROM clean
 WHERE area_code IS NOT NULL AND region_name IS NOT NULL AND local_name IS NOT NULL
 GROUP BY {AREA_KEYS} HAVING count(case_id) >= 5""")
+q("prv_public_top_areas", f"""SELECT {AREA_KEYS}, CAST(count(case_id) AS bigint) AS cases FROM clean
+WHERE area_code IS NOT NULL AND region_name IS NOT NULL AND local_name IS NOT NULL
+GROUP BY {AREA_KEYS} HAVING count(case_id) >= 5 ORDER BY cases DESC, {AREA_KEYS} LIMIT 20""")
 q("prv_public_areas", f"SELECT {AREA_KEYS}, cases, score, priority, rank FROM idx WHERE cases >= 5",
   ("idx",))
 q("prv_public_areas_report", f"""SELECT CAST(count(*) AS bigint) AS areas_before,

@@ -113,13 +113,15 @@ def by_region(df: DataFrame, top: int | None = None) -> DataFrame:
     return t
 
 
-def by_area(df: DataFrame, top: int = 20) -> DataFrame:
+def by_area(df: DataFrame, top: int | None = 20) -> DataFrame:
+    """Cases per area (code, region, name); the top n by cases (ties: keys),
+    or every area when ``top`` is None."""
     keys = ("area_code", "region_name", "local_name")
     f = df
     for k in keys:
         f = f.where(F.col(k).isNotNull())
     t = f.groupBy(*keys).agg(F.count("case_id").cast("bigint").alias("cases"))
-    return t.orderBy(F.col("cases").desc(), *keys).limit(top)
+    return t if top is None else t.orderBy(F.col("cases").desc(), *keys).limit(top)
 
 
 def _with_share(t: DataFrame, n_col: str = "cases") -> DataFrame:

@@ -175,7 +175,8 @@ def region_table(idx: DataFrame, top: int = 5) -> DataFrame:
     best = reg.orderBy(F.col("max_score").desc(), "region_name").limit(top) \
               .select("region_name", F.lit(True).alias("is_top"))
     return reg.join(F.broadcast(best), "region_name", "left") \
-              .withColumn("is_top", F.coalesce("is_top", F.lit(False)))
+              .withColumn("is_top", F.coalesce("is_top", F.lit(False))) \
+              .withColumn("max_priority", D.classify("max_score"))
 
 
 def map_points(regions: DataFrame, centroids: DataFrame) -> DataFrame:

@@ -17,6 +17,16 @@ def suppress(df: DataFrame, count_col: str = "cases", k: int = 5) -> DataFrame:
     return df.where(F.col(count_col) >= k)
 
 
+def public_top_areas(cases: DataFrame, k: int = 5, top: int = 20) -> DataFrame:
+    """Areas by cases with cells under k suppressed first, then the top n
+    (ties: code, names) — suppression before the limit, so n rows show
+    whenever n areas qualify."""
+    from .describe import by_area
+    keys = ("area_code", "region_name", "local_name")
+    allowed = suppress(by_area(cases, None), "cases", k)
+    return allowed.orderBy(F.col("cases").desc(), *keys).limit(top)
+
+
 def public_areas(idx: DataFrame, k: int = 5) -> DataFrame:
     return suppress(idx, "cases", k)
 

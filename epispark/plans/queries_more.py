@@ -459,7 +459,8 @@ def set_distinct_rows(spark, d):
 # --------------------------------------------------------------------------
 # 2.12 privacy
 # --------------------------------------------------------------------------
-query("prv_suppress")(lambda s, d: PV.suppress(DS.by_area(_clean(s, d), 1_000_000), "cases", 5))
+query("prv_suppress")(lambda s, d: PV.suppress(DS.by_area(_clean(s, d), None), "cases", 5))
+query("prv_public_top_areas")(lambda s, d: PV.public_top_areas(_clean(s, d), 5, 20))
 query("prv_public_areas")(lambda s, d: PV.public_areas(inputs(s, d).index, 5).select(
     "area_code", "region_name", "local_name", "cases", "score", "priority", "rank"))
 query("prv_public_areas_report")(lambda s, d: PV.public_areas_report(inputs(s, d).index, 5))

@@ -88,5 +88,5 @@ def dashboard_tables(clean: DataFrame, idx: DataFrame, **filters) -> dict:
     sel = DS.filter_cases(clean, **filters)
     return {"kpis": DS.kpis_filtered(sel), "by_sex": DS.by_sex(sel),
             "by_age_group": DS.by_age_group(sel), "by_region": DS.by_region(sel, 15),
-            "by_area": PV.suppress(DS.by_area(sel, 1_000_000), "cases", 5),
+            "by_area": PV.public_top_areas(sel, 5, 20),
             "ranking": IX.top_ranking(idx, 20), "distribution": IX.priority_distribution(idx)}
