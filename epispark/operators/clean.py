@@ -48,8 +48,10 @@ def normalize_regions(df: DataFrame, aliases=None, cfg: Config | None = None,
         for k, v in aliases.items():
             kv += [F.lit(k), F.lit(v)]
         return df.withColumn(col, F.coalesce(F.element_at(F.create_map(*kv), up), up))
-    lk = aliases.select(F.col("variant").alias("_variant"),
-                        F.col("canonical").alias("_canonical")).dropDuplicates(["_variant"])
+    # one canonical name per variant, deterministically (smallest) if a
+    # lookup lists a variant twice
+    lk = aliases.groupBy(F.col("variant").alias("_variant")) \
+                .agg(F.min("canonical").alias("_canonical"))
     out = df.withColumn(col, up).join(broadcast_if_small(lk),
                                       F.col(col) == F.col("_variant"), "left")
     return out.withColumn(col, F.coalesce("_canonical", col)).drop("_variant", "_canonical")

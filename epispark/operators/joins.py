@@ -70,7 +70,9 @@ def join_centroids(regions: DataFrame, centroids: DataFrame,
                    region_col: str = "region_name") -> DataFrame:
     """Inner lookup of region -> lon/lat on the accent-stripped key; regions
     without a centroid drop out (they cannot be drawn)."""
-    cen = centroids.select(accent_key("region_key").alias("_key"), "lon", "lat")
+    cen = centroids.groupBy(accent_key("region_key").alias("_key")) \
+                   .agg(F.min(F.struct("lon", "lat")).alias("_p")) \
+                   .select("_key", "_p.lon", "_p.lat")               # one point per key
     return regions.withColumn("_key", accent_key(region_col)) \
                   .join(broadcast_if_small(cen), "_key", "inner").drop("_key")
 
