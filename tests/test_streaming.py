@@ -30,3 +30,22 @@ def test_batch_table_restore_and_replay(spark, tmp_dir):
     assert INC.read_table(spark, table, upto=1).count() == 6          # restore version 1
     rep = INC.append(raw_df(spark, [{"case_id": i} for i in range(5, 9)]), table, 2)
     assert rep["added"] == 3 and INC.read_table(spark, table).count() == 9  # replay is idempotent
+
+
+def test_csv_landing_files(spark, tmp_dir):
+    from pyspark.sql.types import StringType, StructField, StructType
+    from epispark.sources import cases as SRC
+    cols = ["case_id", "epi_year", "age", "sex"]
+    schema = StructType([StructField(c, StringType()) for c in cols])
+    with open(f"{tmp_dir}/base.csv", "w") as f:
+        f.write("case_id,epi_year,age,sex\nA1,2024,20,F\nA2,2024,30,M\n")
+    import os
+    os.makedirs(f"{tmp_dir}/landing")
+    with open(f"{tmp_dir}/landing/new.csv", "w") as f:
+        f.write("case_id,epi_year,age,sex\nA2,2024,99,F\nA3,2024,40,M\nA3,2024,41,M\n")
+    table = f"{tmp_dir}/table"
+    INC.seed(SRC.read_cases(spark, f"{tmp_dir}/base.csv", "csv", columns=cols), table)
+    q = INC.start(spark, f"{tmp_dir}/landing", table, f"{tmp_dir}/ckpt", schema, fmt="csv")
+    q.awaitTermination(120)
+    got = {r["case_id"]: r["age"] for r in INC.read_table(spark, table).collect()}
+    assert got == {"A1": 20, "A2": 30, "A3": 40}
