@@ -197,7 +197,8 @@ def risk_groups(df: DataFrame, min_cases: int = 0, exclude=()) -> DataFrame:
     long = wide.unpivot(["_t"], cols, "group", "cases")
     return long.where(F.col("cases") >= min_cases).select(
         "group", D.gp_label("group").alias("label"), F.col("cases").cast("bigint"),
-        round_half_even(share(F.col("cases"), F.col("_t")) * 100, 2).alias("pct"))
+        round_half_even(share(F.col("cases"), F.col("_t")) * 100, 2).alias("pct")) \
+        .orderBy(F.col("cases").desc(), "group")
 
 
 def top_age_group(df: DataFrame) -> DataFrame:
