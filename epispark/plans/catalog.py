@@ -98,6 +98,13 @@ class Inputs:
             return self.spark.read.parquet(path)
         return self._get("clean", build)
 
+    @property
+    def cube(self) -> DataFrame:
+        """Case cube of the clean table, checkpointed (shared folder)."""
+        from ..operators import cube as CB
+        from ..session import materialize
+        return self._get("cube", lambda: materialize(CB.case_cube(self.clean)))
+
     @property
     def areas(self) -> DataFrame:
         return self._get("areas", lambda: IX.area_base(self.clean, self.population, self.cfg))

@@ -600,3 +600,16 @@ def stm_incremental_merge(spark, d):
     q.awaitTermination()
     return INC.read_table(spark, f"{root}/table").select(
         "case_id", "epi_year", "region_name", "age", "sex")
+
+
+# --------------------------------------------------------------------------
+# dashboard views answered from the case cube (same results as the direct
+# versions above; checked against the same oracle SQL)
+# --------------------------------------------------------------------------
+from ..operators import cube as CB  # noqa: E402
+
+query("agg_kpis_cube")(lambda s, d: CB.kpis(inputs(s, d).cube))
+query("agg_by_sex_cube")(lambda s, d: CB.by_sex(inputs(s, d).cube))
+query("agg_by_age_group_cube")(lambda s, d: CB.by_age_group(inputs(s, d).cube))
+query("agg_by_region_cube")(lambda s, d: CB.by_region(inputs(s, d).cube))
+query("win_weekly_trend_cube")(lambda s, d: CB.weekly_trend(inputs(s, d).cube))
