@@ -896,7 +896,9 @@ q("ml_standardize", f"SELECT {AREA_KEYS}, {_Z} FROM (SELECT {AREA_KEYS}, {_FEAT_
 
 QUERIES["stm_incremental_merge"] = QUERIES["set_dedup_first"]
 # cube-answered views must equal the direct ones
-for _k in ("agg_kpis", "agg_by_sex", "agg_by_age_group", "agg_by_region", "win_weekly_trend"):
+for _k in ("agg_kpis", "agg_by_sex", "agg_by_age_group", "agg_by_region", "win_weekly_trend",
+           "agg_kpis_filtered", "agg_by_month", "agg_by_area_type", "agg_by_quarter",
+           "agg_semester_change", "xtab_age_sex"):
     QUERIES[f"{_k}_cube"] = QUERIES[_k]
 
 

@@ -100,3 +100,73 @@ def by_region(cube: DataFrame) -> DataFrame:
         _pct1(_sum_if(D.is_minor(F.col("age"))), total).alias("pct_minor"),
         _pct1(_sum_if(F.col("hospital_code") == 1), total).alias("pct_hospitalised"))
 
+
+
+def filter_cube(cube: DataFrame, region: str | None = None, sex: str | None = None,
+                months=None, area: str | None = None) -> DataFrame:
+    """The interactive filter of ``describe.filter_cases`` applied to cells."""
+    pred = F.lit(True)
+    if region is not None:
+        pred = pred & (F.col("region_name") == region)
+    if sex is not None:
+        pred = pred & (D.sex_label("sex") == sex)
+    if months:
+        pred = pred & F.col("month").isin(*months)
+    if area is not None:
+        pred = pred & (D.area_label("area_type") == area)
+    return cube.where(pred)
+
+
+def kpis_filtered(cube: DataFrame) -> DataFrame:
+    """The 6 KPIs of ``describe.kpis_filtered`` from (filtered) cells."""
+    total = F.sum("n")
+    main = cube.agg(
+        F.coalesce(total, F.lit(0)).cast("bigint").alias("total_cases"),
+        F.coalesce(_pct1(_sum_if(D.is_adolescent(F.col("age"))), total), F.lit(0.0))
+         .alias("pct_adolescent"),
+        F.coalesce(_pct1(_sum_if(F.col("hospital_code") == 1), total), F.lit(0.0))
+         .alias("pct_hospitalised"))
+    return main.select(
+        "*",
+        cube.select(F.count_distinct("region_name")).scalar().cast("bigint").alias("regions"),
+        cube.select(F.count_distinct("area_code")).scalar().cast("bigint").alias("areas"),
+        F.coalesce(_mode(cube, F.col("region_name")), F.lit("–")).alias("top_region"))
+
+
+def by_month(cube: DataFrame) -> DataFrame:
+    t = cube.where(F.col("month").isNotNull()).groupBy("month") \
+            .agg(F.sum("n").cast("bigint").alias("cases"))
+    return t.withColumn("month_name", D.month_name("month", short=True))
+
+
+def by_area_type(cube: DataFrame) -> DataFrame:
+    return by_label(cube, D.area_label("area_type"), "area_label")
+
+
+def by_quarter(cube: DataFrame) -> DataFrame:
+    q = D.quarter(F.col("epi_week"))
+    return cube.where(q.isNotNull()).groupBy(q.alias("quarter")) \
+               .agg(F.sum("n").cast("bigint").alias("cases"))
+
+
+def semester_change(cube: DataFrame) -> DataFrame:
+    s = D.semester(F.col("epi_week"))
+    t = cube.agg(_sum_if(s == "H1 (Sem 1–26)").cast("bigint").alias("cases_h1"),
+                 _sum_if(s == "H2 (Sem 27–52)").cast("bigint").alias("cases_h2"))
+    return t.withColumn("pct_change", round_half_even(
+        share(F.col("cases_h2") - F.col("cases_h1"), F.col("cases_h1")) * 100, 1))
+
+
+def age_by_sex(cube: DataFrame) -> DataFrame:
+    """Age group x sex label with totals (``cube`` + ``grouping_id``)."""
+    cells = cube.select(D.age_group(F.col("age")).alias("age_group"),
+                        D.sex_label("sex").alias("sex_label"), "n") \
+                .where(F.col("age_group").isNotNull())
+    t = cells.cube("age_group", "sex_label").agg(
+        F.sum("n").cast("bigint").alias("cases"), F.grouping_id().cast("int").alias("grouping_id"))
+    return t.select(
+        F.when(F.col("grouping_id").bitwiseAND(2) == 2, F.lit("Total"))
+         .otherwise(F.col("age_group")).alias("age_group"),
+        F.when(F.col("grouping_id").bitwiseAND(1) == 1, F.lit("Total"))
+         .otherwise(F.col("sex_label")).alias("sex_label"),
+        "cases", "grouping_id")

@@ -613,3 +613,10 @@ query("agg_by_sex_cube")(lambda s, d: CB.by_sex(inputs(s, d).cube))
 query("agg_by_age_group_cube")(lambda s, d: CB.by_age_group(inputs(s, d).cube))
 query("agg_by_region_cube")(lambda s, d: CB.by_region(inputs(s, d).cube))
 query("win_weekly_trend_cube")(lambda s, d: CB.weekly_trend(inputs(s, d).cube))
+query("agg_kpis_filtered_cube")(lambda s, d: CB.kpis_filtered(
+    CB.filter_cube(inputs(s, d).cube, **FILTER_ARGS)))
+query("agg_by_month_cube")(lambda s, d: CB.by_month(inputs(s, d).cube))
+query("agg_by_area_type_cube")(lambda s, d: CB.by_area_type(inputs(s, d).cube))
+query("agg_by_quarter_cube")(lambda s, d: CB.by_quarter(inputs(s, d).cube))
+query("agg_semester_change_cube")(lambda s, d: CB.semester_change(inputs(s, d).cube))
+query("xtab_age_sex_cube")(lambda s, d: CB.age_by_sex(inputs(s, d).cube))
