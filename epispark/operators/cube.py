@@ -170,3 +170,13 @@ def age_by_sex(cube: DataFrame) -> DataFrame:
         F.when(F.col("grouping_id").bitwiseAND(1) == 1, F.lit("Total"))
          .otherwise(F.col("sex_label")).alias("sex_label"),
         "cases", "grouping_id")
+
+
+def public_top_areas(cube: DataFrame, k: int = 5, top: int = 20) -> DataFrame:
+    """Areas by cases (non-null ids), cells under k suppressed, then top n."""
+    keys = ("area_code", "region_name", "local_name")
+    f = cube
+    for c in keys:
+        f = f.where(F.col(c).isNotNull())
+    t = f.groupBy(*keys).agg(F.sum("n_ids").cast("bigint").alias("cases"))
+    return t.where(F.col("cases") >= k).orderBy(F.col("cases").desc(), *keys).limit(top)

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..operators import clean as CL
-from ..operators import describe as DS
 from ..operators import index as IX
 from ..operators import privacy as PV
 from ..operators import validate as VA
@@ -82,11 +81,19 @@ def update(spark: SparkSession, base: DataFrame | None, new: DataFrame,
     return {"ok": True, "report": report, "table": table, **paths}
 
 
-def dashboard_tables(clean: DataFrame, idx: DataFrame, **filters) -> dict:
-    """The parameterised tables behind the interactive views: every table is
-    a lazy DataFrame over the filtered selection (index tables are global)."""
-    sel = DS.filter_cases(clean, **filters)
-    return {"kpis": DS.kpis_filtered(sel), "by_sex": DS.by_sex(sel),
-            "by_age_group": DS.by_age_group(sel), "by_region": DS.by_region(sel, 15),
-            "by_area": PV.public_top_areas(sel, 5, 20),
+def dashboard_tables(clean: DataFrame, idx: DataFrame, cube: DataFrame | None = None,
+                     **filters) -> dict:
+    """The parameterised tables behind the interactive views, answered from
+    the case cube (built and checkpointed here when not given), so a filter
+    change never rescans case rows; index tables are global."""
+    from ..operators import cube as CB
+    from ..session import materialize
+    cube = cube if cube is not None else materialize(CB.case_cube(clean))
+    sel = CB.filter_cube(cube, **filters)
+    return {"kpis": CB.kpis_filtered(sel), "by_sex": CB.by_sex(sel),
+            "by_age_group": CB.by_age_group(sel),
+            "by_region": CB.by_region(sel).orderBy(F.col("cases").desc(), "region_name")
+                           .limit(15),
+            "by_area": CB.public_top_areas(sel, 5, 20),
+            "weekly": CB.weekly_trend(sel),
             "ranking": IX.top_ranking(idx, 20), "distribution": IX.priority_distribution(idx)}

@@ -109,3 +109,18 @@ def test_no_population_file_uses_default(spark):
     idx = IX.index_flow(i.clean, SRC.empty_population(spark), i.cfg, checkpoint=False)
     pops = {r["population"] for r in idx.select("population").distinct().collect()}
     assert pops == {50000.0}
+
+
+def test_dashboard_cube_matches_direct(spark):
+    from epispark.operators import describe as DS
+    from epispark.operators import privacy as PV
+    i = catalog.inputs(spark, SF_SMALL)
+    f = dict(region="NATION_3", months=[1, 2, 3, 4, 5, 6, 7])
+    t = workflows.dashboard_tables(i.clean, i.index, **f)
+    sel = DS.filter_cases(i.clean, **f)
+    assert sorted(map(tuple, t["by_sex"].collect())) == sorted(map(tuple, DS.by_sex(sel)
+                                                                   .collect()))
+    assert sorted(map(tuple, t["by_area"].collect())) == sorted(map(tuple, PV.public_top_areas(
+        sel, 5, 20).collect()))
+    assert tuple(t["kpis"].first()) == tuple(DS.kpis_filtered(sel).select(
+        *t["kpis"].columns).first())
