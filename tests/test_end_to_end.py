@@ -124,3 +124,14 @@ def test_dashboard_cube_matches_direct(spark):
         sel, 5, 20).collect()))
     assert tuple(t["kpis"].first()) == tuple(DS.kpis_filtered(sel).select(
         *t["kpis"].columns).first())
+
+
+ROWS_ONLY = {"ml_split", "ml_tree", "ml_tree_rules", "ml_forest", "ml_importance", "ml_cv",
+             "ml_metrics", "ml_confusion", "ml_elbow", "ml_kmeans", "ml_cluster_profile",
+             "ml_cluster_label", "win_cluster_rank"}
+
+
+def test_every_query_has_an_oracle_or_is_randomised():
+    import __spark_entry__ as E
+    missing = set(E.queries()) - set(E.oracle_sql())
+    assert missing == ROWS_ONLY
