@@ -898,7 +898,7 @@ QUERIES["stm_incremental_merge"] = QUERIES["set_dedup_first"]
 # cube-answered views must equal the direct ones
 for _k in ("agg_kpis", "agg_by_sex", "agg_by_age_group", "agg_by_region", "win_weekly_trend",
            "agg_kpis_filtered", "agg_by_month", "agg_by_area_type", "agg_by_quarter",
-           "agg_semester_change", "xtab_age_sex"):
+           "agg_semester_change", "xtab_age_sex", "agg_cumulative_age", "xtab_month_sex"):
     QUERIES[f"{_k}_cube"] = QUERIES[_k]
 
 

@@ -180,3 +180,22 @@ def public_top_areas(cube: DataFrame, k: int = 5, top: int = 20) -> DataFrame:
         f = f.where(F.col(c).isNotNull())
     t = f.groupBy(*keys).agg(F.sum("n_ids").cast("bigint").alias("cases"))
     return t.where(F.col("cases") >= k).orderBy(F.col("cases").desc(), *keys).limit(top)
+
+
+def cumulative_age(cube: DataFrame) -> DataFrame:
+    """Age-group shares with the running share over ordered groups."""
+    t = by_age_group(cube)
+    w = Window.orderBy("age_group_ord").rowsBetween(Window.unboundedPreceding, 0)  # <= 7 rows
+    total = F.sum("cases").over(Window.partitionBy())
+    return t.withColumn("cum_cases", F.sum("cases").over(w).cast("bigint")) \
+            .withColumn("cum_pct", _pct1(F.col("cum_cases"), total))
+
+
+def month_by_sex(cube: DataFrame) -> DataFrame:
+    """Month x sex label counts, zero-filled (wide), as ``crosstab.month_by_sex``."""
+    from .crosstab import SEX_COLUMNS, SEX_VALUES
+    lab = D.sex_label("sex")
+    f = cube.where(F.col("month").isNotNull())
+    return f.groupBy("month").agg(
+        *[_sum_if(lab == v).cast("bigint").alias(n) for v, n in zip(SEX_VALUES, SEX_COLUMNS)]
+    ).withColumn("month_name", D.month_name("month", short=True))

@@ -620,3 +620,5 @@ query("agg_by_area_type_cube")(lambda s, d: CB.by_area_type(inputs(s, d).cube))
 query("agg_by_quarter_cube")(lambda s, d: CB.by_quarter(inputs(s, d).cube))
 query("agg_semester_change_cube")(lambda s, d: CB.semester_change(inputs(s, d).cube))
 query("xtab_age_sex_cube")(lambda s, d: CB.age_by_sex(inputs(s, d).cube))
+query("agg_cumulative_age_cube")(lambda s, d: CB.cumulative_age(inputs(s, d).cube))
+query("xtab_month_sex_cube")(lambda s, d: CB.month_by_sex(inputs(s, d).cube))
