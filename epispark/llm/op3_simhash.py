@@ -4,16 +4,21 @@ Fingerprint: 64 bits; a bit is set if more than half of the shingles' XXH64
 values have it set.  Documents link when their fingerprints differ in at most
 ``distance`` (3) bits; components of links are the groups.
 
-Candidates.  The fingerprint is cut into two halves of 32 bits, and each half
-into a segment of 23 bits and a rest of 9.  Of three differing bits at most
-one falls into one of the halves (pigeonhole).  If it falls into the segment,
-or nowhere, the two segments share a codeword of the perfect binary Golay
-code [23,12,7] within distance 4 of both: the codeword nearest to one segment
-is at most 3 away from it, hence at most 4 from the other.  So every segment
-gets the codewords within distance 4 as keys (six for 86 % of all words, one
-for the rest), each joined with the exact rest.  If it falls into the rest,
-the exact segments agree, which is one more key.  Candidates of a key are
-compared bit by bit, so only true links remain.
+Candidates.  The fingerprint is cut into two halves of 32 bits.  Of three
+differing bits at most one falls into one of the halves (pigeonhole).
+
+* None there: the halves agree, which is one key of 32 bits each.
+* One there, so at most two in the other half: of that half's three parts (11,
+  11 and 10 bits) one agrees, and its bits join every key.  The half with one
+  differing bit is a segment of 23 bits and a rest of 9.  If the bit falls
+  into the segment, the two segments share a codeword of the perfect binary
+  Golay code [23,12,7] within distance 4 of both: the codeword nearest to one
+  is at most 3 away from it, hence at most 4 from the other.  So every segment
+  gets the codewords within distance 4 as keys (six for 86 % of all words, one
+  for the rest), each joined with the exact rest.  If the bit falls into the
+  rest, the exact segments agree, which is one more key.
+
+Candidates of a key are compared bit by bit, so only true links remain.
 
 Only distinct fingerprints are compared.  Keys shared by more than
 ``block`` fingerprints are dealt into blocks and every pair of blocks is one
@@ -118,17 +123,22 @@ def segment_keys(fp: np.ndarray, tables: tuple[np.ndarray, np.ndarray]) -> tuple
     table, count = tables
     rows, keys = [], []
     every = np.arange(len(fp))
-    for half in range(2):
-        word = (fp >> np.uint64(32 * half)) & np.uint64(0xFFFFFFFF)
-        segment, rest = (word & np.uint64((1 << 23) - 1)).astype(np.uint32), word >> np.uint64(23)
+    halves = [((fp >> np.uint64(32 * h)) & np.uint64(0xFFFFFFFF)).astype(np.int64) for h in range(2)]
+    for h in range(2):
+        word, other = halves[h], halves[1 - h]
+        segment, rest = (word & ((1 << 23) - 1)).astype(np.uint32), word >> 23
         syndrome = _syndromes(segment)
-        for k in range(6):
-            has = np.flatnonzero(count[syndrome] > k)
-            index = (segment[has] ^ table[syndrome[has], k]) >> np.uint32(11)     # the code's 12 leading bits
-            rows.append(has)
-            keys.append((np.int64(half) << 40) | (rest[has].astype(np.int64) << 12) | index.astype(np.int64))
         rows.append(every)
-        keys.append((np.int64(2 + half) << 40) | segment.astype(np.int64))
+        keys.append((h << 40) | word)
+        for q, part in enumerate((other & 0x7FF, (other >> 11) & 0x7FF, other >> 22)):
+            kind = 2 + 2 * (3 * h + q)
+            for k in range(6):
+                has = np.flatnonzero(count[syndrome] > k)
+                index = ((segment[has] ^ table[syndrome[has], k]) >> np.uint32(11)).astype(np.int64)   # the 12 leading bits
+                rows.append(has)
+                keys.append((kind << 40) | (part[has] << 21) | (rest[has] << 12) | index)
+            rows.append(every)
+            keys.append((kind + 1 << 40) | (part << 23) | segment.astype(np.int64))
     return np.concatenate(rows), np.concatenate(keys)
 
 
