@@ -24,12 +24,12 @@ _INV = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` written under the session's checkpoint folder and read again."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
