@@ -6,14 +6,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import op2_sharding, op3_simhash, op7_line_dedup, op10_decontamination
+from . import (op1_sentencepiece, op2_sharding, op3_simhash, op4_toxicity, op5_html_extraction, op6_lm_scoring, op7_line_dedup,
+               op8_token_counts, op9_minhash, op10_decontamination)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentencepiece_ffbs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled piece ids of every document, seeded by its id, and whether
+    decoding gives its text back."""
+    return op1_sentencepiece.encode(table(spark, sf_dir, "documents"))
+
+
 def op2_sharding_kk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of near equal bytes, equal texts together."""
     return op2_sharding.shard(table(spark, sf_dir, "documents"))
@@ -24,18 +32,70 @@ def op3_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return op4_toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_html_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return op5_html_extraction.extract(table(spark, sf_dir, "pages"))
+
+
+def op6_lm_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document."""
+    return op6_lm_scoring.scores(table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line counts and the digest of the kept lines of every document."""
     return op7_line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def edits_of(docs: DataFrame) -> DataFrame:
+    """Stand-in edits, three for every document: a passage of its own text
+    pasted over 40 characters, its source inserted, 200 characters cut."""
+    n = F.greatest(F.length("text"), F.lit(1))
+    at = lambda k: F.pmod(F.xxhash64(F.lit(k), "doc_id"), n)
+    edit = lambda k, length, text: F.struct(F.lit(k).alias("seq"), at(k).alias("start"), F.lit(length).alias("length"),
+                                            text.alias("replacement"))
+    paste = F.substring("text", F.pmod(F.xxhash64(F.lit(9), "doc_id"), n).cast("int") + 1, F.lit(60))
+    return docs.select("doc_id", F.explode(F.array(
+        edit(1, 40, paste), edit(2, 0, F.concat(F.lit(" "), F.coalesce("source", F.lit("")), F.lit(" "))),
+        edit(3, 200, F.lit("")))).alias("e")).select("doc_id", "e.*")
+
+
+def op8_token_counts_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after its edits."""
+    docs = table(spark, sf_dir, "documents")
+    return op8_token_counts.count_with_edits(docs, edits_of(docs))
+
+
+def op9_fingerprints_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    return op9_minhash.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def minhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document by verified MinHash band joins."""
+    return op9_minhash.similar(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark words and items found in every document."""
     return op10_decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_sharding_kk, op3_simhash_golay, op7_line_dedup_bloom, op10_decontamination_wu_manber)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five stages of corpus_pipeline over all documents."""
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_sentencepiece_ffbs, op2_sharding_kk, op3_simhash_golay, op4_toxicity_zstd, op5_html_suffix_array,
+    op6_lm_deleted_interpolation, op7_line_dedup_bloom, op8_token_counts_edits, op9_fingerprints_minhash,
+    op10_decontamination_wu_manber, minhash_classes, pipeline)}
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
