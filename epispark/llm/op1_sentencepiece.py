@@ -32,6 +32,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -140,54 +141,63 @@ class Codec:
         return out
 
     def lattice(self, units: list[str]) -> "Lattice":
-        """The filtered lattice of the given units, laid end to end."""
+        """The filtered lattice of the given units, which must not get longer."""
         sizes = np.fromiter(map(len, units), dtype=np.int64, count=len(units))
         points = np.frombuffer("".join(units).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
         code = self.code[points]
         begin = np.cumsum(sizes) - sizes
-        where = np.arange(len(points))
-        left = np.repeat(begin + sizes, sizes) - where           # characters up to the unit's end
-        src, size, piece = [], [], []
-        start, state, depth = where, np.zeros(len(points), dtype=np.int32), 0
+        unit = np.repeat(np.arange(len(units)), sizes)
+        place = np.arange(len(points)) - begin[unit]
+        left = sizes[unit] - place                               # characters up to the unit's end
+        # nodes by place, then by unit: the node after k characters of unit u is base[k] + u
+        longest = int(sizes[0])
+        base = np.concatenate([[0], np.cumsum(np.searchsorted(-sizes, -np.arange(longest + 1), side="right"))])
+        found = []                                               # (characters where pieces begin, nodes they lead to, pieces)
+        start, state, depth = np.arange(len(points)), np.zeros(len(points), dtype=np.int32), 0
         single = np.zeros(len(points), dtype=bool)
         while len(start):
             state = self._step(state, code[start + depth])
             alive = state >= 0
             start, state = start[alive], state[alive]
             depth += 1
-            hit = self.piece_at[state] >= 0
-            src.append(start[hit])
-            size.append(np.full(int(hit.sum()), depth, dtype=np.int64))
-            piece.append(self.piece_at[state[hit]])
+            piece = self.piece_at[state]
+            hit = piece >= 0
+            src = start[hit]
+            found.append((src, base[place[src] + depth] + unit[src], piece[hit]))
             if depth == 1:
-                single[start[hit]] = True
+                single[src] = True
             more = left[start] > depth
             start, state = start[more], state[more]
-        lost = np.flatnonzero(~single)                            # characters that need bytes
-        src.append(lost)
-        size.append(np.ones(len(lost), dtype=np.int64))
-        piece.append(np.full(len(lost), -1, dtype=np.int32))
-        src, size, piece = np.concatenate(src), np.concatenate(size), np.concatenate(piece)
-        # node k of a unit that begins at b (in characters) and is the u-th: b + u + k
-        unit = np.repeat(np.arange(len(units)), sizes)
-        node = src + unit[src]
-        to = node + size
-        order = np.argsort(to, kind="stable")
-        node, to, piece, src = node[order], to[order], piece[order], src[order]
+        lost = np.flatnonzero(~single)                           # characters that need bytes
+        found.append((lost, base[place[lost] + 1] + unit[lost], np.full(len(lost), -1, dtype=np.int32)))
+        count = np.zeros(int(base[-1]) + 1, dtype=np.int64)      # edges into each node; each length gives a node one at most
+        for _, to, _ in found:
+            count[to + 1] += 1
+        first = np.cumsum(count)
+        fill, n = first[:-1].copy(), int(first[-1])
+        src, to, piece = np.empty(n, dtype=np.int64), np.empty(n, dtype=np.int64), np.empty(n, dtype=np.int32)
+        for s, t, p in found:
+            at = fill[t]
+            fill[t] += 1
+            src[at], to[at], piece[at] = s, t, p
+        node = base[place[src]] + unit[src]
         cost = np.where(piece >= 0, self.weight[piece], self.fallback)
-        first = np.searchsorted(to, np.arange(len(points) + len(units) + 1))
-        return Lattice(node, to, piece, src, cost, first, begin + np.arange(len(units)), sizes, points)
+        return Lattice(node, piece, src, cost, first, base, sizes, points)
 
     def ids(self, texts: list[str], keys: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
         """Sampled ids of the texts end to end, and where each text ends."""
         split = [UNIT.findall(" " + t) if t else [] for t in texts]
         counts = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
-        known: dict[str, int] = {}
-        which = np.fromiter((known.setdefault(u, len(known)) for s in split for u in s), dtype=np.int64,
-                            count=int(counts.sum()))
+        known = _Numbers()
+        which = np.fromiter(map(known.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=int(counts.sum()))
         if not len(which):
             return np.zeros(0, dtype=np.int32), np.zeros(len(texts), dtype=np.int64)
-        lat = self.lattice(list(known))
+        units = list(known)
+        by_size = sorted(range(len(units)), key=lambda u: -len(units[u]))
+        number = np.empty(len(units), dtype=np.int64)
+        number[by_size] = np.arange(len(units))
+        which = number[which]
+        lat = self.lattice([units[u] for u in by_size])
         place = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)
         with np.errstate(over="ignore"):
             base = mix(keys.astype(np.int64).view(np.uint64) ^ np.uint64(seed & (2**64 - 1)))
@@ -236,42 +246,43 @@ def utf8(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return raw, n
 
 
+class _Numbers(dict):
+    """Numbers of keys, in the order of their first look-up."""
+
+    def __missing__(self, key):
+        n = self[key] = len(self)
+        return n
+
+
 class Lattice:
     """Edges sorted by the node they lead to, and each edge's share among
     those of its node, cumulated: what backward sampling needs."""
 
-    def __init__(self, node, to, piece, src, cost, first, begin, sizes, points):
+    def __init__(self, node, piece, src, cost, first, base, sizes, points):
         self.node, self.piece, self.src, self.first = node, piece, src, first
-        self.begin, self.sizes, self.points = begin, sizes, points
-        total = np.full(len(first) - 1, -np.inf)
-        total[begin] = 0.0
-        place = to - np.repeat(begin, np.add.reduceat(np.diff(first), begin)) if len(begin) else to
-        order = np.argsort(place, kind="stable")                  # edges by place in their unit, then by node
-        cuts = np.searchsorted(place[order], np.arange(1, int(sizes.max()) + 2))
+        self.base, self.sizes, self.points = base, sizes, points
+        total = np.zeros(int(base[-1]))
         share = np.zeros(len(node))
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            if a == b:
-                continue
-            e = order[a:b]
-            reach = total[node[e]] + cost[e]
-            heads = np.flatnonzero(np.concatenate([[True], to[e][1:] != to[e][:-1]]))
-            size = np.diff(np.concatenate([heads, [len(e)]]))
+        for k in range(1, len(base) - 1):                        # all nodes after k characters
+            nodes = first[base[k]:base[k + 1] + 1]
+            a, b = int(nodes[0]), int(nodes[-1])
+            heads, size = nodes[:-1] - a, np.diff(nodes)
+            reach = total[node[a:b]] + cost[a:b]
             top = np.maximum.reduceat(reach, heads)
             part = np.exp(reach - np.repeat(top, size))
             whole = np.add.reduceat(part, heads)
-            total[to[e][heads]] = top + np.log(whole)
-            share[e] = part / np.repeat(whole, size)
-        run = np.cumsum(share)
-        before = np.concatenate([[0.0], run])[first[to]]
-        self.until = run - before
+            total[base[k]:base[k + 1]] = top + np.log(whole)
+            share[a:b] = part / np.repeat(whole, size)
+        run = np.concatenate([[0.0], np.cumsum(share)])
+        self.until = run[1:] - np.repeat(run[first[:-1]], np.diff(first))
         self.total = total
 
     def sample(self, which: np.ndarray, base: np.ndarray, codec: Codec) -> tuple[list, np.ndarray]:
         """For occurrences of units: the edges taken, step by step from the
         end, as (occurrences, edges), and the ids each occurrence gives."""
         who = np.arange(len(which))
-        stop = self.begin[which]
-        at = stop + self.sizes[which]
+        at = self.base[self.sizes[which]] + which
+        starts = int(self.base[1])                               # nodes before the first character come first
         width = np.zeros(len(which), dtype=np.int64)
         steps = []
         k = 0
@@ -289,7 +300,7 @@ class Lattice:
             piece = self.piece[edge]
             width[who] += np.where(piece >= 0, 1, utf8(self.points[self.src[edge]])[1] if (piece < 0).any() else 1)
             at = self.node[edge]
-            more = at > stop[who]
+            more = at >= starts
             who, at = who[more], at[more]
             k += 1
         return steps, width
