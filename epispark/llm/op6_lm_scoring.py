@@ -36,6 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard as zstd
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -140,7 +141,7 @@ def _chunks(chunk_tokens: int, buckets: int):
         h, _, _, which = c.pairs()
         yield from _entries(PAIRS, number, h, np.bincount(which[train], minlength=len(h)), buckets)
         doc = np.concatenate(ids)
-        yield _row(number % buckets, HOME, number, len(doc), c.words.tobytes(), pack(c.token),
+        yield _row(number % buckets, HOME, number, len(doc), c.words.tobytes(), zstd.ZstdCompressor(level=3).compress(pack(c.token)),
                    doc.tobytes() + size.astype(np.int64).tobytes() + np.concatenate(learn).tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,7 +225,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc = np.frombuffer(extra, dtype=np.int64, count=n)
         sizes = np.frombuffer(extra, dtype=np.int64, count=n, offset=8 * n)
         learn = np.frombuffer(extra, dtype=bool, count=n, offset=16 * n)
-        c = Chunk(np.frombuffer(keys, dtype=np.uint64), unpack(counts), sizes)
+        c = Chunk(np.frombuffer(keys, dtype=np.uint64), unpack(zstd.ZstdDecompressor().decompress(counts)), sizes)
         per_word = np.empty(len(c.words), dtype=np.int64)
         per_word[_order(c.words)[1]] = np.concatenate(found[WORDS])
         h, _, _, which = c.pairs()
