@@ -50,9 +50,9 @@ SELECT
   CASE WHEN o_orderkey % 5 = 0 THEN ' ' WHEN o_orderkey % 77 = 0 THEN 'n/a'
        ELSE concat(CAST(1 + o_custkey % 6 AS varchar), '  ') END AS stratum
 FROM orders
-JOIN customer ON o_custkey = c_custkey
-JOIN nation   ON c_nationkey = n_nationkey
-JOIN (VALUES ('AUTOMOBILE',1),('BUILDING',2),('FURNITURE',3),('HOUSEHOLD',4),('MACHINERY',5))
+LEFT JOIN customer ON o_custkey = c_custkey
+LEFT JOIN nation   ON c_nationkey = n_nationkey
+LEFT JOIN (VALUES ('AUTOMOBILE',1),('BUILDING',2),('FURNITURE',3),('HOUSEHOLD',4),('MACHINERY',5))
      AS m(name, seg) ON c_mktsegment = m.name
 LEFT JOIN (SELECT l_orderkey, min(l_shipdate) AS first_ship FROM lineitem GROUP BY l_orderkey) s
   ON o_orderkey = s.l_orderkey
@@ -260,7 +260,7 @@ def rnd(x, d):
 QUERIES: dict[str, str] = {}
 
 
-def q(name, select, stages=("clean",), year=YEAR):
+def q(name, select, stages=("clean",), year=None):
     QUERIES[name] = with_ctes(select, stages, year)
 
 
@@ -395,9 +395,23 @@ def _m(rule, **kw):
     return "'" + _msg(rule, _VCFG, **kw).replace("'", "''") + "'"
 
 
-def _labels(x):
-    return (f"list_transform(list_sort({x}), lambda v: CASE WHEN v = floor(v) "
-            f"THEN CAST(CAST(v AS bigint) AS varchar) ELSE CAST(v AS varchar) END)")
+def _label(x):
+    return f"CASE WHEN {x} = floor({x}) THEN CAST(CAST({x} AS bigint) AS varchar) ELSE CAST({x} AS varchar) END"
+
+
+def _num(c):
+    return f"TRY_CAST(CAST({c} AS varchar) AS double)"
+
+
+VALUES = f"""
+offending AS (
+SELECT rule_id, value, CAST(count(*) AS bigint) AS value_rows FROM (
+  SELECT 'year' AS rule_id, {_label(_num('epi_year'))} AS value FROM raw WHERE {_num('epi_year')} <> {YEAR}
+  UNION ALL SELECT 'sex_domain', upper(trim(sex)) FROM raw WHERE upper(trim(sex)) NOT IN ('F', 'M')
+  UNION ALL SELECT 'area_domain', {_label(_num('area_type'))} FROM raw WHERE {_num('area_type')} NOT IN (1, 2, 3)
+  UNION ALL SELECT 'hospital_domain', {_label(_num('hospital_code'))} FROM raw WHERE {_num('hospital_code')} NOT IN (1, 2)
+  UNION ALL SELECT 'event_code', {_label(f"floor({_num('event_code')})")} FROM raw WHERE {_num('event_code')} IS NOT NULL)
+GROUP BY rule_id, value)"""
 
 
 _opt_found = [c for c in _C.OPTIONAL_COLUMNS if c in RAW_COLS]
@@ -407,31 +421,23 @@ FINDINGS = f"""
 agg AS (
 SELECT count(*) AS n,
   list_filter({_empty_list}, lambda x: x IS NOT NULL) AS empty_cols,
-  list_sort(list(DISTINCT TRY_CAST(epi_year AS double)) FILTER (WHERE TRY_CAST(epi_year AS double) <> {YEAR}))[1:20] AS bad_years0,
   {cnt_if(f'TRY_CAST(epi_year AS double) IS NOT NULL AND TRY_CAST(epi_year AS double) <> {YEAR}')} AS n_years,
   {cnt_if("notified_text IS NOT NULL AND try_strptime(notified_text, '%Y-%m-%d') IS NULL")} AS bad_dates,
   {cnt_if(f"try_strptime(notified_text, '%Y-%m-%d') IS NOT NULL AND year(try_strptime(notified_text, '%Y-%m-%d')) <> {YEAR}")} AS out_year,
-  list_sort(list(DISTINCT upper(trim(sex))) FILTER (WHERE sex IS NOT NULL AND upper(trim(sex)) NOT IN ('F', 'M')))[1:20] AS sex_vals,
   {cnt_if("sex IS NOT NULL AND upper(trim(sex)) NOT IN ('F', 'M')")} AS sex_rows,
-  list_sort(list(DISTINCT TRY_CAST(CAST(area_type AS varchar) AS double)) FILTER (WHERE TRY_CAST(CAST(area_type AS varchar) AS double) NOT IN (1, 2, 3)))[1:20] AS area_vals,
   {cnt_if("TRY_CAST(CAST(area_type AS varchar) AS double) NOT IN (1, 2, 3)")} AS area_rows,
-  list_sort(list(DISTINCT TRY_CAST(CAST(hospital_code AS varchar) AS double)) FILTER (WHERE TRY_CAST(CAST(hospital_code AS varchar) AS double) NOT IN (1, 2)))[1:20] AS hosp_vals,
   {cnt_if("TRY_CAST(CAST(hospital_code AS varchar) AS double) NOT IN (1, 2)")} AS hosp_rows,
   {cnt_if("length(trim(CAST(region_code AS varchar))) < 2")} AS short_region,
   {cnt_if("length(trim(CAST(local_code AS varchar))) < 3")} AS short_local,
   {cnt_if("age IS NOT NULL AND TRY_CAST(CAST(age AS varchar) AS double) IS NULL")} AS age_text,
   {cnt_if(f"TRY_CAST(CAST(age AS varchar) AS double) < {_VCFG.age_min} OR TRY_CAST(CAST(age AS varchar) AS double) > {_VCFG.age_max}")} AS age_range,
-  list_sort(list(DISTINCT floor(TRY_CAST(CAST(event_code AS varchar) AS double))) FILTER (WHERE TRY_CAST(CAST(event_code AS varchar) AS double) IS NOT NULL))[1:20] AS events,
   {cnt_if("floor(TRY_CAST(CAST(event_code AS varchar) AS double)) <> 356")} AS ev_other,
   count(TRY_CAST(CAST(event_code AS varchar) AS double)) AS ev_rows
 FROM raw
 ),
 agg2 AS (
 SELECT *, list_filter(empty_cols, lambda x: x IN ({_req})) AS empty_req,
-  list_filter(empty_cols, lambda x: x NOT IN ({_req})) AS empty_other,
-  coalesce(bad_years0, []) AS bad_years,
-  coalesce(sex_vals, []) AS sv, coalesce(area_vals, []) AS av, coalesce(hosp_vals, []) AS hv,
-  coalesce(events, []) AS ev
+  list_filter(empty_cols, lambda x: x NOT IN ({_req})) AS empty_other
 FROM agg
 ),
 findings AS (
@@ -439,18 +445,18 @@ SELECT 'not_empty' AS rule_id, 'error' AS severity, n = 0 AS triggered, CAST(n A
 UNION ALL SELECT 'max_rows', 'warning', n > {_VCFG.max_rows}, n, CAST([] AS varchar[]), {_m('max_rows')} FROM agg2
 UNION ALL SELECT 'required_columns', 'error', false, 0, CAST([] AS varchar[]), {_m('required_columns')} FROM agg2
 UNION ALL SELECT 'empty_required', 'error', len(empty_req) > 0, len(empty_req), empty_req, {_m('empty_required')} FROM agg2
-UNION ALL SELECT 'empty_other', 'warning', len(empty_other) > 0, len(empty_other), empty_other[1:10], {_m('empty_other')} FROM agg2
-UNION ALL SELECT 'year', 'warning', n_years > 0, n_years, {_labels('bad_years')}, {_m('year')} FROM agg2
+UNION ALL SELECT 'empty_other', 'warning', len(empty_other) > 0, len(empty_other), empty_other, {_m('empty_other')} FROM agg2
+UNION ALL SELECT 'year', 'warning', n_years > 0, n_years, CAST([] AS varchar[]), {_m('year')} FROM agg2
 UNION ALL SELECT 'date_format', 'warning', bad_dates > 0, bad_dates, CAST([] AS varchar[]), {_m('date_format')} FROM agg2
 UNION ALL SELECT 'date_year', 'warning', out_year > 0, out_year, CAST([] AS varchar[]), {_m('date_year')} FROM agg2
-UNION ALL SELECT 'sex_domain', 'error', sex_rows > 0, sex_rows, sv, {_m('sex_domain')} FROM agg2
-UNION ALL SELECT 'area_domain', 'error', area_rows > 0, area_rows, {_labels('av')}, {_m('area_domain')} FROM agg2
-UNION ALL SELECT 'hospital_domain', 'error', hosp_rows > 0, hosp_rows, {_labels('hv')}, {_m('hospital_domain')} FROM agg2
+UNION ALL SELECT 'sex_domain', 'error', sex_rows > 0, sex_rows, CAST([] AS varchar[]), {_m('sex_domain')} FROM agg2
+UNION ALL SELECT 'area_domain', 'error', area_rows > 0, area_rows, CAST([] AS varchar[]), {_m('area_domain')} FROM agg2
+UNION ALL SELECT 'hospital_domain', 'error', hosp_rows > 0, hosp_rows, CAST([] AS varchar[]), {_m('hospital_domain')} FROM agg2
 UNION ALL SELECT 'short_region_code', 'warning', short_region > 0, short_region, CAST([] AS varchar[]), {_m('short_region_code')} FROM agg2
 UNION ALL SELECT 'short_local_code', 'warning', short_local > 0, short_local, CAST([] AS varchar[]), {_m('short_local_code')} FROM agg2
 UNION ALL SELECT 'age_not_numeric', 'warning', age_text > 0, age_text, CAST([] AS varchar[]), {_m('age_not_numeric')} FROM agg2
 UNION ALL SELECT 'age_range', 'warning', age_range > 0, age_range, CAST([] AS varchar[]), {_m('age_range')} FROM agg2
-UNION ALL SELECT 'event_code', 'warning', ev_other > 0 OR ev_rows = 0, ev_other, {_labels('ev')}, {_m('event_code')} FROM agg2
+UNION ALL SELECT 'event_code', 'warning', ev_other > 0 OR ev_rows = 0, ev_other, CAST([] AS varchar[]), {_m('event_code')} FROM agg2
 UNION ALL SELECT 'psychiatric_flag_missing', 'warning', false, 0, CAST([] AS varchar[]), {_m('psychiatric_flag_missing')} FROM agg2
 UNION ALL SELECT 'optional_columns', 'info', true, {len(_opt_found)}, [{', '.join(repr(c) for c in _opt_found)}],
   {_m('optional_columns', found=len(_opt_found), total=len(_C.OPTIONAL_COLUMNS))} FROM agg2
@@ -471,9 +477,14 @@ _VAL_KEYS = {"not_empty": "val_not_empty", "max_rows": "val_max_rows",
              "short_local_code": "val_short_local_codes", "age_not_numeric": "val_age_text",
              "age_range": "val_age_range", "event_code": "val_event_code",
              "optional_columns": "val_optional_columns"}
+QUERIES["val_offending_values"] = "WITH " + RAW + "," + VALUES + "\nSELECT * FROM offending"
 for _r, _k in _VAL_KEYS.items():
     q_find(_k, f"SELECT * REPLACE (array_to_string(vals, ', ') AS vals) FROM findings "
                f"WHERE rule_id = '{_r}'")
+for _r in ("year", "sex_domain", "area_domain", "hospital_domain", "event_code"):
+    QUERIES[_VAL_KEYS[_r]] = ("WITH " + RAW + ",\n" + FINDINGS + "," + VALUES + f"""
+SELECT f.* REPLACE (array_to_string(vals, ', ') AS vals), o.value, o.value_rows
+FROM findings f LEFT JOIN offending o USING (rule_id) WHERE f.rule_id = '{_r}'""")
 q_find("val_summary", f"""SELECT
   sum(CASE WHEN severity = 'error' AND triggered THEN 1 ELSE 0 END) = 0 AS is_valid,
   max(CASE WHEN rule_id = 'not_empty' THEN n_rows END) AS rows,
@@ -496,15 +507,15 @@ q_raw("cln_trim_text", f"""SELECT case_id, {_t('sex')} AS sex, {_t('region_name'
   {_t('onset_text')} AS onset_text FROM typed_raw""")
 q("cln_region_alias", "SELECT case_id, region_name FROM prep")
 QUERIES["cln_dedup_rows"] = "WITH " + RAW + ",\n" + TYPED + f""",
-feed AS (SELECT * FROM typed_raw UNION ALL SELECT * FROM typed_raw WHERE epi_year = {YEAR})
+feed AS (SELECT * FROM typed_raw UNION ALL SELECT * FROM typed_raw)
 SELECT epi_year, CAST(count(*) AS bigint) AS rows FROM (SELECT DISTINCT * FROM feed) GROUP BY epi_year"""
-q("flt_scope", "SELECT case_id, epi_year, region_name FROM scoped")
+q("flt_scope", "SELECT case_id, epi_year, region_name FROM scoped", year=YEAR)
 q("flt_scope_report", f"""SELECT
   {cnt_if("coalesce(region_name IN ('EXTERIOR'), false)")} AS excluded_non_territorial,
   {cnt_if(f"NOT coalesce(epi_year = {YEAR}, false)")} AS excluded_year,
   {cnt_if(f"coalesce(region_name IN ('EXTERIOR'), false) OR NOT coalesce(epi_year = {YEAR}, false)")} AS excluded_total,
   {cnt_if(f"NOT coalesce(region_name IN ('EXTERIOR'), false) AND coalesce(epi_year = {YEAR}, false)")} AS rows_out
-FROM dedup""")
+FROM dedup""", year=YEAR)
 q("cln_area_code", "SELECT case_id, region_code, local_code, area_code FROM clean")
 q("cln_parse_dates", """SELECT case_id, strftime(notified_on, '%Y-%m-%d') AS notified_on,
   strftime(born_on, '%Y-%m-%d') AS born_on FROM clean""")
@@ -531,7 +542,7 @@ FROM clean, (SELECT
   {cnt_if(f"coalesce(region_name IN ('EXTERIOR'), false) OR NOT coalesce(epi_year = {YEAR}, false)")} AS excluded_total,
   {cnt_if(f"NOT coalesce(region_name IN ('EXTERIOR'), false) AND coalesce(epi_year = {YEAR}, false)")} AS rows_out
   FROM dedup) r
-GROUP BY ALL""")
+GROUP BY ALL""", year=YEAR)
 q("cln_outliers_iqr", f"""WITH qq AS (SELECT quantile_cont(age, 0.25) AS q1, quantile_cont(age, 0.75) AS q3 FROM clean)
 SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lower_fence, q3 + 1.5 * (q3 - q1) AS upper_fence,
   {cnt_if('age < q1 - 1.5 * (q3 - q1) OR age > q3 + 1.5 * (q3 - q1)')} AS n_outliers,
@@ -752,6 +763,9 @@ QUERIES["stm_incremental_merge"] = None  # filled below (same result as set_dedu
 q_raw("upd_report", f"""SELECT e AS existing, i AS incoming, e + i - m AS duplicates, m - e AS added FROM (
   SELECT CAST((SELECT count(*) FROM base) AS bigint) AS e, CAST((SELECT count(*) FROM new) AS bigint) AS i,
   CAST((SELECT count(*) FROM (SELECT DISTINCT case_id FROM (SELECT case_id FROM base UNION ALL SELECT case_id FROM new))) AS bigint) AS m)""", _UPD)
+QUERIES["upd_pipeline"] = with_ctes(
+    f"SELECT {AREA_KEYS}, cases, cases_h1, cases_h2, score, priority, rank FROM idx", ("idx",), None).replace("'X'", "'M'").replace(
+        "CAST(substr(o_orderpriority, 1, 1) AS int) AS area_type", "1 + CAST(substr(o_orderpriority, 1, 1) AS int) % 3 AS area_type")
 q("set_distinct_rows", "SELECT DISTINCT region_code, region_name FROM clean")
 
 # --------------------------------------------------------------------------

@@ -11,6 +11,8 @@ its semantics differ from SQL three-valued logic:
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,14 +49,10 @@ def mean_2dp(c) -> Column:
         / F.count(x).cast("double") / F.lit(100.0)
 
 
-def quantiles(c, probs, exact: bool = True) -> Column:
-    """Linear-interpolated quantiles (pandas/numpy rule).  The exact form
-    keeps a value -> count map per group, which is bounded on the integer
-    domains used here (age 0-150, week 1-53); pass ``exact=False`` for
-    continuous columns (``percentile_approx``, bounded memory)."""
-    x = col(c).cast("double")
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-    return F.percentile(x, arr) if exact else F.percentile_approx(x, arr, 10000)
+def quantiles(c, probs) -> Column:
+    """Exact linear-interpolated quantiles (pandas/numpy rule).  The state is
+    a value -> count map per group: bounded on integer domains (age, week)."""
+    return F.percentile(col(c).cast("double"), F.array(*[F.lit(float(p)) for p in probs]))
 
 
 def share(num: Column, den: Column) -> Column:
@@ -62,14 +60,22 @@ def share(num: Column, den: Column) -> Column:
     return F.when(den != 0, num.cast("double") / den.cast("double"))
 
 
-# the characters Python's str.strip() removes (str.isspace), built from the rule
-WHITESPACE = "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
+@lru_cache(maxsize=1)
+def whitespace() -> str:
+    """The characters Python's str.strip() removes (str.isspace), built from
+    the rule on first use."""
+    return "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
 
 
-def strip_text(c) -> Column:
+def strip_chars(c) -> Column:
     """Trim whitespace at both ends exactly like ``str.strip()`` (every
-    Unicode whitespace character, no regex); blank text becomes null."""
-    trimmed = F.btrim(col(c), F.lit(WHITESPACE))
+    Unicode whitespace character, no regex)."""
+    return F.btrim(col(c), F.lit(whitespace()))
+
+
+def strip_text(c) -> Column:
+    """``strip_chars``; blank text becomes null."""
+    trimmed = strip_chars(c)
     return F.when(F.length(trimmed) > 0, trimmed)
 
 

@@ -24,12 +24,10 @@ def histogram(df: DataFrame, col: str = "age", bins: int = 30) -> DataFrame:
     idx = F.when(mx == mn, F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1)))
     idx = F.when(x < edge(idx), idx - 1).otherwise(idx)
     idx = F.when((x >= edge(idx + 1)) & (idx != bins - 1), idx + 1).otherwise(idx)
-    # one global aggregate of `bins` conditional counts: empty bins come out
-    # as 0 with no group-by shuffle and no join to a bin list
-    binned = df.where(x.isNotNull()).select(idx.alias("_b"))
-    counts = binned.agg(F.array(*[count_if(F.col("_b") == i) for i in range(bins)])
-                        .alias("_c"))
-    out = counts.select(F.posexplode("_c").alias("bin", "cases"))
+    # one grouped count, then the bins without rows from a range of `bins` rows
+    counts = df.where(x.isNotNull()).groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("cases"))
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    out = every.join(counts, "bin", "left").withColumn("cases", F.coalesce("cases", F.lit(0)))
     b = F.col("bin")
     return out.select(
         (b + 1).cast("int").alias("bin"),
@@ -44,13 +42,13 @@ def center_lines(df: DataFrame, col: str = "age") -> DataFrame:
 
 
 def boxplot(df: DataFrame, col: str = "age", by: str = "sex",
-            groups=("F", "M"), exact: bool = True) -> DataFrame:
+            groups=("F", "M")) -> DataFrame:
     """Per group: quartiles (linear), whiskers = furthest points within
     1.5 IQR of the box, and the count of points beyond them.  Quartiles come
     from a per-group aggregate joined back (group count is tiny)."""
     x = F.col(col).cast("double")
     f = df.where(F.col(by).isin(*groups) & x.isNotNull())
-    q = f.groupBy(by).agg(quantiles(x, (0.25, 0.5, 0.75), exact).alias("q"))
+    q = f.groupBy(by).agg(quantiles(x, (0.25, 0.5, 0.75)).alias("q"))
     q = q.select(by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
                  F.col("q")[2].alias("q3"))
     j = f.join(F.broadcast(q), by)

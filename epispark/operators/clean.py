@@ -15,7 +15,6 @@ from ..functions import derive as D
 from ..functions.core import (count_if, is_true, quantiles, round_half_even, share,
                               strip_text, zfill)
 from ..sources.cases import conform
-from .joins import broadcast_if_small
 
 DATE_FORMAT = "yyyy-M-d"
 
@@ -36,7 +35,7 @@ def normalize_regions(df: DataFrame, aliases=None, cfg: Config | None = None,
     """Upper-case + trim the region, then replace exact variant spellings.
 
     ``aliases`` is either a dict (compiled into a literal map, no join) or a
-    DataFrame ``(variant, canonical)`` joined after a size check."""
+    DataFrame ``(variant, canonical)``, joined as the planner sees fit."""
     cfg = cfg or Config()
     up = F.upper(strip_text(col))
     if aliases is None:
@@ -52,7 +51,7 @@ def normalize_regions(df: DataFrame, aliases=None, cfg: Config | None = None,
     # lookup lists a variant twice
     lk = aliases.groupBy(F.col("variant").alias("_variant")) \
                 .agg(F.min("canonical").alias("_canonical"))
-    out = df.withColumn(col, up).join(broadcast_if_small(lk),
+    out = df.withColumn(col, up).join(lk,
                                       F.col(col) == F.col("_variant"), "left")
     return out.withColumn(col, F.coalesce("_canonical", col)).drop("_variant", "_canonical")
 
@@ -273,10 +272,10 @@ def clean_report(raw: DataFrame, cfg: Config | None = None, aliases=None,
         .alias("pct_excluded"))
 
 
-def age_outliers(df: DataFrame, col: str = "age", exact: bool = True) -> DataFrame:
+def age_outliers(df: DataFrame, col: str = "age") -> DataFrame:
     """IQR fences on age (linear-interpolated quartiles); rows outside the
     fences are counted, never removed."""
-    q = df.select(quantiles(col, (0.25, 0.75), exact).alias("q")).scalar()
+    q = df.select(quantiles(col, (0.25, 0.75)).alias("q")).scalar()
     q1, q3 = q.getItem(0), q.getItem(1)
     iqr = q3 - q1
     lo, hi = q1 - 1.5 * iqr, q3 + 1.5 * iqr

@@ -6,7 +6,7 @@ Plan shape (cases -> areas is the only case-level shuffle):
       --left join population--> --region mean (tiny aggregate) join--> impute
       --checkpoint (shared folder)--> min/max as one scalar subquery -> score
       --score histogram (<= 10,001 rows: score is rounded to 2 dp in [0, 100])
-        cumulated and broadcast--> national rank
+        cumulated and joined back--> national rank
 
 No window ever runs over unbounded data: the only unpartitioned window is
 over the score histogram, whose size is bounded by the rounding.
@@ -28,40 +28,42 @@ SHARE_COLUMNS = ("pct_adolescent", "pct_young_adult", "pct_hospitalised",
                  "pct_psychiatric", "pct_minor", "pct_female", "pct_rural")
 
 
-def area_table(cases: DataFrame, keys=AREA_KEYS) -> DataFrame:
-    """Per area: cases (non-null ids), shares over all rows of the area
-    (null inputs count as 'no'), first/second-half counts (null week -> H1)."""
-    has_psy = "gp_psychiatric" in cases.columns
+COUNT_COLUMNS = ("cases", "rows", "adolescent", "young_adult", "hospitalised", "psychiatric", "minor", "female",
+                 "rural", "cases_h1", "cases_h2")
+
+
+def area_counts(cases: DataFrame, keys=AREA_KEYS) -> DataFrame:
+    """Per area the counts that its shares are made of.  They are additive:
+    the counts of two disjoint sets of cases add up to those of both."""
     f = cases.where(F.col(keys[0]).isNotNull())
     for k in keys[1:]:
         f = f.where(F.col(k).isNotNull())
-    n = F.count(F.lit(1))
-    age = F.col("age")
-    second = F.col("epi_week") > 26
-    agg = f.groupBy(*keys).agg(
-        F.count("case_id").alias("cases"),
-        n.alias("_n"),
-        F.sum(flag01(age.between(12, 17))).alias("_adol"),
-        F.sum(flag01(age.between(18, 25))).alias("_young"),
-        F.sum(flag01(F.col("hospital_code") == 1)).alias("_hosp"),
-        (F.sum(flag01(F.col("gp_psychiatric") == 1)) if has_psy else F.lit(0)).alias("_psy"),
-        F.sum(flag01(F.col("is_minor"))).alias("_minor"),
-        F.sum(flag01(F.col("sex") == "F")).alias("_fem"),
-        F.sum(flag01(F.col("is_rural"))).alias("_rural"),
-        F.sum(flag01(~F.coalesce(second, F.lit(False)))).cast("bigint").alias("cases_h1"),
-        F.sum(flag01(second)).cast("bigint").alias("cases_h2"),
-    )
-    out = agg.select(
-        *keys, F.col("cases").cast("bigint").alias("cases"), "cases_h1", "cases_h2",
-        share(F.col("_adol"), F.col("_n")).alias("pct_adolescent"),
-        share(F.col("_young"), F.col("_n")).alias("pct_young_adult"),
-        share(F.col("_hosp"), F.col("_n")).alias("pct_hospitalised"),
-        share(F.col("_psy"), F.col("_n")).alias("pct_psychiatric"),
-        share(F.col("_minor"), F.col("_n")).alias("pct_minor"),
-        share(F.col("_fem"), F.col("_n")).alias("pct_female"),
-        share(F.col("_rural"), F.col("_n")).alias("pct_rural"),
-    )
-    return with_trend(out)
+    age, second = F.col("age"), F.col("epi_week") > 26
+    flags = {"adolescent": age.between(12, 17), "young_adult": age.between(18, 25),
+             "hospitalised": F.col("hospital_code") == 1,
+             "psychiatric": F.col("gp_psychiatric") == 1 if "gp_psychiatric" in cases.columns else F.lit(False),
+             "minor": F.col("is_minor"), "female": F.col("sex") == "F", "rural": F.col("is_rural"),
+             "cases_h1": ~F.coalesce(second, F.lit(False)), "cases_h2": second}
+    return f.groupBy(*keys).agg(
+        F.count("case_id").cast("bigint").alias("cases"), F.count(F.lit(1)).cast("bigint").alias("rows"),
+        *[F.sum(flag01(c)).cast("bigint").alias(name) for name, c in flags.items()])
+
+
+def add_counts(counts: DataFrame, keys=AREA_KEYS) -> DataFrame:
+    """Counts of several batches of cases, added up by area."""
+    return counts.groupBy(*keys).agg(*[F.sum(c).cast("bigint").alias(c) for c in COUNT_COLUMNS])
+
+
+def area_shares(counts: DataFrame, keys=AREA_KEYS) -> DataFrame:
+    """The area table from its counts."""
+    return with_trend(counts.select(*keys, "cases", "cases_h1", "cases_h2", *[
+        share(F.col(c[len("pct_"):]), F.col("rows")).alias(c) for c in SHARE_COLUMNS]))
+
+
+def area_table(cases: DataFrame, keys=AREA_KEYS) -> DataFrame:
+    """Per area: cases (non-null ids), shares over all rows of the area
+    (null inputs count as 'no'), first/second-half counts (null week -> H1)."""
+    return area_shares(area_counts(cases, keys), keys)
 
 
 def with_trend(areas: DataFrame) -> DataFrame:
@@ -84,8 +86,13 @@ def area_base(cases: DataFrame, population: DataFrame, cfg: Config | None = None
     """Area table + population (joined, imputed) + rate; checkpointed so the
     case-level aggregation runs once for every later step."""
     cfg = cfg or Config()
-    areas = impute_population(join_population(area_table(cases), population), cfg)
-    areas = with_rate(areas)
+    return populated(area_table(cases), population, cfg, checkpoint)
+
+
+def populated(areas: DataFrame, population: DataFrame, cfg: Config | None = None,
+              checkpoint: bool = True) -> DataFrame:
+    """Area table with population (joined, imputed) and rate."""
+    areas = with_rate(impute_population(join_population(areas, population), cfg or Config()))
     return materialize(areas) if checkpoint else areas
 
 
@@ -119,14 +126,13 @@ def with_rank(df: DataFrame, score_col: str = "score", rank_col: str = "rank") -
     """Rank by descending score, ties share the smallest rank ('min').
 
     rank = 1 + number of rows with a strictly higher score.  Counting goes
-    through the histogram of distinct scores; the score is rounded to 2 dp in
-    [0, 100], so the histogram holds at most 10,001 rows (proven bound) and
-    is cumulated in one task and broadcast back."""
+    through the histogram of distinct scores (the index has 2 digits in
+    [0, 100], so at most 10,001 of them), cumulated and joined back."""
     hist = df.groupBy(score_col).agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy(F.col(score_col).desc()).rowsBetween(Window.unboundedPreceding, -1)
     ranks = hist.select(score_col, (F.coalesce(F.sum("_cnt").over(w), F.lit(0)) + 1)
                         .cast("int").alias(rank_col))
-    return df.join(F.broadcast(ranks), score_col, "left")
+    return df.join(ranks, score_col, "left")
 
 
 def priority_index(areas: DataFrame, cfg: Config | None = None) -> DataFrame:

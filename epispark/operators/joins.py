@@ -1,10 +1,8 @@
 """Joins: lookup, population imputation, semi/anti filters.
 
-Broadcast is used only behind a size check: a caller-supplied lookup is
-hinted only when the optimizer's size estimate for it (file sizes after
-pruning; unknown sizes count as unbounded) is under ``LOOKUP_MAX_BYTES``.
-Otherwise the join is left to the planner/AQE, which re-plans on the
-measured sizes at run time (sort-merge join when the lookup is large).
+Lookups are joined without a hint: the planner broadcasts what it knows to be
+small, and AQE re-plans on the measured sizes at run time.  Only a top-n list,
+whose size is n, is hinted.
 """
 
 from __future__ import annotations
@@ -15,37 +13,6 @@ from pyspark.sql import functions as F
 from ..config import Config
 from ..functions.core import accent_key, round_half_even
 
-LOOKUP_MAX_BYTES = 32 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Optimizer size estimate of a plan (no job is run)."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except Exception:  # noqa: BLE001 — unknown size: treat as unbounded
-        return 1 << 62
-
-
-def broadcast_if_small(df: DataFrame, max_bytes: int = LOOKUP_MAX_BYTES) -> DataFrame:
-    """Hint a broadcast only when the estimated size is under ``max_bytes``."""
-    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
-
-
-def broadcast_if_few(df: DataFrame, max_rows: int = 4_000_000,
-                     max_bytes: int = LOOKUP_MAX_BYTES) -> DataFrame:
-    """Broadcast a side whose size estimate is small, or — when the estimate
-    is large or unknown (in-memory or streamed input) — whose row count,
-    checked with a bounded ``limit(max_rows + 1).count()`` (stops reading after
-    max_rows + 1 rows), is at most ``max_rows``.  Otherwise leave the join to
-    the planner (shuffle join)."""
-    if estimated_bytes(df) <= max_bytes:
-        return F.broadcast(df)
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def join_population(areas: DataFrame, population: DataFrame) -> DataFrame:
     """Left equi-join of the area table to the population lookup on code."""
     pop = population.select("area_code", F.col("population").cast("double"))
@@ -74,7 +41,7 @@ def join_centroids(regions: DataFrame, centroids: DataFrame,
                    .agg(F.min(F.struct("lon", "lat")).alias("_p")) \
                    .select("_key", "_p.lon", "_p.lat")               # one point per key
     return regions.withColumn("_key", accent_key(region_col)) \
-                  .join(broadcast_if_small(cen), "_key", "inner").drop("_key")
+                  .join(cen, "_key", "inner").drop("_key")
 
 
 def semi_join_top(cases: DataFrame, top: DataFrame, key: str) -> DataFrame:
@@ -83,6 +50,9 @@ def semi_join_top(cases: DataFrame, top: DataFrame, key: str) -> DataFrame:
 
 
 def anti_join_new(new: DataFrame, base: DataFrame, key: str = "case_id") -> DataFrame:
-    """Rows of the new file whose id is not already stored (shuffle join on
-    the id; both sides grow with the data, so no broadcast)."""
-    return new.join(base.select(key).distinct(), key, "left_anti")
+    """One row for each id of the new file that is not stored: null ids count
+    as one id, and of an id that comes twice the first row stays."""
+    from .update import SOURCE_COL, dedup_first
+    first = dedup_first(new.withColumn(SOURCE_COL, F.lit(1)), key)
+    stored = base.select(F.col(key).alias("_stored")).distinct()
+    return first.join(stored, F.col(key).eqNullSafe(F.col("_stored")), "left_anti")

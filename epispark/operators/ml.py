@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..config import Config
 from ..functions.core import round_half_even
+from ..session import materialize
 
 KEYS = ("area_code", "region_name", "local_name")
 
@@ -55,17 +56,28 @@ def split(prepared: DataFrame, test_fraction: float = 0.2, seed: int = 42) -> Da
     """Adds ``is_test``: within each class (when the smallest class has >= 2
     areas, else globally) the ceil(fraction * n) areas with the smallest
     ``xxhash64(area_code, seed)`` form the test set."""
-    counts = prepared.groupBy("label").agg(F.count(F.lit(1)).alias("_nc"))
-    min_class = counts.select(F.min("_nc")).scalar()
+    sizes = {r["label"]: r["n"] for r in class_counts(prepared).select("label", "n").collect()}   # a row per class
+    group = F.col("label") if sizes and min(sizes.values()) >= 2 else F.lit(0.0)
+    ranked, counts = hash_rank(prepared.withColumn("_group", group), "_group", seed)
+    return (ranked.join(counts, "_group")
+            .withColumn("is_test", F.col("_place") < F.ceil(F.col("_size") * test_fraction))
+            .drop("_group", "_place", "_size"))
+
+
+def hash_rank(df: DataFrame, group: str, seed: int) -> tuple[DataFrame, DataFrame]:
+    """``df`` with ``_place``, a row's place (from 0) in its group by the hash
+    of its area code, and the groups' sizes (group, _size).  The hash range is
+    cut into bins: a row's place is its place in its bin after all rows of
+    lower bins, so no task sorts a whole group."""
     h = F.xxhash64(F.col("area_code"), F.lit(seed))
-    strat = Window.partitionBy("label").orderBy(h, "area_code")     # area grain
-    glob = Window.orderBy(h, "area_code")
-    n_all = prepared.select(F.count(F.lit(1))).scalar()
-    out = prepared.join(F.broadcast(counts), "label")
-    stratified = F.row_number().over(strat) <= F.ceil(F.col("_nc") * test_fraction)
-    overall = F.row_number().over(glob) <= F.ceil(n_all * test_fraction)
-    return out.withColumn("is_test", F.when(min_class >= 2, stratified).otherwise(overall)) \
-              .drop("_nc")
+    binned = df.withColumn("_hash", h).withColumn("_bin", F.shiftright(h, 56).cast("int"))   # -128 .. 127, in the order of the hash
+    counts = binned.groupBy(group, "_bin").agg(F.count(F.lit(1)).alias("_n"))          # 256 rows a group, at most
+    before = counts.select(group, "_bin", (F.sum("_n").over(
+        Window.partitionBy(group).orderBy("_bin")) - F.col("_n")).alias("_before"))
+    local = F.row_number().over(Window.partitionBy(group, "_bin").orderBy("_hash", *KEYS)) - 1
+    ranked = (binned.join(before, [group, "_bin"]).withColumn("_place", F.col("_before") + local)
+              .drop("_bin", "_hash", "_before"))
+    return ranked, counts.groupBy(group).agg(F.sum("_n").alias("_size"))
 
 
 def with_class_weight(df: DataFrame, on: DataFrame | None = None) -> DataFrame:
@@ -176,17 +188,15 @@ def cross_validate(idx: DataFrame, cfg: Config | None = None, max_folds: int = 5
     if k < 2:
         return spark.createDataFrame([(0, None, None)],
                                      "folds int, mean_accuracy double, std_accuracy double")
-    w = Window.partitionBy("label").orderBy(F.xxhash64("area_code", F.lit(cfg.seed)),
-                                            "area_code")
-    data = with_class_weight(assemble(s, cfg)).withColumn(
-        "fold", ((F.row_number().over(w) - 1) % k).cast("int"))
+    ranked, _ = hash_rank(with_class_weight(assemble(s, cfg)), "label", cfg.seed)
+    data = ranked.withColumn("fold", (F.col("_place") % k).cast("int")).drop("_place")
     rf = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight",
                                 numTrees=100, maxDepth=8, seed=cfg.seed)
     ev = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
     cv = CrossValidator(estimator=rf, estimatorParamMaps=ParamGridBuilder().build(),
                         evaluator=ev, foldCol="fold", numFolds=k, seed=cfg.seed)
     m = cv.fit(data)
-    std = m.stdMetrics[0] if m.stdMetrics else None
+    std = float(m.stdMetrics[0]) if m.stdMetrics else None
     return spark.createDataFrame([(k, float(m.avgMetrics[0]), std)],
                                  "folds int, mean_accuracy double, std_accuracy double")
 
@@ -270,13 +280,12 @@ def _best_kmeans(data: DataFrame, k: int, n_init: int, seed: int, parallel: int
 def elbow(idx: DataFrame, cfg: Config | None = None, ks=range(2, 9), n_init: int = 10,
           parallel: int = 8) -> DataFrame:
     """Within-cluster sum of squares for each k (best of n_init starts); all
-    (k, start) fits run as concurrent Spark jobs over the cached z-scores."""
+    (k, start) fits run as concurrent Spark jobs over the checkpointed z-scores."""
     cfg = cfg or Config()
-    data = _zscored_vectors(idx, cfg).cache()
+    data = materialize(_zscored_vectors(idx, cfg))
     jobs = [(k, cfg.seed + i) for k in ks for i in range(n_init)]
     with ThreadPoolExecutor(max_workers=parallel) as ex:
         costs = list(ex.map(lambda j: (j[0], _fit_kmeans(data, *j).summary.trainingCost), jobs))
-    data.unpersist()
     best = {}
     for k, c in costs:
         best[k] = min(c, best.get(k, float("inf")))
@@ -288,10 +297,9 @@ def kmeans(idx: DataFrame, cfg: Config | None = None, n_init: int = 10) -> DataF
     """Cluster every area (no case minimum) on z-scored features; the
     cluster id is relabelled by ascending mean rate (0 = lowest rate)."""
     cfg = cfg or Config()
-    data = _zscored_vectors(idx, cfg).cache()
+    data = materialize(_zscored_vectors(idx, cfg))
     model = _best_kmeans(data, cfg.n_clusters, n_init, cfg.seed)
     assigned = model.transform(data).select(*KEYS, F.col("cluster").alias("raw_cluster"))
-    data.unpersist()
     feats = idx.select(*KEYS, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
                                 for c in cfg.model_features])
     j = assigned.join(feats, list(KEYS))

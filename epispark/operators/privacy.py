@@ -43,7 +43,8 @@ def public_case_cells(cases: DataFrame, k: int = 5, dims=PUBLIC_DIMS) -> DataFra
 
 def k_anonymity_check(published: DataFrame, count_col: str = "cases", k: int = 5) -> DataFrame:
     """One row: smallest cell, number of cells, case-level columns present,
-    and whether the frame is safe to publish."""
+    and whether the frame is safe to publish.  A frame without cells holds
+    nothing to protect and is safe; ``n_cells`` tells it apart."""
     forbidden = [c for c in published.columns if c in CASE_LEVEL_COLUMNS]
     arr = F.array(*[F.lit(c) for c in forbidden]) if forbidden \
         else F.array().cast("array<string>")

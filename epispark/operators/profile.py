@@ -37,7 +37,7 @@ def dtypes(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     return spark.createDataFrame(df.dtypes, "column string, type string")
 
 
-def describe(df: DataFrame, cols=("age", "epi_week"), exact: bool = True) -> DataFrame:
+def describe(df: DataFrame, cols=("age", "epi_week")) -> DataFrame:
     """count, mean, sample std, min, quartiles (linear interpolation), max,
     rounded to 2 dp — one row per variable, all from one aggregation."""
     aggs = []
@@ -45,7 +45,7 @@ def describe(df: DataFrame, cols=("age", "epi_week"), exact: bool = True) -> Dat
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 quantiles(x, (0.25, 0.5, 0.75), exact).alias(f"{c}__q"),
+                 quantiles(x, (0.25, 0.5, 0.75)).alias(f"{c}__q"),
                  F.max(x).alias(f"{c}__max")]
     wide = df.agg(*aggs)
     rows = []

@@ -10,9 +10,13 @@ The merged table keeps one row per case id with the stored row winning.
 * ``new_rows`` (incremental form, base already unique on the id — true of
   every table ``merge`` produced): only the incoming file is de-duplicated;
   the ids it shares with the base are found by scanning the base's id column
-  against the incoming ids (broadcast when their size is proven small, else
-  a shuffle join on the id), and only the remaining rows are appended.
-  The base is neither shuffled nor rewritten.  Ids match null-safely.
+  against the incoming ids (the planner picks the join on measured sizes),
+  and only the remaining rows are appended.  The stored rows are not
+  rewritten.  Ids match null-safely.
+
+"First" is the order of the file where its reader numbered the rows
+(``_ordinal``, see ``sources.cases.read_cases``); else the smallest row, which
+no partitioning can change.
 """
 
 from __future__ import annotations
@@ -20,9 +24,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import anti_join_new, broadcast_if_few
+from .joins import anti_join_new
 
 SOURCE_COL = "_source"        # 0 = stored base, 1 = new file
+ORDINAL_COL = "_ordinal"      # place of the row in its file, if known
 
 
 def union_update(base: DataFrame, new: DataFrame) -> DataFrame:
@@ -33,10 +38,11 @@ def union_update(base: DataFrame, new: DataFrame) -> DataFrame:
 
 def dedup_first(tagged: DataFrame, key: str = "case_id") -> DataFrame:
     """One row per key: the stored base wins over the new file; within one
-    source, the smallest row (deterministic under any partitioning)."""
-    cols = [c for c in tagged.columns if c not in (key, SOURCE_COL)]
+    source the first row (see above).  The ordinal is left out of the result."""
+    cols = [c for c in tagged.columns if c not in (key, SOURCE_COL, ORDINAL_COL)]
     row = F.struct(*[F.col(c) for c in cols])
-    order = F.struct(F.col(SOURCE_COL).alias("s"), row.alias("r"))
+    place = [F.col(ORDINAL_COL)] if ORDINAL_COL in tagged.columns else []
+    order = F.struct(F.col(SOURCE_COL).alias("s"), *place, row.alias("r"))
     best = tagged.groupBy(key).agg(F.min_by(row, order).alias("_row"))
     return best.select(key, *[F.col("_row")[c].alias(c) for c in cols])
 
@@ -46,18 +52,16 @@ def merge(base: DataFrame, new: DataFrame, key: str = "case_id") -> DataFrame:
 
 
 def merge_by_anti_join(base: DataFrame, new: DataFrame, key: str = "case_id") -> DataFrame:
-    """Equivalent plan when the base is already unique on the key:
-    base + (new rows whose key is not stored)."""
+    """Equivalent plan when the base is already unique on the key (null
+    counting as one key): base + (new rows whose key is not stored)."""
     return base.unionByName(anti_join_new(new, base, key), allowMissingColumns=True)
 
 
 def existing_ids(base: DataFrame, new: DataFrame, key: str = "case_id") -> DataFrame:
-    """Incoming ids already stored (null-safe), reading only the base id
-    column; the distinct incoming ids are the broadcast side when small."""
+    """Incoming ids already stored (null-safe), reading only the base id column."""
     ids = new.select(F.col(key).alias("_k")).distinct()
     b = base.select(F.col(key).alias("_b"))
-    return b.join(broadcast_if_few(ids), F.col("_b").eqNullSafe(F.col("_k")),
-                  "left_semi").select(F.col("_b").alias(key)).distinct()
+    return b.join(ids, F.col("_b").eqNullSafe(F.col("_k")), "left_semi").select(F.col("_b").alias(key)).distinct()
 
 
 def new_rows(base: DataFrame, new: DataFrame, key: str = "case_id") -> DataFrame:

@@ -1,11 +1,12 @@
 """Input contract validation: ``findings(df, cfg)`` -> one row per rule.
 
 Every row-level count is a conditional aggregate evaluated in ONE ``agg``
-over the incoming file; the listed offending values come from small bounded
-subqueries (distinct + top-n, one column each); schema rules (required / optional columns) are
-decided on the driver from ``df.columns`` (case-sensitive, as the contract
-requires).  Output columns: rule_id, severity, triggered, n_rows, vals
-(sorted offending values as text), message.
+over the incoming file, built for the rules asked for alone; schema rules
+(required / optional columns) are decided on the driver from ``df.columns``
+(case-sensitive, as the contract requires).  Output columns: rule_id,
+severity, triggered, n_rows, vals (names of the columns a schema rule is
+about), message.  ``offending_values`` is the table of all values that the
+value rules object to, one row each, from one scan and one shuffle.
 """
 
 from __future__ import annotations
@@ -15,19 +16,18 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import Config
-from ..functions.core import count_if
+from ..functions.core import count_if, strip_chars
 
 FINDING_FIELDS = ("rule_id", "severity", "triggered", "n_rows", "vals", "message")
-# offending values listed per rule: the smallest MAX_LISTED distinct values
-# in sorted order (a display list; n_rows counts every offending row).
-MAX_LISTED = 20
+# rules that object to values (see ``offending_values``)
+VALUE_RULES = ("year", "sex_domain", "area_domain", "hospital_domain", "event_code")
 
 MESSAGES = {
     "not_empty": "the file has no data rows",
     "max_rows": "more than {max_rows} rows: check this is the right file",
     "required_columns": "required columns are missing (names are case-sensitive)",
     "empty_required": "required columns are completely empty",
-    "empty_other": "completely empty columns will be dropped (first 10 listed)",
+    "empty_other": "completely empty columns will be dropped",
     "year": "rows from years other than {year}: excluded by cleaning",
     "date_format": "notification dates that are not yyyy-mm-dd",
     "date_year": "notification dates outside {year}",
@@ -67,120 +67,111 @@ def _num_label(v: Column) -> Column:
             .otherwise(v.cast("string"))
 
 
-def _first_values(df: DataFrame, value: Column, cond: Column, n: int = MAX_LISTED,
-                  numeric: bool = False) -> Column:
-    """Scalar subquery: the n smallest distinct values where ``cond`` holds,
-    as text (numbers without a trailing .0).  Distinct runs as a distributed
-    aggregate and the top-n as a per-partition TakeOrdered, so nothing
-    unbounded reaches one task or the driver."""
-    d = df.where(cond).select(value.alias("v")).distinct().orderBy("v").limit(n)
-    vals = F.array_sort(F.collect_list("v"))
-    if numeric:
-        vals = F.transform(vals, _num_label)
-    return d.select(vals.cast("array<string>")).scalar()
-
-
-def findings(df: DataFrame, cfg: Config | None = None) -> DataFrame:
+def _number(name: str) -> Column:
+    return F.col(name).cast("string").try_cast("double")
+
+
+def _checked(cfg: Config) -> dict:
+    """rule -> (value as text, condition under which the rule objects to it)."""
+    year, sex = _number("epi_year"), F.upper(strip_chars(F.col("sex").cast("string")))
+    area, hospital = _number("area_type"), _number("hospital_code")
+    event = F.floor(_number("event_code")).cast("double")
+    return {
+        "year": (_num_label(year), year.isNotNull() & (year != cfg.year) if cfg.year is not None else F.lit(False)),
+        "sex_domain": (sex, sex.isNotNull() & ~sex.isin(*C.VALID_SEX)),
+        "area_domain": (_num_label(area), area.isNotNull() & ~area.isin(*[float(x) for x in C.VALID_AREA])),
+        "hospital_domain": (_num_label(hospital),
+                            hospital.isNotNull() & ~hospital.isin(*[float(x) for x in C.VALID_HOSPITAL])),
+        # all codes found are listed, so that the reader sees what the file is about
+        "event_code": (_num_label(event), event.isNotNull()),
+    }
+
+
+def _counted(cfg: Config) -> dict:
+    """rule -> (severity, rows it objects to) of the rules that count rows."""
+    checked = _checked(cfg)
+    raw = F.col("notified_text").cast("string")
+    date = F.try_to_date(raw, "yyyy-M-d")
+    age = _number("age")
+    event = F.floor(_number("event_code")).cast("double")
+    short = lambda c, n: F.length(strip_chars(F.col(c).cast("string"))) < n
+    return {
+        "year": ("warning", checked["year"][1]),
+        "date_format": ("warning", raw.isNotNull() & date.isNull()),
+        "date_year": ("warning", date.isNotNull() & (F.year(date) != F.lit(cfg.year))
+                      if cfg.year is not None else F.lit(False)),
+        "sex_domain": ("error", checked["sex_domain"][1]),
+        "area_domain": ("error", checked["area_domain"][1]),
+        "hospital_domain": ("error", checked["hospital_domain"][1]),
+        "short_region_code": ("warning", short("region_code", 2)),
+        "short_local_code": ("warning", short("local_code", 3)),
+        "age_not_numeric": ("warning", F.col("age").isNotNull() & age.isNull()),
+        "age_range": ("warning", (age < cfg.age_min) | (age > cfg.age_max)),
+        "event_code": ("warning", event.isNotNull() & ~event.isin(*[float(e) for e in C.EXPECTED_EVENT_CODES])),
+    }
+
+
+def findings(df: DataFrame, cfg: Config | None = None, rules=None) -> DataFrame:
+    """One row per rule (of ``rules``, or all)."""
     cfg = cfg or Config()
     df = df.toDF(*[c.strip() for c in df.columns])
     cols = df.columns
+    wanted = lambda r: rules is None or r in rules
     missing = [c for c in C.REQUIRED_COLUMNS if c not in cols]
     optional_found = [c for c in C.OPTIONAL_COLUMNS if c in cols]
     n = F.col("_n")
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    rows = [
-        _finding("not_empty", "error", n == 0, n, _names([]), message("not_empty", cfg)),
-        _finding("max_rows", "warning", n > cfg.max_rows, n, _names([]),
-                 message("max_rows", cfg)),
-        _finding("required_columns", "error", F.lit(bool(missing)), F.lit(len(missing)),
-                 _names(missing), message("required_columns", cfg)),
-    ]
+    aggs, rows = [F.count(F.lit(1)).alias("_n")], []
+
+    def add(rule, severity, triggered, n_rows, names=None, **kw):
+        if wanted(rule):
+            rows.append(_finding(rule, severity, triggered, n_rows, _names([]) if names is None else names,
+                                 message(rule, cfg, **kw)))
+
+    add("not_empty", "error", n == 0, n)
+    add("max_rows", "warning", n > cfg.max_rows, n)
+    add("required_columns", "error", F.lit(bool(missing)), F.lit(len(missing)), _names(missing))
     if not missing:
-        aggs += [F.count(F.col(c)).alias(f"_cnt_{i}") for i, c in enumerate(cols)]
-        # content rules, all in the same pass
-        year_v = F.col("epi_year").try_cast("double")
-        bad_year = year_v.isNotNull() & (year_v != cfg.year) if cfg.year is not None \
-            else F.lit(False)
-        aggs.append(count_if(bad_year).alias("_n_years"))
-        nt_raw = F.col("notified_text").cast("string")
-        nt = F.try_to_date(nt_raw, "yyyy-M-d")
-        aggs += [count_if(nt_raw.isNotNull() & nt.isNull()).alias("_bad_dates"),
-                 count_if(nt.isNotNull() & (F.year(nt) != F.lit(cfg.year)))
-                 .alias("_out_year") if cfg.year is not None else F.lit(0).alias("_out_year")]
-        sex = F.upper(F.trim(F.col("sex").cast("string")))
-        bad_sex = sex.isNotNull() & ~sex.isin(*C.VALID_SEX)
-        aggs.append(count_if(bad_sex).alias("_sex_rows"))
-        domain_vals = {}
-        for name, valid in (("area_type", C.VALID_AREA), ("hospital_code", C.VALID_HOSPITAL)):
-            v = F.col(name).cast("string").try_cast("double")
-            bad = v.isNotNull() & ~v.isin(*[float(x) for x in valid])
-            aggs.append(count_if(bad).alias(f"_{name}_rows"))
-            domain_vals[name] = _first_values(df, v, bad, numeric=True)
-        aggs += [count_if(F.length(F.trim(F.col("region_code").cast("string"))) < 2)
-                 .alias("_short_region"),
-                 count_if(F.length(F.trim(F.col("local_code").cast("string"))) < 3)
-                 .alias("_short_local")]
-        age_v = F.col("age").cast("string").try_cast("double")
-        aggs += [count_if(F.col("age").isNotNull() & age_v.isNull()).alias("_age_text"),
-                 count_if((age_v < cfg.age_min) | (age_v > cfg.age_max)).alias("_age_range")]
-        ev = F.floor(F.col("event_code").cast("string").try_cast("double")).cast("double")
-        expected = [float(e) for e in C.EXPECTED_EVENT_CODES]
-        aggs += [count_if(ev.isNotNull() & ~ev.isin(*expected)).alias("_ev_other"),
-                 F.count(ev).alias("_ev_rows")]
-        year_vals = _first_values(df, year_v, bad_year, numeric=True)
-        sex_vals = _first_values(df, sex, bad_sex)
-        ev_vals = _first_values(df, ev, ev.isNotNull(), numeric=True)
-
-        empty = F.filter(F.array(*[F.when(F.col(f"_cnt_{i}") == 0, F.lit(c))
-                                   for i, c in enumerate(cols)]), lambda x: x.isNotNull())
-        req = set(C.REQUIRED_COLUMNS)
-        empty_req = F.filter(empty, lambda x: x.isin(*req))
-        empty_other = F.filter(empty, lambda x: ~x.isin(*req))
-        rows += [
-            _finding("empty_required", "error", F.size(empty_req) > 0, F.size(empty_req),
-                     empty_req, message("empty_required", cfg)),
-            _finding("empty_other", "warning", F.size(empty_other) > 0, F.size(empty_other),
-                     F.slice(empty_other, 1, 10),
-                     message("empty_other", cfg)),
-            _finding("year", "warning", F.col("_n_years") > 0, F.col("_n_years"),
-                     year_vals, message("year", cfg)),
-            _finding("date_format", "warning", F.col("_bad_dates") > 0, F.col("_bad_dates"),
-                     _names([]), message("date_format", cfg)),
-            _finding("date_year", "warning", F.col("_out_year") > 0, F.col("_out_year"),
-                     _names([]), message("date_year", cfg)),
-            _finding("sex_domain", "error", F.col("_sex_rows") > 0, F.col("_sex_rows"),
-                     sex_vals, message("sex_domain", cfg)),
-            _finding("area_domain", "error", F.col("_area_type_rows") > 0,
-                     F.col("_area_type_rows"), domain_vals["area_type"],
-                     message("area_domain", cfg)),
-            _finding("hospital_domain", "error", F.col("_hospital_code_rows") > 0,
-                     F.col("_hospital_code_rows"),
-                     domain_vals["hospital_code"],
-                     message("hospital_domain", cfg)),
-            _finding("short_region_code", "warning", F.col("_short_region") > 0,
-                     F.col("_short_region"), _names([]),
-                     message("short_region_code", cfg)),
-            _finding("short_local_code", "warning", F.col("_short_local") > 0,
-                     F.col("_short_local"), _names([]),
-                     message("short_local_code", cfg)),
-            _finding("age_not_numeric", "warning", F.col("_age_text") > 0, F.col("_age_text"),
-                     _names([]), message("age_not_numeric", cfg)),
-            _finding("age_range", "warning", F.col("_age_range") > 0, F.col("_age_range"),
-                     _names([]), message("age_range", cfg)),
-            _finding("event_code", "warning",
-                     (F.col("_ev_other") > 0) | (F.col("_ev_rows") == 0),
-                     F.col("_ev_other"), ev_vals,
-                     message("event_code", cfg)),
-        ]
-    rows.append(_finding("psychiatric_flag_missing", "warning",
-                         F.lit("gp_psychiatric" not in cols), F.lit(0), _names([]),
-                         message("psychiatric_flag_missing", cfg)))
-    rows.append(_finding("optional_columns", "info", F.lit(True), F.lit(len(optional_found)),
-                         _names(optional_found),
-                         message("optional_columns", cfg, found=len(optional_found),
-                                 total=len(C.OPTIONAL_COLUMNS))))
-    one = df.agg(*aggs)
-    return one.select(F.explode(F.array(*rows)).alias("f")).select("f.*")
+        if wanted("empty_required") or wanted("empty_other"):
+            aggs += [F.count(F.col(c)).alias(f"_cnt_{i}") for i, c in enumerate(cols)]
+            empty = F.filter(F.array(*[F.when(F.col(f"_cnt_{i}") == 0, F.lit(c)) for i, c in enumerate(cols)]),
+                             lambda x: x.isNotNull())
+            req = set(C.REQUIRED_COLUMNS)
+            empty_req = F.filter(empty, lambda x: x.isin(*req))
+            empty_other = F.filter(empty, lambda x: ~x.isin(*req))
+            add("empty_required", "error", F.size(empty_req) > 0, F.size(empty_req), empty_req)
+            add("empty_other", "warning", F.size(empty_other) > 0, F.size(empty_other), empty_other)
+        for rule, (severity, bad) in _counted(cfg).items():
+            if not wanted(rule):
+                continue
+            aggs.append(count_if(bad).alias(f"_{rule}"))
+            triggered = F.col(f"_{rule}") > 0
+            if rule == "event_code":
+                aggs.append(F.count(_number("event_code")).alias("_event_rows"))
+                triggered = triggered | (F.col("_event_rows") == 0)
+            add(rule, severity, triggered, F.col(f"_{rule}"))
+    add("psychiatric_flag_missing", "warning", F.lit("gp_psychiatric" not in cols), F.lit(0))
+    add("optional_columns", "info", F.lit(True), F.lit(len(optional_found)), _names(optional_found),
+        found=len(optional_found), total=len(C.OPTIONAL_COLUMNS))
+    if not rows:
+        return df.sparkSession.createDataFrame([], FINDING_SCHEMA)
+    return df.agg(*aggs).select(F.explode(F.array(*rows)).alias("f")).select("f.*")
+
+
+FINDING_SCHEMA = "rule_id string, severity string, triggered boolean, n_rows bigint, vals array<string>, message string"
+
+
+def offending_values(df: DataFrame, cfg: Config | None = None, rules=VALUE_RULES) -> DataFrame:
+    """(rule_id, value, value_rows): every distinct value the rules object to."""
+    df = df.toDF(*[c.strip() for c in df.columns])
+    pairs = [F.struct(F.lit(r).alias("rule_id"), F.when(bad, value).alias("value"))
+             for r, (value, bad) in _checked(cfg or Config()).items() if r in rules]
+    return (df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").where("value is not null")
+            .groupBy("rule_id", "value").agg(F.count(F.lit(1)).cast("bigint").alias("value_rows")))
+
+
+def with_values(found: DataFrame, values: DataFrame) -> DataFrame:
+    """Findings with a row per offending value (a rule without any: nulls)."""
+    return found.join(values, "rule_id", "left")
 
 
 def summary(df: DataFrame, found: DataFrame) -> DataFrame:

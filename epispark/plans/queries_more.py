@@ -24,7 +24,7 @@ from ..operators import validate as VA
 from ..operators import windows as WN
 from ..sources import cases as SRC
 from ..session import scratch_path
-from .catalog import inputs, portable, query
+from .catalog import YEAR_CFG, inputs, portable, query
 
 # --------------------------------------------------------------------------
 # 2.1 sources and sinks
@@ -141,7 +141,7 @@ def prof_code_sample(spark, d):
 
 
 # --------------------------------------------------------------------------
-# 2.3 validation (raw file, one aggregation for all rules)
+# 2.3 validation (raw file: one scan for the counts, one for offending values)
 # --------------------------------------------------------------------------
 VAL_KEYS = {"not_empty": "val_not_empty", "max_rows": "val_max_rows",
             "required_columns": "val_required_columns", "empty_required": "val_empty_required",
@@ -154,8 +154,8 @@ VAL_KEYS = {"not_empty": "val_not_empty", "max_rows": "val_max_rows",
             "optional_columns": "val_optional_columns"}
 
 
-def _findings(spark, d):
-    return VA.findings(inputs(spark, d).raw, inputs(spark, d).cfg)
+def _findings(spark, d, rules=None):
+    return VA.findings(inputs(spark, d).raw, YEAR_CFG, rules)
 
 
 @query("val_findings")
@@ -163,10 +163,20 @@ def val_findings(spark, d):
     return portable(_findings(spark, d))
 
 
+@query("val_offending_values")
+def val_offending_values(spark, d):
+    """Every offending value of every rule that lists values, with its rows."""
+    return VA.offending_values(inputs(spark, d).raw, YEAR_CFG)
+
+
 def _rule_query(rule):
     def run(spark, d):
-        return portable(_findings(spark, d).where(F.col("rule_id") == rule))
-    run.__doc__ = f"Validation rule '{rule}' (one row of the findings table)."
+        found = portable(_findings(spark, d, [rule]))
+        if rule not in VA.VALUE_RULES:
+            return found
+        return VA.with_values(found, VA.offending_values(inputs(spark, d).raw, YEAR_CFG, [rule]))
+    run.__doc__ = (f"Validation rule '{rule}': its finding"
+                   + (", one row per offending value." if rule in VA.VALUE_RULES else "."))
     return run
 
 
@@ -204,25 +214,24 @@ def cln_region_alias(spark, d):
 
 @query("cln_dedup_rows")
 def cln_dedup_rows(spark, d):
-    """A year's file delivered twice: de-duplicate the combined feed."""
+    """The whole file delivered twice: de-duplicate the combined feed."""
     t = _typed(spark, d)
-    feed = t.unionByName(t.where(F.col("epi_year") == inputs(spark, d).cfg.year))
-    dd = CL.dedup_rows(feed)
+    dd = CL.dedup_rows(t.unionByName(t))
     return dd.groupBy("epi_year").agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
 
 
 @query("flt_scope")
 def flt_scope(spark, d):
     i = inputs(spark, d)
-    prepared = CL.normalize_regions(CL.trim_text(_typed(spark, d)), i.aliases, i.cfg)
-    return CL.filter_scope(CL.dedup_rows(prepared), i.cfg) \
+    prepared = CL.normalize_regions(CL.trim_text(_typed(spark, d)), i.aliases, YEAR_CFG)
+    return CL.filter_scope(CL.dedup_rows(prepared), YEAR_CFG) \
              .select("case_id", "epi_year", "region_name")
 
 
 @query("flt_scope_report")
 def flt_scope_report(spark, d):
     i = inputs(spark, d)
-    return CL.clean_report(i.raw, i.cfg, i.aliases, i.clean).select(
+    return CL.clean_report(i.raw, YEAR_CFG, i.aliases, i.clean_year).select(
         "excluded_non_territorial", "excluded_year", "excluded_total", "rows_out")
 
 
@@ -251,7 +260,7 @@ def cln_area_override(spark, d):
 @query("cln_report")
 def cln_report(spark, d):
     i = inputs(spark, d)
-    return CL.clean_report(i.raw, i.cfg, i.aliases, i.clean)
+    return CL.clean_report(i.raw, YEAR_CFG, i.aliases, i.clean_year)
 
 
 @query("cln_outliers_iqr")
@@ -451,6 +460,23 @@ def upd_report(spark, d):
     return UP.update_report(base, new)
 
 
+@query("upd_pipeline")
+def upd_pipeline(spark, d):
+    """Two updates of a seeded table: every file is validated, appended,
+    cleaned and counted by itself; the index of the second version."""
+    from . import workflows
+    i = inputs(spark, d)
+    raw = i.raw.withColumns({                                       # files that pass validation
+        "sex": F.when(F.col("sex") == "X", "M").otherwise(F.col("sex")), "area_type": 1 + F.col("area_type") % 3})
+    last = F.col("case_id") % 10
+    root = scratch_path(spark, "update")
+    base = raw.where(last >= 5)
+    for new in (raw.where(last.between(3, 6)), raw.where(last <= 3)):
+        done = workflows.update(spark, base, new, i.population, root, None, i.cfg, i.aliases)
+    return spark.read.parquet(done["areas"]).select(
+        "area_code", "region_name", "local_name", "cases", "cases_h1", "cases_h2", "score", "priority", "rank")
+
+
 @query("set_distinct_rows")
 def set_distinct_rows(spark, d):
     return _clean(spark, d).select("region_code", "region_name").distinct()

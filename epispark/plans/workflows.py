@@ -3,6 +3,11 @@
 Each workflow writes its outputs as new versioned folders and returns the
 paths; nothing is overwritten in place, so a failure leaves the previous
 published version intact (switch happens by reading the newest version).
+
+An update touches the new rows alone: they are appended to the accumulated
+table, cleaned and appended to the clean table, and their counts by area are
+kept beside those of earlier batches.  Counts add up, so the index is made
+from the few counts of all batches, never from stored cases.
 """
 
 from __future__ import annotations
@@ -60,40 +65,81 @@ def publish(clean: DataFrame, idx: DataFrame, out_root: str, k: int = 5,
     return {"areas": f"{out_root}/public_areas", "cells": f"{out_root}/public_cells"}
 
 
-def update(spark: SparkSession, base: DataFrame | None, new: DataFrame,
-           population: DataFrame, out_root: str, version: int, cfg: Config | None = None,
-           aliases=None) -> dict:
+def _extend(spark: SparkSession, table: str, out_root: str, cfg: Config, aliases) -> None:
+    """Clean every accumulated batch that is not in the clean table yet, and
+    count its cases by area."""
+    clean_root, counts_root = f"{out_root}/clean", f"{out_root}/area_counts"
+    for root, make in (
+            (clean_root, lambda n: CL.clean(spark.read.parquet(f"{table}/batch={n}"), cfg, aliases)),
+            (counts_root, lambda n: IX.area_counts(spark.read.parquet(f"{clean_root}/batch={n}")))):
+        done = set(INC.committed_batches(spark, root))
+        for n in INC.committed_batches(spark, table):
+            if n not in done:
+                make(n).write.mode("overwrite").parquet(f"{root}/batch={n}")
+                INC.commit(spark, root, {"version": n})
+
+
+def update(spark: SparkSession, base, new: DataFrame, population: DataFrame, out_root: str,
+           version: int | None = None, cfg: Config | None = None, aliases=None, models: bool = False) -> dict:
     """validate -> append the new file's unseen case ids to the accumulated
-    batch table (stored rows win; the base, when given, seeds it once) ->
-    re-run the batch index into ``version=<n>``.  Stops before writing
-    anything when the new file has a triggered error."""
+    batch table (stored rows win) -> clean and count the new batch -> index,
+    ranking extract and, if asked for, clusters and class metrics of
+    ``version=<n>``.
+
+    ``base`` seeds an empty table: a DataFrame, or a list of (path, format)
+    candidates of which the first that exists is taken, or None.  Stops before
+    writing anything when the new file has a triggered error.  Repeating an
+    update gives the same version again (see ``streaming.incremental``)."""
     cfg = cfg or Config()
     found = VA.findings(new, cfg)
     errors = found.where((F.col("severity") == "error") & F.col("triggered")).collect()
     if errors:
         return {"ok": False, "errors": [r["rule_id"] for r in errors]}
     table = f"{out_root}/accumulated"
+    if isinstance(base, list):
+        base = None if INC.records(spark, table) else SRC.resolve_base(spark, base, cfg)
     if base is not None:
         INC.seed(base, table)
     report = INC.append(new, table, version)
-    paths = batch_index(INC.read_table(spark, table), population,
-                        f"{out_root}/version={version}", cfg, aliases)
+    _extend(spark, table, out_root, cfg, aliases)
+    n = report["version"]
+    counts = INC.read_table(spark, f"{out_root}/area_counts", n)
+    areas = IX.populated(IX.area_shares(IX.add_counts(counts)), population, cfg)
+    here = f"{out_root}/version={n}"
+    idx = IX.priority_index(areas, cfg)
+    SRC.write_areas(idx, f"{here}/areas", f"{here}/ranking_csv")
+    paths = {"clean": f"{out_root}/clean", "areas": f"{here}/areas", "ranking": f"{here}/ranking_csv"}
+    if models:
+        from ..operators import ml as ML
+        idx = spark.read.parquet(paths["areas"])
+        ML.kmeans(idx, cfg).write.mode("overwrite").parquet(f"{here}/clusters")
+        ML.metrics(ML.forest_predictions(idx, cfg)).write.mode("overwrite").parquet(f"{here}/metrics")
+        paths |= {"clusters": f"{here}/clusters", "metrics": f"{here}/metrics"}
     return {"ok": True, "report": report, "table": table, **paths}
 
 
-def dashboard_tables(clean: DataFrame, idx: DataFrame, cube: DataFrame | None = None,
+def republish(spark: SparkSession, out_root: str, version: int, dest: str, k: int = 5) -> dict:
+    """Publish an earlier version again: its areas, and the cells of the clean
+    batches up to it."""
+    return publish(INC.read_table(spark, f"{out_root}/clean", version),
+                   spark.read.parquet(f"{out_root}/version={version}/areas"), dest, k)
+
+
+def dashboard_tables(clean: DataFrame, idx: DataFrame, cube: DataFrame | None = None, k: int = 5,
                      **filters) -> dict:
     """The parameterised tables behind the interactive views, answered from
     the case cube (built and checkpointed here when not given), so a filter
-    change never rescans case rows; index tables are global."""
+    change never rescans case rows; index tables are global.  Rows that count
+    fewer than ``k`` cases are left out of every table with a count."""
     from ..operators import cube as CB
     from ..session import materialize
     cube = cube if cube is not None else materialize(CB.case_cube(clean))
     sel = CB.filter_cube(cube, **filters)
-    return {"kpis": CB.kpis_filtered(sel), "by_sex": CB.by_sex(sel),
-            "by_age_group": CB.by_age_group(sel),
-            "by_region": CB.by_region(sel).orderBy(F.col("cases").desc(), "region_name")
+    safe = lambda df, c="cases": PV.suppress(df, c, k)
+    return {"kpis": safe(CB.kpis_filtered(sel), "total_cases"), "by_sex": safe(CB.by_sex(sel)),
+            "by_age_group": safe(CB.by_age_group(sel)),
+            "by_region": safe(CB.by_region(sel)).orderBy(F.col("cases").desc(), "region_name")
                            .limit(15),
-            "by_area": CB.public_top_areas(sel, 5, 20),
-            "weekly": CB.weekly_trend(sel),
-            "ranking": IX.top_ranking(idx, 20), "distribution": IX.priority_distribution(idx)}
+            "by_area": CB.public_top_areas(sel, k, 20),
+            "weekly": safe(CB.weekly_trend(sel)),
+            "ranking": IX.top_ranking(safe(idx), 20), "distribution": IX.priority_distribution(idx)}

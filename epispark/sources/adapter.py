@@ -36,14 +36,14 @@ def raw_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderpriority")
     customer = _table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_mktsegment") \
-        .withColumn("seg", _segment_code(F.col("c_mktsegment"))) \
-        .where(F.col("seg").isNotNull())
+        .withColumn("seg", _segment_code(F.col("c_mktsegment")))
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     first_ship = _table(spark, sf_dir, "lineitem").groupBy("l_orderkey") \
         .agg(F.min("l_shipdate").alias("first_ship"))
 
-    j = (orders.join(customer, orders.o_custkey == customer.c_custkey)
-               .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    # every order is a case, also one without a known customer, nation or segment
+    j = (orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
+               .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
                .join(first_ship, F.col("o_orderkey") == F.col("l_orderkey"), "left"))
 
     k = F.col("o_orderkey")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import Config
+from ..functions.core import strip_chars
 
 # canonical raw types; anything not listed keeps its source type (text from
 # CSV).  The case id is not listed: ids may be alphanumeric, and a failed
@@ -34,7 +35,7 @@ def conform(df: DataFrame, types: dict | None = None) -> DataFrame:
         if want and f.dataType.simpleString() != want:
             src = F.col(f.name)
             if isinstance(f.dataType, T.StringType):
-                src = F.trim(src)
+                src = strip_chars(src)
             cols.append(src.try_cast(want).alias(f.name))
         else:
             cols.append(F.col(f.name))
@@ -43,8 +44,9 @@ def conform(df: DataFrame, types: dict | None = None) -> DataFrame:
 
 def read_cases(spark: SparkSession, path: str, fmt: str = "csv",
                mapping: dict | None = None, columns: list | None = None,
-               types: dict | None = None) -> DataFrame:
-    """Read a raw line list (many files in parallel).
+               types: dict | None = None, ordinal: bool = False) -> DataFrame:
+    """Read a raw line list (many files in parallel).  ``ordinal`` numbers the
+    rows in file order (``_ordinal``), for updates that keep the first row.
 
     ``mapping`` renames source columns to canonical names; ``columns`` is the
     header order for CSV (read all as text, no inference).
@@ -58,6 +60,8 @@ def read_cases(spark: SparkSession, path: str, fmt: str = "csv",
             df = reader.option("inferSchema", "false").csv(path)
     else:
         df = spark.read.format(fmt).load(path)
+    if ordinal:
+        df = df.withColumn("_ordinal", F.monotonically_increasing_id())
     if mapping:
         df = df.select(*[F.col(c).alias(mapping.get(c, c)) for c in df.columns])
     return conform(df, types)
@@ -97,11 +101,13 @@ RANKING_COLUMNS = ("rank", "region_name", "local_name", "cases", "rate_100k",
                    "pct_adolescent", "trend", "score", "priority")
 
 
-def write_areas(areas: DataFrame, path: str, ranking_csv: str | None = None) -> None:
-    """Persist the area table (Parquet) and the 9-column ranking extract."""
+def write_areas(areas: DataFrame, path: str, ranking_csv: str | None = None, k: int = 5) -> None:
+    """Persist the area table (Parquet, for use inside) and the 9-column
+    ranking extract, from which areas with fewer than ``k`` cases are left out
+    as from everything that is handed on."""
     areas.write.mode("overwrite").parquet(path)
     if ranking_csv:
-        areas.select(*RANKING_COLUMNS).write.mode("overwrite") \
+        areas.where(F.col("cases") >= k).select(*RANKING_COLUMNS).write.mode("overwrite") \
              .option("header", "true").csv(ranking_csv)
 
 

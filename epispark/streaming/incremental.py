@@ -1,26 +1,32 @@
-"""Incremental line-list ingestion with Structured Streaming.
+"""Incremental line-list ingestion, in batch and with Structured Streaming.
 
 The accumulated line list is an append-only *batch table*:
 
-    <root>/batch=0/   the seeded base, de-duplicated by case id once
-    <root>/batch=1/   rows of update 1 whose id was not stored yet
-    <root>/batch=n/   ...
-
-A batch counts once its ``_SUCCESS`` marker exists (job commit); readers
-union the committed batches.  Because the stored table is unique on the id,
-an update only de-duplicates the incoming file, finds which of its ids are
-stored (scanning the stored id column against the broadcast incoming ids)
-and appends the rest — the stored rows are never shuffled or rewritten.
-
-New files dropped in a landing folder are picked up by a file stream; micro-
-batch ``b`` appends ``batch=b+1`` on top of the batches up to ``b``.  A
-replayed micro-batch overwrites the same folder with the same rows, so with
-the stream checkpoint the output is exactly-once.  Each batch writes its
-update report (existing / incoming / duplicates / added) next to it.
+    <root>/batch=0/          the seeded base, de-duplicated by case id once
+    <root>/batch=1/          rows of update 1 whose id was not stored yet
+    <root>/batch=n/          ...
+    <root>/_manifest/n.json  the commit record of batch n, written last
+
+A batch counts once its record exists, whatever markers the committer of the
+file system leaves; records must be numbered without gaps, or reading fails.
+A new batch must be the next one.  A batch that comes again (same number or
+same tag) is accepted if its input is the same, by a fingerprint of its rows,
+and changes nothing; with other rows it is refused.
+
+Because the stored table is unique on the id, an update only de-duplicates
+the incoming file, finds which of its ids are stored (from the stored id
+column) and appends the rest — the stored rows are not rewritten.
+
+New files dropped in a landing folder are picked up by a file stream; every
+micro-batch becomes the next batch, tagged with the stream's checkpoint and
+the micro-batch's number, so a replay after a failure finds its own record
+and manual updates may come between.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,31 +35,48 @@ from ..operators import update as UP
 from ..sources.cases import conform
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _fs(spark, path)
-    return fs.exists(p)
-
-
-def committed_batches(spark: SparkSession, root: str, upto: int | None = None) -> list[int]:
-    """Committed batch numbers (``_SUCCESS`` present), optionally <= upto."""
-    p, fs = _fs(spark, root)
+def records(spark: SparkSession, root: str) -> list[dict]:
+    """Commit records in order of their version; fails on a gap."""
+    p, fs = _path(spark, f"{root}/_manifest")
     if not fs.exists(p):
         return []
     out = []
     for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("batch=") and fs.exists(
-                spark._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            n = int(name.split("=", 1)[1])
-            if upto is None or n <= upto:
-                out.append(n)
-    return sorted(out)
+        if st.getPath().getName().endswith(".json"):
+            stream = fs.open(st.getPath())
+            try:
+                text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            out.append(json.loads(text))
+    out.sort(key=lambda r: r["version"])
+    have = [r["version"] for r in out]
+    if have and (have[0] not in (0, 1) or have != list(range(have[0], have[-1] + 1))):
+        raise RuntimeError(f"{root}: commit records are missing, only {have} are there")
+    return out
+
+
+def commit(spark: SparkSession, root: str, record: dict) -> None:
+    """Write the record of a batch, whole or not at all."""
+    done, fs = _path(spark, f"{root}/_manifest/{record['version']}.json")
+    part, _ = _path(spark, f"{root}/_manifest/.{record['version']}.part")
+    out = fs.create(part, True)
+    try:
+        out.write(bytearray(json.dumps(record).encode()))
+    finally:
+        out.close()
+    if not fs.rename(part, done):
+        raise RuntimeError(f"version {record['version']} of {root} was committed by another writer")
+
+
+def committed_batches(spark: SparkSession, root: str, upto: int | None = None) -> list[int]:
+    """Committed batch numbers, optionally <= upto."""
+    return [r["version"] for r in records(spark, root) if upto is None or r["version"] <= upto]
 
 
 def read_table(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame | None:
@@ -73,21 +96,47 @@ def read_latest(spark: SparkSession, root: str) -> DataFrame | None:
     return read_table(spark, root)
 
 
+def fingerprint(df: DataFrame) -> dict:
+    """Number of rows and the sum of their hashes, whatever their order."""
+    cols = sorted(c for c in df.columns if c != UP.ORDINAL_COL)
+    r = df.agg(F.count(F.lit(1)).alias("rows"),
+               F.sum(F.xxhash64(*cols).cast("decimal(38,0)")).cast("string").alias("hash")).first()
+    return {"rows": r["rows"], "hash": r["hash"] or "0"}
+
+
 def seed(base: DataFrame, root: str, key: str = "case_id") -> None:
-    """Write the stored base as batch 0, de-duplicated by id (stored-first
-    rule within the base), which establishes the unique-id invariant."""
-    if _exists(base.sparkSession, f"{root}/batch=0/_SUCCESS"):
+    """Write the stored base as batch 0, de-duplicated by id (first row
+    stays), which establishes the unique-id invariant.  A table that has a
+    batch is left as it is."""
+    spark = base.sparkSession
+    if records(spark, root):
         return
     UP.dedup_first(base.withColumn(UP.SOURCE_COL, F.lit(0)), key) \
       .write.mode("overwrite").parquet(f"{root}/batch=0")
+    commit(spark, root, {"version": 0, "tag": "seed", "input": None})
+
+
+REPORT = ("existing", "incoming", "duplicates", "added", "version")
 
 
-def append(new: DataFrame, root: str, version: int, key: str = "case_id") -> dict:
-    """Append the rows of ``new`` whose id is not stored as ``batch=version``
-    (on top of the committed batches < version); returns the update report."""
+def append(new: DataFrame, root: str, version: int | None = None, key: str = "case_id",
+           tag: str | None = None) -> dict:
+    """Append the rows of ``new`` whose id is not stored as the next batch;
+    returns the update report.  ``version``, if given, must be the next one or
+    name a committed batch of the same input, as ``tag`` may."""
     spark = new.sparkSession
-    base = read_table(spark, root, upto=version - 1)
-    obs = Observation(f"append_{version}")
+    done = records(spark, root)
+    given = fingerprint(new)
+    for r in done:
+        if (tag is not None and r["tag"] == tag) or (version is not None and r["version"] == version):
+            if r["input"] != given:
+                raise ValueError(f"batch {r['version']} of {root} is committed with other rows")
+            return {k: r[k] for k in REPORT}
+    following = done[-1]["version"] + 1 if done else 1
+    if version is not None and version != following:
+        raise ValueError(f"version {version} is not the next one, {following}")
+    base = read_table(spark, root)
+    obs = Observation(f"append_{following}")
     if base is None:
         rows = UP.dedup_first(new.withColumn(UP.SOURCE_COL, F.lit(1)), key)
         existing = 0
@@ -95,21 +144,18 @@ def append(new: DataFrame, root: str, version: int, key: str = "case_id") -> dic
         rows = UP.new_rows(base, new, key)
         existing = base.count()                       # no column is read
     rows.observe(obs, F.count(F.lit(1)).alias("added")) \
-        .write.mode("overwrite").parquet(f"{root}/batch={version}")
-    incoming = new.count()
+        .write.mode("overwrite").parquet(f"{root}/batch={following}")
     added = int(obs.get["added"])
-    report = {"existing": existing, "incoming": incoming,
-              "duplicates": incoming - added, "added": added, "version": version}
-    spark.createDataFrame([report],
-                          "existing bigint, incoming bigint, duplicates bigint, added bigint, "
-                          "version int") \
-         .write.mode("overwrite").parquet(f"{root}/_reports/batch={version}")
+    report = {"existing": existing, "incoming": given["rows"],
+              "duplicates": given["rows"] - added, "added": added, "version": following}
+    commit(spark, root, {**report, "tag": tag, "input": given})
     return report
 
 
-def merge_batch(batch: DataFrame, batch_id: int, root: str, key: str = "case_id"):
-    """foreachBatch body: micro-batch ``b`` becomes ``batch=b+1``."""
-    append(conform(batch), root, batch_id + 1, key)
+def reports(spark: SparkSession, root: str) -> DataFrame:
+    """The update reports of all committed updates."""
+    rows = [tuple(r[k] for k in REPORT) for r in records(spark, root) if r["version"]]
+    return spark.createDataFrame(rows, "existing bigint, incoming bigint, duplicates bigint, added bigint, version int")
 
 
 def start(spark: SparkSession, landing_dir: str, table_root: str, checkpoint: str,
@@ -121,7 +167,7 @@ def start(spark: SparkSession, landing_dir: str, table_root: str, checkpoint: st
         reader = reader.option("header", "true")
     stream = reader.format(fmt).load(landing_dir)
     w = (stream.writeStream.foreachBatch(
-            lambda df, bid: merge_batch(df, bid, table_root, key))
+            lambda df, bid: append(conform(df), table_root, None, key, f"{checkpoint}#{bid}"))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime="1 minute")
     return w.start()

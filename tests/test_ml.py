@@ -68,3 +68,43 @@ def test_elbow_cost_non_increasing(idx):
     e = sorted(ML.elbow(idx, CFG, ks=range(2, 5), n_init=3).collect(), key=lambda r: r["k"])
     costs = [r["inertia"] for r in e]
     assert all(b <= a * 1.05 for a, b in zip(costs, costs[1:]))
+
+
+def _balanced(spark, n=60):
+    """Areas in three classes of equal size that one feature tells apart."""
+    rows = []
+    for i in range(n):
+        k = i % 3
+        rows.append((f"{i:05d}", f"R{i % 4}", f"L{i}", 50, ("Baja", "Media", "Alta")[k],
+                     *[float(10 + k * 10 + (i * 7 + j) % 5) for j in range(len(CFG.model_features))]))
+    return spark.createDataFrame(rows, ["area_code", "region_name", "local_name", "cases", "priority", *CFG.model_features]) \
+        if "cases" not in CFG.model_features else spark.createDataFrame(
+            [r[:3] + r[4:] for r in rows], ["area_code", "region_name", "local_name", "priority", *CFG.model_features])
+
+
+def test_cross_validation_runs_its_folds(spark):
+    df = _balanced(spark)
+    r = ML.cross_validate(df, CFG, 3).first()
+    assert r["folds"] == 3 and r["mean_accuracy"] > 0.9 and 0 <= r["std_accuracy"] < 0.2
+    rules = ML.tree_rules(df, CFG).collect()
+    assert len(rules) >= 5 and any("Predict" in x["rule"] for x in rules)
+
+
+def test_split_takes_the_smallest_hashes_of_each_class(spark):
+    from pyspark.sql import functions as F
+    p = ML.prepare(_balanced(spark), CFG, 0).withColumn("h", F.xxhash64("area_code", F.lit(42)))
+    got = ML.split(p, 0.2, 42).collect()
+    want = set()
+    for label in {r["label"] for r in got}:
+        own = sorted((r["h"], r["area_code"]) for r in got if r["label"] == label)
+        want |= {a for _, a in own[:-(-len(own) // 5)]}
+    assert {r["area_code"] for r in got if r["is_test"]} == want and len(got) == 60
+
+
+def test_folds_are_even_within_classes(spark):
+    from pyspark.sql import functions as F
+    p = ML.prepare(_balanced(spark), CFG, 0)
+    ranked, sizes = ML.hash_rank(p, "label", 42)
+    assert {r["_size"] for r in sizes.collect()} == {20}
+    for label in (0.0, 1.0, 2.0):
+        assert sorted(r["_place"] for r in ranked.where(F.col("label") == label).collect()) == list(range(20))

@@ -1,3 +1,6 @@
+import os
+
+import pytest
 from epispark.streaming import incremental as INC
 from helpers import RAW_SCHEMA, raw_df
 
@@ -17,7 +20,7 @@ def test_incremental_merge_versions(spark, tmp_dir):
     cur = INC.read_latest(spark, table)
     ages = {r["case_id"]: r["age"] for r in cur.collect()}
     assert sorted(ages) == list(range(1, 9)) and ages[4] == 24 and ages[8] == 99
-    rep = spark.read.parquet(f"{table}/_reports").where("version = 2").first()
+    rep = INC.reports(spark, table).where("version = 2").first()
     assert rep["added"] == 3 and rep["duplicates"] == 2
 
 
@@ -32,6 +35,47 @@ def test_batch_table_restore_and_replay(spark, tmp_dir):
     assert rep["added"] == 3 and INC.read_table(spark, table).count() == 9  # replay is idempotent
 
 
+def test_versions_are_neither_reused_nor_skipped(spark, tmp_dir):
+    table = f"{tmp_dir}/acc"
+    INC.append(raw_df(spark, [{"case_id": i} for i in range(10)]), table, 1)
+    with pytest.raises(ValueError, match="other rows"):
+        INC.append(raw_df(spark, [{"case_id": i} for i in range(20, 30)]), table, 1)
+    for wrong in (0, 3):
+        with pytest.raises(ValueError, match="not the next"):
+            INC.append(raw_df(spark, [{"case_id": 77}]), table, wrong)
+    INC.append(raw_df(spark, [{"case_id": i} for i in range(5, 15)]), table)
+    assert INC.read_table(spark, table).count() == 15 and INC.latest_version(spark, table) == 2
+
+
+def test_a_missing_commit_record_fails_loudly(spark, tmp_dir):
+    table = f"{tmp_dir}/acc"
+    INC.seed(raw_df(spark, [{"case_id": 1}]), table)
+    INC.append(raw_df(spark, [{"case_id": 2}]), table)
+    INC.append(raw_df(spark, [{"case_id": 3}]), table)
+    os.remove(f"{table}/_manifest/1.json")
+    with pytest.raises(RuntimeError, match="missing"):
+        INC.read_table(spark, table)
+
+
+def test_an_uncommitted_folder_does_not_count(spark, tmp_dir):
+    table = f"{tmp_dir}/acc"
+    INC.append(raw_df(spark, [{"case_id": 1}]), table)
+    raw_df(spark, [{"case_id": 9}]).write.parquet(f"{table}/batch=2")       # a writer that died before its commit
+    assert INC.read_table(spark, table).count() == 1
+    INC.append(raw_df(spark, [{"case_id": 2}]), table)
+    assert sorted(r["case_id"] for r in INC.read_table(spark, table).collect()) == [1, 2]
+
+
+def test_stream_and_manual_updates_may_alternate(spark, tmp_dir):
+    from pyspark.sql.types import _parse_datatype_string
+    table, landing = f"{tmp_dir}/table", f"{tmp_dir}/landing"
+    INC.append(raw_df(spark, [{"case_id": 1}]), table)
+    raw_df(spark, [{"case_id": 2}]).write.parquet(f"{landing}/f1")
+    INC.start(spark, landing + "/*", table, f"{tmp_dir}/ckpt", _parse_datatype_string(RAW_SCHEMA), fmt="parquet").awaitTermination(120)
+    INC.append(raw_df(spark, [{"case_id": 3}]), table)
+    assert INC.committed_batches(spark, table) == [1, 2, 3] and INC.read_table(spark, table).count() == 3
+
+
 def test_csv_landing_files(spark, tmp_dir):
     from pyspark.sql.types import StringType, StructField, StructType
     from epispark.sources import cases as SRC
@@ -39,7 +83,6 @@ def test_csv_landing_files(spark, tmp_dir):
     schema = StructType([StructField(c, StringType()) for c in cols])
     with open(f"{tmp_dir}/base.csv", "w") as f:
         f.write("case_id,epi_year,age,sex\nA1,2024,20,F\nA2,2024,30,M\n")
-    import os
     os.makedirs(f"{tmp_dir}/landing")
     with open(f"{tmp_dir}/landing/new.csv", "w") as f:
         f.write("case_id,epi_year,age,sex\nA2,2024,99,F\nA3,2024,40,M\nA3,2024,41,M\n")

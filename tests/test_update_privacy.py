@@ -60,3 +60,46 @@ def test_incremental_new_rows_equals_full_merge(spark):
     got = sorted((r["case_id"] or -1, r["age"]) for r in inc.collect())
     assert got == full
     assert UP.new_rows(base, new).count() == 3            # ids 6, 7, 8 (first of the two 8s)
+
+
+def test_anti_join_counts_null_ids_as_one_and_repeats_once(spark):
+    base = raw_df(spark, [{"case_id": None, "age": 1}, {"case_id": 1, "age": 2}])
+    new = raw_df(spark, [{"case_id": None, "age": 3}, {"case_id": 2, "age": 4}, {"case_id": 2, "age": 5}])
+    a = sorted((r["case_id"] or -1, r["age"]) for r in UP.merge(base, new).collect())
+    b = sorted((r["case_id"] or -1, r["age"]) for r in UP.merge_by_anti_join(base, new).collect())
+    assert a == b == [(-1, 1), (1, 2), (2, 4)]
+
+
+def test_the_first_row_of_the_file_stays(spark, tmp_dir):
+    from epispark.sources import cases as SRC
+    with open(f"{tmp_dir}/new.csv", "w") as f:
+        f.write("case_id,age\n7,90\n8,1\n7,10\n")
+    rows = SRC.read_cases(spark, f"{tmp_dir}/new.csv", ordinal=True)
+    got = UP.dedup_first(rows.withColumn(UP.SOURCE_COL, F.lit(1)))
+    assert got.columns == ["case_id", "age"]
+    assert {r["case_id"]: r["age"] for r in got.collect()} == {"7": 90, "8": 1}
+
+
+def test_updates_equal_one_run_over_all_rows(spark, tmp_dir):
+    from epispark.config import Config
+    from epispark.operators import clean as CL, index as IX
+    from epispark.plans import workflows
+    from epispark.sources.cases import empty_population
+    from epispark.streaming import incremental as INC
+    cfg = Config(year=2024, model_features=Config().model_features)
+    mk = lambda ids: raw_df(spark, [{"case_id": i, "region_code": str(1 + i % 3), "region_name": f"R{i % 3}",
+                                     "local_code": str(i % 7), "local_name": f"L{i % 7}", "age": i % 90,
+                                     "epi_week": 1 + i % 52} for i in ids])
+    pop = empty_population(spark)
+    base, one, two = mk(range(60)), mk(range(50, 140)), mk(range(100, 200))
+    workflows.update(spark, base, one, pop, tmp_dir, 1, cfg)
+    first = INC.read_table(spark, f"{tmp_dir}/clean").inputFiles()
+    done = workflows.update(spark, base, two, pop, tmp_dir, 2, cfg)
+    assert set(first) <= set(INC.read_table(spark, f"{tmp_dir}/clean").inputFiles())      # stored files stay
+    got = sorted(map(tuple, spark.read.parquet(done["areas"]).collect()))
+    whole = IX.index_flow(CL.clean(mk(range(200)), cfg), pop, cfg)
+    assert got == sorted(map(tuple, whole.select(*spark.read.parquet(done["areas"]).columns).collect()))
+    again = workflows.update(spark, base, two, pop, tmp_dir, 2, cfg)
+    assert again["report"] == done["report"]
+    pub = workflows.republish(spark, tmp_dir, 1, f"{tmp_dir}/pub")
+    assert spark.read.parquet(pub["areas"]).agg({"cases": "sum"}).first()[0] <= 140

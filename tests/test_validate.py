@@ -9,15 +9,38 @@ def findings(df, year=2024):
     return {r["rule_id"]: r for r in VA.findings(df, Config(year=year)).collect()}
 
 
+def values(df, year=2024):
+    out = {}
+    for r in VA.offending_values(df, Config(year=year)).collect():
+        out.setdefault(r["rule_id"], {})[r["value"]] = r["value_rows"]
+    return out
+
+
+def test_every_offending_value_is_listed(spark):
+    raw = raw_df(spark, [{"sex": f"S{i:03d}"} for i in range(60)] + [{"sex": "S001"}, {"sex": "\tF"}, {"sex": "\u00a0m "}])
+    assert values(raw)["sex_domain"] == {f"S{i:03d}": 2 if i == 1 else 1 for i in range(60)}
+    assert findings(raw)["sex_domain"]["n_rows"] == 61               # padded F and m pass
+
+
+def test_one_rule_alone_gives_the_same_row(spark):
+    raw = raw_df(spark, [{"sex": "X"}, {"age": 130}, {"epi_year": 2023}])
+    whole = VA.findings(raw, Config(year=2024)).collect()
+    for r in whole:
+        assert VA.findings(raw, Config(year=2024), [r["rule_id"]]).collect() == [r]
+    plan = VA.findings(raw, Config(year=2024))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1
+
+
 def test_domain_rules(spark):
     raw = raw_df(spark, [{"sex": "f"}, {"sex": "X"}, {"sex": None}, {"area_type": 4},
                          {"hospital_code": 3}, {"epi_year": 2023}, {"region_code": "5"},
                          {"local_code": "1"}, {"notified_text": "bad"}, {"age": 130}])
     f = findings(raw)
-    assert f["sex_domain"]["triggered"] and f["sex_domain"]["vals"] == ["X"]
+    v = values(raw)
+    assert f["sex_domain"]["triggered"] and v["sex_domain"] == {"X": 1}
     assert f["sex_domain"]["n_rows"] == 1                    # 'f' passes after upper-casing
-    assert f["area_domain"]["vals"] == ["4"] and f["hospital_domain"]["vals"] == ["3"]
-    assert f["year"]["vals"] == ["2023"] and f["year"]["n_rows"] == 1
+    assert v["area_domain"] == {"4": 1} and v["hospital_domain"] == {"3": 1}
+    assert v["year"] == {"2023": 1} and f["year"]["n_rows"] == 1
     assert f["short_region_code"]["n_rows"] == 1 and f["short_local_code"]["n_rows"] == 1
     assert f["date_format"]["n_rows"] == 1 and f["age_range"]["n_rows"] == 1
     assert not f["event_code"]["triggered"]
@@ -53,4 +76,4 @@ def test_contract_doc_lists_columns():
 def test_huge_codes_do_not_fail(spark):
     raw = raw_df(spark, [{}]).withColumn("area_type", F.lit("1e30"))
     f = findings(raw)
-    assert f["area_domain"]["triggered"] and f["area_domain"]["vals"] == ["1.0E30"]
+    assert f["area_domain"]["triggered"] and values(raw)["area_domain"] == {"1.0E30": 1}
