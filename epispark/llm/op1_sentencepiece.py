@@ -44,7 +44,7 @@ from .common import buffer, mix, slices, strings
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE_MARK = "▁"
 UNIT = re.compile(r" +[^ ]*")
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 
 @dataclass
@@ -175,12 +175,13 @@ class Codec:
             count[to + 1] += 1
         first = np.cumsum(count)
         fill, n = first[:-1].copy(), int(first[-1])
-        src, to, piece = np.empty(n, dtype=np.int64), np.empty(n, dtype=np.int64), np.empty(n, dtype=np.int32)
+        small = np.int32 if max(n, len(points), int(base[-1])) < 2**31 else np.int64
+        src, piece = np.empty(n, dtype=small), np.empty(n, dtype=np.int32)
         for s, t, p in found:
             at = fill[t]
             fill[t] += 1
-            src[at], to[at], piece[at] = s, t, p
-        node = base[place[src]] + unit[src]
+            src[at], piece[at] = s, p
+        node = (base[place[src]] + unit[src]).astype(small)
         cost = np.where(piece >= 0, self.weight[piece], self.fallback)
         return Lattice(node, piece, src, cost, first, base, sizes, points)
 

@@ -46,7 +46,7 @@ FRAME = b"........ "            # makes short windows long enough to be compress
 LEVELS = (2, 3, 4, 5, 6)        # bytes by which the toxic dictionary must win
 ORDINARY_BYTES, TOXIC_BYTES = 65_536, (2048, 8192, 16_384)
 ROUNDS = 4
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 #: every byte but letters, digits and non-ASCII ones to a space, A-Z to lower case
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 N_FEATURES = 2 * len(LEVELS) + 1
@@ -90,17 +90,19 @@ class Distance:
     def __init__(self, ordinary: bytes, toxic: bytes, lengths: dict[bytes, int] | None = None):
         self.ordinary, self.toxic = _compressor(ordinary), _compressor(toxic)
         self.known: dict[bytes, int] = {}
-        self.lengths = {} if lengths is None else lengths       # with the ordinary dictionary
+        self.lengths = lengths              # with the ordinary dictionary, if they are to be used again
 
     def of(self, words: list[bytes]) -> list[int]:
         known = self.known
         if len(known) > CACHE_WORDS:
             known.clear()
-            self.lengths.clear()
         for w in words:
             if w not in known:
                 window = FRAME + w + b" "
                 n = len(self.toxic(window))
+                if self.lengths is None:
+                    known[w] = len(self.ordinary(window)) - n
+                    continue
                 if w not in self.lengths:
                     self.lengths[w] = len(self.ordinary(window))
                 known[w] = self.lengths[w] - n
