@@ -325,6 +325,15 @@ q("snk_ranking_export", f"""SELECT rank, region_name, local_name, cases,
   {rnd('rate_100k', 1)} AS rate_100k, {rnd('score', 1)} AS score, priority
 FROM idx WHERE cases >= 5""", ("idx",))
 
+q("snk_clean", "SELECT epi_year, CAST(count(*) AS bigint) AS cases FROM clean GROUP BY epi_year")
+q("snk_area", "SELECT rank, region_name, local_name, cases, rate_100k, pct_adolescent, trend, score, priority FROM idx WHERE cases >= 5",
+  ("idx",))
+q("snk_public", f"SELECT {AREA_KEYS}, cases, score, priority, rank FROM idx WHERE cases >= 5", ("idx",))
+q("snk_snapshot", "SELECT case_id, area_code, epi_year FROM clean")
+q_raw("src_resolve_base", "SELECT case_id, event_code, epi_year, age FROM typed_raw")
+q_raw("cln_trim_names", "SELECT case_id, sex, age FROM typed_raw")
+q_raw("cln_drop_columns", "SELECT case_id, region_name FROM typed_raw")
+
 # --------------------------------------------------------------------------
 # 2.2 profiling
 # --------------------------------------------------------------------------
@@ -369,14 +378,15 @@ q_raw("prof_top_regions", """SELECT region_name, count(*) AS n FROM typed_raw
 WHERE region_name IS NOT NULL GROUP BY region_name ORDER BY n DESC, region_name LIMIT 5""")
 _cnts = ", ".join(f"count({c}) AS {c}" for c in RAW_COLS)
 q_raw("prof_empty_columns", f"""SELECT "column" FROM (
-  UNPIVOT (SELECT {_cnts} FROM typed_raw) ON {', '.join(RAW_COLS)}
-  INTO NAME "column" VALUE n_values) WHERE n_values = 0""")
+  UNPIVOT (SELECT {_cnts}, count(died_on) AS died_on FROM (SELECT *, CAST(NULL AS varchar) AS died_on FROM typed_raw))
+  ON {', '.join(RAW_COLS)}, died_on INTO NAME "column" VALUE n_values) WHERE n_values = 0""")
 q("prof_code_uniqueness", """SELECT CAST(count(DISTINCT local_code) AS bigint) AS local_codes,
   CAST(count(DISTINCT area_code) AS bigint) AS area_codes FROM clean""")
-q("prof_code_names", """SELECT area_code, CAST(count(DISTINCT (region_name, local_name)) AS bigint) AS n_names,
+q_raw("prof_code_names", """SELECT area_code, CAST(count(DISTINCT (region_name, local_name)) AS bigint) AS n_names,
   min(region_name || ' / ' || local_name) AS first_name, max(region_name || ' / ' || local_name) AS last_name
-FROM clean WHERE area_code IS NOT NULL AND region_name IS NOT NULL AND local_name IS NOT NULL
-GROUP BY area_code HAVING count(DISTINCT (region_name, local_name)) > 1""")
+FROM coded WHERE area_code IS NOT NULL AND region_name IS NOT NULL AND local_name IS NOT NULL
+GROUP BY area_code HAVING count(DISTINCT (region_name, local_name)) > 1""", f""",
+coded AS (SELECT *, {_zfill('region_code', 2)} || {_zfill('local_code', 3)} AS area_code FROM typed_raw)""")
 q("prof_code_sample", f"""SELECT DISTINCT region_code, region_name, area_code, local_name
 FROM clean WHERE {_zfill('local_code', 3)} = '001'
 ORDER BY area_code NULLS LAST, region_name NULLS LAST, local_name NULLS LAST LIMIT 8""")
@@ -822,6 +832,7 @@ q("idx_counts", f"""SELECT {cnt_if("priority = 'Crítica'")} AS n_critical, {cnt
    ORDER BY m DESC, region_name LIMIT 1) AS top_region_by_mean FROM idx""", ("idx",))
 q("idx_scatter", f"""SELECT {AREA_KEYS}, rate_100k, pct_adolescent, priority, cases, score FROM idx
 WHERE cases >= 5""", ("idx",))
+q("idx_pipeline", f"SELECT {AREA_KEYS}, cases, score, priority, rank FROM idx", ("idx",))
 q("idx_full_run", f"SELECT {AREA_KEYS}, cases, score, priority, rank FROM idx", ("idx",))
 
 # --------------------------------------------------------------------------
@@ -859,7 +870,7 @@ q("cht_area_share", _by_label("area_label"))
 # --------------------------------------------------------------------------
 # 2.16 recommendations
 # --------------------------------------------------------------------------
-from epispark.operators.recommend import DEFAULT_RULE as _DEF, RULES as _RULES  # noqa: E402
+from epispark.operators.recommend import DEFAULT_RULE as _DEF, RULES as _RULES, default_text as _say  # noqa: E402
 
 
 
@@ -869,15 +880,15 @@ def _rule_sql(col, op, value):
 
 
 _ids = "list_filter([" + ", ".join(
-    f"CASE WHEN {_rule_sql(c, op, v)} THEN '{rid}' END" for rid, c, op, v, _ in _RULES) \
+    f"CASE WHEN {_rule_sql(c, op, v)} THEN '{rid}' END" for rid, c, op, v in _RULES) \
     + "], lambda x: x IS NOT NULL)"
 _txt = "list_filter([" + ", ".join(
-    f"CASE WHEN {_rule_sql(c, op, v)} THEN '{t}' END" for _, c, op, v, t in _RULES) \
+    f"CASE WHEN {_rule_sql(c, op, v)} THEN '{_say(rid).replace(chr(39), chr(39) * 2)}' END" for rid, c, op, v in _RULES) \
     + "], lambda x: x IS NOT NULL)"
 q("rec_rules", f"""SELECT {AREA_KEYS}, priority,
-  CASE WHEN len(ids) = 0 THEN '{_DEF[0]}' ELSE array_to_string(ids, ',') END AS rule_ids,
+  CASE WHEN len(ids) = 0 THEN '{_DEF}' ELSE array_to_string(ids, ',') END AS rule_ids,
   CAST(CASE WHEN len(ids) = 0 THEN 1 ELSE len(ids) END AS integer) AS n_rules,
-  CASE WHEN len(txt) = 0 THEN '{_DEF[1]}' ELSE array_to_string(txt, chr(10) || chr(10)) END AS text
+  CASE WHEN len(txt) = 0 THEN '{_say(_DEF)}' ELSE array_to_string(txt, chr(10) || chr(10)) END AS text
 FROM (SELECT *, {_ids} AS ids, {_txt} AS txt FROM idx)""", ("idx",))
 q("rec_top_area", f"""SELECT {AREA_KEYS}, cases, {rnd('rate_100k', 1)} AS rate_100k,
   {rnd('pct_adolescent * 100', 1)} AS pct_adolescent, {rnd('trend * 100', 1)} AS trend_pct,

@@ -110,10 +110,11 @@ VALID_AREA = (1, 2, 3)
 VALID_HOSPITAL = (1, 2)
 EXPECTED_EVENT_CODES = (356,)
 
-# columns dropped by cleaning when present (high null share or no variance)
+# columns dropped by cleaning when present (high null share or no variance); the
+# event code is not among them, as the contract requires it (``event_code``)
 DROP_COLUMNS = (
     "GRU_POB", "FEC_DEF", "CBMTE", "CER_DEF", "FM_FUERZA", "FM_UNIDAD", "FM_GRADO",
-    "COD_PAIS_O", "COD_PAIS_R", "COD_PAIS_N", "COD_PRE", "COD_SUB", "COD_EVE",
+    "COD_PAIS_O", "COD_PAIS_R", "COD_PAIS_N", "COD_PRE", "COD_SUB",
     "TIP_CAS", "CON_FIN", "Estado_final_de_caso", "nom_est_f_caso", "AJUSTE",
     "va_sispro", "FEC_AJU", "FEC_ARC_XL", "confirmados",
 )
@@ -133,25 +134,6 @@ MODEL_FEATURES = (
     "pct_psychiatric", "cases", "pct_minor", "pct_female", "pct_rural",
 )
 MODEL_TARGET = "priority"
-FEATURE_LABELS = {
-    "rate_100k": "Tasa por 100k hab.",
-    "pct_adolescent": "% Adolescentes (12–17)",
-    "pct_young_adult": "% Jóvenes Adultos (18–25)",
-    "trend": "Tendencia H2 vs H1",
-    "pct_hospitalised": "% Hospitalizados",
-    "pct_psychiatric": "% Antec. psiquiátrico",
-    "cases": "Total de casos",
-    "pct_minor": "% Menores de 18",
-    "pct_female": "% Femenino",
-    "pct_rural": "% Rural",
-}
-# cluster names by ascending mean rate (fallback "Cluster <k>")
-CLUSTER_LABELS = (
-    "Cluster A – Perfil Rural/Bajo",
-    "Cluster B – Perfil Urbano Medio",
-    "Cluster C – Metrópoli Única (Bogotá)",
-    "Cluster D – Ciudades Grandes/Medianas",
-)
 
 
 @dataclass(frozen=True)

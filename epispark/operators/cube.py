@@ -71,7 +71,7 @@ def by_label(cube: DataFrame, label, name: str) -> DataFrame:
     """Cases and % per label of a small fixed domain (null label excluded)."""
     t = cube.where(label.isNotNull()).groupBy(label.alias(name)) \
             .agg(F.sum("n").cast("bigint").alias("cases"))
-    return t.withColumn("pct", _pct1(F.col("cases"), F.sum("cases").over(Window.partitionBy())))
+    return t.withColumn("pct", _pct1(F.col("cases"), t.select(F.sum("cases")).scalar()))
 
 
 def by_sex(cube: DataFrame) -> DataFrame:
@@ -83,7 +83,7 @@ def by_age_group(cube: DataFrame) -> DataFrame:
     t = cube.where(D.age_group(age).isNotNull()).groupBy(
         D.age_group(age).alias("age_group"), D.age_group_ord(age).alias("age_group_ord")) \
         .agg(F.sum("n").cast("bigint").alias("cases"))
-    return t.withColumn("pct", _pct1(F.col("cases"), F.sum("cases").over(Window.partitionBy())))
+    return t.withColumn("pct", _pct1(F.col("cases"), t.select(F.sum("cases")).scalar()))
 
 
 def weekly_trend(cube: DataFrame, window: int = 4) -> DataFrame:
@@ -186,7 +186,7 @@ def cumulative_age(cube: DataFrame) -> DataFrame:
     """Age-group shares with the running share over ordered groups."""
     t = by_age_group(cube)
     w = Window.orderBy("age_group_ord").rowsBetween(Window.unboundedPreceding, 0)  # <= 7 rows
-    total = F.sum("cases").over(Window.partitionBy())
+    total = t.select(F.sum("cases")).scalar()
     return t.withColumn("cum_cases", F.sum("cases").over(w).cast("bigint")) \
             .withColumn("cum_pct", _pct1(F.col("cum_cases"), total))
 

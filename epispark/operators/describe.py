@@ -75,12 +75,15 @@ def kpis(df: DataFrame) -> DataFrame:
         pct1(F.sum(flag01(F.col("is_rural"))), n).alias("pct_rural"),
         month_counts.alias("_mc"), age_counts.alias("_ac"),
     )
-    regions = df.select(F.count_distinct("region_name")).scalar()
-    areas = df.select(F.count_distinct("area_code")).scalar()
+    # one pre-aggregate by region and area serves all open-domain figures
+    pairs = df.groupBy("region_name", "area_code").agg(F.count(F.lit(1)).alias("_n"))
+    top = (pairs.where(F.col("region_name").isNotNull()).groupBy("region_name").agg(F.sum("_n").alias("_n"))
+           .select(F.min_by("region_name", F.struct((-F.col("_n")).alias("a"), F.col("region_name").alias("b")))))
     return main.select(
         *[c for c in main.columns if not c.startswith("_")],
-        regions.cast("bigint").alias("regions"), areas.cast("bigint").alias("areas"),
-        _mode(df, "region_name").alias("top_region"),
+        pairs.select(F.count_distinct("region_name")).scalar().cast("bigint").alias("regions"),
+        pairs.select(F.count_distinct("area_code")).scalar().cast("bigint").alias("areas"),
+        top.scalar().alias("top_region"),
         _mode_of_domain(F.col("_mc"), list(range(1, 13))).alias("top_month"),
         _mode_of_domain(F.col("_ac"), C.AGE_LABELS).alias("top_age_group"))
 
@@ -125,10 +128,9 @@ def by_area(df: DataFrame, top: int | None = 20) -> DataFrame:
 
 
 def _with_share(t: DataFrame, n_col: str = "cases") -> DataFrame:
-    """Share of each group in the grand total.  ``t`` is an aggregate over a
-    label domain (a handful of rows), so the total is a window over it —
-    no second scan of the case table."""
-    total = F.sum(n_col).over(Window.partitionBy())
+    """Share of each group in the grand total (a scalar subquery over the
+    grouped counts, whose shuffle is reused)."""
+    total = t.select(F.sum(n_col)).scalar()
     return t.withColumn("pct", pct1(F.col(n_col), total))
 
 
@@ -180,7 +182,7 @@ def cumulative_age(df: DataFrame) -> DataFrame:
     share under 26 is the running value at the 18–25 group)."""
     t = by_age_group(df)
     w = Window.orderBy("age_group_ord").rowsBetween(Window.unboundedPreceding, 0)  # <= 7 rows
-    total = F.sum("cases").over(Window.partitionBy())
+    total = t.select(F.sum("cases")).scalar()
     return t.withColumn("cum_cases", F.sum("cases").over(w).cast("bigint")) \
             .withColumn("cum_pct", pct1(F.col("cum_cases"), total))
 

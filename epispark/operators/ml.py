@@ -156,9 +156,9 @@ def tree_rules(idx: DataFrame, cfg: Config | None = None, max_depth: int | None
     return spark.createDataFrame(rows, "line int, depth int, rule string")
 
 
-def importances(idx: DataFrame, cfg: Config | None = None) -> DataFrame:
+def importances(idx: DataFrame, cfg: Config | None = None, labels: dict[str, str] | None = None) -> DataFrame:
     """Normalised Gini importances of the forest, sorted, with an above-mean
-    flag and readable labels."""
+    flag and the caller's labels (else the names)."""
     cfg = cfg or Config()
     train, _ = _train_test(prepare(idx, cfg), cfg)
     model = fit_forest(train, cfg.seed)
@@ -167,10 +167,9 @@ def importances(idx: DataFrame, cfg: Config | None = None) -> DataFrame:
     df = spark.createDataFrame(list(zip(cfg.model_features, vals)),
                                "feature string, importance double")
     mean = 1.0 / len(vals) if vals else 0.0
-    kv = []
-    for k, v in C.FEATURE_LABELS.items():
-        kv += [F.lit(k), F.lit(v)]
-    label = F.coalesce(F.element_at(F.create_map(*kv), F.col("feature")), F.col("feature"))
+    label = F.col("feature")
+    for k, v in (labels or {}).items():
+        label = F.when(F.col("feature") == k, F.lit(v)).otherwise(label)
     return df.select("feature", label.alias("label"), "importance",
                      (F.col("importance") > mean).alias("above_mean")) \
              .orderBy(F.col("importance").desc(), "feature")
@@ -293,7 +292,7 @@ def elbow(idx: DataFrame, cfg: Config | None = None, ks=range(2, 9), n_init: int
                                             "k int, inertia double")
 
 
-def kmeans(idx: DataFrame, cfg: Config | None = None, n_init: int = 10) -> DataFrame:
+def kmeans(idx: DataFrame, cfg: Config | None = None, n_init: int = 10, labels: tuple[str, ...] = ()) -> DataFrame:
     """Cluster every area (no case minimum) on z-scored features; the
     cluster id is relabelled by ascending mean rate (0 = lowest rate)."""
     cfg = cfg or Config()
@@ -303,18 +302,19 @@ def kmeans(idx: DataFrame, cfg: Config | None = None, n_init: int = 10) -> DataF
     feats = idx.select(*KEYS, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
                                 for c in cfg.model_features])
     j = assigned.join(feats, list(KEYS))
-    order = cluster_order(j)
+    order = cluster_order(j, labels)
     return j.join(F.broadcast(order), "raw_cluster").drop("raw_cluster")
 
 
-def cluster_order(assigned: DataFrame) -> DataFrame:
-    """raw cluster id -> rank of its mean rate (k rows) and label."""
+def cluster_order(assigned: DataFrame, labels: tuple[str, ...] = ()) -> DataFrame:
+    """raw cluster id -> rank of its mean rate (k rows) and label: the
+    caller's, by rank, or the rank's number."""
     means = assigned.groupBy("raw_cluster").agg(F.avg("rate_100k").alias("_mr"))
     w = Window.orderBy("_mr", "raw_cluster")                         # k rows
-    labels = F.array(*[F.lit(x) for x in C.CLUSTER_LABELS])
+    names = F.array(*[F.lit(x) for x in labels]) if labels else F.array().cast("array<string>")
     rank = (F.row_number().over(w) - 1).cast("int")
     return means.select("raw_cluster", rank.alias("cluster"),
-                        F.coalesce(F.try_element_at(labels, rank + 1),
+                        F.coalesce(F.try_element_at(names, rank + 1),
                                    F.concat(F.lit("Cluster "), rank.cast("string")))
                         .alias("cluster_label"))
 

@@ -8,23 +8,24 @@ from pyspark.sql import functions as F
 from ..functions.core import count_if, flag01, round_half_even
 from .describe import pct1
 
-# FIXED VALUES: rule thresholds on the area table (id, column, op, value, text)
+# FIXED VALUES: rule thresholds on the area table (id, column, op, value)
 RULES = (
-    ("immediate_intervention", "priority", "==", "Crítica",
-     "Immediate intervention: activate the comprehensive mental-health care route."),
-    ("school_prevention", "pct_adolescent", ">", 0.30,
-     "School prevention: mental-health programmes for ages 12-17."),
-    ("intensified_surveillance", "trend", ">", 0.3,
-     "Intensified surveillance: sustained growth in the second half."),
-    ("rural_access", "pct_rural", ">", 0.20,
-     "Rural access: strengthen rural health posts and telemedicine."),
-    ("hospital_capacity", "pct_hospitalised", ">", 0.70,
-     "Hospital capacity: review emergency protocols and the secondary mental-health network."),
-    ("post_event_follow_up", "pct_psychiatric", ">", 0.05,
-     "Post-event follow-up: strengthen support after the first event."),
+    ("immediate_intervention", "priority", "==", "Crítica"),
+    ("school_prevention", "pct_adolescent", ">", 0.30),
+    ("intensified_surveillance", "trend", ">", 0.3),
+    ("rural_access", "pct_rural", ">", 0.20),
+    ("hospital_capacity", "pct_hospitalised", ">", 0.70),
+    ("post_event_follow_up", "pct_psychiatric", ">", 0.05),
 )
-DEFAULT_RULE = ("keep_surveillance",
-                "Keep active surveillance and community mental-health promotion.")
+DEFAULT_RULE = "keep_surveillance"
+
+
+def default_text(rule_id: str) -> str:
+    """What a rule says where the caller gives no advice of their own."""
+    for rid, col, op, value in RULES:
+        if rid == rule_id:
+            return f"{rule_id}: {col} {op} {value}"
+    return f"{rule_id}: no other rule applies"
 
 
 def _cond(col, op, value):
@@ -32,19 +33,18 @@ def _cond(col, op, value):
     return c == F.lit(value) if op == "==" else c > F.lit(value)
 
 
-def rules(idx: DataFrame) -> DataFrame:
-    """Per area: triggered rule ids (in rule order) and their texts; the
-    default rule when none fires."""
-    ids = F.array_compact(F.array(*[F.when(_cond(c, op, v), F.lit(rid))
-                                    for rid, c, op, v, _ in RULES]))
-    texts = F.array_compact(F.array(*[F.when(_cond(c, op, v), F.lit(txt))
-                                      for _, c, op, v, txt in RULES]))
-    ids = F.when(F.size(ids) == 0, F.array(F.lit(DEFAULT_RULE[0]))).otherwise(ids)
-    texts = F.when(F.size(texts) == 0, F.array(F.lit(DEFAULT_RULE[1]))).otherwise(texts)
+def rules(idx: DataFrame, texts: dict[str, str] | None = None) -> DataFrame:
+    """Per area: triggered rule ids (in rule order) and their texts (``texts``
+    by rule id, else the rule itself); the default rule when none fires."""
+    say = lambda rid: F.lit((texts or {}).get(rid, default_text(rid)))
+    ids = F.array_compact(F.array(*[F.when(_cond(c, op, v), F.lit(rid)) for rid, c, op, v in RULES]))
+    said = F.array_compact(F.array(*[F.when(_cond(c, op, v), say(rid)) for rid, c, op, v in RULES]))
+    ids = F.when(F.size(ids) == 0, F.array(F.lit(DEFAULT_RULE))).otherwise(ids)
+    said = F.when(F.size(said) == 0, F.array(say(DEFAULT_RULE))).otherwise(said)
     return idx.select("area_code", "region_name", "local_name", "priority",
                       F.concat_ws(",", ids).alias("rule_ids"),
                       F.size(ids).alias("n_rules"),
-                      F.concat_ws("\n\n", texts).alias("text"))
+                      F.concat_ws("\n\n", said).alias("text"))
 
 
 def area_profile(idx: DataFrame, area_code: str | None = None) -> DataFrame:

@@ -127,6 +127,21 @@ class Inputs:
         return self._get("index", lambda: IX.priority_index(self.areas, self.cfg))
 
 
+    @property
+    def forest(self) -> DataFrame:
+        """Test-set predictions of the forest, fitted once a session."""
+        from ..operators import ml as ML
+        from ..session import materialize
+        return self._get("forest", lambda: materialize(ML.forest_predictions(self.index, self.cfg)))
+
+    @property
+    def clusters(self) -> DataFrame:
+        """Clustered areas, fitted once a session."""
+        from ..operators import ml as ML
+        from ..session import materialize
+        return self._get("clusters", lambda: materialize(ML.kmeans(self.index, self.cfg)))
+
+
 def inputs(spark, sf_dir) -> Inputs:
     return Inputs.of(spark, sf_dir)
 

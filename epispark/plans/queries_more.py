@@ -73,6 +73,50 @@ def snk_ranking_export(spark, d):
                       "priority")
 
 
+@query("snk_clean")
+def snk_clean(spark, d):
+    """The clean table written partitioned by year, counted from its files."""
+    path = scratch_path(spark, "clean_by_year")
+    SRC.write_clean(inputs(spark, d).clean, path)
+    return SRC.read_clean(spark, path).groupBy("epi_year").agg(F.count(F.lit(1)).cast("bigint").alias("cases"))
+
+
+@query("snk_area")
+def snk_area(spark, d):
+    """The ranking extract as its reader finds it (small areas left out)."""
+    path = scratch_path(spark, "areas")
+    SRC.write_areas(inputs(spark, d).index, path, f"{path}-csv")
+    return spark.read.option("header", "true").schema(
+        "rank int, region_name string, local_name string, cases bigint, rate_100k double, pct_adolescent double, "
+        "trend double, score double, priority string").csv(f"{path}-csv")
+
+
+@query("snk_public")
+def snk_public(spark, d):
+    """The published area table (suppressed, checked, written, read again)."""
+    from . import workflows
+    i = inputs(spark, d)
+    done = workflows.publish(i.clean, i.index, scratch_path(spark, "public"))
+    return spark.read.parquet(done["areas"]).select(
+        "area_code", "region_name", "local_name", "cases", "score", "priority", "rank")
+
+
+@query("src_resolve_base")
+def src_resolve_base(spark, d):
+    """The stored base of an update: the first candidate that exists."""
+    path = scratch_path(spark, "base")
+    inputs(spark, d).raw.write.parquet(path)
+    return SRC.resolve_base(spark, [(f"{path}-accumulated", "parquet"), (path, "parquet")]).select(
+        "case_id", "event_code", "epi_year", "age")
+
+
+@query("snk_snapshot")
+def snk_snapshot(spark, d):
+    root = scratch_path(spark, "snapshots")
+    SRC.write_snapshot(inputs(spark, d).clean, root, 1)
+    return SRC.read_snapshot(spark, root, 1).select("case_id", "area_code", "epi_year")
+
+
 # --------------------------------------------------------------------------
 # 2.2 profiling (typed raw file)
 # --------------------------------------------------------------------------
@@ -122,7 +166,8 @@ def prof_top_regions(spark, d):
 
 @query("prof_empty_columns")
 def prof_empty_columns(spark, d):
-    return PF.empty_columns(_typed(spark, d))
+    """The raw file with a column that nobody filled in."""
+    return PF.empty_columns(_typed(spark, d).withColumn("died_on", F.lit(None).cast("string")))
 
 
 @query("prof_code_uniqueness")
@@ -132,7 +177,8 @@ def prof_code_uniqueness(spark, d):
 
 @query("prof_code_names")
 def prof_code_names(spark, d):
-    return PF.codes_with_several_names(inputs(spark, d).clean)
+    """Codes of the raw file, whose names are not yet spelled alike."""
+    return PF.codes_with_several_names(CL.area_code(_typed(spark, d), inputs(spark, d).cfg))
 
 
 @query("prof_code_sample")
@@ -198,6 +244,20 @@ def val_preview(spark, d):
 # --------------------------------------------------------------------------
 # 2.4 cleaning steps
 # --------------------------------------------------------------------------
+@query("cln_trim_names")
+def cln_trim_names(spark, d):
+    """A file whose header is padded."""
+    padded = _typed(spark, d).select(*[F.col(c).alias(f" {c}\t") for c in ("case_id", "sex", "age")])
+    return CL.trim_column_names(padded)
+
+
+@query("cln_drop_columns")
+def cln_drop_columns(spark, d):
+    """Columns that the analysis does not use are left out."""
+    wide = _typed(spark, d).select("case_id", "region_name", F.lit("1").alias("TIP_CAS"), F.lit("2").alias("AJUSTE"))
+    return CL.drop_columns(wide, inputs(spark, d).cfg)
+
+
 @query("cln_trim_text")
 def cln_trim_text(spark, d):
     t = CL.trim_text(_typed(spark, d))
@@ -529,6 +589,16 @@ query("idx_counts")(lambda s, d: IX.priority_counts(inputs(s, d).index))
 query("idx_scatter")(lambda s, d: IX.scatter(inputs(s, d).index, 5))
 
 
+@query("idx_pipeline")
+def idx_pipeline(spark, d):
+    """raw cases -> clean -> area table -> index, written by the batch workflow."""
+    from . import workflows
+    i = inputs(spark, d)
+    done = workflows.batch_index(i.raw, i.population, scratch_path(spark, "batch"), i.cfg, i.aliases)
+    return spark.read.parquet(done["areas"]).select(
+        "area_code", "region_name", "local_name", "cases", "score", "priority", "rank")
+
+
 @query("idx_full_run")
 def idx_full_run(spark, d):
     """cases -> area table -> index in one call: rebuilds (and checkpoints)
@@ -588,23 +658,17 @@ def ml_class_weight(spark, d):
 
 query("ml_tree")(lambda s, d: ML.tree_predictions(inputs(s, d).index, inputs(s, d).cfg))
 query("ml_tree_rules")(lambda s, d: ML.tree_rules(inputs(s, d).index, inputs(s, d).cfg))
-query("ml_forest")(lambda s, d: ML.forest_predictions(inputs(s, d).index, inputs(s, d).cfg))
+query("ml_forest")(lambda s, d: inputs(s, d).forest)
 query("ml_importance")(lambda s, d: ML.importances(inputs(s, d).index, inputs(s, d).cfg))
 query("ml_cv")(lambda s, d: ML.cross_validate(inputs(s, d).index, inputs(s, d).cfg))
-query("ml_metrics")(lambda s, d: ML.metrics(
-    ML.forest_predictions(inputs(s, d).index, inputs(s, d).cfg)))
-query("ml_confusion")(lambda s, d: ML.confusion(
-    ML.forest_predictions(inputs(s, d).index, inputs(s, d).cfg)))
+query("ml_metrics")(lambda s, d: ML.metrics(inputs(s, d).forest))
+query("ml_confusion")(lambda s, d: ML.confusion(inputs(s, d).forest))
 query("ml_standardize")(lambda s, d: ML.standardize(inputs(s, d).index, inputs(s, d).cfg, 6))
 query("ml_elbow")(lambda s, d: ML.elbow(inputs(s, d).index, inputs(s, d).cfg))
-query("ml_kmeans")(lambda s, d: ML.kmeans(inputs(s, d).index, inputs(s, d).cfg).select(
-    *ML.KEYS, "cluster", "cluster_label"))
-query("ml_cluster_profile")(lambda s, d: ML.cluster_profile(
-    ML.kmeans(inputs(s, d).index, inputs(s, d).cfg), inputs(s, d).cfg))
-query("ml_cluster_label")(lambda s, d: ML.kmeans(inputs(s, d).index, inputs(s, d).cfg)
-                          .select("cluster", "cluster_label").distinct())
-query("win_cluster_rank")(lambda s, d: ML.kmeans(inputs(s, d).index, inputs(s, d).cfg)
-                          .groupBy("cluster").agg(F.avg("rate_100k").alias("mean_rate")))
+query("ml_kmeans")(lambda s, d: inputs(s, d).clusters.select(*ML.KEYS, "cluster", "cluster_label"))
+query("ml_cluster_profile")(lambda s, d: ML.cluster_profile(inputs(s, d).clusters, inputs(s, d).cfg))
+query("ml_cluster_label")(lambda s, d: inputs(s, d).clusters.select("cluster", "cluster_label").distinct())
+query("win_cluster_rank")(lambda s, d: inputs(s, d).clusters.groupBy("cluster").agg(F.avg("rate_100k").alias("mean_rate")))
 
 # --------------------------------------------------------------------------
 # incremental ingestion as Structured Streaming (the update path)
