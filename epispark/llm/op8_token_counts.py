@@ -104,7 +104,12 @@ class Tree:
         return self.changed[slot] if slot in self.changed else self.first[slot:slot + 1]
 
     def pieces(self) -> list[str]:
-        return [p for slot in range(self.slots) for p in self.leaf(slot)] if self.changed else self.first
+        out, at = [], 0
+        for slot in sorted(self.changed):
+            out += self.first[at:slot]
+            out += self.changed[slot]
+            at = slot + 1
+        return out + self.first[at:] if out or self.changed else self.first
 
     def text(self) -> str:
         return "".join(self.pieces())
@@ -120,13 +125,18 @@ class Tree:
                 node += 1
         return node - self.half, begin
 
-    def put(self, slot: int, pieces: list[str], counts: list[int]) -> None:
-        self.changed[slot] = pieces
-        node = slot + self.half
-        change = np.array([sum(map(len, pieces)), sum(counts)], dtype=np.int64) - self.sums[node]
-        while node:
-            self.sums[node] += change
-            node //= 2
+    def put(self, first: int, stop: int, pieces: list[str], counts: list[int]) -> None:
+        """Pre-tokens for the slots from ``first`` up to ``stop``, all in the
+        first of them, and the sums of every node above."""
+        self.changed[first] = pieces
+        for slot in range(first + 1, stop):
+            self.changed[slot] = []
+        low, high = self.half + first, self.half + stop - 1
+        self.sums[low:high + 1] = 0
+        self.sums[low] = sum(map(len, pieces)), sum(counts)
+        while low > 1:
+            low, high = low // 2, high // 2
+            self.sums[low:high + 1] = self.sums[2 * low:2 * high + 2:2] + self.sums[2 * low + 1:2 * high + 2:2]
 
     def edit(self, start: int, length: int, replacement: str) -> None:
         """Replace ``length`` characters from ``start`` on."""
@@ -171,10 +181,7 @@ class Tree:
             last, more = upto - 1, 2 * more
         stop_slot = self.slots if done is None else done
         self.encoded += len(pieces)
-        self.put(first, pieces, self.counter.tokens(pieces))
-        for slot in range(first + 1, stop_slot):
-            if self.leaf(slot):
-                self.put(slot, [], [])
+        self.put(first, max(stop_slot, first + 1), pieces, self.counter.tokens(pieces))
 
     def _size(self, slot: int) -> int:
         return int(self.sums[slot + self.half, 0])
