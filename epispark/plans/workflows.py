@@ -113,8 +113,11 @@ def update(spark: SparkSession, base, new: DataFrame, population: DataFrame, out
         from ..operators import ml as ML
         idx = spark.read.parquet(paths["areas"])
         ML.kmeans(idx, cfg).write.mode("overwrite").parquet(f"{here}/clusters")
-        ML.metrics(ML.forest_predictions(idx, cfg)).write.mode("overwrite").parquet(f"{here}/metrics")
-        paths |= {"clusters": f"{here}/clusters", "metrics": f"{here}/metrics"}
+        paths["clusters"] = f"{here}/clusters"
+        known = idx.where(F.col("cases") >= cfg.min_cases).agg(F.count(F.lit(1)), F.count_distinct("priority")).first()
+        if known[0] >= 5 and known[1] >= 2:         # else there is nothing to tell apart
+            ML.metrics(ML.forest_predictions(idx, cfg)).write.mode("overwrite").parquet(f"{here}/metrics")
+            paths["metrics"] = f"{here}/metrics"
     return {"ok": True, "report": report, "table": table, **paths}
 
 

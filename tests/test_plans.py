@@ -16,7 +16,7 @@ def plan_of(df):
 
 def test_scope_filter_reaches_parquet_scan(spark):
     i = catalog.inputs(spark, SF_SMALL)
-    p = plan_of(CL.clean(i.raw, i.cfg, i.aliases))
+    p = plan_of(CL.clean(i.raw, catalog.YEAR_CFG, i.aliases))
     assert "EqualTo(epi_year,1998)" in p
 
 
@@ -81,7 +81,9 @@ def test_incremental_append_does_not_shuffle_the_base(spark, tmp_dir):
     base.write.parquet(f"{tmp_dir}/base")
     stored = spark.read.parquet(f"{tmp_dir}/base")
     new = raw_df(spark, [{"case_id": i} for i in range(45, 55)])
-    p = plan_of(UP.existing_ids(stored, new))
+    found = UP.existing_ids(stored, new)
+    found.collect()
+    p = plan_of(found)                       # as re-planned on the measured sizes
     assert "BroadcastHashJoin" in p and "LeftSemi" in p
     scan = [ln for ln in p.splitlines() if "FileScan parquet" in ln][0]
     assert "ReadSchema: struct<case_id:bigint>" in scan          # only the id column is read

@@ -69,7 +69,7 @@ def test_update_workflow_success(spark, tmp_dir):
     raw = adapter.raw_cases(spark, SF_SMALL).where(
         F.col("sex").isin("F", "M") & F.col("area_type").isin(1, 2, 3))
     base, new = raw.where(F.col("case_id") % 2 == 0), raw.where(F.col("case_id") % 3 == 0)
-    res = workflows.update(spark, base, new, adapter.population(spark, SF_SMALL), tmp_dir, 2,
+    res = workflows.update(spark, base, new, adapter.population(spark, SF_SMALL), tmp_dir, 1,
                            cfg, adapter.region_aliases(spark, SF_SMALL))
     assert res["ok"], res
     from epispark.streaming import incremental as INC
@@ -78,6 +78,8 @@ def test_update_workflow_success(spark, tmp_dir):
                                        (F.col("case_id") % 3 == 0)).count()
     assert res["report"]["added"] == merged.count() - base.count()
     assert spark.read.parquet(res["areas"]).count() > 0
+    assert workflows.update(spark, None, new, adapter.population(spark, SF_SMALL), tmp_dir, None, cfg,
+                            models=True)["report"]["added"] == 0
 
 
 def test_original_column_names_end_to_end(spark, tmp_dir):
