@@ -68,6 +68,15 @@ def pack(x: np.ndarray) -> bytes:
     return bytes([width]) + x.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
+def squeeze(x: np.ndarray) -> bytes:
+    """``pack`` for what is shuffled: compressed."""
+    return zstd.ZstdCompressor(level=1).compress(pack(x))
+
+
+def expand(data: bytes) -> np.ndarray:
+    return unpack(zstd.ZstdDecompressor().decompress(data))
+
+
 def unpack(data: bytes) -> np.ndarray:
     width = data[0]
     planes = np.frombuffer(data, dtype=np.uint8, offset=1).reshape(width, -1)
@@ -117,11 +126,11 @@ def _entries(kind: int, chunk: int, h: np.ndarray, counts: np.ndarray, buckets:
     for b in range(buckets):
         i, j = int(cut[b]), int(cut[b + 1])
         if i < j:
-            yield _row(b, kind, chunk, j - i, int(h[i]).to_bytes(8, "little") + pack(np.diff(h[i:j])), pack(counts[i:j]))
+            yield _row(b, kind, chunk, j - i, int(h[i]).to_bytes(8, "little") + squeeze(np.diff(h[i:j])), squeeze(counts[i:j]))
 
 
 def _hashes(keys: bytes) -> np.ndarray:
-    steps = np.concatenate([[int.from_bytes(keys[:8], "little")], unpack(keys[8:])])
+    steps = np.concatenate([[int.from_bytes(keys[:8], "little")], expand(keys[8:])])
     return np.cumsum(steps)
 
 
@@ -141,7 +150,7 @@ def _chunks(chunk_tokens: int, buckets: int):
         h, _, _, which = c.pairs()
         yield from _entries(PAIRS, number, h, np.bincount(which[train], minlength=len(h)), buckets)
         doc = np.concatenate(ids)
-        yield _row(number % buckets, HOME, number, len(doc), c.words.tobytes(), zstd.ZstdCompressor(level=3).compress(pack(c.token)),
+        yield _row(number % buckets, HOME, number, len(doc), c.words.tobytes(), squeeze(c.token),
                    doc.tobytes() + size.astype(np.int64).tobytes() + np.concatenate(learn).tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,15 +190,16 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def flush() -> Iterator[pa.RecordBatch]:
         dest, kind = group
         h = np.concatenate([_hashes(k) for _, k, _ in held])
-        own = np.concatenate([unpack(c) for _, _, c in held])
+        parts = [expand(c) for _, _, c in held]
+        own = np.concatenate(parts)
         distinct, which = np.unique(h, return_inverse=True)
         total = np.bincount(which, weights=own, minlength=len(distinct)).astype(np.int64)
         if kind == WORDS:
             yield _row(dest, TOTALS, -1 - dest, int((total > 0).sum()), int(total.sum()).to_bytes(8, "little"), b"")
         start = 0
-        for chunk, _, c in held:
-            n = (len(c) - 1) // c[0]
-            yield _row(dest, kind, chunk, n, b"", pack(total[which[start:start + n]]))
+        for (chunk, _, _), part in zip(held, parts):
+            n = len(part)
+            yield _row(dest, kind, chunk, n, b"", squeeze(total[which[start:start + n]]))
             start += n
 
     for dest, kind, chunk, n, keys, counts, extra in _rows(batches):
@@ -220,12 +230,12 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array([int.from_bytes(keys, "little")], pa.int64())], names)
             continue
         if kind != HOME:
-            found[kind].append(unpack(counts))
+            found[kind].append(expand(counts))
             continue
         doc = np.frombuffer(extra, dtype=np.int64, count=n)
         sizes = np.frombuffer(extra, dtype=np.int64, count=n, offset=8 * n)
         learn = np.frombuffer(extra, dtype=bool, count=n, offset=16 * n)
-        c = Chunk(np.frombuffer(keys, dtype=np.uint64), unpack(zstd.ZstdDecompressor().decompress(counts)), sizes)
+        c = Chunk(np.frombuffer(keys, dtype=np.uint64), expand(counts), sizes)
         per_word = np.empty(len(c.words), dtype=np.int64)
         per_word[_order(c.words)[1]] = np.concatenate(found[WORDS])
         h, _, _, which = c.pairs()
@@ -243,7 +253,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.nulls(len(js), pa.int64()), pa.nulls(len(js), pa.int64())], names)
 
 
-def counted(docs: DataFrame, chunk_tokens: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def counted(docs: DataFrame, chunk_tokens: int = 3_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document with the training counts of its tokens and token
     pairs, and rows (v, n) whose sums are V and N; written and read again."""
     n = partitions(docs)
@@ -303,7 +313,7 @@ def mixture_weights(histogram: np.ndarray, rounds: int = 200) -> np.ndarray:
     return out
 
 
-def scores(docs: DataFrame, chunk_tokens: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scores(docs: DataFrame, chunk_tokens: int = 3_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score
     and score (log10 probabilities)."""
     table = counted(docs, chunk_tokens, id_col, text_col)
