@@ -115,7 +115,7 @@ def edited_fingerprints(docs: DataFrame, n_perm: int = N_PERM, id_col: str = "do
     n = partitions(docs)
     ids = rows.select(F.coalesce("doc_id", F.lit(FIRST)).alias("key"))
     found = ids.agg(F.min("key").alias("low"), F.percentile_approx(
-        "key", [i / (3 * n) for i in range(1, 3 * n)], 100 * n).alias("cuts")).first()
+        "key", [i / (3 * n) for i in range(1, 3 * n)], 30 * n).alias("cuts")).first()
     if found.low is None:
         return docs.sparkSession.createDataFrame([], EDITED)
     # range i begins with an id of the table, or, the first, with the lowest
