@@ -35,6 +35,7 @@ from .common import LOWER, SPACE, buffer, partitions, saved, slices, span_hashes
 
 SEGMENT = 1 << 16
 BITS_PER_LINE, LINES_PER_DOC = 8, 16
+MAX_HOT = 10_000            # keys whose verdicts are broadcast (under 1 MB), the most frequent ones
 LAST = 2**63 - 1            # stands for a null id: after all others
 _NEWLINE = np.zeros(256, dtype=bool)
 _NEWLINE[10] = True
@@ -165,9 +166,13 @@ def repeated_keys(rows: DataFrame, min_chars: int = 10, max_filter_bits: int = 1
                 [pa.array(doc), pa.array([lines.digest(i) for i in at.tolist()], pa.binary())], ["doc_id", "digest"])
 
     seen = saved(rows.mapInArrow(suspects, "doc_id long, digest binary"), "line-suspects")
-    first = (seen.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-             .where("first < last").select("digest", "first"))
-    return (seen.join(first, "digest").where("doc_id > first")
+    first = saved(seen.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"),
+                                             F.count("*").alias("n"))
+                  .where("first < last").select("digest", "first", "n"), "line-first")
+    # the most frequent keys meet their lines without a shuffle; any other key has at most 1 / MAX_HOT of all lines
+    hot = F.broadcast(first.orderBy(F.col("n").desc(), "digest").limit(MAX_HOT).select("digest", "first"))
+    rest = seen.join(hot, "digest", "left_anti").join(first.select("digest", "first"), "digest")
+    return (seen.join(hot, "digest").unionByName(rest).where("doc_id > first")
             .groupBy("doc_id").agg(F.collect_set("digest").alias("drops")))
 
 
