@@ -77,3 +77,16 @@ def test_huge_codes_do_not_fail(spark):
     raw = raw_df(spark, [{}]).withColumn("area_type", F.lit("1e30"))
     f = findings(raw)
     assert f["area_domain"]["triggered"] and values(raw)["area_domain"] == {"1.0E30": 1}
+
+
+def test_every_rule_fires_on_files_full_of_faults(spark):
+    bad = [{"sex": "\tq "}, {"area_type": 9}, {"hospital_code": 7}, {"epi_year": 1999}, {"region_code": " 5"},
+           {"local_code": "1 "}, {"notified_text": "soon"}, {"notified_text": "1999-01-02"}, {"age": 300}]
+    raw = raw_df(spark, bad).withColumn("event_code", F.lit(1)).withColumn("group_name", F.lit(None).cast("string")) \
+        .withColumn("event_name", F.lit(None).cast("string")).withColumn("age", F.col("age").cast("string")) \
+        .drop("gp_psychiatric")
+    raw = raw.unionByName(raw.limit(1).withColumn("age", F.lit("old")))
+    fired = {r["rule_id"] for r in VA.findings(raw, Config(year=2024, max_rows=5)).collect() if r["triggered"]}
+    fired |= {r["rule_id"] for r in VA.findings(raw.drop("sex").limit(0), Config(year=2024)).collect() if r["triggered"]}
+    assert fired == set(VA.MESSAGES)
+    assert set(values(raw)) == set(VA.VALUE_RULES)
