@@ -20,12 +20,15 @@ def histogram(df: DataFrame, col: str = "age", bins: int = 30) -> DataFrame:
     def edge(i):
         return F.when(i >= bins, mx).otherwise(i * step + mn)
 
-    raw = F.floor((x - mn) / (mx - mn) * bins).cast("int")
-    idx = F.when(mx == mn, F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1)))
-    idx = F.when(x < edge(idx), idx - 1).otherwise(idx)
-    idx = F.when((x >= edge(idx + 1)) & (idx != bins - 1), idx + 1).otherwise(idx)
-    # one grouped count, then the bins without rows from a range of `bins` rows
-    counts = df.where(x.isNotNull()).groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("cases"))
+    # values are counted first; a value's bin is guessed and moved by one where an edge says so
+    v, k = F.col("v"), F.col("bin")
+    counts = (df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("n"))
+              .withColumn("bin", F.when(mx == mn, F.lit(0)).otherwise(
+                  F.least(F.floor((v - mn) / (mx - mn) * bins).cast("int"), F.lit(bins - 1))))
+              .withColumn("bin", F.when(v < edge(k), k - 1).otherwise(k))
+              .withColumn("bin", F.when((v >= edge(k + 1)) & (k != bins - 1), k + 1).otherwise(k))
+              .groupBy("bin").agg(F.sum("n").alias("cases")))
+    # the bins without rows come from a range of `bins` rows
     every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     out = every.join(counts, "bin", "left").withColumn("cases", F.coalesce("cases", F.lit(0)))
     b = F.col("bin")
