@@ -138,13 +138,14 @@ def _chunks(chunk_tokens: int, buckets: int):
     """Tasks of the first kind: documents to chunks, chunks to entries."""
 
     def flush(number: int, ids: list, learn: list, sizes: list, hashes: list) -> Iterator[pa.RecordBatch]:
-        t = np.concatenate(hashes)
         size = np.concatenate(sizes)
-        words, token, count = np.unique(t, return_inverse=True, return_counts=True)
+        words, token, count = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+        hashes.clear()
         rank = np.argsort(-count, kind="stable")            # frequent words get small numbers
         place = np.empty_like(rank)
         place[rank] = np.arange(len(rank))
         c = Chunk(words[rank], place[token], size)
+        del token
         train = np.repeat(np.concatenate(learn), size)
         yield from _entries(WORDS, number, c.words, np.bincount(c.token[train], minlength=len(words)), buckets)
         h, _, _, which = c.pairs()
@@ -253,7 +254,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.nulls(len(js), pa.int64()), pa.nulls(len(js), pa.int64())], names)
 
 
-def counted(docs: DataFrame, chunk_tokens: int = 3_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def counted(docs: DataFrame, chunk_tokens: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document with the training counts of its tokens and token
     pairs, and rows (v, n) whose sums are V and N; written and read again."""
     n = partitions(docs)
@@ -313,7 +314,7 @@ def mixture_weights(histogram: np.ndarray, rounds: int = 200) -> np.ndarray:
     return out
 
 
-def scores(docs: DataFrame, chunk_tokens: int = 3_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scores(docs: DataFrame, chunk_tokens: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score
     and score (log10 probabilities)."""
     table = counted(docs, chunk_tokens, id_col, text_col)
