@@ -761,7 +761,7 @@ q("top_ranking", f"""SELECT rank, region_name, local_name, cases, {rnd('rate_100
 q("top_regions", """SELECT region_name, CAST(count(case_id) AS bigint) AS cases FROM clean
 WHERE region_name IS NOT NULL GROUP BY region_name ORDER BY cases DESC, region_name LIMIT 15""")
 q("flt_emerging", f"""SELECT {AREA_KEYS}, cases, trend, score, priority FROM idx
-WHERE trend > 0.5 AND priority <> 'Crítica' AND cases >= 5
+WHERE trend > 0.05 AND priority <> 'Crítica' AND cases >= 5
 ORDER BY trend DESC, score DESC, {AREA_KEYS} LIMIT 10""", ("idx",))
 q_raw("set_union_update", f"""SELECT _source, epi_year, CAST(count(*) AS bigint) AS rows FROM (
   SELECT 0 AS _source, epi_year FROM base UNION ALL SELECT 1 AS _source, epi_year FROM new)

@@ -495,7 +495,8 @@ def join_anti_new(spark, d):
 query("top_ranking")(lambda s, d: IX.top_ranking(inputs(s, d).index, 20))
 query("top_regions")(lambda s, d: DS.by_region(_clean(s, d), top=15).select(
     "region_name", "cases"))
-query("flt_emerging")(lambda s, d: IX.emerging(inputs(s, d).index, inputs(s, d).cfg, 10)
+# over several years no area of the stand-in grows by the default half
+query("flt_emerging")(lambda s, d: IX.emerging(inputs(s, d).index, inputs(s, d).cfg.with_(emerging_trend=0.05), 10)
                       .select("area_code", "region_name", "local_name", "cases", "trend",
                               "score", "priority"))
 
