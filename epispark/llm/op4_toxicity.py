@@ -209,9 +209,13 @@ def fit(docs: DataFrame, labels: DataFrame, n_toxic: int = 2500, n_ordinary: int
             yield pa.RecordBatch.from_arrays([part.column("y"), part.column("doc_id"), pa.array(words, pa.list_(pa.binary()))],
                                              ["y", "doc_id", "words"])
 
-    read = texts.where("learn").mapInArrow(vocabulary, "y int, doc_id long, words array<binary>").collect()
-    read.sort(key=lambda r: r.doc_id)
-    split = [[[bytes(w) for w in r.words] for r in read if r.y == y] for y in (1, 0)]
+    read = texts.where("learn").mapInArrow(vocabulary, "y int, doc_id long, words array<binary>").toArrow()
+    known: dict[bytes, bytes] = {}              # one object for each different word
+    split: list[list[list[bytes]]] = [[], []]
+    for i in np.argsort(read.column("doc_id").to_numpy(), kind="stable").tolist():
+        words = [known.setdefault(w, w) for w in read.column("words")[i].as_py()]
+        split[1 - read.column("y")[i].as_py()].append(words)
+    del read, known
     if not split[0] or not split[1]:
         rate = counts[1] / (counts[0] + counts[1])
         return Model(bias=float(np.log(rate / (1 - rate))))
