@@ -8,26 +8,33 @@ references are decoded.
 
 Host suffix array.  The token streams of a host's pages are laid end to end
 and their suffixes sorted by their first ``run`` tokens (prefix doubling).
-Suffixes that agree in them form an interval; one that holds suffixes of at
-least ``min_pages`` pages and of half of all pages is a boilerplate run.
-Tokens covered by boilerplate runs are removed and unique runs stay; inside a
-declared article only blocks covered whole go, since an article may quote.
+Pages with the same tokens are one content, whose first page alone is laid
+there: copies of an article are content.  Suffixes that agree form an
+interval; one that holds suffixes of at least ``min_pages`` contents and of
+half of all contents is a boilerplate run.  Tokens covered by boilerplate runs
+are removed and unique runs stay; inside a declared article only blocks
+covered whole go, since an article may quote.
 
 A host with very many pages is dealt by the hash of the page into shards of
-about ``shard_pages``; each has a suffix array of its own, and a run is
-boilerplate for the host if half of its shards find it so (a run on half of
-the pages of a host is on half of the pages of some shard).  The parsed pages
-are shuffled once, by host and shard, for both steps.
+about ``shard_pages``; each has a suffix array of its own.  A content votes in
+one of the shards that hold it, and a run is boilerplate for the host if half
+of its shards find it so (a run in half of the contents of a host is in half
+of the contents of some shard).  Where copies leave a shard fewer than an
+eighth of its pages as contents, the contents with each run are counted over
+all shards instead.  The parsed pages are shuffled once, by host and shard,
+for all steps; digests of contents are shuffled beside them.
 
 Defined cases: null or empty html gives an empty text; a null or malformed
 url is a host of its own kind in which nothing counts as repeated; repeated
-rows are pages of their own; an empty table gives no rows; columns other than
+rows are pages of their own and one content; articles that differ in a word
+are different contents; an empty table gives no rows; columns other than
 the id, the url and the html are not read.  Markup cut off in the middle of a
 tag loses that tag alone.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from html import unescape
@@ -156,22 +163,25 @@ def suffix_ranks(token: np.ndarray, at: np.ndarray, run: int) -> np.ndarray:
     return rank
 
 
-def boilerplate(pages: list[list[str]], run: int, min_pages: int) -> np.ndarray:
-    """Hashes of the runs that at least ``min_pages`` and half of the pages hold."""
+def run_counts(pages: list[list[str]], run: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs, and how many of the pages hold each."""
     token, at = _tokens(pages)
-    if len(pages) < min_pages or len(token) < run:
-        return np.zeros(0, dtype=np.uint64)
-    rank = suffix_ranks(token, at, run)
+    rank = suffix_ranks(token, at, run) if len(token) >= run else np.zeros(0, dtype=np.int64)
     where = np.flatnonzero(rank >= 0)
     if not len(where):
-        return np.zeros(0, dtype=np.uint64)
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
     page = np.repeat(np.arange(len(pages)), np.diff(at))[where]
     seen = np.unique(rank[where] * len(pages) + page)
-    often = np.bincount(seen // len(pages))
-    chosen = np.flatnonzero(often >= max(min_pages, -(-len(pages) // 2)))
-    order = np.argsort(rank[where], kind="stable")
-    first = where[order][np.searchsorted(rank[where][order], chosen)]
-    return _gram_hashes(token, run)[first]
+    first = where[np.unique(rank[where], return_index=True)[1]]
+    return _gram_hashes(token, run)[first], np.unique(seen // len(pages), return_counts=True)[1]
+
+
+def boilerplate(pages: list[list[str]], run: int, min_pages: int) -> np.ndarray:
+    """Hashes of the runs that at least ``min_pages`` and half of the pages hold."""
+    if len(pages) < min_pages:
+        return np.zeros(0, dtype=np.uint64)
+    grams, often = run_counts(pages, run)
+    return grams[often >= max(min_pages, -(-len(pages) // 2))]
 
 
 def _gram_hashes(token: np.ndarray, run: int) -> np.ndarray:
@@ -179,6 +189,11 @@ def _gram_hashes(token: np.ndarray, run: int) -> np.ndarray:
         return shingle_hashes(token, run)
 
 
+def content(blocks: list[str]) -> bytes:
+    """Digest of a page's tokens."""
+    return hashlib.blake2b(" ".join(blocks).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
 def without(blocks: list[str], declared: bool, grams: np.ndarray, run: int) -> list[str]:
     """The blocks without the tokens that boilerplate runs cover."""
     token, _ = _tokens([blocks])
@@ -231,14 +246,29 @@ def extract(pages: DataFrame, run: int = 8, min_pages: int = 5, shard_pages: int
             found = [parse(t) for t in strings(part.column("html"))]
             yield pa.RecordBatch.from_arrays(
                 [*(part.column(c) for c in ("host", "shard", "page_id", "url")),
-                 pa.array([b for b, _ in found], pa.list_(pa.string())), pa.array([d for _, d in found], pa.bool_())],
-                ["host", "shard", "page_id", "url", "blocks", "declared"])
+                 pa.array([b for b, _ in found], pa.list_(pa.string())), pa.array([d for _, d in found], pa.bool_()),
+                 pa.array([content(b) for b, _ in found], pa.binary())],
+                ["host", "shard", "page_id", "url", "blocks", "declared", "digest"])
 
-    def repeated(key: tuple, group: pa.Table) -> pa.Table:
-        grams = (boilerplate(group.column("blocks").to_pylist(), run, min_pages)
-                 if key[0].as_py() else np.zeros(0, dtype=np.uint64))
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.select(["host", "shard", "digest"])
+
+    def repeated(key: tuple, group: pa.Table, voters: pa.Table) -> pa.Table:
+        grams = often = np.zeros(0, dtype=np.int64)
+        if voters.num_rows and group.num_rows:
+            votes, at = set(voters.column("digest").to_pylist()), {}
+            for i, d in enumerate(group.column("digest").to_pylist()):
+                if d in votes:
+                    at.setdefault(d, i)
+            pages = group.column("blocks").take(pa.array(list(at.values()), pa.int64())).to_pylist()
+            if voters.column("counted")[0].as_py():
+                grams, often = run_counts(pages, run)
+            else:
+                grams = boilerplate(pages, run, min_pages)
+                often = np.ones(len(grams), dtype=np.int64)
         return pa.table({"host": pa.array([key[0].as_py()] * len(grams), pa.string()),
-                         "gram": pa.array(grams.view(np.int64))})
+                         "gram": pa.array(grams.view(np.int64)), "votes": pa.array(often, pa.int64())})
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -251,12 +281,25 @@ def extract(pages: DataFrame, run: int = 8, min_pages: int = 5, shard_pages: int
                 [b.column("page_id"), b.column("url"), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    parsed = dealt.mapInArrow(read, "host string, shard int, page_id long, url string, blocks array<string>, declared boolean"
-                              ).repartition(n, "host", "shard")
-    votes = (parsed.groupBy("host", "shard").applyInArrow(repeated, "host string, gram long")
-             .groupBy("host", "gram").agg(F.count("*").alias("votes"))
-             .join(F.broadcast(many), "host", "left").withColumn("of", F.coalesce("n_shards", F.lit(1))))
-    found = votes.where("2 * votes >= of").groupBy("host", "of").agg(F.collect_list("gram").alias("grams"))
-    by_shard = found.select("host", F.explode(F.sequence(F.lit(0), F.col("of") - 1)).alias("shard"), "grams")
-    return parsed.join(by_shard, ["host", "shard"], "left").select("page_id", "url", "blocks", "declared", "grams").mapInArrow(
+    parsed = dealt.mapInArrow(read, "host string, shard int, page_id long, url string, blocks array<string>, declared boolean, "
+                                    "digest binary").repartition(n, "host", "shard")
+    # through Python whole, as pages cut down to these columns would be parsed and shuffled once more
+    voters = (parsed.mapInArrow(digests, "host string, shard int, digest binary").where("host <> ''")
+              .groupBy("host", "digest").agg(F.min(F.struct(F.xxhash64("digest", "shard"), "shard"))["shard"].alias("shard"),
+                                             F.count("*").alias("n")))
+    # hosts of several shards, MAX_HOSTS at most: what their votes are counted in
+    hosts = F.broadcast(
+        voters.join(F.broadcast(many), "host").groupBy("host", "n_shards").agg(F.count("*").alias("contents"), F.sum("n").alias("n"))
+        .select("host", F.col("n_shards").alias("shards"), "contents", F.expr("8 * contents < n").alias("counted")))
+    ballot = voters.join(hosts, "host", "left").select("host", "shard", "digest", F.expr("coalesce(counted, false)").alias("counted"))
+    votes = (parsed.groupBy("host", "shard").cogroup(ballot.groupBy("host", "shard"))
+             .applyInArrow(repeated, "host string, gram long, votes long")
+             .groupBy("host", "gram").agg(F.sum("votes").alias("votes")).join(hosts, "host", "left")
+             .withColumn("shards", F.expr("coalesce(shards, 1)")))
+    found = (votes.where(F.when(F.col("counted"), (2 * F.col("votes") >= F.col("contents")) & (F.col("votes") >= min_pages))
+                         .otherwise(2 * F.col("votes") >= F.col("shards")))
+             .groupBy("host", "shards").agg(F.collect_list("gram").alias("grams")))
+    by_shard = found.select("host", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "grams")
+    return parsed.join(by_shard, ["host", "shard"], "left").select(
+        "page_id", "url", "blocks", "declared", "grams", "digest").mapInArrow(
         strip, "page_id long, url string, text string, n_chars long")

@@ -74,6 +74,27 @@ def test_repeated_runs_go_and_unique_ones_stay(spark):
             assert (got[i].text, got[i].n_chars, got[i].url) == (want, len(want), u), i
 
 
+def article(k):
+    return f"<article><p>{' '.join(f'a{k}x{j}' for j in range(20))}</p><p>{' '.join(f'b{k}x{j}' for j in range(20))}</p></article>"
+
+
+def test_copies_of_an_article_are_content(spark):
+    notice = "we use small files to make this site work better for all of you"
+    data = [(k, f"https://a.example/{k}", f"<nav>n{k}</nav>" + article(0 if k < 5 else k)) for k in range(10)]    # 5 copies of 10
+    data += [(100, "https://b.example/x", article(1))] * 9                                                       # repeated rows
+    data += [(200 + k, f"https://c.example/{k}", f"<p>{notice}</p><p>own{k % 6} text{k % 6}</p>") for k in range(240)]  # six contents
+    # six contents in many copies and more single pages: half of the pages and shards, not half of the contents
+    data += [(1000 + k, f"https://d.example/{k}", f"<p>{notice}</p><p>own{k % 6}</p>" if k < 540 else f"<p>alone{k} here</p>")
+             for k in range(560)]
+    for shard_pages in (512, 10):
+        got = sorted((r.page_id, r.text) for r in H.extract(rows(spark, data), shard_pages=shard_pages).collect())
+        want = []
+        for i, _, html in data:
+            blocks = H.parse(html)[0]
+            want.append((i, "\n".join(blocks[1:] if 200 <= i < 1000 else blocks)))
+        assert got == sorted(want), shard_pages
+
+
 def test_odd_pages(spark):
     data = [(1, None, None), (2, "", ""), (3, "not a url", "<p>x"), (None, "http://h.example/", "<p>y"), (5, "http://H.example/", "<p>é"),
             (5, "http://h.example/", "<p>é"), (6, "http://h.example/", "<nav>n")]
