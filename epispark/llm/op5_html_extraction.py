@@ -4,7 +4,9 @@ Markup.  Scripts, styles, forms, menus, headers, footers, sidebars, notices,
 adverts and comments are left out by element, role or class name; where a page
 has an <article> (or <main>), only what stands in it is read.  Block elements
 cut the rest into blocks, white space in a block becomes one space, character
-references are decoded.
+references are decoded.  Elements end as HTML says: at their own end tag, at a
+start tag that implies it (p, li, dd, dt, option, rt, rp, parts of tables, the
+head) or at the end tag of an element around them, also when they are left out.
 
 Host suffix array.  The token streams of a host's pages are laid end to end
 and their suffixes sorted by their first ``run`` tokens (prefix doubling).
@@ -56,6 +58,23 @@ _INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "br", "cite", "code", "data",
            "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u",
            "var", "wbr"}
 _VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
+_CELLS = {"td", "th", "caption", "table", "button"}     # end tags inside do not end what is around them
+_LISTS = {"ul", "ol", "menu", "dl", "section", "article", "main", "aside", "nav", "form", "blockquote", "fieldset", "details",
+          "figure", "header", "footer", *_CELLS}
+_OUTER = {"article", "main", "body", "html", "table", "caption", "thead", "tbody", "tfoot", "tr", "td", "th", "button"}
+_PARTS = {"tr", "td", "th", "caption", "colgroup"}
+_IN_HEAD = {"meta", "link", "base", "basefont", "bgsound", "noframes"}
+#: start tag -> the open elements that it ends, and within which they are looked for
+_IMPLIED = {
+    **dict.fromkeys(("address", "article", "aside", "blockquote", "center", "details", "dialog", "div", "dl", "fieldset",
+                     "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr",
+                     "main", "menu", "nav", "ol", "p", "pre", "search", "section", "summary", "table", "ul"), ({"p"}, _CELLS)),
+    "li": ({"li"}, _LISTS), "dd": ({"dd", "dt"}, _LISTS), "dt": ({"dd", "dt"}, _LISTS),
+    "option": ({"option"}, {"select", "datalist"}), "optgroup": ({"option", "optgroup"}, {"select"}),
+    "rt": ({"rt", "rp"}, {"ruby"}), "rp": ({"rt", "rp"}, {"ruby"}),
+    "td": ({"td", "th", "caption", "colgroup"}, {"table"}), "th": ({"td", "th", "caption", "colgroup"}, {"table"}),
+    "tr": (_PARTS, {"table"}), **dict.fromkeys(("thead", "tbody", "tfoot"), ({"thead", "tbody", "tfoot", *_PARTS}, {"table"})),
+}
 #: names of parts that are not the article
 _NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|banner|breadcrumbs?|comments?|consent|contentinfo|cookies?|"
@@ -63,30 +82,84 @@ _NAMES = re.compile(
     r"sidebar|social|sponsor|sponsored|subscribe|widget|complementary|search)(?:$|[\s_-])", re.I)
 
 
+class _Open:
+    """The open elements, outermost first, and where those of each name stand."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+        self.where: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, name: str) -> None:
+        self.where.setdefault(name, []).append(len(self.names))
+        if name not in _INLINE:
+            self.blocks.append(len(self.names))
+        self.names.append(name)
+
+    def cut(self, size: int) -> None:
+        while len(self.names) > size:
+            name = self.names.pop()
+            self.where[name].pop()
+            if name not in _INLINE:
+                self.blocks.pop()
+
+    def last(self, names) -> int:
+        return max((self.where[n][-1] for n in names if self.where.get(n)), default=-1)
+
+    def start(self, name: str) -> None:
+        """Ends what the start tag implies."""
+        names, within = _IMPLIED.get(name, ((), ()))
+        if any(self.where.get(n) for n in names):
+            least = self.last(within - names)
+            self.cut(min((self.where[n][-1] for n in names if self.where.get(n) and self.where[n][-1] > least),
+                         default=len(self.names)))
+
+    def end(self, name: str, left_out: int) -> None:
+        """The end tag of the innermost element of the name, if it may end what is open in it."""
+        if not self.where.get(name):
+            return
+        at = self.where[name][-1]
+        if at == left_out or name in _OUTER:
+            ends = True
+        elif name in _INLINE:
+            ends = self.blocks[-1] < at if self.blocks else True
+        else:
+            ends = self.last(_LISTS if name == "li" else _CELLS) < at
+        if ends:
+            self.cut(at)
+
+
 def parse(html: str) -> tuple[list[str], bool]:
     """The blocks of a page's main part, and whether the page declares it."""
     blocks: list[tuple[bool, str]] = []
     run: list[str] = []
-    main = 0                    # open <article> and <main> elements
-    skip, depth = "", 0         # element being left out, and how many of its name are open
+    open_ = _Open()
+    skip = -1                   # where in ``open_`` the element being left out stands
     declared = False
     at = 0
 
+    def main() -> bool:
+        return bool(open_.where.get("article") or open_.where.get("main"))
+
     def close() -> None:
         if run:
             text = " ".join(unescape("".join(run)).split())
             if text:
-                blocks.append((main > 0, text))
+                blocks.append((main(), text))
             run.clear()
 
     while at < len(html):
         cut = html.find("<", at)
         if cut < 0:
-            if not skip:
+            if skip < 0:
                 run.append(html[at:])
             break
-        if not skip and cut > at:
-            run.append(html[at:cut])
+        if cut > at:
+            if skip >= 0 and open_.names[skip] == "head" and len(open_.names) == skip + 1 and html[at:cut].strip():
+                open_.cut(skip)                         # text ends a head that was left open
+                skip = -1
+            if skip < 0:
+                run.append(html[at:cut])
         tag = _TAG.match(html, cut)
         if not tag:
             nxt = html[cut + 1:cut + 2]
@@ -94,7 +167,7 @@ def parse(html: str) -> tuple[list[str], bool]:
                 end = html.find(">", cut)
                 at = len(html) if end < 0 else end + 1
             else:
-                if not skip:
+                if skip < 0:
                     run.append("<")
                 at = cut + 1
             continue
@@ -109,28 +182,31 @@ def parse(html: str) -> tuple[list[str], bool]:
             if name not in _INLINE:
                 close()
             continue
-        if skip:
-            if name in _MAIN and not closing and name != skip and not main and not _named(attrs):
-                skip, depth = "", 0                     # an article ends whatever was left open before it
-            else:
-                if name == skip and name not in _VOID:
-                    depth += -1 if closing else 1
-                    if not depth:
-                        skip = ""
-                continue
-        if name not in _INLINE:
+        if skip < 0:
+            if name not in _INLINE:
+                close()
+            elif name == "br":
+                run.append(" ")
+        if closing:
+            open_.end(name, skip)
+        else:
+            if skip >= 0 and ((open_.names[skip] == "head" and name not in _IN_HEAD) or
+                              (name in _MAIN and name != open_.names[skip] and not main() and not _named(attrs))):
+                open_.cut(skip)                         # an article ends whatever was left open before it
+            open_.start(name)
+        if skip >= len(open_.names):
+            skip = -1
             close()
-        elif name == "br":
-            run.append(" ")
-        if name in _VOID:
+        if closing or name in _VOID:
             continue
-        if not closing and ((name in _CHROME and not (name == "header" and main)) or
-                            (attrs and name not in ("html", "body") and _named(attrs))):
-            close()
-            skip, depth = name, 1
-        elif name in _MAIN:
-            main = max(0, main + (-1 if closing else 1))
-            declared = True
+        if skip < 0:
+            if ((name in _CHROME and not (name == "header" and main())) or
+                    (attrs and name not in ("html", "body") and _named(attrs))):
+                close()
+                skip = len(open_.names)
+            elif name in _MAIN:
+                declared = True
+        open_.push(name)
     close()
     return [t for inside, t in blocks if inside or not declared], declared
 

@@ -20,6 +20,32 @@ def test_broken_markup():
     assert H.parse("<article><p>" + "x " * 100000 + "</article>")[0] == [" ".join(["x"] * 100000)]
 
 
+def test_elements_left_open_inside_an_article():
+    for page, want in [
+            ("<article><p class=share>Share<p>Body one</p><p>Body two</p></article>", ["Body one", "Body two"]),
+            ("<article><ul><li class=share>Share<li>Body one<li>two</ul><p>three</article>", ["Body one", "two", "three"]),
+            ("<article><ul><li class=share>Share<ul><li>in it</ul><li>Body</ul></article>", ["Body"]),
+            ("<article><dl><dt class=ad>Ad<dd>Body<dt id=ads>Ad<dt>term</dl>end</article>", ["Body", "term", "end"]),
+            ("<article><table><tr><td class=promo>x<td>one<tr class=ad><td>x<tr><td>two</table>end</article>", ["one", "two", "end"]),
+            ("<article><p class=share>Share<div>Body</div></article>", ["Body"]),
+            ("<article><p class=share>a <span>Share</span> <b>b</b><h2>Body</h2></article>", ["Body"]),
+            ("<article><div><nav>Menu</div><p>Body</p></article>", ["Body"]),
+            ("<article><section><form><div>f</div></section>Body</article><article>two</article>", ["Body", "two"]),
+            ("<article><p>one</p><aside>left open</article><article><p>two</p></article>", ["one", "two"]),
+            ("<article><p>one <span class=ad>left open</p><p>two</p></article>", ["one", "two"]),
+            ("<article><div class=share><table><tr><td>x</div><p>Body</article>", ["Body"]),
+            ("<article><div class=share><div>x</div>y</div>Body</article>", ["Body"]),
+            ("<article><nav><table><tr><td>x</article>", []),
+            ("<html><head><meta charset=x><title>t</title><body><p>Body", ["Body"]),
+            ("<p>Body</article>", ["Body"])]:
+        assert H.parse(page)[0] == want, page
+
+
+def test_many_open_elements():
+    page = "<article>" + "<div>" * 100_000 + "</section></p></b>" * 50_000 + "text</article>"
+    assert H.parse(page)[0] == ["text"]
+
+
 def brute(pages, run, min_pages):
     holders = {}
     for k, blocks in enumerate(pages):
