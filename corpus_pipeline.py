@@ -7,9 +7,9 @@ returns a DataFrame, which is written as Parquet and read again as the next
 one's ``docs``.  All but the last return the columns of ``docs``.
 
 Defined cases (beside those of the operators): rows whose ids repeat or are
-null are judged row by row, except that of the rows of a near-duplicate group
-only those with the smallest id stay, and those without an id, which cannot be
-told apart; an empty table passes through.
+null are judged row by row; of a near-duplicate group one row stays, that with
+the smallest id (null last) and, of rows with one id, the smallest hash of its
+columns; an empty table passes through.
 """
 
 from __future__ import annotations
@@ -36,9 +36,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of SimHash near-duplicates."""
-    groups = op3_simhash.near_duplicates(docs)
-    gone = groups.where("doc_id > component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    return op3_simhash.first_rows(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,7 +39,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -81,8 +81,13 @@ def shingle_spans(text: bytes, width: int) -> list[bytes]:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42,
-                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the 64-bit fingerprint as a signed long, one row per row."""
+                 id_col: str = "doc_id", text_col: str = "text", row: Column | None = None) -> DataFrame:
+    """(doc_id, fp): the 64-bit fingerprint as a signed long, one row per row;
+    with ``row`` (a long) beside the id, if given."""
+    texts = text_rows(docs, id_col, text_col)
+    if row is not None:
+        texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), row.alias("row"), F.col(text_col).cast("string").alias("text"))
+    kept = [c for c in texts.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -93,9 +98,9 @@ def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42,
                 ends.append(len(own))
             fp = simhash_bits(np.concatenate(hashes), np.cumsum(ends))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(fp.view(np.int64), pa.int64())], ["doc_id", "fp"])
+                [*(part.column(c) for c in kept), pa.array(fp.view(np.int64), pa.int64())], [*kept, "fp"])
 
-    return text_rows(docs, id_col, text_col).mapInArrow(run, FINGERPRINT)
+    return texts.mapInArrow(run, FINGERPRINT if row is None else "doc_id long, row long, fp long")
 
 
 def _syndromes(x: np.ndarray) -> np.ndarray:
@@ -240,6 +245,31 @@ def near_links(distinct: DataFrame, distance: int = 3, block: int = 512) -> Data
             .mapInArrow(compare, "u long, v long"))
 
 
+def first_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group, all columns as they were: that with the smallest
+    id (null last); of rows with one id, that with the smallest hash of its
+    columns; of rows equal in all of them, one."""
+    # a column of maps has no hash: rows that differ in it alone count as equal
+    hashed = F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind])
+    keys = saved(fingerprints(docs, id_col=id_col, text_col=text_col, row=hashed).groupBy("doc_id", "row", "fp")
+                 .agg(F.count("*").alias("n")), "simhash-keys")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    distinct = saved(keys.groupBy("fp").agg(F.min(order).alias("low")), "simhash-firsts")
+    found = components(near_links(distinct)).withColumnRenamed("u", "fp")
+    classes = distinct.join(found, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    by_fp = classes.join(classes.groupBy("root").agg(F.min("low").alias("first")), "root").select("fp", "first")
+    judged = saved(keys.join(by_fp, "fp").select(F.col("doc_id").alias("_id2"), F.col("row").alias("_row2"), "n",
+                                                 order.eqNullSafe(F.col("first")).alias("_stays"))
+                   .where("n > 1 or not _stays").drop("n"), "simhash-judged")
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), hashed.alias("_row"), "*")
+    same = rows["_id"].eqNullSafe(judged["_id2"]) & (rows["_row"] == judged["_row2"])
+    out = rows.join(judged, same, "left_anti")
+    again = judged.where("_stays")
+    if not again.isEmpty():
+        out = out.unionByName(rows.join(again, same, "left_semi").dropDuplicates(["_id", "_row"]))
+    return out.select(*docs.columns)
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, seed: int = 42,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, fingerprint (16 hex digits) and

@@ -81,3 +81,16 @@ def test_nothing_else_imports_the_subpackage():
             for f in files:
                 if f.endswith(".py"):
                     assert "llm" not in open(os.path.join(top, f)).read(), f
+
+
+def test_near_duplicates_are_judged_row_by_row(spark):
+    import random
+    rng = random.Random(5)
+    text = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(60))
+    a, b, c, d = text(), text(), text(), text()
+    rows = [(1, a), (7, a), (7, b),                     # the clean row of an id stays
+            (8, c), (8, c), (8, c + " "), (9, c),       # one of rows with one id
+            (None, d), (None, d), (None, a)]
+    got = P.near_duplicates(spark, odd_docs(spark, rows), SF)
+    assert got.columns == odd_docs(spark).columns
+    assert sorted((r.doc_id or 0, r.text.strip()) for r in got.collect()) == sorted([(1, a), (7, b), (8, c), (0, d)])
