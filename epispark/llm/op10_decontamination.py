@@ -12,11 +12,13 @@ A task runs many searches side by side: the words of its texts are cut into
 lanes, and each step moves all lanes by their own shifts.
 
 The benchmark is read in blocks of items of at most ``block_bytes`` of text,
-each broadcast by itself; documents pass one search after the other, so any
-benchmark is searched whole and the size of a broadcast has a bound.
+each broadcast by itself; documents pass one search after the other and are
+written between two, so any benchmark is searched whole and a task holds one
+block.  The driver reads the blocks one by one and holds two.
 
 Defined cases: a null or empty text has no words and no hits; items without
-words have no pattern; items with equal windows are all named; repeated rows
+words have no pattern; items without an id are searched and count as one item
+together, which the list of ids leaves out; items with equal windows are all named; repeated rows
 are returned as often as they come; an empty table gives no rows, an empty
 benchmark no hits; columns other than ids and texts are not read by
 ``contamination`` and are carried along by ``clean_documents``.
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, buffer, joined, mix, slices, span_hashes, spans
+from .common import LOWER, buffer, joined, mix, saved, slices, span_hashes, spans
 
 #: Bytes that no word holds, after lower-casing.
 GAP = np.zeros(256, dtype=bool)
@@ -67,10 +69,10 @@ def _fold(w: np.ndarray, at: np.ndarray, m: int) -> np.ndarray:
 class Matcher:
     """Wu-Manber tables for patterns of ``m`` words each."""
 
-    def __init__(self, m: int, patterns: dict[tuple[bytes, ...], list[str]]):
+    def __init__(self, m: int, patterns: dict[tuple[bytes, ...], list[str | None]]):
         self.m, self.size = m, min(2, m)
         self.words = list(patterns)
-        self.items = [sorted(set(v)) for v in patterns.values()]
+        self.items = [set(v) for v in patterns.values()]
         flat = [w for p in self.words for w in p]
         data, off = joined(flat)
         h = span_hashes(data, off[:-1], off[1:])
@@ -109,7 +111,7 @@ class Matcher:
         return found
 
 
-def matchers(items: list[tuple[str, str]], window: int = 10) -> list[Matcher]:
+def matchers(items: list[tuple[str | None, str]], window: int = 10) -> list[Matcher]:
     """Matchers, by pattern length, for (item_id, text) pairs."""
     by_length: dict[int, dict] = defaultdict(lambda: defaultdict(list))
     for (name, _), words in zip(items, words_of([(t or "").encode() for _, t in items])):
@@ -144,11 +146,11 @@ def covered(spans_: list[int]) -> int:
     return total
 
 
-def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
+def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[str | None, str]]]:
     """The items in blocks of at most ``block_bytes`` of text (a longer item alone)."""
     block, size = [], 0
     for r in benchmark.select(F.col(item_col).cast("string").alias("item"),
-                              F.col(text_col).cast("string").alias("text")).where("item is not null").toLocalIterator():
+                              F.col(text_col).cast("string").alias("text")).toLocalIterator():
         n = len((r.text or "").encode())
         if block and size + n > block_bytes:
             yield block
@@ -170,10 +172,12 @@ def _searched(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: i
                       F.expr("cast(array() as array<string>)").alias("items"))
     schema = out.schema
     share = docs.sparkSession.sparkContext.broadcast
-    blocks = [share(b) for b in item_blocks(benchmark, item_col, item_text_col, block_bytes)] or [share([])]
-    for i, block in enumerate(blocks):
-        out = out.mapInArrow(_search(block, window, keep_text or i + 1 < len(blocks)), schema)
-    return out
+    blocks = item_blocks(benchmark, item_col, item_text_col, block_bytes)
+    block = next(blocks, [])
+    while (following := next(blocks, None)) is not None:
+        out = saved(out.mapInArrow(_search(share(block), window, True), schema), "decontamination")
+        block = following
+    return out.mapInArrow(_search(share(block), window, keep_text), schema)
 
 
 def _search(shared, window: int, keep_text: bool):
@@ -182,7 +186,7 @@ def _search(shared, window: int, keep_text: bool):
         for part in slices(batches):
             n, hits, items = find_hits(part.column("text"), found_by)
             hits = [a + b for a, b in zip(part.column("hits").to_pylist(), hits)]
-            items = [sorted({*a, *b}) for a, b in zip(part.column("items").to_pylist(), items)]
+            items = [list({*a, *b}) for a, b in zip(part.column("items").to_pylist(), items)]
             yield pa.RecordBatch.from_arrays(
                 [part.column("row"), part.column("text") if keep_text else pa.nulls(part.num_rows, pa.string()),
                  pa.array(n, pa.int64()),
@@ -204,7 +208,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, block
         for b in batches:
             hit = [covered(x) for x in b.column("hits").to_pylist()]
             items = b.column("items").to_pylist()
-            sha = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]
+            sha = [hashlib.sha256(",".join(sorted(y for y in x if y is not None)).encode()).hexdigest() for x in items]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("n_words"), pa.array(hit, pa.int64()),
                  pa.array([len(x) for x in items], pa.int64()), pa.array(sha), pa.array([x > 0 for x in hit], pa.bool_())],

@@ -73,3 +73,15 @@ def test_empty(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert D.contamination(empty_docs(spark), bench).collect() == []
     assert {r.contaminated for r in D.contamination(odd_docs(spark), bench).collect()} == {False}
+
+
+@pytest.mark.parametrize("block_bytes", [1, 1 << 20])
+def test_items_without_an_id(spark, block_bytes):
+    a, b, c = (" ".join(f"{k}word{i}" for i in range(12)) for k in "abc")
+    bench = spark.createDataFrame([(None, a), (None, b), (3, c)], "item_id long, text string")
+    rows = [(1, a), (2, f"{a} {b} {c}"), (3, "none of them"), (4, c)]
+    got = {r.doc_id: r for r in D.contamination(odd_docs(spark, rows), bench, block_bytes=block_bytes).collect()}
+    sha = {x: hashlib.sha256(x.encode()).hexdigest() for x in ("", "3")}
+    assert {i: (r.n_hit, r.n_items, r.items_sha256) for i, r in got.items()} == {
+        1: (12, 1, sha[""]), 2: (36, 2, sha["3"]), 3: (0, 0, sha[""]), 4: (12, 1, sha["3"])}
+    assert [r.doc_id for r in D.clean_documents(odd_docs(spark, rows), bench, block_bytes=block_bytes).collect()] == [3]
