@@ -43,6 +43,16 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def attach(rows: DataFrame, facts: DataFrame, key: list[str], most: int = 4096) -> DataFrame:
+    """``rows`` with the columns of ``facts`` (one row per ``key``, none of it
+    null; column ``n`` says how many rows the key has, and is left out).  The
+    ``most`` most frequent keys meet their rows by broadcast, so a key of the
+    shuffled rest has at most 1 / ``most`` of all rows."""
+    own = facts.drop("n")
+    hot = F.broadcast(facts.orderBy(F.col("n").desc(), *key).limit(most).drop("n"))
+    return rows.join(hot, key).unionByName(rows.join(hot, key, "left_anti").join(own, key))
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
            limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Runs of rows with about ``limit`` bytes of ``column`` (a longer row alone)."""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (op1_sentencepiece, op2_sharding, op3_simhash, op4_toxicity, op5_html_extraction, op6_lm_scoring, op7_line_dedup,
-               op8_token_counts, op9_minhash, op10_decontamination)
+               op8_token_counts, op9_minhash, op10_decontamination, op11_vector_codes, op12_jaccard_join, op13_divergence)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +86,21 @@ def op10_decontamination_wu_manber(spark: SparkSession, sf_dir: str) -> DataFram
     return op10_decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_vector_codes_gnat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector, by GNATs over the codebooks."""
+    return op11_vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_jaccard_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under shingle sets alike by 0.8 or more."""
+    return op12_jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op13_divergence_quadtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far every source is from the others of its lang, and its own terms."""
+    return op13_divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five stages of corpus_pipeline over all documents."""
     import corpus_pipeline
@@ -95,7 +110,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_sentencepiece_ffbs, op2_sharding_kk, op3_simhash_golay, op4_toxicity_zstd, op5_html_suffix_array,
     op6_lm_deleted_interpolation, op7_line_dedup_bloom, op8_token_counts_edits, op9_fingerprints_minhash,
-    op10_decontamination_wu_manber, minhash_classes, pipeline)}
+    op10_decontamination_wu_manber, op11_vector_codes_gnat, op12_jaccard_prefix_tree, op13_divergence_quadtree, minhash_classes,
+    pipeline)}
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -137,4 +153,80 @@ named AS (
 SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op11_vector_codes_gnat": """
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (
+  SELECT vec_id, p, v[p * (len(v) // 16) + 1:(p + 1) * (len(v) // 16)] AS q FROM kept, unnest(range(16)) AS r(p)),
+book0 AS (
+  SELECT p, e, q AS c FROM parts JOIN (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT 64) USING (vec_id)),
+near0 AS (
+  SELECT vec_id, p, any_value(q) AS q, min(list_sum(list_transform(range(1, len(q) + 1), lambda i: (q[i] - c[i]) * (q[i] - c[i]))) * 64 + e) % 64 AS e
+  FROM parts JOIN book0 USING (p) GROUP BY vec_id, p),
+mean0 AS (
+  SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c
+  FROM (SELECT p, e, i, sum(q[i]) AS s, count(*) AS n FROM near0, unnest(range(1, len(q) + 1)) AS r(i) GROUP BY p, e, i) GROUP BY p, e),
+book1 AS (SELECT p, e, CAST(coalesce(mean0.c, book0.c) AS BIGINT[]) AS c FROM book0 LEFT JOIN mean0 USING (p, e)),
+near1 AS (
+  SELECT vec_id, p, any_value(q) AS q, min(list_sum(list_transform(range(1, len(q) + 1), lambda i: (q[i] - c[i]) * (q[i] - c[i]))) * 64 + e) % 64 AS e
+  FROM parts JOIN book1 USING (p) GROUP BY vec_id, p),
+mean1 AS (
+  SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c
+  FROM (SELECT p, e, i, sum(q[i]) AS s, count(*) AS n FROM near1, unnest(range(1, len(q) + 1)) AS r(i) GROUP BY p, e, i) GROUP BY p, e),
+book2 AS (SELECT p, e, CAST(coalesce(mean1.c, book1.c) AS BIGINT[]) AS c FROM book1 LEFT JOIN mean1 USING (p, e)),
+near2 AS (
+  SELECT vec_id, p, min(list_sum(list_transform(range(1, len(q) + 1), lambda i: (q[i] - c[i]) * (q[i] - c[i]))) * 64 + e) AS d
+  FROM parts JOIN book2 USING (p) GROUP BY vec_id, p),
+coded AS (
+  SELECT vec_id, string_agg(lower(printf('%02x', CAST(d % 64 AS INTEGER))), '' ORDER BY p) AS code, CAST(sum(d // 64) AS BIGINT) AS error
+  FROM near2 GROUP BY vec_id),
+books AS (
+  SELECT sha256(coalesce(string_agg(CAST(c[i] AS VARCHAR), ',' ORDER BY p, e, i), '')) AS codebooks_sha256
+  FROM book2, unnest(range(1, len(c) + 1)) AS r(i))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id), books""",
+    "op12_jaccard_prefix_tree": rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_AZ}), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+  FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + least(5, len(ws)) - 1], ' ') AS s
+  FROM docs, unnest(range(1, greatest(len(ws) - least(5, len(ws)) + 2, 1))) AS r(i) WHERE len(ws) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+links AS (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh AS x JOIN sh AS y USING (s) WHERE x.doc_id <> y.doc_id GROUP BY ALL)
+  JOIN sizes AS m ON m.doc_id = a JOIN sizes AS o ON o.doc_id = b WHERE 100 * c >= 80 * (m.n + o.n - c)),
+reach(doc_id, r) AS (SELECT doc_id, doc_id FROM docs UNION SELECT reach.doc_id, b FROM reach JOIN links ON r = a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)""",
+    "op13_divergence_quadtree": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(translate(text, {_AZ}), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+g AS (SELECT DISTINCT lang, source FROM d),
+k AS (SELECT lang, term, count(*) AS lang_n FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+v AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY lang, source, term),
+t AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY lang, source),
+p AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n,
+         CAST(1 + CAST(1000000000 AS HUGEINT) * (coalesce(n, 0) + 2) // (total + 2 * v) AS BIGINT) AS p,
+         CAST(1 + CAST(1000000000 AS HUGEINT) * (lang_n + 2) // (lang_total + 2 * v) AS BIGINT) AS q
+  FROM g JOIN k USING (lang) JOIN v USING (lang) JOIN t USING (lang, source) LEFT JOIN c USING (lang, source, term)),
+f AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+rows AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM rows)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10""",
 }
