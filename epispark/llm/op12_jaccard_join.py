@@ -12,10 +12,11 @@ are its keys; the order leaves what many documents share out of them.
 Candidates.  The sets of one key are sorted by size and cut where sizes are too
 far apart to link; the first of a run is its hub.  First all sets of one hub
 are joined, in shares of ``block`` sets that all hold the hub and about
-``LANDMARKS`` more sets; the links' components are classes.  Runs that still
-hold several classes are joined exactly: their sets are dealt into blocks by
-class, and every pair of blocks that meets in some run, but for two of one
-class, is a unit.  A unit returns spanning links only, never all pairs.
+``LANDMARKS`` more sets; the links' components are classes.  All pairs of a hub with one share have then been
+joined.  Runs of a hub with several shares, or of a key that is spread, that
+still hold several classes are joined exactly: their sets are dealt into
+blocks by class, and every pair of blocks that meets in some run, but for two
+of one class, is a unit.  A unit returns spanning links only, never all pairs.
 
 Prefix tree.  A unit's sets, in the global order from the most frequent
 shingle down, form a trie: sets with the same frequent shingles share a path,
@@ -49,7 +50,7 @@ from .op9_minhash import shingle_sets
 BUCKETS, SEGMENT = 1 << 20, 1 << 16     # hash buckets of the global order; sent in segments
 HOT = 200_000                           # keys with more occurrences, and over 1 / HOT_KEYS of all, are spread
 HOT_KEYS = 1 << 14
-BLOCK, WEIGHT = 2048, 500_000           # sets and shingles of a block
+BLOCK, WEIGHT = 8192, 1_000_000         # sets and shingles of a block
 LANDMARKS = 16
 CHUNK = 256                             # shingles of a path between two checks of its bound
 
@@ -169,7 +170,7 @@ def _keys(rows: DataFrame, width: int, threshold: int, shared: Broadcast, hot: i
 
 
 def _runs(keyed: DataFrame, threshold: int) -> DataFrame:
-    """(gid, sid, hub, n): sets that share a key with another of a size that allows a
+    """(gid, sid, hub, n, spread): sets that share a key with another of a size that allows a
     link.  Rows come by (key, salt), sorted by size; only a run's last row is held."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,10 +200,10 @@ def _runs(keyed: DataFrame, threshold: int) -> DataFrame:
                 gid = np.where(salt >= 0, key, mix(key.view(np.uint64) ^ mix(hub.view(np.uint64))).view(np.int64))
             sent = bool(other[-1] or salt[-1] >= 0)
             last = (key[-1], salt[-1], n[-1], sid[-1], hub[-1], sent)
-            yield pa.RecordBatch.from_arrays([pa.array(x[send]) for x in (gid, sid, hub, n)], ["gid", "sid", "hub", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[send]) for x in (gid, sid, hub, n, salt >= 0)], ["gid", "sid", "hub", "n", "spread"])
 
     return (keyed.repartition(partitions(keyed), "key", "salt").sortWithinPartitions("key", "salt", "n", "sid")
-            .mapInArrow(run, "gid long, sid long, hub long, n long"))
+            .mapInArrow(run, "gid long, sid long, hub long, n long, spread boolean"))
 
 
 class Trie:
@@ -328,19 +329,28 @@ def _hash(*columns) -> Column:
     return F.xxhash64(*[F.lit(c) if isinstance(c, int) else c for c in columns])
 
 
-def _hub_units(members: DataFrame) -> DataFrame:
+def _hubs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(hub, sid) once each, and (hub, k, n): the number of its shares and sets."""
+    star = saved(members.select("hub", "sid", F.col("n").alias("size")).union(
+        members.where("sid = hub").select("hub", F.col("hub").alias("sid"), F.col("n").alias("size"))).distinct(), "jaccard-stars")
+    shares = F.ceil(F.greatest(F.count("*") / F.lit(BLOCK), F.sum("size") / F.lit(WEIGHT))).cast("int")
+    return star.drop("size"), saved(star.groupBy("hub").agg(shares.alias("k"), F.count("*").alias("n")), "jaccard-hubs")
+
+
+def _hub_units(star: DataFrame, hubs: DataFrame) -> DataFrame:
     """(hub, share, sid, root): the sets of each hub in shares, the hub and landmarks in all of them."""
-    star = members.select("hub", "sid", "n").union(members.where("sid = hub").select("hub", F.col("hub").alias("sid"), "n")).distinct()
-    sizes = star.groupBy("hub").agg(F.count("*").alias("m"), F.ceil(F.greatest(
-        F.count("*") / F.lit(BLOCK), F.sum("n") / F.lit(WEIGHT))).cast("int").alias("k"))
-    placed = star.join(sizes, "hub")
-    landmark = (F.col("sid") == F.col("hub")) | (F.pmod(_hash("sid", 7), F.greatest(F.lit(1).cast("long"), F.col("m") / F.lit(LANDMARKS)).cast("long")) == 0)
+    many = hubs.where("n > 1").withColumn("m", F.col("n"))
+    every = F.greatest(F.lit(1).cast("long"), (F.col("m") / F.lit(LANDMARKS)).cast("long"))
+    landmark = (F.col("sid") == F.col("hub")) | (F.pmod(_hash("sid", 7), every) == 0)
     share = F.when(landmark, F.sequence(F.lit(0), F.col("k") - 1)).otherwise(F.array(F.pmod(_hash("sid", 11), F.col("k")).cast("int")))
-    return placed.where("m > 1").select("hub", F.explode(share).alias("share"), "sid", F.col("sid").alias("root"))
+    return attach(star, many, ["hub"]).select("hub", F.explode(share).alias("share"), "sid", F.col("sid").alias("root"))
 
 
-def _open_units(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """(one, two, sid, root): pairs of blocks of sets that meet in a run and are not of one class."""
+def _open_units(members: DataFrame, hubs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(one, two, sid, root): pairs of blocks of sets that meet in a run, that no
+    one share has held, and are not of one class."""
+    shared_out = attach(members.where("not spread"), hubs.where("k > 1").select("hub", "n"), ["hub"])
+    members = shared_out.unionByName(members.where("spread"))
     rooted = members.join(classes, "sid", "left").select("gid", "sid", "hub", "n", F.coalesce("root", "sid").alias("root"))
     rooted = saved(rooted, "jaccard-rooted")
     several = rooted.groupBy("gid").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("gid")
@@ -350,9 +360,9 @@ def _open_units(members: DataFrame, classes: DataFrame) -> DataFrame:
     wanted = lambda m, w: F.ceil(F.greatest(m / F.lit(BLOCK), w / F.lit(WEIGHT))).cast("int")
     by_class = by_class.withColumn("k", wanted(F.col("m"), F.col("w"))).withColumn("large", F.col("k") > 1)
     small = by_class.where("not large").groupBy("home").agg(wanted(F.sum("m"), F.sum("w")).alias("k_home"))
-    dealt = by_class.join(small, "home", "left").select("home", "root", "large", F.when(F.col("large"), F.col("k")).otherwise(F.col("k_home")).alias("k"))
+    dealt = by_class.join(small, "home", "left").select("home", "root", "large", F.when(F.col("large"), F.col("k")).otherwise(F.col("k_home")).alias("k"), F.col("m").alias("n"))
     block = F.when(F.col("large"), _hash("home", "root", 1, F.pmod(_hash("sid", 3), "k"))).otherwise(_hash("home", 2, F.pmod(_hash("root", 3), "k")))
-    placed = saved(sets.join(dealt, ["home", "root"]).select("sid", "root", block.alias("block"),
+    placed = saved(attach(sets.drop("n"), dealt, ["home", "root"]).select("sid", "root", block.alias("block"),
                                                              F.when(F.col("large"), F.col("root")).alias("mono")), "jaccard-placed")
     met = saved(still.select("gid", "sid").join(placed.select("sid", "block", "mono"), "sid").select("gid", "block", "mono").distinct(), "jaccard-met")
     two = met.select("gid", F.col("block").alias("two"), F.col("mono").alias("mono2"))
@@ -376,9 +386,10 @@ def links(rows: DataFrame, marked: DataFrame, width: int, threshold: int) -> Dat
     sets = marked.where("sid is not null").groupBy("sid").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("low"))
     wanted = members.select("sid").distinct().join(sets, "sid").select("sid", F.col("low.row").alias("row"))
     candidates = saved(_one_each(rows.select("row", "text").join(wanted, "row"), width), "jaccard-sets")
-    first = saved(_joined(_hub_units(members), candidates, ["hub", "share"], width, threshold, shared), "jaccard-first")
+    star, hubs = _hubs(members)
+    first = saved(_joined(_hub_units(star, hubs), candidates, ["hub", "share"], width, threshold, shared), "jaccard-first")
     classes = components(first).withColumnRenamed("u", "sid")
-    rest = saved(_joined(_open_units(members, classes), candidates, ["one", "two"], width, threshold, shared), "jaccard-rest")
+    rest = saved(_joined(_open_units(members, hubs, classes), candidates, ["one", "two"], width, threshold, shared), "jaccard-rest")
     return first.unionByName(rest)
 
 
