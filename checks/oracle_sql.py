@@ -770,6 +770,8 @@ q_raw("set_dedup_first", f"""SELECT case_id, epi_year, region_name, age, sex FRO
   SELECT 0 AS s, * FROM base UNION ALL SELECT 1 AS s, * FROM new)
 QUALIFY row_number() OVER (PARTITION BY case_id ORDER BY s) = 1""", _UPD)
 QUERIES["stm_incremental_merge"] = None  # filled below (same result as set_dedup_first)
+q_raw("set_dedup_first_files", "SELECT case_id, epi_year, CAST(age + 60 AS integer) AS age FROM typed_raw WHERE case_id IS NOT NULL")
+QUERIES["join_anti_new_indexed"] = QUERIES["join_anti_new"]
 q_raw("upd_report", f"""SELECT e AS existing, i AS incoming, e + i - m AS duplicates, m - e AS added FROM (
   SELECT CAST((SELECT count(*) FROM base) AS bigint) AS e, CAST((SELECT count(*) FROM new) AS bigint) AS i,
   CAST((SELECT count(*) FROM (SELECT DISTINCT case_id FROM (SELECT case_id FROM base UNION ALL SELECT case_id FROM new))) AS bigint) AS m)""", _UPD)

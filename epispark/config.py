@@ -144,6 +144,7 @@ class Config:
     default_population: float = 50000.0     # when neither area nor region is known
     min_cases: int = 5                      # robustness / suppression cell size
     emerging_trend: float = 0.5
+    event_code: int = EXPECTED_EVENT_CODES[0]    # of line lists that carry none
     max_rows: int = 500_000                 # validator guard rail (warning)
     age_min: int = 0
     age_max: int = 120

@@ -23,6 +23,7 @@ from ..operators import update as UP
 from ..operators import validate as VA
 from ..operators import windows as WN
 from ..sources import cases as SRC
+from ..streaming import incremental as INC
 from ..session import scratch_path
 from .catalog import YEAR_CFG, inputs, portable, query
 
@@ -489,6 +490,19 @@ def join_anti_new(spark, d):
     return J.anti_join_new(new, base).select("case_id", "epi_year", "region_name")
 
 
+@query("join_anti_new_indexed")
+def join_anti_new_indexed(spark, d):
+    """The same by the index of stored ids, whose rows are not shuffled."""
+    from ..streaming import idindex
+    base, new = _update_inputs(spark, d)
+    root = scratch_path(spark, "indexed")
+    INC.seed(base, root)
+    INC.append(base.limit(0), root)
+    folders = [INC.folder_of(root, r) for r in INC.records(spark, root)]
+    first = UP.dedup_first(new.withColumn(UP.SOURCE_COL, F.lit(1)))
+    return idindex.unseen(first, *idindex.stored(spark, root, folders), "case_id").select("case_id", "epi_year", "region_name")
+
+
 # --------------------------------------------------------------------------
 # 2.11 sort / limit / set operations / update
 # --------------------------------------------------------------------------
@@ -515,6 +529,23 @@ def set_dedup_first(spark, d):
     return UP.merge(base, new).select("case_id", "epi_year", "region_name", "age", "sex")
 
 
+@query("set_dedup_first_files")
+def set_dedup_first_files(spark, d):
+    """The first row of an id in file order stays: a file set that holds every
+    raw row twice, first in its last file with the larger age, and in each file
+    with older rows before younger ones of the same id."""
+    raw = _typed(spark, d).where("case_id is not null")
+    root = scratch_path(spark, "feed")
+    for n, step in ((1, 40), (2, 0)):
+        twice = raw.select("case_id", "epi_year", "region_name", "sex", F.explode(F.array(
+            F.col("age") + step + 20, F.col("age") + step)).alias("age"))
+        twice.repartitionByRange("case_id").sortWithinPartitions("case_id", F.col("age").desc()).write.option(
+            "header", "true").csv(f"{root}/f{n}")
+    feed = SRC.read_cases(spark, f"{root}/f*", columns=["case_id", "epi_year", "region_name", "sex", "age"],
+                          types={"case_id": "bigint"}, ordinal=True)
+    return UP.dedup_first(feed.withColumn(UP.SOURCE_COL, F.lit(1))).select("case_id", "epi_year", "age")
+
+
 @query("upd_report")
 def upd_report(spark, d):
     base, new = _update_inputs(spark, d)
@@ -674,9 +705,6 @@ query("win_cluster_rank")(lambda s, d: inputs(s, d).clusters.groupBy("cluster").
 # --------------------------------------------------------------------------
 # incremental ingestion as Structured Streaming (the update path)
 # --------------------------------------------------------------------------
-from ..streaming import incremental as INC  # noqa: E402
-
-
 @query("stm_incremental_merge")
 def stm_incremental_merge(spark, d):
     """The stored base seeds the append-only batch table (batch 0); the new

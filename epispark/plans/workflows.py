@@ -21,6 +21,7 @@ from ..operators import index as IX
 from ..operators import privacy as PV
 from ..operators import validate as VA
 from ..sources import cases as SRC
+from ..streaming import commits as COM
 from ..streaming import incremental as INC
 
 
@@ -67,16 +68,31 @@ def publish(clean: DataFrame, idx: DataFrame, out_root: str, k: int = 5,
 
 def _extend(spark: SparkSession, table: str, out_root: str, cfg: Config, aliases) -> None:
     """Clean every accumulated batch that is not in the clean table yet, and
-    count its cases by area."""
+    count its cases by area.  Restores of the accumulated table are repeated."""
     clean_root, counts_root = f"{out_root}/clean", f"{out_root}/area_counts"
     for root, make in (
-            (clean_root, lambda n: CL.clean(spark.read.parquet(f"{table}/batch={n}"), cfg, aliases)),
-            (counts_root, lambda n: IX.area_counts(spark.read.parquet(f"{clean_root}/batch={n}")))):
-        done = set(INC.committed_batches(spark, root))
-        for n in INC.committed_batches(spark, table):
-            if n not in done:
-                make(n).write.mode("overwrite").parquet(f"{root}/batch={n}")
-                INC.commit(spark, root, {"version": n})
+            (clean_root, lambda n: CL.clean(INC.read_batch(spark, table, n), cfg, aliases)),
+            (counts_root, lambda n: IX.area_counts(INC.read_batch(spark, clean_root, n)))):
+        done = {r["version"] for r in INC.records(spark, root)}
+        for r in INC.records(spark, table):
+            n = r["version"]
+            if n not in done and r.get("restores") is not None:
+                _claim(spark, root, {"version": n, "restores": r["restores"]})
+            elif n not in done:
+                path = COM.attempt(root, f"batch={n}")
+                make(n).write.parquet(path)
+                _claim(spark, root, {"version": n, "path": path})
+
+
+def _claim(spark: SparkSession, root: str, record: dict) -> dict:
+    """Commit a record; where another writer has done the same work, keep its result."""
+    try:
+        COM.commit(spark, root, record)
+        return record
+    except COM.Conflict:
+        if "path" in record:
+            COM.discard(spark, record["path"])
+        return COM.record_of(spark, root, record["version"])
 
 
 def update(spark: SparkSession, base, new: DataFrame, population: DataFrame, out_root: str,
@@ -101,11 +117,27 @@ def update(spark: SparkSession, base, new: DataFrame, population: DataFrame, out
     if base is not None:
         INC.seed(base, table)
     report = INC.append(new, table, version)
+    paths = _outputs(spark, table, out_root, report["version"], population, cfg, aliases, models)
+    return {"ok": True, "report": report, "table": table, **paths}
+
+
+def restore(spark: SparkSession, out_root: str, version: int, population: DataFrame, cfg: Config | None = None,
+            aliases=None, models: bool = False) -> dict:
+    """Take the accumulated table back to ``version`` in one step, and write
+    the index of what it then holds as a version of its own."""
+    table = f"{out_root}/accumulated"
+    n = INC.restore(spark, table, version)
+    return {"version": n, "table": table, **_outputs(spark, table, out_root, n, population, cfg or Config(), aliases, models)}
+
+
+def _outputs(spark: SparkSession, table: str, out_root: str, n: int, population: DataFrame, cfg: Config, aliases,
+             models: bool) -> dict:
+    """Clean, count and index version ``n``; the folder of the outputs is
+    named by a record, so two runs of one version do not mix."""
     _extend(spark, table, out_root, cfg, aliases)
-    n = report["version"]
     counts = INC.read_table(spark, f"{out_root}/area_counts", n)
     areas = IX.populated(IX.area_shares(IX.add_counts(counts)), population, cfg)
-    here = f"{out_root}/version={n}"
+    here = COM.attempt(out_root, f"version={n}")
     idx = IX.priority_index(areas, cfg)
     SRC.write_areas(idx, f"{here}/areas", f"{here}/ranking_csv")
     paths = {"clean": f"{out_root}/clean", "areas": f"{here}/areas", "ranking": f"{here}/ranking_csv"}
@@ -118,14 +150,15 @@ def update(spark: SparkSession, base, new: DataFrame, population: DataFrame, out
         if known[0] >= 5 and known[1] >= 2:         # else there is nothing to tell apart
             ML.metrics(ML.forest_predictions(idx, cfg)).write.mode("overwrite").parquet(f"{here}/metrics")
             paths["metrics"] = f"{here}/metrics"
-    return {"ok": True, "report": report, "table": table, **paths}
+    kept = _claim(spark, f"{out_root}/versions", {"version": n, "path": here})["path"]
+    return {k: v.replace(here, kept, 1) for k, v in paths.items()}
 
 
 def republish(spark: SparkSession, out_root: str, version: int, dest: str, k: int = 5) -> dict:
     """Publish an earlier version again: its areas, and the cells of the clean
     batches up to it."""
-    return publish(INC.read_table(spark, f"{out_root}/clean", version),
-                   spark.read.parquet(f"{out_root}/version={version}/areas"), dest, k)
+    here = COM.folder_of(out_root, COM.record_of(spark, f"{out_root}/versions", version), "version")
+    return publish(INC.read_table(spark, f"{out_root}/clean", version), spark.read.parquet(f"{here}/areas"), dest, k)
 
 
 def dashboard_tables(clean: DataFrame, idx: DataFrame, cube: DataFrame | None = None, k: int = 5,

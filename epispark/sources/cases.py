@@ -7,12 +7,13 @@ instead of failing the job (Spark runs with ANSI mode on).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import Config
 from ..functions.core import strip_chars
+from ..streaming import commits
 
 # canonical raw types; anything not listed keeps its source type (text from
 # CSV).  The case id is not listed: ids may be alphanumeric, and a failed
@@ -42,11 +43,37 @@ def conform(df: DataFrame, types: dict | None = None) -> DataFrame:
     return df.select(*cols)
 
 
+ORDINAL_COL = "_ordinal"
+
+
+def file_order(df: DataFrame) -> DataFrame:
+    """``_ordinal`` as (place of the split, place of the row in it), where it
+    held the former: rows compare by it in file order, without a pass."""
+    return df.withColumn(ORDINAL_COL, F.struct(F.col(ORDINAL_COL).alias("split"), F.monotonically_increasing_id().alias("row")))
+
+
+def number_rows(df: DataFrame) -> DataFrame:
+    """``df``, read from files, with the number of each row over all files
+    (``_ordinal``, from 0): files by path, rows in file order.
+
+    Rows of one split (file, first byte) stand in order in one task, so a row's
+    place in its split is the difference of two ids; the splits' sizes are
+    counted in a pass that reads no column and added up in file order (a row
+    per split)."""
+    split = ["_path", "_block"]
+    marked = df.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block")) \
+               .withColumn("_row", F.monotonically_increasing_id())
+    sizes = marked.groupBy(*split).agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_head"))
+    before = sizes.select(*split, "_head", (F.sum("_n").over(Window.orderBy(*split)) - F.col("_n")).alias("_before"))
+    return marked.join(before, split).withColumn(ORDINAL_COL, F.col("_before") + F.col("_row") - F.col("_head")) \
+                 .drop(*split, "_row", "_head", "_before")
+
+
 def read_cases(spark: SparkSession, path: str, fmt: str = "csv",
                mapping: dict | None = None, columns: list | None = None,
                types: dict | None = None, ordinal: bool = False) -> DataFrame:
     """Read a raw line list (many files in parallel).  ``ordinal`` numbers the
-    rows in file order (``_ordinal``), for updates that keep the first row.
+    rows in file order (``number_rows``), for updates that keep the first row.
 
     ``mapping`` renames source columns to canonical names; ``columns`` is the
     header order for CSV (read all as text, no inference).
@@ -61,7 +88,7 @@ def read_cases(spark: SparkSession, path: str, fmt: str = "csv",
     else:
         df = spark.read.format(fmt).load(path)
     if ordinal:
-        df = df.withColumn("_ordinal", F.monotonically_increasing_id())
+        df = number_rows(df)
     if mapping:
         df = df.select(*[F.col(c).alias(mapping.get(c, c)) for c in df.columns])
     return conform(df, types)
@@ -127,7 +154,7 @@ def resolve_base(spark: SparkSession, candidates: list[tuple[str, str]],
         if p.getFileSystem(conf).exists(p):
             df = read_cases(spark, path, fmt)
             if "event_code" not in df.columns:
-                df = df.withColumn("event_code", F.lit(356))
+                df = df.withColumn("event_code", F.lit(cfg.event_code))
             if "epi_year" not in df.columns and "notified_text" in df.columns:
                 df = df.withColumn("epi_year", F.year(F.try_to_date(
                     F.col("notified_text"), "yyyy-M-d")))
@@ -136,12 +163,22 @@ def resolve_base(spark: SparkSession, candidates: list[tuple[str, str]],
 
 
 def write_snapshot(df: DataFrame, root: str, version: int) -> str:
-    """Write a versioned snapshot directory; readers switch to it only after
-    the write has committed (never overwrite the live version in place)."""
-    path = f"{root.rstrip('/')}/snapshot={version}"
-    df.write.mode("errorifexists").parquet(path)
+    """Write a versioned snapshot: a folder of its own that a record then
+    names.  A version that exists, or that another writer takes meanwhile, is
+    refused (``commits.Conflict``) and stays as it is."""
+    spark = df.sparkSession
+    if commits.record_of(spark, root, version) is not None:
+        raise commits.Conflict(f"snapshot {version} of {root} exists")
+    path = f"{commits.attempt(root, 'writer')}/snapshot={version}"
+    df.write.parquet(path)
+    try:
+        commits.commit(spark, root, {"version": version, "path": path})
+    except commits.Conflict:
+        commits.discard(spark, path)
+        raise
     return path
 
 
 def read_snapshot(spark: SparkSession, root: str, version: int) -> DataFrame:
-    return spark.read.parquet(f"{root.rstrip('/')}/snapshot={version}")
+    record = commits.record_of(spark, root, version) or {"version": version}
+    return spark.read.parquet(commits.folder_of(root.rstrip("/"), record, "snapshot"))
