@@ -337,6 +337,25 @@ q_raw("cln_drop_columns", "SELECT case_id, region_name FROM typed_raw")
 # --------------------------------------------------------------------------
 # 2.2 profiling
 # --------------------------------------------------------------------------
+QUERIES["prof_dtypes"] = f"""SELECT column_name AS "column", CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int'
+  ELSE lower(column_type) END AS type FROM (DESCRIBE WITH {RAW},\n{TYPED} SELECT * FROM typed_raw)"""
+_ROLES = {"id": "case_id event_code", "temporal": "notified_text onset_text born_text epi_week epi_year",
+          "demographic": "age age_unit sex stratum", "geographic": "region_code local_code area_type region_name local_name",
+          "clinical": "hospital_code", "risk": "gp_psychiatric gp_migrant gp_pregnant"}
+_NULL_SHARE = f"""(SELECT "column", {rnd('CAST(n_null AS double) / CAST(t AS double) * 100', 1)} AS pct_null
+  FROM (UNPIVOT (SELECT count(*) AS t, {', '.join(f'count(*) - count({c}) AS {c}' for c in RAW_COLS)} FROM typed_raw)
+        ON {', '.join(RAW_COLS)} INTO NAME "column" VALUE n_null))"""
+q_raw("prof_column_roles", f"""SELECT role, "column", pct_null FROM (VALUES {', '.join(
+    f"('{r}', '{c}')" for r, cs in _ROLES.items() for c in cs.split())}) AS r(role, "column") JOIN {_NULL_SHARE} AS n USING ("column")
+UNION ALL SELECT 'high_null', "column", pct_null FROM {_NULL_SHARE} AS n WHERE pct_null > 10""")
+_CONTRACT = [("required", c) for c in ("case_id event_code event_name epi_year epi_week notified_text age age_unit sex area_type hospital_code "
+                                       "region_code local_code region_name local_name").split()] + [
+    ("optional", c) for c in ("gp_psychiatric gp_migrant gp_prison gp_pregnant gp_indigenous gp_icbf gp_disabled gp_displaced gp_violence gp_other "
+                              "onset_text consulted_text admitted_text ethnicity group_name").split()]
+q_raw("val_contract_doc", f"""SELECT CAST(place AS integer) AS place, kind, "column", n_filled IS NOT NULL AS present, coalesce(n_filled, 0) AS n_filled
+FROM (VALUES {', '.join(f"({i + 1}, '{k}', '{c}')" for i, (k, c) in enumerate(_CONTRACT))}) AS c(place, kind, "column")
+LEFT JOIN (UNPIVOT (SELECT {', '.join(f'count({c}) AS {c}' for c in RAW_COLS)} FROM typed_raw) ON {', '.join(RAW_COLS)}
+           INTO NAME "column" VALUE n_filled) AS f USING ("column")""")
 q_raw("prof_shape", f"""SELECT CAST(count(*) AS bigint) AS n_rows,
   arg_min(event_name, case_id) AS event_name, arg_min(epi_year, case_id) AS epi_year,
   CAST({len(RAW_COLS)} AS integer) AS n_columns FROM typed_raw""")
@@ -761,6 +780,11 @@ q("top_ranking", f"""SELECT rank, region_name, local_name, cases, {rnd('rate_100
 q("top_regions", """SELECT region_name, CAST(count(case_id) AS bigint) AS cases FROM clean
 WHERE region_name IS NOT NULL GROUP BY region_name ORDER BY cases DESC, region_name LIMIT 15""")
 q("flt_emerging", f"""SELECT {AREA_KEYS}, cases, trend, score, priority FROM idx
+WHERE trend > 0.5 AND priority <> 'Crítica' AND cases >= 5
+ORDER BY trend DESC, score DESC, {AREA_KEYS} LIMIT 10""", ("idx",))
+QUERIES["flt_emerging"] = QUERIES["flt_emerging"].replace("weekofyear(o_orderdate) AS epi_week", """weekofyear(o_orderdate) + CASE
+  WHEN m.seg = 3 AND weekofyear(o_orderdate) <= 26 AND o_orderkey % 2 = 0 THEN 26 ELSE 0 END AS epi_week""")
+q("flt_emerging_level", f"""SELECT {AREA_KEYS}, cases, trend, score, priority FROM idx
 WHERE trend > 0.05 AND priority <> 'Crítica' AND cases >= 5
 ORDER BY trend DESC, score DESC, {AREA_KEYS} LIMIT 10""", ("idx",))
 q_raw("set_union_update", f"""SELECT _source, epi_year, CAST(count(*) AS bigint) AS rows FROM (
@@ -797,6 +821,42 @@ q("prv_public_areas_report", f"""SELECT CAST(count(*) AS bigint) AS areas_before
 _CELLS = f"""(SELECT {_DIMS}, CAST(count(*) AS bigint) AS cases FROM clean WHERE {_DIMS_NN}
   GROUP BY {_DIMS} HAVING count(*) >= 5)"""
 q("prv_public_cells", f"SELECT * FROM {_CELLS}")
+
+
+def _protect(src, keys, parent, parents=None):
+    """Rows of ``src`` with what is hidden; ``parents``: rows that a hidden parent is among."""
+    gone = f"LEFT JOIN {parents} AS p ON " + " AND ".join(f"r.{c} IS NOT DISTINCT FROM p.{c}" for c in parent) if parents else ""
+    mark = "CASE WHEN p.hidden IS NOT NULL THEN 'parent' WHEN r.cases < 5 THEN 'small' END" if parents else "CASE WHEN r.cases < 5 THEN 'small' END"
+    over = f"PARTITION BY {', '.join(parent)}" if parent else ""
+    by = ", ".join(f"{c} NULLS FIRST" for c in keys)
+    return f"""(SELECT {', '.join(keys)}, cases, CASE WHEN h0 IS NULL AND nth = 1 AND h >= 1 AND (h = 1 OR s < 5) THEN 'second' ELSE h0 END AS hidden
+  FROM (SELECT *, count(*) FILTER (WHERE h0 = 'small') OVER ({over}) AS h, coalesce(sum(cases) FILTER (WHERE h0 = 'small') OVER ({over}), 0) AS s,
+               row_number() OVER (PARTITION BY {', '.join([*parent, 'h0 IS NULL'])} ORDER BY cases, {by}) AS nth
+        FROM (SELECT r.*, {mark} AS h0 FROM {src} AS r {gone}) AS marked) AS counted)"""
+
+
+def _audit(src, parent, level):
+    return f"""SELECT '{level}' AS level, CAST(coalesce(sum(a), 0) AS bigint) AS hidden_rows, CAST(count(*) FILTER (WHERE h >= 1) AS bigint) AS totals_with_hidden,
+  CAST(coalesce(sum(h) FILTER (WHERE h >= 1 AND p = 0 AND total >= 5 AND (h = 1 OR s < 5)), 0) AS bigint) AS solved
+FROM (SELECT count(*) FILTER (WHERE hidden IN ('small', 'second')) AS h, coalesce(sum(cases) FILTER (WHERE hidden IN ('small', 'second')), 0) AS s,
+             count(*) FILTER (WHERE hidden IS NOT NULL) AS a, count(*) FILTER (WHERE hidden = 'parent') AS p, sum(cases) AS total
+      FROM {src} AS x GROUP BY {', '.join(parent)}) AS lines"""
+
+
+_AK = [c.strip() for c in AREA_KEYS.split(",")]
+_REGIONS = "(SELECT region_name, CAST(sum(cases) AS bigint) AS cases FROM idx GROUP BY region_name)"
+_SAFE_REGIONS = f"(SELECT * FROM {_protect(_REGIONS, ['region_name'], [])} AS q WHERE hidden IS NOT NULL)"
+_SAFE_AREAS = _protect(f"(SELECT {AREA_KEYS}, cases FROM idx)", _AK, ["region_name"], _SAFE_REGIONS)
+_ALL_CELLS = f"(SELECT {_DIMS}, CAST(count(*) AS bigint) AS cases FROM clean WHERE {_DIMS_NN} GROUP BY {_DIMS})"
+_SAFE_CELLS = _protect(_ALL_CELLS, [c.strip() for c in _DIMS.split(",")], _AK, f"(SELECT * FROM {_SAFE_AREAS} AS q WHERE hidden IS NOT NULL)")
+_SMALL = "CASE WHEN cases < 5 THEN 'small' END AS hidden"
+q("prv_protected_areas", f"SELECT {AREA_KEYS}, cases, hidden FROM {_SAFE_AREAS} AS z", ("idx",))
+q("prv_protected_cells", f"SELECT {_DIMS}, cases FROM {_SAFE_CELLS} AS z WHERE hidden IS NULL", ("idx",))
+q("prv_disclosure_audit", " UNION ALL ".join((
+    _audit(f"(SELECT *, {_SMALL} FROM (SELECT {AREA_KEYS}, cases FROM idx) AS i)", ["region_name"], "areas, small hidden"),
+    _audit(_SAFE_AREAS, ["region_name"], "areas, protected"),
+    _audit(f"(SELECT *, {_SMALL} FROM {_ALL_CELLS} AS c)", _AK, "cells, small hidden"),
+    _audit(_SAFE_CELLS, _AK, "cells, protected"))), ("idx",))
 q("prv_k_anonymity_check", f"""SELECT CAST(min(cases) AS bigint) AS min_cell,
   CAST(count(*) AS bigint) AS n_cells, CAST(0 AS integer) AS n_case_level_columns,
   coalesce(min(cases) >= 5, true) AS is_safe FROM {_CELLS}""")
@@ -914,6 +974,11 @@ q("ml_prepare", f"SELECT * FROM {_PREP}", ("idx",))
 q("ml_class_weight", f"""SELECT priority, label, CAST(n AS bigint) AS n,
   CAST(sum(n) OVER () AS double) / (count(*) OVER () * n) AS weight
 FROM (SELECT priority, label, count(*) AS n FROM {_PREP} GROUP BY priority, label)""", ("idx",))
+q("ml_split", f"""SELECT area_code, priority, nth <= ceil(0.2 * n) AS is_test FROM (
+  SELECT area_code, priority, row_number() OVER (PARTITION BY g ORDER BY h, {AREA_KEYS}) AS nth, count(*) OVER (PARTITION BY g) AS n
+  FROM (SELECT *, CASE WHEN min(c) OVER () >= 2 THEN label ELSE 0 END AS g,
+               CAST('0x' || substr(md5(coalesce(area_code, '') || ':42'), 1, 15) AS bigint) AS h
+        FROM (SELECT *, count(*) OVER (PARTITION BY label) AS c FROM {_PREP} AS p) AS q) AS r) AS s""", ("idx",))
 _Z = ", ".join(
     f"{rnd(f'({c} - avg({c}) OVER ()) / CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1.0 ELSE stddev_pop({c}) OVER () END', 6)} AS {c}_z"
     for c in _FEATS)

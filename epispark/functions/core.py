@@ -49,10 +49,12 @@ def mean_2dp(c) -> Column:
         / F.count(x).cast("double") / F.lit(100.0)
 
 
-def quantiles(c, probs) -> Column:
-    """Exact linear-interpolated quantiles (pandas/numpy rule).  The state is
-    a value -> count map per group: bounded on integer domains (age, week)."""
-    return F.percentile(col(c).cast("double"), F.array(*[F.lit(float(p)) for p in probs]))
+def row_digest(columns, types: dict | None = None) -> list[Column]:
+    """Two 64-bit hashes of a row, nulls told apart from values by place.
+    Columns of maps have no hash and must not be among ``columns``."""
+    cs = [col(c) for c in columns]
+    holes = [c.isNull() for c in cs]
+    return [F.xxhash64(F.lit(seed), *cs, *holes).alias(f"_digest{seed}") for seed in (1, 2)]
 
 
 def share(num: Column, den: Column) -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.core import count_if, quantiles
+from ..functions.core import count_if
+from .quantiles import quantiles_by
 
 
 def histogram(df: DataFrame, col: str = "age", bins: int = 30) -> DataFrame:
@@ -41,17 +42,18 @@ def histogram(df: DataFrame, col: str = "age", bins: int = 30) -> DataFrame:
 
 def center_lines(df: DataFrame, col: str = "age") -> DataFrame:
     x = F.col(col).cast("double")
-    return df.agg(F.avg(x).alias("mean"), F.median(x).alias("median"))
+    median = quantiles_by(df, x, (0.5,)).select(F.col("q")[0]).scalar()
+    return df.agg(F.avg(x).alias("mean")).select("mean", median.alias("median"))
 
 
 def boxplot(df: DataFrame, col: str = "age", by: str = "sex",
             groups=("F", "M")) -> DataFrame:
     """Per group: quartiles (linear), whiskers = furthest points within
-    1.5 IQR of the box, and the count of points beyond them.  Quartiles come
-    from a per-group aggregate joined back (group count is tiny)."""
+    1.5 IQR of the box, and the count of points beyond them.  Quartiles are
+    selected per group and joined back (a row for each of ``groups``)."""
     x = F.col(col).cast("double")
     f = df.where(F.col(by).isin(*groups) & x.isNotNull())
-    q = f.groupBy(by).agg(quantiles(x, (0.25, 0.5, 0.75)).alias("q"))
+    q = quantiles_by(f, x, (0.25, 0.5, 0.75), [by])
     q = q.select(by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
                  F.col("q")[2].alias("q3"))
     j = f.join(F.broadcast(q), by)

@@ -12,9 +12,10 @@ from pyspark.sql import types as T
 
 from ..config import GROUP_DEFAULT, Config
 from ..functions import derive as D
-from ..functions.core import (count_if, is_true, quantiles, round_half_even, share,
+from ..functions.core import (count_if, is_true, round_half_even, row_digest, share,
                               strip_text, zfill)
 from ..sources.cases import conform
+from .quantiles import quantiles_by
 
 DATE_FORMAT = "yyyy-M-d"
 
@@ -57,8 +58,20 @@ def normalize_regions(df: DataFrame, aliases=None, cfg: Config | None = None,
 
 
 def dedup_rows(df: DataFrame) -> DataFrame:
-    """Drop fully duplicated rows (nulls compare equal)."""
-    return df.dropDuplicates()
+    """Drop fully duplicated rows (nulls compare equal).
+
+    Rows are counted by a 128-bit digest first; only rows whose digest comes
+    more than once are compared in full.  The repeated digests meet the rows
+    in a join that is planned on their measured size, so where copies are few
+    no unique row is shuffled."""
+    if any("map<" in kind for _, kind in df.dtypes):
+        return df.dropDuplicates()
+    digest = ["_digest1", "_digest2"]
+    marked = df.select("*", *row_digest(df.columns))
+    again = marked.groupBy(*digest).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    unique = marked.join(again, digest, "left_anti").select(*df.columns)
+    copies = marked.join(again, digest, "left_semi").dropDuplicates().select(*df.columns)
+    return unique.unionByName(copies)
 
 
 def scope_predicate(cfg: Config) -> F.Column:
@@ -238,14 +251,13 @@ def clean_report(raw: DataFrame, cfg: Config | None = None, aliases=None,
     corrections and age inconsistencies.
 
     Exclusion counts come from one pass over the de-duplicated raw rows
-    (which carry their multiplicity, so ``rows_in`` needs no extra scan);
+    (their digests, which carry their multiplicity, so ``rows_in`` needs no extra scan);
     kept-row statistics come from the clean table (``cleaned``, e.g. the
     written one; rebuilt from ``raw`` when not given)."""
     cfg = cfg or Config()
     prepared = _prepare(raw, aliases, cfg)
-    grouped = prepared.groupBy("region_name", "epi_year", *[
-        c for c in prepared.columns if c not in ("region_name", "epi_year")]) \
-        .agg(F.count(F.lit(1)).alias("_mult"))
+    grouped = prepared.select("region_name", "epi_year", *row_digest(prepared.columns)) \
+        .groupBy("region_name", "epi_year", "_digest1", "_digest2").agg(F.count(F.lit(1)).alias("_mult"))
     non_terr = is_true(F.col("region_name").isin(*cfg.non_territorial))
     bad_year = ~is_true(F.col("epi_year") == F.lit(cfg.year)) if cfg.year is not None \
         else F.lit(False)
@@ -275,7 +287,7 @@ def clean_report(raw: DataFrame, cfg: Config | None = None, aliases=None,
 def age_outliers(df: DataFrame, col: str = "age") -> DataFrame:
     """IQR fences on age (linear-interpolated quartiles); rows outside the
     fences are counted, never removed."""
-    q = df.select(quantiles(col, (0.25, 0.75)).alias("q")).scalar()
+    q = quantiles_by(df, col, (0.25, 0.75)).select("q").scalar()
     q1, q3 = q.getItem(0), q.getItem(1)
     iqr = q3 - q1
     lo, hi = q1 - 1.5 * iqr, q3 + 1.5 * iqr

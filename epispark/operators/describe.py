@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import derive as D
 from ..functions.core import count_if, flag01, round_half_even, share
+from .quantiles import quantiles_by
 
 
 def pct1(num: Column, den: Column) -> Column:
@@ -57,7 +58,7 @@ def _mode_of_domain(counts: Column, labels) -> Column:
 
 def kpis(df: DataFrame) -> DataFrame:
     """14 headline KPIs in one row.  One aggregation computes the shares,
-    mean, median and the per-value counts of the fixed domains (12 months,
+    mean and the per-value counts of the fixed domains (12 months,
     7 age groups) whose modes follow; distinct counts and the region mode
     (open domain) are small separate aggregates joined as scalar subqueries."""
     n = F.count(F.lit(1))
@@ -66,7 +67,6 @@ def kpis(df: DataFrame) -> DataFrame:
     main = df.agg(
         n.cast("bigint").alias("total_cases"),
         round_half_even(F.avg("age"), 1).alias("mean_age"),
-        F.median(F.col("age").cast("double")).alias("median_age"),
         pct1(F.sum(flag01(F.col("sex") == "F")), n).alias("pct_female"),
         pct1(F.sum(flag01(F.col("sex") == "M")), n).alias("pct_male"),
         pct1(F.sum(flag01(F.col("is_minor"))), n).alias("pct_minor"),
@@ -79,8 +79,10 @@ def kpis(df: DataFrame) -> DataFrame:
     pairs = df.groupBy("region_name", "area_code").agg(F.count(F.lit(1)).alias("_n"))
     top = (pairs.where(F.col("region_name").isNotNull()).groupBy("region_name").agg(F.sum("_n").alias("_n"))
            .select(F.min_by("region_name", F.struct((-F.col("_n")).alias("a"), F.col("region_name").alias("b")))))
+    median = quantiles_by(df, "age", (0.5,)).select(F.col("q")[0]).scalar()
     return main.select(
-        *[c for c in main.columns if not c.startswith("_")],
+        "total_cases", "mean_age", median.alias("median_age"),
+        *[c for c in main.columns[2:] if not c.startswith("_")],
         pairs.select(F.count_distinct("region_name")).scalar().cast("bigint").alias("regions"),
         pairs.select(F.count_distinct("area_code")).scalar().cast("bigint").alias("areas"),
         top.scalar().alias("top_region"),

@@ -55,7 +55,7 @@ def assemble(df: DataFrame, cfg: Config | None = None) -> DataFrame:
 def split(prepared: DataFrame, test_fraction: float = 0.2, seed: int = 42) -> DataFrame:
     """Adds ``is_test``: within each class (when the smallest class has >= 2
     areas, else globally) the ceil(fraction * n) areas with the smallest
-    ``xxhash64(area_code, seed)`` form the test set."""
+    ``split_hash`` form the test set."""
     sizes = {r["label"]: r["n"] for r in class_counts(prepared).select("label", "n").collect()}   # a row per class
     group = F.col("label") if sizes and min(sizes.values()) >= 2 else F.lit(0.0)
     ranked, counts = hash_rank(prepared.withColumn("_group", group), "_group", seed)
@@ -64,13 +64,18 @@ def split(prepared: DataFrame, test_fraction: float = 0.2, seed: int = 42) -> Da
             .drop("_group", "_place", "_size"))
 
 
+def split_hash(seed: int) -> F.Column:
+    """60 bits of the MD5 of area code and seed: any engine can compute it."""
+    text = F.concat(F.coalesce(F.col("area_code"), F.lit("")), F.lit(f":{seed}"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
+
+
 def hash_rank(df: DataFrame, group: str, seed: int) -> tuple[DataFrame, DataFrame]:
     """``df`` with ``_place``, a row's place (from 0) in its group by the hash
     of its area code, and the groups' sizes (group, _size).  The hash range is
     cut into bins: a row's place is its place in its bin after all rows of
     lower bins, so no task sorts a whole group."""
-    h = F.xxhash64(F.col("area_code"), F.lit(seed))
-    binned = df.withColumn("_hash", h).withColumn("_bin", F.shiftright(h, 56).cast("int"))   # -128 .. 127, in the order of the hash
+    binned = df.withColumn("_hash", split_hash(seed)).withColumn("_bin", F.shiftright("_hash", 52).cast("int"))   # 0 .. 255, in the order of the hash
     counts = binned.groupBy(group, "_bin").agg(F.count(F.lit(1)).alias("_n"))          # 256 rows a group, at most
     before = counts.select(group, "_bin", (F.sum("_n").over(
         Window.partitionBy(group).orderBy("_bin")) - F.col("_n")).alias("_before"))
@@ -319,6 +324,12 @@ def cluster_order(assigned: DataFrame, labels: tuple[str, ...] = ()) -> DataFram
                         .alias("cluster_label"))
 
 
+def cluster_rank(clustered: DataFrame) -> DataFrame:
+    """Clusters by ascending mean rate: cluster, label, mean_rate and rank (k rows)."""
+    means = clustered.groupBy("cluster", "cluster_label").agg(F.avg("rate_100k").alias("mean_rate"))
+    return means.withColumn("rank", F.row_number().over(Window.orderBy("mean_rate", "cluster")))
+
+
 def cluster_profile(clustered: DataFrame, cfg: Config | None = None) -> DataFrame:
     cfg = cfg or Config()
     return clustered.groupBy("cluster", "cluster_label").agg(

@@ -7,7 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.core import quantiles, round_half_even
+from ..functions.core import round_half_even, row_digest
+from .quantiles import quantiles_by
 
 
 def shape(df: DataFrame, id_col: str = "case_id") -> DataFrame:
@@ -39,13 +40,13 @@ def dtypes(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
 
 def describe(df: DataFrame, cols=("age", "epi_week")) -> DataFrame:
     """count, mean, sample std, min, quartiles (linear interpolation), max,
-    rounded to 2 dp — one row per variable, all from one aggregation."""
+    rounded to 2 dp — one row per variable: the moments from one aggregation,
+    the quartiles of all variables selected together."""
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 quantiles(x, (0.25, 0.5, 0.75)).alias(f"{c}__q"),
                  F.max(x).alias(f"{c}__max")]
     wide = df.agg(*aggs)
     rows = []
@@ -55,18 +56,20 @@ def describe(df: DataFrame, cols=("age", "epi_week")) -> DataFrame:
             round_half_even(F.col(f"{c}__mean"), 2).alias("mean"),
             round_half_even(F.col(f"{c}__std"), 2).alias("std"),
             round_half_even(F.col(f"{c}__min"), 2).alias("min"),
-            round_half_even(F.col(f"{c}__q")[0], 2).alias("p25"),
-            round_half_even(F.col(f"{c}__q")[1], 2).alias("p50"),
-            round_half_even(F.col(f"{c}__q")[2], 2).alias("p75"),
             round_half_even(F.col(f"{c}__max"), 2).alias("max")))
-    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    moments = wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "variable", "x")
+    quart = quantiles_by(long, "x", (0.25, 0.5, 0.75), ["variable"])
+    return moments.join(quart, "variable", "left").select(
+        "variable", "count", "mean", "std", "min", *[round_half_even(F.col("q")[i], 2).alias(n) for i, n in enumerate(("p25", "p50", "p75"))],
+        "max")
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows that repeat an earlier identical row (count - distinct rows).
-    Distinct rows come from a hash aggregate with map-side combine, so a
-    heavily repeated row collapses before the shuffle."""
-    distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    """Rows that repeat an earlier identical row (count - distinct rows), told
+    apart by a 128-bit digest: 16 bytes a distinct row are shuffled, and a
+    heavily repeated row collapses before."""
+    distinct = df.select(*row_digest(df.columns)).groupBy("_digest1", "_digest2").agg(F.count(F.lit(1)).alias("_n"))
     return distinct.agg((F.sum("_n") - F.count(F.lit(1))).cast("bigint").alias("duplicate_rows"))
 
 
@@ -130,6 +133,20 @@ def column_roles(df: DataFrame) -> dict[str, list[str]]:
     return out
 
 
+def column_role_table(df: DataFrame, high_null: float = 50.0) -> DataFrame:
+    """(role, column, pct_null): the roles as rows; ``high_null`` has the
+    columns of which a larger share (in %) is null."""
+    spark = df.sparkSession
+    pairs = [(role, c) for role, names in column_roles(df).items() for c in names]
+    n = F.count(F.lit(1))
+    nulls = df.agg(n.alias("_t"), *[(n - F.count(F.col(c))).alias(c) for c in df.columns]) \
+              .unpivot(["_t"], df.columns, "column", "n_null") \
+              .select("column", round_half_even(F.col("n_null") / F.col("_t") * 100, 1).alias("pct_null"))
+    named = spark.createDataFrame(pairs, "role string, column string").join(nulls, "column")
+    high = nulls.where(F.col("pct_null") > high_null).select(F.lit("high_null").alias("role"), "column", "pct_null")
+    return named.select("role", "column", "pct_null").unionByName(high)
+
+
 def code_uniqueness(clean: DataFrame) -> DataFrame:
     """Distinct short local codes vs distinct full area codes (clean table):
     the short code alone does not identify an area."""

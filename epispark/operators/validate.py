@@ -198,6 +198,17 @@ def preview(df: DataFrame, n: int = 10, id_col: str = "case_id") -> DataFrame:
     return df.select(*keep).orderBy(F.col(id_col).asc_nulls_last()).limit(n)
 
 
+def contract_table(df: DataFrame) -> DataFrame:
+    """(place, kind, column, present, n_filled): the contract's columns in
+    order, whether the file has them, and how many of its rows fill them."""
+    wanted = [("required", c) for c in C.REQUIRED_COLUMNS] + [("optional", c) for c in C.OPTIONAL_COLUMNS]
+    have = [c for _, c in wanted if c in df.columns]
+    rows = df.sparkSession.createDataFrame([(i + 1, kind, c, c in have) for i, (kind, c) in enumerate(wanted)],
+                                           "place int, kind string, column string, present boolean")
+    filled = df.agg(*[F.count(F.col(c)).alias(c) for c in have]).unpivot([], have, "column", "n_filled")
+    return rows.join(filled, "column", "left").select("place", "kind", "column", "present", F.coalesce("n_filled", F.lit(0)).alias("n_filled"))
+
+
 def contract_doc() -> str:
     """The required format as Markdown, generated from the contract."""
     req = "\n".join(f"- `{c}`" for c in C.REQUIRED_COLUMNS)

@@ -63,7 +63,9 @@ class Inputs:
         folder; every raw-level query reads that file set."""
         def build():
             path = scratch_path(self.spark, "raw_cases")
-            adapter.raw_cases(self.spark, self.sf_dir).write.parquet(path)
+            # as many files as tasks: the joins' last exchange would leave one
+            n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            adapter.raw_cases(self.spark, self.sf_dir).repartition(n, "case_id").write.parquet(path)
             return self.spark.read.parquet(path)
         return self._get("raw", build)
 

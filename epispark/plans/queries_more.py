@@ -14,6 +14,7 @@ from ..operators import charts as CH
 from ..operators import clean as CL
 from ..operators import crosstab as XT
 from ..operators import describe as DS
+from ..operators import disclosure as DC
 from ..operators import index as IX
 from ..operators import joins as J
 from ..operators import privacy as PV
@@ -135,6 +136,10 @@ def prof_head(spark, d):
     return PF.head(_typed(spark, d), 3)
 
 
+query("prof_dtypes")(lambda s, d: PF.dtypes(_typed(s, d)))
+query("prof_column_roles")(lambda s, d: PF.column_role_table(_typed(s, d), 10.0))
+
+
 @query("prof_describe")
 def prof_describe(spark, d):
     return PF.describe(_typed(spark, d), ("age", "epi_week"))
@@ -231,6 +236,9 @@ for _rule, _key in VAL_KEYS.items():
     query(_key)(_rule_query(_rule))
 
 
+query("val_contract_doc")(lambda s, d: VA.contract_table(_typed(s, d)))
+
+
 @query("val_summary")
 def val_summary(spark, d):
     raw = inputs(spark, d).raw
@@ -255,8 +263,9 @@ def cln_trim_names(spark, d):
 @query("cln_drop_columns")
 def cln_drop_columns(spark, d):
     """Columns that the analysis does not use are left out."""
-    wide = _typed(spark, d).select("case_id", "region_name", F.lit("1").alias("TIP_CAS"), F.lit("2").alias("AJUSTE"))
-    return CL.drop_columns(wide, inputs(spark, d).cfg)
+    cfg = inputs(spark, d).cfg
+    wide = _typed(spark, d).select("case_id", "region_name", *[F.col("sex").alias(c) for c in cfg.drop_columns])
+    return CL.drop_columns(wide, cfg)
 
 
 @query("cln_trim_text")
@@ -509,10 +518,23 @@ def join_anti_new_indexed(spark, d):
 query("top_ranking")(lambda s, d: IX.top_ranking(inputs(s, d).index, 20))
 query("top_regions")(lambda s, d: DS.by_region(_clean(s, d), top=15).select(
     "region_name", "cases"))
-# over several years no area of the stand-in grows by the default half
-query("flt_emerging")(lambda s, d: IX.emerging(inputs(s, d).index, inputs(s, d).cfg.with_(emerging_trend=0.05), 10)
-                      .select("area_code", "region_name", "local_name", "cases", "trend",
-                              "score", "priority"))
+EMERGING_COLS = ("area_code", "region_name", "local_name", "cases", "trend", "score", "priority")
+
+
+@query("flt_emerging")
+def flt_emerging(spark, d):
+    """Areas that grow by more than half.  Over all years the stand-in is level,
+    so half of the first-semester cases of one local code are set in the second."""
+    i = inputs(spark, d)
+    late = (F.col("local_code") == "3") & (F.col("epi_week") <= 26) & (F.col("case_id") % 2 == 0)
+    raw = i.raw.withColumn("epi_week", F.when(late, F.col("epi_week") + 26).otherwise(F.col("epi_week")))
+    idx = IX.index_flow(CL.clean(raw, i.cfg, i.aliases), i.population, i.cfg)
+    return IX.emerging(idx, i.cfg, 10).select(*EMERGING_COLS)
+
+
+# the level stand-in itself, which needs a lower threshold
+query("flt_emerging_level")(lambda s, d: IX.emerging(
+    inputs(s, d).index, inputs(s, d).cfg.with_(emerging_trend=0.05), 10).select(*EMERGING_COLS))
 
 
 @query("set_union_update")
@@ -586,6 +608,37 @@ query("prv_public_cells")(lambda s, d: PV.public_case_cells(_clean(s, d), 5))
 query("prv_k_anonymity_check")(lambda s, d: PV.k_anonymity_check(
     PV.public_case_cells(_clean(s, d), 5), "cases", 5))
 
+
+
+@query("prv_protected_areas")
+def prv_protected_areas(spark, d):
+    """All areas with what is hidden, so that no small area follows from a regional total."""
+    return DC.protected_areas(inputs(spark, d).index.select(*DC.AREA, "cases"), 5)
+
+
+@query("prv_protected_cells")
+def prv_protected_cells(spark, d):
+    """The published cells: none that is hidden follows from the total of its area."""
+    i = inputs(spark, d)
+    areas = DC.protected_areas(i.index.select(*DC.AREA, "cases"), 5)
+    return DC.published(DC.protected_cells(i.clean, areas, 5))
+
+
+@query("prv_disclosure_audit")
+def prv_disclosure_audit(spark, d):
+    """How many hidden areas and cells can be worked out: with small ones alone
+    hidden, and with second ones hidden too."""
+    i = inputs(spark, d)
+    areas = i.index.select(*DC.AREA, "cases")
+    small = F.when(F.col("cases") < 5, F.lit("small")).alias("hidden")
+    safe = DC.protected_areas(areas, 5)
+    cells = DS.public_cells(i.clean)
+    return (DC.audit(areas.select("*", small), DC.REGION, "areas, small hidden")
+            .unionByName(DC.audit(safe, DC.REGION, "areas, protected"))
+            .unionByName(DC.audit(cells.select("*", small), DC.AREA, "cells, small hidden"))
+            .unionByName(DC.audit(DC.protected_cells(i.clean, safe, 5), DC.AREA, "cells, protected")))
+
+
 # --------------------------------------------------------------------------
 # 2.13 priority index stages
 # --------------------------------------------------------------------------
@@ -700,7 +753,7 @@ query("ml_elbow")(lambda s, d: ML.elbow(inputs(s, d).index, inputs(s, d).cfg))
 query("ml_kmeans")(lambda s, d: inputs(s, d).clusters.select(*ML.KEYS, "cluster", "cluster_label"))
 query("ml_cluster_profile")(lambda s, d: ML.cluster_profile(inputs(s, d).clusters, inputs(s, d).cfg))
 query("ml_cluster_label")(lambda s, d: inputs(s, d).clusters.select("cluster", "cluster_label").distinct())
-query("win_cluster_rank")(lambda s, d: inputs(s, d).clusters.groupBy("cluster").agg(F.avg("rate_100k").alias("mean_rate")))
+query("win_cluster_rank")(lambda s, d: ML.cluster_rank(inputs(s, d).clusters))
 
 # --------------------------------------------------------------------------
 # incremental ingestion as Structured Streaming (the update path)

@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..operators import clean as CL
+from ..operators import disclosure as DC
 from ..operators import index as IX
 from ..operators import privacy as PV
 from ..operators import validate as VA
+from ..session import materialize
 from ..sources import cases as SRC
 from ..streaming import commits as COM
 from ..streaming import incremental as INC
@@ -47,12 +49,21 @@ def batch_index(raw: DataFrame, population: DataFrame, out_root: str,
 
 
 def publish(clean: DataFrame, idx: DataFrame, out_root: str, k: int = 5,
-            fmt: str = "parquet") -> dict:
+            fmt: str = "parquet", complementary: bool = False) -> dict:
     """Write only suppressed aggregates (Parquet, or CSV with a header for
     hand-off files); refuse to publish a frame that fails the k-anonymity
-    check."""
-    areas = PV.public_areas(idx, k).drop(*[c for c in idx.columns if c.endswith("_norm")])
-    cells = PV.public_case_cells(clean, k)
+    check.  ``complementary`` also hides the second areas and cells without
+    which a small one follows from a total (``operators.disclosure``); without
+    it small ones alone are left out."""
+    if complementary:
+        marked = materialize(DC.protected_areas(idx.select(*DC.AREA, "cases"), k))
+        shown = DC.published(marked).select(*[F.col(c).alias(f"_{c}") for c in DC.AREA])
+        same = [idx[c].eqNullSafe(shown[f"_{c}"]) for c in DC.AREA]
+        areas = idx.join(shown, same, "left_semi").drop(*[c for c in idx.columns if c.endswith("_norm")])
+        cells = DC.published(DC.protected_cells(clean, marked, k))
+    else:
+        areas = PV.public_areas(idx, k).drop(*[c for c in idx.columns if c.endswith("_norm")])
+        cells = PV.public_case_cells(clean, k)
     for name, frame in (("areas", areas), ("cells", cells)):
         chk = PV.k_anonymity_check(frame, "cases", k).first()
         if not chk["is_safe"]:
@@ -168,7 +179,6 @@ def dashboard_tables(clean: DataFrame, idx: DataFrame, cube: DataFrame | None =
     change never rescans case rows; index tables are global.  Rows that count
     fewer than ``k`` cases are left out of every table with a count."""
     from ..operators import cube as CB
-    from ..session import materialize
     cube = cube if cube is not None else materialize(CB.case_cube(clean))
     sel = CB.filter_cube(cube, **filters)
     safe = lambda df, c="cases": PV.suppress(df, c, k)

@@ -126,3 +126,17 @@ def test_codes_with_several_names(spark):
                          {"local_code": "002", "local_name": "BELLO"}])
     r = PF.codes_with_several_names(CL.clean(raw, CFG)).collect()
     assert len(r) == 1 and r[0]["area_code"] == "05001" and r[0]["n_names"] == 2
+
+
+def test_rows_are_deduplicated_by_digest(spark):
+    """Nulls are equal to nulls alone; unique rows are not shuffled in full."""
+    rows = [(1, None, "a"), (1, "a", None), (1, None, "a"), (2, "", "b"), (2, None, "b"), (3, "x", "y"), (3, "x", "y"), (3, "x", "y")]
+    df = spark.createDataFrame(rows, "i int, s string, t string").repartition(4)
+    out = CL.dedup_rows(df)
+    assert sorted(map(repr, out.collect())) == sorted({repr(r) for r in df.collect()})
+    wide = spark.range(2000).union(spark.range(5)).selectExpr("id", "repeat(cast(id as string), 50) as text")
+    plan = CL.dedup_rows(wide)
+    assert len(plan.collect()) == 2000
+    text = plan._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    unique = text.split("Union", 1)[1].split("BroadcastHashJoin", 1)
+    assert len(unique) == 2 and "Exchange" not in unique[0]         # the unique rows meet a broadcast

@@ -128,7 +128,7 @@ def test_dashboard_cube_matches_direct(spark):
         *t["kpis"].columns).first())
 
 
-ROWS_ONLY = {"ml_split", "ml_tree", "ml_tree_rules", "ml_forest", "ml_importance", "ml_cv",
+ROWS_ONLY = {"ml_tree", "ml_tree_rules", "ml_forest", "ml_importance", "ml_cv",
              "ml_metrics", "ml_confusion", "ml_elbow", "ml_kmeans", "ml_cluster_profile",
              "ml_cluster_label", "win_cluster_rank"}
 
