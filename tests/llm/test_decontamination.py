@@ -53,7 +53,7 @@ def test_small_windows_and_common_words():
     bench = [(k, " ".join(rng.choice("ab") for _ in range(rng.randrange(1, 9)))) for k in range(15)]
     rows = [(k, " ".join(rng.choice("abc") for _ in range(rng.randrange(0, 700)))) for k in range(20)]
     import pyarrow as pa
-    n, hits, items = D.find_hits(pa.array([t for _, t in rows]), D.matchers([(str(a), b) for a, b in bench], 4))
+    n, hits, items = D.Block([(str(a), b) for a, b in bench], 4).find(pa.array([t for _, t in rows]))
     want = brute(rows, bench, 4)
     got = Counter((i, int(n[i]), D.covered(hits[i]), len(items[i]), hashlib.sha256(",".join(sorted(items[i])).encode()).hexdigest(),
                    bool(hits[i])) for i in range(len(rows)))
@@ -85,3 +85,21 @@ def test_items_without_an_id(spark, block_bytes):
     assert {i: (r.n_hit, r.n_items, r.items_sha256) for i, r in got.items()} == {
         1: (12, 1, sha[""]), 2: (36, 2, sha["3"]), 3: (0, 0, sha[""]), 4: (12, 1, sha["3"])}
     assert [r.doc_id for r in D.clean_documents(odd_docs(spark, rows), bench, block_bytes=block_bytes).collect()] == [3]
+
+
+def test_a_block_takes_few_bytes_for_each_of_its_own():
+    import tracemalloc
+    rng = random.Random(9)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=rng.randrange(2, 9))) for _ in range(20000)]
+    items = [(str(k), " ".join(rng.choices(vocabulary, k=200))) for k in range(1500)]
+    size = sum(len(t) for _, t in items)
+    D.Block(items)                          # the powers of the hash are kept for all
+    tracemalloc.start()
+    block = D.Block(items)
+    kept, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    tables = len(block.matchers) * (4 << D.TABLE_BITS)
+    assert kept - tables < 9 * size and peak - tables < 40 * size
+    import pyarrow as pa
+    _, hits, found = block.find(pa.array(["x " + items[7][1].upper() + " y", "none of it"]))
+    assert D.covered(hits[0]) == 200 and found[0] == {"7"} and not hits[1]
