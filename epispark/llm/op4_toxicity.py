@@ -14,9 +14,10 @@ dictionaries have not seen and weighted to the labels' base rate, so it is a
 probability.
 
 Labels are read from a bounded sample: at most ``n_toxic`` and ``n_ordinary``
-documents, those with the smallest hashes of their ids, and at most
-``words_per_doc`` different words of each for the dictionaries; scoring reads
-every text whole.
+documents, those with the smallest hashes of their ids, all words of which are
+learnt from; scoring reads every text whole.  The driver holds the sample's
+different words and, for each document, their numbers; how long they are
+compressed is measured in tasks.
 
 Defined cases: a null or empty text has no window and gets the score that the
 model gives to none; labels that are null or of unknown documents are not
@@ -28,16 +29,15 @@ text are never read, and are carried along by ``reject_toxic``.
 
 from __future__ import annotations
 
-import random
-import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard as zstd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import byte_strings, saved, slices, text_rows
@@ -87,10 +87,9 @@ def _compressor(dictionary: bytes):
 class Distance:
     """Distances of windows, remembered for the words met before."""
 
-    def __init__(self, ordinary: bytes, toxic: bytes, lengths: dict[bytes, int] | None = None):
+    def __init__(self, ordinary: bytes, toxic: bytes):
         self.ordinary, self.toxic = _compressor(ordinary), _compressor(toxic)
         self.known: dict[bytes, int] = {}
-        self.lengths = lengths              # with the ordinary dictionary, if they are to be used again
 
     def of(self, words: list[bytes]) -> list[int]:
         known = self.known
@@ -99,63 +98,76 @@ class Distance:
         for w in words:
             if w not in known:
                 window = FRAME + w + b" "
-                n = len(self.toxic(window))
-                if self.lengths is None:
-                    known[w] = len(self.ordinary(window)) - n
-                    continue
-                if w not in self.lengths:
-                    self.lengths[w] = len(self.ordinary(window))
-                known[w] = self.lengths[w] - n
+                known[w] = len(self.ordinary(window)) - len(self.toxic(window))
         return [known[w] for w in words]
 
 
 def features(words: list[bytes], distance: Distance) -> list[float]:
     counts = Counter(words)
     d = np.array(distance.of(list(counts)), dtype=np.int64)
-    n = np.fromiter(counts.values(), dtype=np.int64, count=len(counts))
-    total = max(1, len(words))
+    return _features(d, np.fromiter(counts.values(), dtype=np.int64, count=len(counts)))
+
+
+def _features(d: np.ndarray, n: np.ndarray) -> list[float]:
+    """Features of a document whose different words have distances ``d`` and come ``n`` times."""
+    total = int(n.sum())
     reach = [int(n[d >= k].sum()) for k in LEVELS]
-    return [*(float(np.log1p(200 * x / total)) for x in reach), *(float(np.log1p(x)) for x in reach),
-            float(np.log1p(len(words)))]
+    return [*(float(np.log1p(200 * x / max(1, total))) for x in reach), *(float(np.log1p(x)) for x in reach),
+            float(np.log1p(total))]
+
+
+def compressed_lengths(words: list[bytes], dictionary: bytes) -> list[int]:
+    size = _compressor(dictionary)
+    return [len(size(FRAME + w + b" ")) for w in words]
 
 
-def train_dictionaries(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> tuple[bytes, bytes]:
-    """Dictionaries from the different words of toxic and of ordinary documents.
-    Of the toxic dictionaries of all sizes and rounds, the one whose distances
-    tell a fifth of the documents apart best, which none of them has seen."""
-    rng = random.Random(0)
-    frame = lambda w: FRAME + w + b" "
+def train_dictionaries(vocabulary: list[bytes], toxic: list[np.ndarray], ordinary: list[np.ndarray],
+                       lengths: Callable[[bytes], np.ndarray]) -> tuple[bytes, bytes]:
+    """Dictionaries from toxic and ordinary documents, each given by the numbers
+    of its different words in the sorted ``vocabulary``; ``lengths`` measures
+    all words with a dictionary.  Of the toxic dictionaries of all sizes and
+    rounds, the one whose distances tell a fifth of the documents apart best,
+    which none of them has seen."""
     toxic, judged = toxic[len(toxic) // 5:], [(d, 1) for d in toxic[:len(toxic) // 5]]
     ordinary, judged = ordinary[len(ordinary) // 5:], judged + [(d, 0) for d in ordinary[:len(ordinary) // 5]]
-    plain = [frame(w) for d in ordinary for w in d]
-    rng.shuffle(plain)
-    first = _dictionary(plain[:200_000], ORDINARY_BYTES)
-    shared = {w for d in ordinary for w in d}
-    start = [w for d in toxic for w in d if len(w) > 2 and w not in shared]
-    found, lengths = [], {}
+    none = np.zeros(0, dtype=np.int64)
+    plain = np.random.default_rng(0).permutation(np.concatenate([none, *ordinary]))
+    framed = lambda ids: [FRAME + vocabulary[i] + b" " for i in ids.tolist()]
+    first = _dictionary(framed(plain), ORDINARY_BYTES)
+    base = lengths(first)
+    shared = np.zeros(len(vocabulary), dtype=bool)
+    shared[plain] = True
+    long = np.array([len(w) > 2 for w in vocabulary], dtype=bool)
+    bad = np.concatenate([none, *toxic])
+    # toxic words come back in other documents; names, numbers and slips mostly do not
+    again = np.bincount(bad, minlength=len(vocabulary)) >= 2
+    start = bad[long[bad] & ~shared[bad] & again[bad]]
+    start = start if len(start) >= 100 else bad[long[bad] & ~shared[bad]]
+    found = []
     for size in TOXIC_BYTES:
-        second = _dictionary([frame(w) for w in start[:200_000]] or plain[:1000], size)
+        second = _dictionary(framed(start) or framed(plain[:1000]), size)
         for k in range(ROUNDS + 1):
-            distance = Distance(first, second, lengths)
+            distance = base - lengths(second)
             found.append((_loss(judged, distance), -size, k, second))
             if k == ROUNDS:
                 break
-            alarms = {w for d in ordinary for w, x in zip(d, distance.of(d)) if x >= 2}
+            telling = long & (distance >= 2) & ~shared & again
             chosen = []
             for d in toxic:
-                long = [w for w in d if len(w) > 2]
-                best = sorted(zip(distance.of(long), long), key=lambda x: (-x[0], x[1]))[:max(1, len(long) // 20)]
-                chosen += [w for x, w in best if x >= 2 and w not in alarms]
+                own = d[long[d]]
+                best = own[np.lexsort((own, -distance[own]))[:max(1, len(own) // 20)]]
+                chosen.append(best[telling[best]])
+            chosen = np.concatenate([none, *chosen])
             if len(chosen) < 100:
                 break
-            second = _dictionary([frame(w) for w in chosen], size)
+            second = _dictionary(framed(chosen), size)
     return first, min(found)[-1]
 
 
-def _loss(judged: list[tuple[list[bytes], int]], distance: Distance) -> float:
+def _loss(judged: list[tuple[np.ndarray, int]], distance: np.ndarray) -> float:
     """Log loss of a logistic function of the features, fitted on every other
     document and read on the rest, and the other way round."""
-    x = np.array([features(d, distance) for d, _ in judged]).reshape(-1, N_FEATURES)
+    x = np.array([_features(distance[d], np.ones(len(d), dtype=np.int64)) for d, _ in judged]).reshape(-1, N_FEATURES)
     y = np.array([t for _, t in judged], dtype=float)
     loss = 0.0
     for half in range(2):
@@ -185,7 +197,7 @@ def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1.0) ->
     return beta[:-1], float(beta[-1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, n_toxic: int = 2500, n_ordinary: int = 5000, words_per_doc: int = 300,
+def fit(docs: DataFrame, labels: DataFrame, n_toxic: int = 2500, n_ordinary: int = 5000,
         id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """A model learnt from the labels of documents that are not held out."""
     known = (labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
@@ -202,24 +214,29 @@ def fit(docs: DataFrame, labels: DataFrame, n_toxic: int = 2500, n_ordinary: int
     # at most n_toxic + n_ordinary ids
     texts = saved(text_rows(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id"), "tox-texts")
 
-    def vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def different(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            words = [sorted(set(windows(t)), key=lambda w: (zlib.crc32(w), w))[:words_per_doc]
-                     for t in byte_strings(part.column("text"))]
+            words = [sorted(set(windows(t))) for t in byte_strings(part.column("text"))]
             yield pa.RecordBatch.from_arrays([part.column("y"), part.column("doc_id"), pa.array(words, pa.list_(pa.binary()))],
                                              ["y", "doc_id", "words"])
 
-    read = texts.where("learn").mapInArrow(vocabulary, "y int, doc_id long, words array<binary>").toArrow()
-    known: dict[bytes, bytes] = {}              # one object for each different word
-    split: list[list[list[bytes]]] = [[], []]
-    for i in np.argsort(read.column("doc_id").to_numpy(), kind="stable").tolist():
-        words = [known.setdefault(w, w) for w in read.column("words")[i].as_py()]
-        split[1 - read.column("y")[i].as_py()].append(words)
-    del read, known
-    if not split[0] or not split[1]:
+    read = texts.where("learn").mapInArrow(different, "y int, doc_id long, words array<binary>").toArrow().sort_by("doc_id")
+    y = read.column("y").to_numpy()
+    if not (y == 0).any() or not (y == 1).any():
         rate = counts[1] / (counts[0] + counts[1])
         return Model(bias=float(np.log(rate / (1 - rate))))
-    ordinary, toxic = train_dictionaries(*split)
+    lists = read.column("words").combine_chunks()
+    coded = lists.flatten().dictionary_encode()
+    vocabulary = coded.dictionary.to_pylist()
+    number = np.empty(len(vocabulary), dtype=np.int64)
+    number[sorted(range(len(vocabulary)), key=vocabulary.__getitem__)] = np.arange(len(vocabulary))
+    vocabulary.sort()
+    ids = number[coded.indices.to_numpy()]
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    each = np.split(ids, np.cumsum(sizes)[:-1])
+    split = [[each[i] for i in np.flatnonzero(y == label).tolist()] for label in (1, 0)]
+    ordinary, toxic = train_dictionaries(vocabulary, *split, _measured(docs.sparkSession, vocabulary))
+    del read, lists, coded, ids, each, split, vocabulary
     shared = docs.sparkSession.sparkContext.broadcast((ordinary, toxic))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,6 +257,21 @@ def fit(docs: DataFrame, labels: DataFrame, n_toxic: int = 2500, n_ordinary: int
     return Model(ordinary, toxic, weights.tolist(), bias)
 
 
+def _measured(spark: SparkSession, vocabulary: list[bytes]) -> Callable[[bytes], np.ndarray]:
+    """Compressed lengths of the sample's words, measured in tasks; a number a word comes back."""
+    table = pa.table({"id": pa.array(range(len(vocabulary)), pa.int64()), "word": pa.array(vocabulary, pa.binary())})
+    words = saved(spark.createDataFrame(table).repartition(4 * spark.sparkContext.defaultParallelism, "id"), "tox-words")
+
+    def lengths(dictionary: bytes) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("id"), pa.array(compressed_lengths(b.column("word").to_pylist(), dictionary), pa.int32())], ["id", "n"])
+        got = words.mapInArrow(run, "id long, n int").toArrow()
+        out = np.zeros(len(vocabulary), dtype=np.int64)
+        out[got.column("id").to_numpy()] = got.column("n").to_numpy()
+        return out
+    return lengths
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", keep_text: bool = False) -> DataFrame:

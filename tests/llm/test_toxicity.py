@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -62,3 +63,37 @@ def test_empty(spark):
     lab = spark.createDataFrame([(1, 1), (4, 0)], "doc_id long, toxic int")
     assert T.toxicity(empty_docs(spark), lab).collect() == []
     assert T.reject_toxic(empty_docs(spark), lab).collect() == []
+
+
+def test_scores_are_those_of_a_plain_run(spark):
+    """Every score recomputed from the model by direct compression, word by word."""
+    rows, labels = corpus(400, 6)
+    rows += [(5000, None), (5001, ""), (5002, rows[3][1] + " " + rows[3][1])]
+    d, lab = odd_docs(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = T.fit(d, lab)
+    one, two = T._compressor(model.ordinary), T._compressor(model.toxic)
+    got = {r.doc_id: r.score for r in T.toxicity(d, lab).collect()}
+    for i, text in rows:
+        words = "".join(c.lower() if c.isascii() and c.isalnum() else c if ord(c) > 127 else " " for c in text or "").split(" ")
+        words = [w.encode() for w in words if w]
+        far = [len(one(T.FRAME + w + b" ")) - len(two(T.FRAME + w + b" ")) for w in words]
+        reach = [sum(x >= k for x in far) for k in (2, 3, 4, 5, 6)]
+        x = [math.log1p(200 * n / max(1, len(words))) for n in reach] + [math.log1p(n) for n in reach] + [math.log1p(len(words))]
+        z = sum(a * b for a, b in zip(x, model.weights)) + model.bias
+        assert abs(got[i] - 1 / (1 + math.exp(-z))) < 1e-9
+
+
+def test_all_words_of_the_sample_are_learnt_from(spark, monkeypatch):
+    """Above 200,000 different words the dictionaries still see every one."""
+    rng = random.Random(8)
+    rows = [(i, " ".join("".join(rng.choices("abcdefghijklmnop", k=9)) for _ in range(600)) + (" zonkbrain" * 9 if i % 3 == 0 else ""))
+            for i in range(1300)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    given = []
+    real = T._dictionary
+    monkeypatch.setattr(T, "_dictionary", lambda samples, size: (given.append(len(samples)), real(samples[:2000], size))[1])
+    monkeypatch.setattr(T, "ROUNDS", 1)
+    T.fit(odd_docs(spark, rows), labels)
+    learnt = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert given[0] > 200_000 and given[0] % 600 == 0 and given[0] // 600 <= sum(i % 3 > 0 for i in learnt)
+    assert given[1] >= 100
