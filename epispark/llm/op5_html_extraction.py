@@ -8,23 +8,29 @@ references are decoded.  Elements end as HTML says: at their own end tag, at a
 start tag that implies it (p, li, dd, dt, option, rt, rp, parts of tables, the
 head) or at the end tag of an element around them, also when they are left out.
 
+A class, id or role names such a part anywhere outside a declared article; inside
+one all its words must belong to such names (``share-buttons``, but not
+``market-share``), and the id of a heading, which is made from its text, says nothing.
+
 Host suffix array.  The token streams of a host's pages are laid end to end
 and their suffixes sorted by their first ``run`` tokens (prefix doubling).
-Pages with the same tokens are one content, whose first page alone is laid
-there: copies of an article are content.  Suffixes that agree form an
-interval; one that holds suffixes of at least ``min_pages`` contents and of
-half of all contents is a boilerplate run.  Tokens covered by boilerplate runs
-are removed and unique runs stay; inside a declared article only blocks
-covered whole go, since an article may quote.
-
-A host with very many pages is dealt by the hash of the page into shards of
-about ``shard_pages``; each has a suffix array of its own.  A content votes in
-one of the shards that hold it, and a run is boilerplate for the host if half
-of its shards find it so (a run in half of the contents of a host is in half
-of the contents of some shard).  Where copies leave a shard fewer than an
-eighth of its pages as contents, the contents with each run are counted over
-all shards instead.  The parsed pages are shuffled once, by host and shard,
-for all steps; digests of contents are shuffled beside them.
+Pages with the same tokens are one content, which is laid there once: copies
+of an article are content.  Suffixes that agree form an interval; a run of
+``run`` or more tokens is boilerplate if its windows of ``run`` tokens each stand
+in at least ``min_pages`` contents and in half of all contents of the host.
+Tokens covered by boilerplate runs are removed and unique runs stay; inside a
+declared article only blocks covered whole go, since an article may quote.
+
+A host with many contents is dealt by their digests into shards of about
+``shard_pages``; each has a suffix array of its own.  A window in half of a
+host's contents is in half of the contents of some shard (or the sum would be
+less), so the windows that half of a shard holds are all that can be; they are
+then counted over all shards of the host.  One rule holds for every size.
+
+Plan.  The parsed pages are written once.  Tasks drop contents they have met
+before the contents are shuffled by host and shard, so a page that comes often
+travels a few times; windows come to their shard or pages as one row each,
+ahead of them.  Only pages of hosts with boilerplate are shuffled again.
 
 Defined cases: null or empty html gives an empty text; a null or malformed
 url is a host of its own kind in which nothing counts as repeated; repeated
@@ -43,12 +49,12 @@ from html import unescape
 
 import numpy as np
 import pyarrow as pa
+import zstandard as zstd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import joined, partitions, shingle_hashes, slices, span_hashes, strings
+from .common import attach, joined, partitions, saved, shingle_hashes, slices, span_hashes, strings
 
-MAX_HOSTS = 100_000         # hosts that get several shards, at most (see ``shards``)
 _TAG = re.compile(r"<(?:!--.*?(?:-->|$)|[!?][^>]*(?:>|$)|(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)(?:>|$))", re.S)
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "svg"}
@@ -80,6 +86,11 @@ _NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|banner|breadcrumbs?|comments?|consent|contentinfo|cookies?|"
     r"disqus|footer|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|popup|promo|promoted|related|share|sharing|"
     r"sidebar|social|sponsor|sponsored|subscribe|widget|complementary|search)(?:$|[\s_-])", re.I)
+#: words that stand beside them in names
+_BESIDE = re.compile(
+    r"(?:article|bar|block|box|button|buttons|container|content|form|group|header|inner|item|items|js|left|link|links|list|"
+    r"main|area|nav|outer|page|panel|post|posts|right|section|site|slot|thread|title|top|unit|bottom|wrap|wrapper|x|[0-9]+)$", re.I)
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 
 class _Open:
@@ -201,7 +212,7 @@ def parse(html: str) -> tuple[list[str], bool]:
             continue
         if skip < 0:
             if ((name in _CHROME and not (name == "header" and main())) or
-                    (attrs and name not in ("html", "body") and _named(attrs))):
+                    (attrs and name not in ("html", "body") and _named(attrs, name, main()))):
                 close()
                 skip = len(open_.names)
             elif name in _MAIN:
@@ -211,8 +222,20 @@ def parse(html: str) -> tuple[list[str], bool]:
     return [t for inside, t in blocks if inside or not declared], declared
 
 
-def _named(attrs: str) -> bool:
-    return any(_NAMES.search(a[1] or a[2] or a[3]) for a in _ATTR.findall(attrs))
+def _named(attrs: str, element: str = "", inside: bool = False) -> bool:
+    """Whether the attributes name a part that is not the article."""
+    for a in _ATTR.findall(attrs):
+        value = a[1] or a[2] or a[3]
+        if not inside:
+            if _NAMES.search(value):
+                return True
+        elif not (a[0].lower() == "id" and element in _HEADINGS):
+            for name in value.split():
+                words = [w for w in re.split(r"[_-]+", name) if w]
+                told = [bool(_NAMES.search(w)) for w in words]
+                if any(told) and all(t or _BESIDE.match(w) for t, w in zip(told, words)):
+                    return True
+    return False
 
 
 def _tokens(pages: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
@@ -252,14 +275,6 @@ def run_counts(pages: list[list[str]], run: int) -> tuple[np.ndarray, np.ndarray
     return _gram_hashes(token, run)[first], np.unique(seen // len(pages), return_counts=True)[1]
 
 
-def boilerplate(pages: list[list[str]], run: int, min_pages: int) -> np.ndarray:
-    """Hashes of the runs that at least ``min_pages`` and half of the pages hold."""
-    if len(pages) < min_pages:
-        return np.zeros(0, dtype=np.uint64)
-    grams, often = run_counts(pages, run)
-    return grams[often >= max(min_pages, -(-len(pages) // 2))]
-
-
 def _gram_hashes(token: np.ndarray, run: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         return shingle_hashes(token, run)
@@ -294,14 +309,108 @@ def without(blocks: list[str], declared: bool, grams: np.ndarray, run: int) -> l
     return out
 
 
-def shards(hosts: DataFrame, shard_pages: int) -> DataFrame:
-    """(host, n_shards) of hosts with more pages than one shard should have,
-    MAX_HOSTS at most: with more of them, the bound on a shard's pages rises
-    with the table (it is 1 / MAX_HOSTS of all pages or ``shard_pages``)."""
-    counts = hosts.groupBy("host").agg(F.count("*").alias("n"))
-    total = hosts.count()
-    bound = max(shard_pages, -(-total // MAX_HOSTS))
-    return counts.where(F.col("n") > bound).select("host", F.ceil(F.col("n") / shard_pages).cast("int").alias("n_shards"))
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, list[pa.RecordBatch]]]:
+    """Rows that lie sorted by ``keys``, group by group."""
+    key, parts = None, []
+    for b in batches:
+        tags = list(zip(*(b.column(k).to_pylist() for k in keys)))
+        start = 0
+        for i in range(1, len(tags) + 1):
+            if i == len(tags) or tags[i] != tags[start]:
+                if parts and tags[start] != key:
+                    yield key, parts
+                    parts = []
+                key = tags[start]
+                parts.append(b.slice(start, i - start))
+                start = i
+    if parts:
+        yield key, parts
+
+
+def _contents(parsed: DataFrame, hosts: DataFrame) -> DataFrame:
+    """(host, shard, digest, tokens): the contents, each as often as tasks have
+    met it; the tokens are compressed for the shuffle."""
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()            # an entry for each page of the task, at most
+        for b in batches:
+            take = []
+            for i, x in enumerate(zip(b.column("host").to_pylist(), b.column("digest").to_pylist())):
+                if x not in seen:
+                    seen.add(x)
+                    take.append(i)
+            new = b.take(pa.array(take, pa.int64()))
+            pack = zstd.ZstdCompressor(level=3).compress
+            yield pa.RecordBatch.from_arrays(
+                [new.column("host"), new.column("digest"),
+                 pa.array([pack(" ".join(x).encode()) for x in new.column("blocks").to_pylist()], pa.binary())], ["host", "digest", "tokens"])
+
+    rows = parsed.where("host <> ''").select("host", "digest", "blocks").mapInArrow(once, "host string, digest binary, tokens binary")
+    return attach(rows, hosts, ["host"]).select("host", F.pmod(F.xxhash64("digest"), "shards").cast("int").alias("shard"), "digest", "tokens")
+
+
+def _unpacked(tokens: bytes) -> list[str]:
+    """The token stream of a content, as one block."""
+    text = zstd.ZstdDecompressor().decompress(tokens).decode()
+    return [text] if text else []
+
+
+def repeated_runs(parsed: DataFrame, run: int, min_pages: int, shard_pages: int) -> DataFrame:
+    """(host, gram): the windows of ``run`` tokens that at least ``min_pages``
+    and half of a host's contents hold."""
+    own = parsed.where("host <> ''").groupBy("host", "digest").agg(F.count("*").alias("pages"))
+    hosts = saved(own.groupBy("host").agg(F.count("*").alias("contents"), F.sum("pages").alias("n"))
+                  .where(F.col("contents") >= min_pages)
+                  .withColumn("shards", F.ceil(F.col("contents") / F.lit(shard_pages)).cast("int")), "html-hosts")
+    n = partitions(parsed)
+    dealt = _contents(parsed, hosts.select("host", "shards", "n"))
+
+    def half(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Windows that at least half of a shard's contents hold, and in how many."""
+        for (host, _), parts in _groups(batches, ["host", "shard"]):
+            at: dict[bytes, tuple[int, int]] = {}
+            for k, b in enumerate(parts):
+                for i, d in enumerate(b.column("digest").to_pylist()):
+                    at.setdefault(d, (k, i))
+            pages = [_unpacked(parts[k].column("tokens")[i].as_py()) for k, i in at.values()]
+            grams, often = run_counts(pages, run)
+            keep = 2 * often >= len(pages)
+            yield pa.RecordBatch.from_arrays([pa.array([host] * int(keep.sum()), pa.string()), pa.array(grams[keep].view(np.int64)),
+                                              pa.array(often[keep], pa.int64())], ["host", "gram", "often"])
+
+    placed = dealt.repartition(n, "host", "shard").sortWithinPartitions("host", "shard")
+    found = saved(placed.mapInArrow(half, "host string, gram long, often long"), "html-windows")
+    sized = found.join(hosts, "host")
+    enough = F.col("often") >= F.greatest(F.lit(min_pages), F.ceil(F.col("contents") / 2))
+    single = sized.where((F.col("shards") == 1) & enough).select("host", "gram")
+    # hosts of several shards: what half of one of them holds is counted in all; hosts without such windows are done
+    wanted = sized.where("shards > 1").groupBy("host", "shards").agg(F.sort_array(F.collect_set("gram")).alias("grams"))
+    ask = wanted.select("host", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), F.lit(None).cast("binary").alias("digest"),
+                        F.lit(None).cast("binary").alias("tokens"), "grams")
+    again = hosts.join(wanted.select("host"), "host", "left_semi").select("host", "shards", "n")
+    several = _contents(parsed, again).withColumn("grams", F.lit(None).cast("array<long>"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (host, _), parts in _groups(batches, ["host", "shard"]):
+            grams = parts[0].column("grams")[0].as_py()         # sorted ahead of the contents
+            if not grams:
+                continue
+            grams, seen = np.sort(np.array(grams, dtype=np.int64).view(np.uint64)), set()
+            often = np.zeros(len(grams), dtype=np.int64)
+            for b in parts:
+                for d, tokens in zip(b.column("digest").to_pylist(), b.column("tokens").to_pylist()):
+                    if d is not None and d not in seen:
+                        seen.add(d)
+                        token, _ = _tokens([_unpacked(tokens)])
+                        if len(token) >= run:
+                            often += np.isin(grams, _gram_hashes(token, run))
+            yield pa.RecordBatch.from_arrays([pa.array([host] * len(grams), pa.string()), pa.array(grams.view(np.int64)),
+                                              pa.array(often)], ["host", "gram", "often"])
+
+    both = several.unionByName(ask).repartition(n, "host", "shard").sortWithinPartitions(
+        "host", "shard", F.col("digest").isNotNull(), "digest")
+    counts = both.mapInArrow(count, "host string, gram long, often long").groupBy("host", "gram").agg(F.sum("often").alias("often"))
+    return single.unionByName(counts.join(hosts, "host").where(enough).select("host", "gram"))
 
 
 def extract(pages: DataFrame, run: int = 8, min_pages: int = 5, shard_pages: int = 512,
@@ -310,72 +419,43 @@ def extract(pages: DataFrame, run: int = 8, min_pages: int = 5, shard_pages: int
     host = F.lower(F.regexp_extract(F.col("url"), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         F.col(html_col).cast("string").alias("html")).withColumn("host", F.coalesce(host, F.lit("")))
-    many = shards(rows.select("host").where("host <> ''"), shard_pages)
-    n = partitions(pages)
-    # pages without a host are spread; each shard of them is not compared
-    spread = F.pmod(F.xxhash64("page_id", "url"), F.coalesce(
-        F.when(F.col("host") == "", F.lit(4 * n)), F.col("n_shards"), F.lit(1))).cast("int")
-    dealt = rows.join(F.broadcast(many), "host", "left").select("host", spread.alias("shard"), "page_id", "url", "html")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "html"):
             found = [parse(t) for t in strings(part.column("html"))]
             yield pa.RecordBatch.from_arrays(
-                [*(part.column(c) for c in ("host", "shard", "page_id", "url")),
+                [*(part.column(c) for c in ("host", "page_id", "url")),
                  pa.array([b for b, _ in found], pa.list_(pa.string())), pa.array([d for _, d in found], pa.bool_()),
                  pa.array([content(b) for b, _ in found], pa.binary())],
-                ["host", "shard", "page_id", "url", "blocks", "declared", "digest"])
-
-    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.select(["host", "shard", "digest"])
-
-    def repeated(key: tuple, group: pa.Table, voters: pa.Table) -> pa.Table:
-        grams = often = np.zeros(0, dtype=np.int64)
-        if voters.num_rows and group.num_rows:
-            votes, at = set(voters.column("digest").to_pylist()), {}
-            for i, d in enumerate(group.column("digest").to_pylist()):
-                if d in votes:
-                    at.setdefault(d, i)
-            pages = group.column("blocks").take(pa.array(list(at.values()), pa.int64())).to_pylist()
-            if voters.column("counted")[0].as_py():
-                grams, often = run_counts(pages, run)
-            else:
-                grams = boilerplate(pages, run, min_pages)
-                often = np.ones(len(grams), dtype=np.int64)
-        return pa.table({"host": pa.array([key[0].as_py()] * len(grams), pa.string()),
-                         "gram": pa.array(grams.view(np.int64)), "votes": pa.array(often, pa.int64())})
+                ["host", "page_id", "url", "blocks", "declared", "digest"])
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = []
-            for blocks, declared, grams in zip(*(b.column(c).to_pylist() for c in ("blocks", "declared", "grams"))):
-                if grams:
-                    blocks = without(blocks, declared, np.array(grams, dtype=np.int64).view(np.uint64), run)
-                texts.append("\n".join(blocks))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("page_id"), b.column("url"), pa.array(texts, pa.string()),
-                 pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
-
-    parsed = dealt.mapInArrow(read, "host string, shard int, page_id long, url string, blocks array<string>, declared boolean, "
-                                    "digest binary").repartition(n, "host", "shard")
-    # through Python whole, as pages cut down to these columns would be parsed and shuffled once more
-    voters = (parsed.mapInArrow(digests, "host string, shard int, digest binary").where("host <> ''")
-              .groupBy("host", "digest").agg(F.min(F.struct(F.xxhash64("digest", "shard"), "shard"))["shard"].alias("shard"),
-                                             F.count("*").alias("n")))
-    # hosts of several shards, MAX_HOSTS at most: what their votes are counted in
-    hosts = F.broadcast(
-        voters.join(F.broadcast(many), "host").groupBy("host", "n_shards").agg(F.count("*").alias("contents"), F.sum("n").alias("n"))
-        .select("host", F.col("n_shards").alias("shards"), "contents", F.expr("8 * contents < n").alias("counted")))
-    ballot = voters.join(hosts, "host", "left").select("host", "shard", "digest", F.expr("coalesce(counted, false)").alias("counted"))
-    votes = (parsed.groupBy("host", "shard").cogroup(ballot.groupBy("host", "shard"))
-             .applyInArrow(repeated, "host string, gram long, votes long")
-             .groupBy("host", "gram").agg(F.sum("votes").alias("votes")).join(hosts, "host", "left")
-             .withColumn("shards", F.expr("coalesce(shards, 1)")))
-    found = (votes.where(F.when(F.col("counted"), (2 * F.col("votes") >= F.col("contents")) & (F.col("votes") >= min_pages))
-                         .otherwise(2 * F.col("votes") >= F.col("shards")))
-             .groupBy("host", "shards").agg(F.collect_list("gram").alias("grams")))
-    by_shard = found.select("host", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "grams")
-    return parsed.join(by_shard, ["host", "shard"], "left").select(
-        "page_id", "url", "blocks", "declared", "grams", "digest").mapInArrow(
-        strip, "page_id long, url string, text string, n_chars long")
+        for _, parts in _groups(batches, ["host", "part"]):
+            grams = np.array(parts[0].column("grams")[0].as_py() or [], dtype=np.int64).view(np.uint64)
+            for b in parts:
+                b = b.filter(pa.array([d is not None for d in b.column("declared").to_pylist()], pa.bool_()))
+                if b.num_rows:
+                    kept = [without(blocks, declared, grams, run)
+                            for blocks, declared in zip(b.column("blocks").to_pylist(), b.column("declared").to_pylist())]
+                    texts = ["\n".join(x) for x in kept]
+                    yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
+
+    parsed = saved(rows.mapInArrow(read, "host string, page_id long, url string, blocks array<string>, declared boolean, digest binary"),
+                   "html-parsed", compression="zstd")
+    runs = saved(repeated_runs(parsed, run, min_pages, shard_pages), "html-runs")
+    named = runs.select("host").distinct()
+    # a part of a host has about shard_pages of its pages
+    sizes = parsed.groupBy("host").agg(F.count("*").alias("n")).join(named, "host") \
+                  .select("host", F.ceil(F.col("n") / F.lit(shard_pages)).cast("int").alias("shards"), "n")
+    sizes = saved(sizes, "html-sizes")
+    grams = runs.groupBy("host").agg(F.collect_list("gram").alias("grams")).join(sizes, "host")
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("page_id", "long"), ("url", "string"), ("blocks", "array<string>"), ("declared", "boolean"))]
+    ahead = grams.select("host", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("part"), *none, "grams")
+    dealt = attach(parsed.drop("digest"), sizes, ["host"]).select(
+        "host", F.pmod(F.xxhash64("page_id", "url", F.size("blocks")), "shards").cast("int").alias("part"), "page_id", "url", "blocks", "declared",
+        F.lit(None).cast("array<long>").alias("grams"))
+    stripped = (dealt.unionByName(ahead).repartition(partitions(pages), "host", "part")
+                .sortWithinPartitions("host", "part", F.col("declared").isNotNull())
+                .mapInArrow(strip, "page_id long, url string, text string"))
+    whole = parsed.join(named, "host", "left_anti").select("page_id", "url", F.array_join("blocks", "\n").alias("text"))
+    return whole.unionByName(stripped).withColumn("n_chars", F.length("text").cast("long"))

@@ -70,14 +70,85 @@ def test_suffix_ranks_against_brute_force():
     assert len(set(grams.values())) == len(grams)
 
 
-def test_boilerplate_against_brute_force():
+def test_run_counts_against_brute_force():
     rng = np.random.default_rng(2)
     notice = "this notice stands on many pages of the host"
     pages = [[f"w{x}" for x in rng.integers(0, 50, 12)] + ([notice] if k % 3 else []) for k in range(12)]
-    got = set(H.boilerplate(pages, 4, 5).tolist())
+    grams, often = H.run_counts(pages, 4)
+    got = {int(g) for g, n in zip(grams, often) if n >= 6}
     want = brute(pages, 4, 5)
-    token = {g: int(H._gram_hashes(H._tokens([[" ".join(g)]])[0], 4)[0]) for g in want}
-    assert got == set(token.values()) and want
+    assert got == {int(H._gram_hashes(H._tokens([[" ".join(g)]])[0], 4)[0]) for g in want} and want
+
+
+def plain(data, run=8, min_pages=5):
+    """The whole of ``extract`` without Spark: one rule over all contents of a host."""
+    parsed = [(i, u, *H.parse(h or "")) for i, u, h in data]
+    contents = {}
+    for _, u, blocks, _ in parsed:
+        host = (u or "").split("/")[2].lower() if "://" in (u or "") else ""
+        if host:
+            contents.setdefault(host, set()).add(" ".join(blocks))
+    out = []
+    for i, u, blocks, declared in parsed:
+        host = (u or "").split("/")[2].lower() if "://" in (u or "") else ""
+        own = contents.get(host, set())
+        holders = {}
+        w = " ".join(blocks).split(" ")
+        cover = [False] * len(w)
+        for k in range(len(w) - run + 1):
+            g = " ".join(w[k:k + run])
+            if g not in holders:
+                holders[g] = sum(f" {g} " in f" {c} " for c in own)
+            if holders[g] >= min_pages and 2 * holders[g] >= len(own):
+                cover[k:k + run] = [True] * run
+        kept, at = [], 0
+        for block in blocks:
+            ws = block.split(" ")
+            gone = cover[at:at + len(ws)]
+            at += len(ws)
+            if not any(gone) or (declared and not all(gone)):
+                kept.append(block)
+            elif not all(gone):
+                kept.append(" ".join(x for x, g in zip(ws, gone) if not g))
+        out.append((i, u, "\n".join(kept)))
+    return sorted(out, key=repr)
+
+
+def test_against_a_plain_run_with_and_without_shards(spark):
+    """Long and short repeats in part of the contents, copies, very long pages: one answer at every size of shard."""
+    import random
+    rng = random.Random(4)
+    notice = " ".join(f"n{k}" for k in range(60))               # a repeat longer than a window
+    part = " ".join(f"q{k}" for k in range(12))
+    data = []
+    for k in range(130):
+        host = "abc"[k % 3]
+        body = [f"w{rng.randrange(40)}" for _ in range(rng.randrange(0, 30))]
+        blocks = [" ".join(body)] + ([notice] if rng.random() < 0.7 else []) + ([f"{part} own{k}"] if rng.random() < 0.5 else [])
+        rng.shuffle(blocks)
+        tag = "article" if k % 4 == 0 else "div"
+        data.append((k, f"https://{host}.example/{k}", f"<{tag}>" + "".join(f"<p>{b}</p>" for b in blocks) + f"</{tag}>"))
+    data += [(500 + k, "https://a.example/copy", data[3][2]) for k in range(40)]
+    long = " ".join(f"v{rng.randrange(9)}" for _ in range(60_000))
+    data += [(900, "https://b.example/long", f"<div>{long}</div><div>{notice}</div>"), (901, "https://b.example/long2", f"<p>{notice} " * 300)]
+    want = plain(data)
+    for shard_pages in (512, 9, 3):
+        got = sorted(((r.page_id, r.url, r.text) for r in H.extract(rows(spark, data), shard_pages=shard_pages).collect()), key=repr)
+        assert got == want, shard_pages
+
+
+def test_names_inside_an_article():
+    """Names of an article's own parts do not remove them; those of other parts do."""
+    for page, want in [
+            ('<article><h2 id="related-work">Related work</h2><p>Body</p></article>', ["Related work", "Body"]),
+            ('<article><section id="social-effects"><h2>Social effects</h2><p>One</p></section></article>', ["Social effects", "One"]),
+            ('<article><p class="market-share">A third</p></article>', ["A third"]),
+            ('<article><div class="search-and-rescue">At sea</div></article>', ["At sea"]),
+            ('<article><h2 id="comments">Comments</h2><p>Body</p></article>', ["Comments", "Body"]),
+            ('<article><p>Body</p><div class="share-buttons">Share</div><ul class="related-posts"><li>Other</ul></article>', ["Body"]),
+            ('<article><p>Body</p><section id="comments"><p>Said</p></section><div class="wide ad-slot-2">Buy</div></article>', ["Body"]),
+            ('<div id="market-share">x</div><article>Body</article>', ["Body"])]:
+        assert H.parse(page)[0] == want, page
 
 
 def rows(spark, data):
