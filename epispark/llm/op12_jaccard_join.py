@@ -382,6 +382,12 @@ def links(rows: DataFrame, marked: DataFrame, width: int, threshold: int) -> Dat
     shared = spark.sparkContext.broadcast(counts)
     keyed = _keys(rows, width, threshold, shared, max(HOT, total // HOT_KEYS), total // BUCKETS)
     members = saved(_runs(keyed, threshold), "jaccard-runs")
+    return links_within(rows, marked, members, width, threshold, shared)
+
+
+def links_within(rows: DataFrame, marked: DataFrame, members: DataFrame, width: int, threshold: int, shared: Broadcast) -> DataFrame:
+    """Links that span the components of all links between sets of one run:
+    ``members`` has (gid, sid, hub, n, spread), ``shared`` the order's counts."""
     # one row of each candidate set: that with the smallest id
     sets = marked.where("sid is not null").groupBy("sid").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("low"))
     wanted = members.select("sid").distinct().join(sets, "sid").select("sid", F.col("low.row").alias("row"))
@@ -418,12 +424,17 @@ def jaccard_components(docs: DataFrame, width: int = 5, threshold: int = 80, id_
             .withColumn("row", F.xxhash64("doc_id", "text")))
     marked = saved(_marked(rows, width), "jaccard-marked")
     own = marked.where("sid is not null").select("doc_id", "sid", "n")
-    sets = saved(own.where("n > 0").groupBy("sid", F.col("n").alias("size")).agg(F.min("doc_id").alias("low"), F.count("*").alias("n")), "jaccard-distinct")
-    found = components(links(rows, marked, width, threshold)).withColumnRenamed("u", "sid")
-    classes = saved(sets.join(found, "sid", "left").withColumn("root", F.coalesce("root", "sid")), "jaccard-classes")
+    full = components_of(own.where("n > 0"), links(rows, marked, width, threshold))
+    empty = own.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    return full.select("doc_id", F.col("size").alias("n_shingles"), "component_id").unionByName(empty)
+
+
+def components_of(own: DataFrame, found: DataFrame) -> DataFrame:
+    """(doc_id, size, component_id) of the rows (doc_id, sid, n) under the links ``found``."""
+    sets = saved(own.groupBy("sid", F.col("n").alias("size")).agg(F.min("doc_id").alias("low"), F.count("*").alias("n")), "jaccard-distinct")
+    roots = components(found).withColumnRenamed("u", "sid")
+    classes = saved(sets.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid")), "jaccard-classes")
     lowest = classes.groupBy("root").agg(F.min("low").alias("component_id"), F.count("*").alias("n"))
     by_set = attach(classes.select("root", "sid", "size", F.col("n").alias("rows")), saved(lowest, "jaccard-lowest"), ["root"])
     by_set = saved(by_set.select("sid", "size", "component_id", F.col("rows").alias("n")), "jaccard-by-set")
-    full = attach(own.where("n > 0").select("doc_id", "sid", F.col("n").alias("size")), by_set, ["sid", "size"])
-    empty = own.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return full.select("doc_id", F.col("size").alias("n_shingles"), "component_id").unionByName(empty)
+    return attach(own.select("doc_id", "sid", F.col("n").alias("size")), by_set, ["sid", "size"]).select("doc_id", "size", "component_id")

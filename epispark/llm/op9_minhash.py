@@ -8,11 +8,12 @@ bits of each minimum.  The share of equal positions of two signatures
 estimates the Jaccard similarity of the shingle sets.
 
 ``similar`` cuts signatures into bands, joins equal bands in Spark and
-verifies the exact Jaccard similarity of the shingle sets of each candidate
-pair.  With 32 bands of 4, a pair of similarity 0.8 is missed with a chance of
-about 5e-8.  Equal texts are one; the members of a band are verified against
-the band's smallest first, and pairs only where that leaves two classes, so a
-group of near copies does not emit all its pairs.
+verifies the exact Jaccard similarity of the shingle sets in them.  With 32
+bands of 4, a pair of similarity 0.8 is missed with a chance of about 5e-8.
+Equal sets are one.  The sets of a band are dealt into shares, which are joined
+inside tasks, and blocks of different classes after that (see
+``op12_jaccard_join``): no task holds a large band, and links come out as
+spanning links, never as pairs of a band.
 
 ``edited_fingerprints`` compares each text with an edited form of itself (its
 last half replaced by the beginning of the next document) and with the next
@@ -37,8 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACE, byte_strings, joined, mix, partitions, saved, shingle_hashes, slices, span_hashes, spans, strings, text_rows
-from .components import components
+from .common import LOWER, SPACE, attach, byte_strings, joined, mix, partitions, saved, shingle_hashes, slices, span_hashes, spans, strings, text_rows
 
 SHINGLE, N_PERM = 5, 128
 FIRST = -2**63              # stands for a null id: before all others
@@ -180,46 +180,40 @@ def _results(pairs: list[tuple], a: np.ndarray, b: np.ndarray) -> pa.RecordBatch
 def similar(docs: DataFrame, threshold: float = 0.8, bands: int = 32, n_perm: int = N_PERM,
             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id and class_id, the smallest doc_id reachable
-    over pairs of texts with a Jaccard similarity of at least ``threshold``."""
-    rows = saved(text_rows(docs, id_col, text_col).select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"),
-                                                          F.coalesce("text", F.lit("")).alias("text")), "minhash-rows")
-    texts = rows.groupBy("sha").agg(F.min("doc_id").alias("low"), F.any_value("text").alias("text"))
+    over pairs of texts with a Jaccard similarity of at least ``threshold`` (a
+    whole percentage) that share a band."""
+    from . import op12_jaccard_join as join         # it uses the shingles of this module
+    percent = round(100 * threshold)
+    if not 1 <= percent <= 100 or abs(percent - 100 * threshold) > 1e-9:
+        raise ValueError("the threshold is a whole percentage from 0.01 to 1")
+    rows = text_rows(docs, id_col, text_col).withColumn("row", F.xxhash64("doc_id", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = permutations(n_perm)
+        seen: set[int] = set()              # an entry for each row of the task, at most
         for part in slices(batches):
             sets = [np.unique(x) for x in shingle_sets(byte_strings(part.column("text")))]
-            with np.errstate(over="ignore"):
-                sigs = [signature(x, a, b) for x in sets]
-            keys = [[hashlib.blake2b(bytes([k]) + p.tobytes(), digest_size=8).digest()
-                     for k, p in enumerate(np.split(s, bands))] for s in sigs]
+            sids, keys = [join.set_digest(x) for x in sets], []
+            for sid, own in zip(sids, sets):
+                if sid in seen or not len(own):
+                    keys.append(None)
+                    continue
+                seen.add(sid)
+                with np.errstate(over="ignore"):
+                    parts = np.split(signature(own, a, b), bands)
+                keys.append([int.from_bytes(hashlib.blake2b(bytes([k]) + p.tobytes(), digest_size=8).digest(), "little", signed=True)
+                             for k, p in enumerate(parts)])
             yield pa.RecordBatch.from_arrays(
-                [part.column("sha"), part.column("low"), pa.array(keys, pa.list_(pa.binary())),
-                 pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))], ["sha", "low", "keys", "shingles"])
-
-    sets = saved(texts.mapInArrow(run, "sha string, low long, keys array<binary>, shingles array<long>"), "minhash-sets")
-    members = saved(sets.select("sha", F.explode("keys").alias("band")), "minhash-bands")
-    # every member against its band's smallest first, then all pairs of a band that this leaves in different classes
-    hub = members.groupBy("band").agg(F.min("sha").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    first = saved(_alike(members.join(hub.select("band", "hub"), "band").where("sha <> hub").select("sha", "hub"),
-                         sets, threshold), "minhash-first")
-    root = components(first).withColumnRenamed("u", "sha")
-    placed = saved(members.join(hub.select("band"), "band").join(root, "sha", "left")
-                   .select("band", "sha", F.coalesce("root", "sha").alias("root")), "minhash-placed")
-    two = placed.select("band", F.col("sha").alias("hub"), F.col("root").alias("other"))
-    rest = placed.join(two, "band").where("sha > hub and root <> other").select("sha", "hub")
-    roots = components(first.unionByName(_alike(rest, sets, threshold)))
-    classes = (sets.select("sha", "low").join(roots.withColumnRenamed("u", "sha"), "sha", "left")
-               .select("sha", "low", F.coalesce("root", "sha").alias("root")))
-    lowest = classes.groupBy("root").agg(F.min("low").alias("class_id"))
-    return rows.select("doc_id", "sha").join(classes.join(lowest, "root").select("sha", "class_id"), "sha").select("doc_id", "class_id")
-
-
-def _alike(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (u, v) of texts whose shingle sets are alike."""
-    own = sets.select("sha", F.col("shingles").alias("a"))
-    other = sets.select(F.col("sha").alias("hub"), F.col("shingles").alias("b"))
-    both = pairs.distinct().join(own, "sha").join(other, "hub")
-    common = F.size(F.array_intersect("a", "b"))
-    union = F.size("a") + F.size("b") - common
-    return both.where((union == 0) | (common >= union * F.lit(threshold))).select(F.col("sha").alias("u"), F.col("hub").alias("v"))
+                [part.column("doc_id"), part.column("row"), pa.array(sids, pa.int64()), pa.array([len(x) for x in sets], pa.int64()),
+                 pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "row", "sid", "n", "bands"])
+
+    marked = saved(rows.mapInArrow(run, "doc_id long, row long, sid long, n long, bands array<long>"), "minhash-marked")
+    banded = marked.where("bands is not null").select(F.explode("bands").alias("gid"), "sid", F.col("n").alias("size"))
+    shared = saved(banded.groupBy("gid").agg(F.min("sid").alias("hub"), F.max("sid").alias("last"), F.count("*").alias("n"))
+                   .where("hub < last").select("gid", "hub", "n"), "minhash-bands")
+    members = saved(attach(banded, shared, ["gid"]).select("gid", "sid", "hub", F.col("size").alias("n"), F.lit(False).alias("spread")).distinct(),
+                    "minhash-members")
+    order = docs.sparkSession.sparkContext.broadcast(np.zeros(join.BUCKETS, dtype=np.int8))     # hashes alone order the tries
+    found = join.links_within(rows, marked, members, SHINGLE, percent, order)
+    classes = join.components_of(marked.select("doc_id", "sid", "n"), found)
+    return classes.select("doc_id", F.col("component_id").alias("class_id"))

@@ -94,6 +94,30 @@ def test_classes_against_brute_force(spark):
     assert got == sorted(repr((i, low.get(find(t or "")))) for i, t in rows)
 
 
+def test_a_band_of_many_classes(spark, monkeypatch):
+    """Texts that share a long passage and are no partners, beside near copies: blocks, and the same classes."""
+    from epispark.llm import op12_jaccard_join as J
+    for name, value in (("BLOCK", 8), ("WEIGHT", 900), ("LANDMARKS", 2)):
+        monkeypatch.setattr(J, name, value)
+    rng = random.Random(10)
+    passage = words(rng, 60)
+    rows = [(k, " ".join(passage + words(rng, rng.randrange(18, 45)))) for k in range(90)]
+    rows += [(200 + k, rows[k][1] + " end" + str(k)) for k in range(0, 90, 2)]
+    got = {r.doc_id: r.class_id for r in M.similar(odd_docs(spark, rows)).collect()}
+    root = {i: i for i, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for i, (a, x) in enumerate(rows):
+        for b, y in rows[i + 1:]:
+            if jaccard(x, y) >= 0.8:
+                u, v = find(a), find(b)
+                root[max(u, v)] = min(u, v)
+    assert got == {i: find(i) for i, _ in rows} and len(set(got.values())) > 60
+
+
 def test_empty(spark):
     assert M.edited_fingerprints(empty_docs(spark)).collect() == []
     assert M.similar(empty_docs(spark)).collect() == []
