@@ -14,7 +14,7 @@ def test_stages_are_the_five_in_order():
     assert [n for n, _ in P.STAGES] == ["toxicity", "line_dedup", "near_duplicates", "decontamination", "encoding"]
     assert P.ORACLE_SQL is None
     names = [k for k in QUERIES if k.startswith("op")]
-    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11)) and "pipeline" in QUERIES
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 14)) and "pipeline" in QUERIES
     assert set(ORACLE_SQL) <= set(QUERIES)
 
 
