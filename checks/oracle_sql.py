@@ -609,6 +609,7 @@ FROM idx""", ("idx",))
 FILTER = "region_name = 'NATION_1' AND sex_label = 'Femenino' AND month IN (1, 2, 3, 4, 5, 6)"
 q("flt_cases", f"""SELECT case_id, region_name, sex_label, month, area_label, age, area_code
 FROM clean WHERE {FILTER}""")
+QUERIES["flt_cases_clustered"] = QUERIES["flt_cases"]
 q("lst_regions", "SELECT DISTINCT region_name FROM clean WHERE region_name IS NOT NULL")
 
 # --------------------------------------------------------------------------
@@ -799,9 +800,22 @@ QUERIES["join_anti_new_indexed"] = QUERIES["join_anti_new"]
 q_raw("upd_report", f"""SELECT e AS existing, i AS incoming, e + i - m AS duplicates, m - e AS added FROM (
   SELECT CAST((SELECT count(*) FROM base) AS bigint) AS e, CAST((SELECT count(*) FROM new) AS bigint) AS i,
   CAST((SELECT count(*) FROM (SELECT DISTINCT case_id FROM (SELECT case_id FROM base UNION ALL SELECT case_id FROM new))) AS bigint) AS m)""", _UPD)
-QUERIES["upd_pipeline"] = with_ctes(
-    f"SELECT {AREA_KEYS}, cases, cases_h1, cases_h2, score, priority, rank FROM idx", ("idx",), None).replace("'X'", "'M'").replace(
+
+
+def _valid(sql):
+    """The line list with the few codes that validation refuses set to valid ones."""
+    return sql.replace("'X'", "'M'").replace(
         "CAST(substr(o_orderpriority, 1, 1) AS int) AS area_type", "1 + CAST(substr(o_orderpriority, 1, 1) AS int) % 3 AS area_type")
+
+
+QUERIES["upd_pipeline"] = _valid(with_ctes(
+    f"SELECT {AREA_KEYS}, cases, cases_h1, cases_h2, score, priority, rank FROM idx", ("idx",), None))
+_CUBE_DIMS = "area_code, region_name, local_name, month, epi_week, sex, age, area_type, hospital_code"
+QUERIES["upd_cube"] = _valid(with_ctes(f"""SELECT {_CUBE_DIMS}, CAST(count(*) AS bigint) AS n,
+  CAST(count(case_id) AS bigint) AS n_ids FROM clean GROUP BY {_CUBE_DIMS}""", ("clean",), None))
+QUERIES["upd_kpis"] = _valid(QUERIES["agg_kpis"])
+QUERIES["upd_public_cells"] = _valid(with_ctes(f"""SELECT {_DIMS}, CAST(count(*) AS bigint) AS cases FROM clean
+WHERE {_DIMS_NN} GROUP BY {_DIMS} HAVING count(*) >= 5""", ("clean",), None))
 q("set_distinct_rows", "SELECT DISTINCT region_code, region_name FROM clean")
 
 # --------------------------------------------------------------------------

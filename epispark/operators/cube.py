@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 
 from ..functions import derive as D
 from ..functions.core import round_half_even, share
+from .describe import PUBLIC_DIMS
 
 CUBE_DIMS = ("area_code", "region_name", "local_name", "month", "epi_week", "sex",
              "age", "area_type", "hospital_code")
+MEASURES = ("n", "n_ids")
 
 
 def case_cube(clean: DataFrame, dims=CUBE_DIMS) -> DataFrame:
@@ -29,6 +31,12 @@ def case_cube(clean: DataFrame, dims=CUBE_DIMS) -> DataFrame:
                                     F.count("case_id").alias("n_ids"))
 
 
+def add_cells(cells: DataFrame) -> DataFrame:
+    """The cube of all cases whose parts' cells are in ``cells``."""
+    dims = [c for c in cells.columns if c not in MEASURES]
+    return cells.groupBy(*dims).agg(*[F.sum(c).cast("bigint").alias(c) for c in MEASURES])
+
+
 def _pct1(num, den):
     return round_half_even(share(num, den) * 100, 1)
 
@@ -86,11 +94,17 @@ def by_age_group(cube: DataFrame) -> DataFrame:
     return t.withColumn("pct", _pct1(F.col("cases"), t.select(F.sum("cases")).scalar()))
 
 
-def weekly_trend(cube: DataFrame, window: int = 4) -> DataFrame:
+def weekly_trend(cube: DataFrame, window: int = 4, k: int = 0) -> DataFrame:
+    """Cases per week and their moving mean.  With ``k`` weeks of fewer cases
+    are left out, and so is every mean that one of them is part of: with its
+    neighbours it would give the hidden count away."""
     t = cube.where(F.col("epi_week").isNotNull()).groupBy("epi_week") \
             .agg(F.sum("n").cast("bigint").alias("cases"))
     w = Window.orderBy("epi_week").rowsBetween(-(window - 1), 0)     # <= 53 rows
-    return t.withColumn("moving_avg", round_half_even(F.avg("cases").over(w), 1))
+    mean = round_half_even(F.avg("cases").over(w), 1)
+    if not k:
+        return t.withColumn("moving_avg", mean)
+    return t.withColumn("moving_avg", F.when(F.min("cases").over(w) >= k, mean)).where(F.col("cases") >= k)
 
 
 def by_region(cube: DataFrame) -> DataFrame:
@@ -199,3 +213,12 @@ def month_by_sex(cube: DataFrame) -> DataFrame:
     return f.groupBy("month").agg(
         *[_sum_if(lab == v).cast("bigint").alias(n) for v, n in zip(SEX_VALUES, SEX_COLUMNS)]
     ).withColumn("month_name", D.month_name("month", short=True))
+
+
+def public_cells(cube: DataFrame, dims=PUBLIC_DIMS) -> DataFrame:
+    """The published cells of ``describe.public_cells``, small ones included."""
+    cells = cube.withColumns({"sex_label": D.sex_label("sex"), "age_group": D.age_group(F.col("age")),
+                              "area_label": D.area_label("area_type")})
+    for d in dims:
+        cells = cells.where(F.col(d).isNotNull())
+    return cells.groupBy(*dims).agg(F.sum("n").cast("bigint").alias("cases"))

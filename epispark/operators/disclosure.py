@@ -61,7 +61,12 @@ def protected_areas(areas: DataFrame, k: int = 5) -> DataFrame:
 
 def protected_cells(cases: DataFrame, areas: DataFrame, k: int = 5, dims=PUBLIC_DIMS) -> DataFrame:
     """The public cells of ``cases`` with ``hidden``; ``areas`` as ``protected_areas`` gave them."""
-    return protect(public_cells(cases, dims), list(dims), AREA, "cases", k, areas.where("hidden is not null"))
+    return protect_cells(public_cells(cases, dims), areas, k, dims)
+
+
+def protect_cells(cells: DataFrame, areas: DataFrame, k: int = 5, dims=PUBLIC_DIMS) -> DataFrame:
+    """``protected_cells`` of cells that are counted already."""
+    return protect(cells, list(dims), AREA, "cases", k, areas.where("hidden is not null"))
 
 
 def published(rows: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from ..functions.core import accent_key
 from ..operators import charts as CH
 from ..operators import clean as CL
 from ..operators import crosstab as XT
+from ..operators import cube as CB
 from ..operators import describe as DS
 from ..operators import disclosure as DC
 from ..operators import index as IX
@@ -391,6 +392,19 @@ def flt_cases(spark, d):
                     "area_code")
 
 
+@query("flt_cases_clustered")
+def flt_cases_clustered(spark, d):
+    """The interactive filter over the clean table in its clustered layout."""
+    i = inputs(spark, d)
+
+    def build():
+        path = scratch_path(spark, "clean_clustered")
+        SRC.write_clustered(i.clean, path)
+        return spark.read.parquet(path)
+    return DS.filter_cases(i._get("clean_clustered", build), **FILTER_ARGS).select(
+        "case_id", "region_name", "sex_label", "month", "area_label", "age", "area_code")
+
+
 @query("lst_regions")
 def lst_regions(spark, d):
     return DS.region_list(inputs(spark, d).clean)
@@ -574,12 +588,16 @@ def upd_report(spark, d):
     return UP.update_report(base, new)
 
 
-@query("upd_pipeline")
-def upd_pipeline(spark, d):
+def _updated(spark, d) -> tuple[str, dict]:
+    """The folder and last report of two updates, made once a session."""
+    i = inputs(spark, d)
+    return i._get("updated", lambda: _two_updates(spark, i))
+
+
+def _two_updates(spark, i) -> tuple[str, dict]:
     """Two updates of a seeded table: every file is validated, appended,
-    cleaned and counted by itself; the index of the second version."""
+    cleaned and counted by itself."""
     from . import workflows
-    i = inputs(spark, d)
     raw = i.raw.withColumns({                                       # files that pass validation
         "sex": F.when(F.col("sex") == "X", "M").otherwise(F.col("sex")), "area_type": 1 + F.col("area_type") % 3})
     last = F.col("case_id") % 10
@@ -587,10 +605,31 @@ def upd_pipeline(spark, d):
     base = raw.where(last >= 5)
     for new in (raw.where(last.between(3, 6)), raw.where(last <= 3)):
         done = workflows.update(spark, base, new, i.population, root, None, i.cfg, i.aliases)
-    return spark.read.parquet(done["areas"]).select(
+    return root, done
+
+
+@query("upd_pipeline")
+def upd_pipeline(spark, d):
+    """The index of the second version after two updates."""
+    return spark.read.parquet(_updated(spark, d)[1]["areas"]).select(
         "area_code", "region_name", "local_name", "cases", "cases_h1", "cases_h2", "score", "priority", "rank")
 
 
+def _updated_cube(spark, d):
+    from . import workflows
+    return workflows.cube_at(spark, _updated(spark, d)[0])
+
+
+@query("upd_cube")
+def upd_cube(spark, d):
+    """The case cube after two updates: the cells of each batch, added up."""
+    return _updated_cube(spark, d)
+
+
+query("upd_kpis")(lambda s, d: CB.kpis(_updated_cube(s, d)))
+query("upd_public_cells")(lambda s, d: PV.suppress(CB.public_cells(_updated_cube(s, d)), "cases", 5))
+
+
 @query("set_distinct_rows")
 def set_distinct_rows(spark, d):
     return _clean(spark, d).select("region_code", "region_name").distinct()
@@ -778,8 +817,6 @@ def stm_incremental_merge(spark, d):
 # dashboard views answered from the case cube (same results as the direct
 # versions above; checked against the same oracle SQL)
 # --------------------------------------------------------------------------
-from ..operators import cube as CB  # noqa: E402
-
 query("agg_kpis_cube")(lambda s, d: CB.kpis(inputs(s, d).cube))
 query("agg_by_sex_cube")(lambda s, d: CB.by_sex(inputs(s, d).cube))
 query("agg_by_age_group_cube")(lambda s, d: CB.by_age_group(inputs(s, d).cube))

@@ -5,9 +5,10 @@ paths; nothing is overwritten in place, so a failure leaves the previous
 published version intact (switch happens by reading the newest version).
 
 An update touches the new rows alone: they are appended to the accumulated
-table, cleaned and appended to the clean table, and their counts by area are
-kept beside those of earlier batches.  Counts add up, so the index is made
-from the few counts of all batches, never from stored cases.
+table, cleaned and appended to the clean table, and their counts by area and
+by the cells of the case cube are kept beside those of earlier batches.
+Counts add up, so the index, the descriptive tables and the published cells
+are made from the counts of all batches, never from stored cases.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..operators import clean as CL
+from ..operators import cube as CB
+from ..operators import describe as DS
 from ..operators import disclosure as DC
 from ..operators import index as IX
 from ..operators import privacy as PV
@@ -48,22 +51,24 @@ def batch_index(raw: DataFrame, population: DataFrame, out_root: str,
             "ranking": f"{out_root}/ranking_csv", "audit": dict(obs.get)}
 
 
-def publish(clean: DataFrame, idx: DataFrame, out_root: str, k: int = 5,
-            fmt: str = "parquet", complementary: bool = False) -> dict:
+def publish(clean: DataFrame | None, idx: DataFrame, out_root: str, k: int = 5,
+            fmt: str = "parquet", complementary: bool = False, cube: DataFrame | None = None) -> dict:
     """Write only suppressed aggregates (Parquet, or CSV with a header for
     hand-off files); refuse to publish a frame that fails the k-anonymity
     check.  ``complementary`` also hides the second areas and cells without
     which a small one follows from a total (``operators.disclosure``); without
-    it small ones alone are left out."""
+    it small ones alone are left out.  With ``cube`` the cells are those of the
+    case cube, and ``clean`` is not read."""
+    counted = CB.public_cells(cube) if cube is not None else DS.public_cells(clean)
     if complementary:
         marked = materialize(DC.protected_areas(idx.select(*DC.AREA, "cases"), k))
         shown = DC.published(marked).select(*[F.col(c).alias(f"_{c}") for c in DC.AREA])
         same = [idx[c].eqNullSafe(shown[f"_{c}"]) for c in DC.AREA]
         areas = idx.join(shown, same, "left_semi").drop(*[c for c in idx.columns if c.endswith("_norm")])
-        cells = DC.published(DC.protected_cells(clean, marked, k))
+        cells = DC.published(DC.protect_cells(counted, marked, k))
     else:
         areas = PV.public_areas(idx, k).drop(*[c for c in idx.columns if c.endswith("_norm")])
-        cells = PV.public_case_cells(clean, k)
+        cells = PV.suppress(counted, "cases", k)
     for name, frame in (("areas", areas), ("cells", cells)):
         chk = PV.k_anonymity_check(frame, "cases", k).first()
         if not chk["is_safe"]:
@@ -79,11 +84,13 @@ def publish(clean: DataFrame, idx: DataFrame, out_root: str, k: int = 5,
 
 def _extend(spark: SparkSession, table: str, out_root: str, cfg: Config, aliases) -> None:
     """Clean every accumulated batch that is not in the clean table yet, and
-    count its cases by area.  Restores of the accumulated table are repeated."""
-    clean_root, counts_root = f"{out_root}/clean", f"{out_root}/area_counts"
+    count its cases by area and by cell.  Restores of the accumulated table
+    are repeated."""
+    clean_root = f"{out_root}/clean"
     for root, make in (
             (clean_root, lambda n: CL.clean(INC.read_batch(spark, table, n), cfg, aliases)),
-            (counts_root, lambda n: IX.area_counts(INC.read_batch(spark, clean_root, n)))):
+            (f"{out_root}/area_counts", lambda n: IX.area_counts(INC.read_batch(spark, clean_root, n))),
+            (f"{out_root}/cube", lambda n: CB.case_cube(INC.read_batch(spark, clean_root, n)))):
         done = {r["version"] for r in INC.records(spark, root)}
         for r in INC.records(spark, table):
             n = r["version"]
@@ -141,6 +148,24 @@ def restore(spark: SparkSession, out_root: str, version: int, population: DataFr
     return {"version": n, "table": table, **_outputs(spark, table, out_root, n, population, cfg or Config(), aliases, models)}
 
 
+def cube_at(spark: SparkSession, out_root: str, version: int | None = None) -> DataFrame | None:
+    """The case cube of an update's output (at a version): the sum of the
+    cells that each batch was counted into.  Tables from before the cube was
+    kept get theirs with the next update."""
+    cells = INC.read_table(spark, f"{out_root}/cube", version)
+    return CB.add_cells(cells) if cells is not None else None
+
+
+def maintain(spark: SparkSession, out_root: str, upto: int | None = None) -> None:
+    """Write the many small batches of past updates once more: accumulated
+    rows as they are, clean rows clustered for the reader's filter, area
+    counts and cells added up, so that no read grows with the number of updates."""
+    for name, arrange in (("accumulated", None), ("clean", SRC.clustered),
+                          ("area_counts", lambda rows, n: IX.add_counts(rows).coalesce(n)),
+                          ("cube", lambda rows, n: CB.add_cells(rows).coalesce(n))):
+        INC.compact(spark, f"{out_root}/{name}", upto, arrange=arrange)
+
+
 def _outputs(spark: SparkSession, table: str, out_root: str, n: int, population: DataFrame, cfg: Config, aliases,
              models: bool) -> dict:
     """Clean, count and index version ``n``; the folder of the outputs is
@@ -151,7 +176,7 @@ def _outputs(spark: SparkSession, table: str, out_root: str, n: int, population:
     here = COM.attempt(out_root, f"version={n}")
     idx = IX.priority_index(areas, cfg)
     SRC.write_areas(idx, f"{here}/areas", f"{here}/ranking_csv")
-    paths = {"clean": f"{out_root}/clean", "areas": f"{here}/areas", "ranking": f"{here}/ranking_csv"}
+    paths = {"clean": f"{out_root}/clean", "cube": f"{out_root}/cube", "areas": f"{here}/areas", "ranking": f"{here}/ranking_csv"}
     if models:
         from ..operators import ml as ML
         idx = spark.read.parquet(paths["areas"])
@@ -166,19 +191,21 @@ def _outputs(spark: SparkSession, table: str, out_root: str, n: int, population:
 
 
 def republish(spark: SparkSession, out_root: str, version: int, dest: str, k: int = 5) -> dict:
-    """Publish an earlier version again: its areas, and the cells of the clean
-    batches up to it."""
+    """Publish an earlier version again: its areas, and the cells of the
+    batches up to it, from the cube where that holds all of them."""
     here = COM.folder_of(out_root, COM.record_of(spark, f"{out_root}/versions", version), "version")
-    return publish(INC.read_table(spark, f"{out_root}/clean", version), spark.read.parquet(f"{here}/areas"), dest, k)
+    counted = COM.record_of(spark, f"{out_root}/cube", version) is not None
+    clean = None if counted else INC.read_table(spark, f"{out_root}/clean", version)
+    return publish(clean, spark.read.parquet(f"{here}/areas"), dest, k,
+                   cube=cube_at(spark, out_root, version) if counted else None)
 
 
-def dashboard_tables(clean: DataFrame, idx: DataFrame, cube: DataFrame | None = None, k: int = 5,
+def dashboard_tables(clean: DataFrame | None, idx: DataFrame, cube: DataFrame | None = None, k: int = 5,
                      **filters) -> dict:
     """The parameterised tables behind the interactive views, answered from
     the case cube (built and checkpointed here when not given), so a filter
     change never rescans case rows; index tables are global.  Rows that count
     fewer than ``k`` cases are left out of every table with a count."""
-    from ..operators import cube as CB
     cube = cube if cube is not None else materialize(CB.case_cube(clean))
     sel = CB.filter_cube(cube, **filters)
     safe = lambda df, c="cases": PV.suppress(df, c, k)
@@ -187,5 +214,5 @@ def dashboard_tables(clean: DataFrame, idx: DataFrame, cube: DataFrame | None =
             "by_region": safe(CB.by_region(sel)).orderBy(F.col("cases").desc(), "region_name")
                            .limit(15),
             "by_area": CB.public_top_areas(sel, k, 20),
-            "weekly": safe(CB.weekly_trend(sel)),
+            "weekly": CB.weekly_trend(sel, k=k),
             "ranking": IX.top_ranking(safe(idx), 20), "distribution": IX.priority_distribution(idx)}

@@ -199,16 +199,19 @@ def restore(spark: SparkSession, root: str, version: int) -> int:
     return following
 
 
-def compact(spark: SparkSession, root: str, upto: int | None = None, file_bytes: int = 256 << 20) -> str | None:
+def compact(spark: SparkSession, root: str, upto: int | None = None, file_bytes: int = 256 << 20, arrange=None) -> str | None:
     """Write the rows of the table's batches (at version ``upto``) once more as
-    one folder of large files, which readers take in place of theirs."""
+    one folder of large files, which readers take in place of theirs.
+    ``arrange(rows, n_files)`` may order them (``sources.cases.clustered``) or
+    add up what belongs together, as long as readers find the same in it."""
     held = live(records(spark, root), upto)
     if len(held) < 2:
         return None
     size = sum(fs.getContentSummary(p).getLength() for p, fs in (commits._path(spark, folder_of(root, r)) for r in held))
     versions = [r["version"] for r in held]
     folder = commits.attempt(root, f"compact={versions[0]}-{versions[-1]}")
-    read_table(spark, root, upto).repartition(max(1, -(-size // file_bytes))).write.parquet(folder)
+    rows, files = read_table(spark, root, upto), max(1, -(-size // file_bytes))
+    (arrange(rows, files) if arrange else rows.repartition(files)).write.parquet(folder)
     try:
         commits.create(spark, root, f"{versions[0]}-{versions[-1]}-{len(versions)}.compact", {"versions": versions, "path": folder})
     except Conflict:
