@@ -988,11 +988,37 @@ q("ml_prepare", f"SELECT * FROM {_PREP}", ("idx",))
 q("ml_class_weight", f"""SELECT priority, label, CAST(n AS bigint) AS n,
   CAST(sum(n) OVER () AS double) / (count(*) OVER () * n) AS weight
 FROM (SELECT priority, label, count(*) AS n FROM {_PREP} GROUP BY priority, label)""", ("idx",))
-q("ml_split", f"""SELECT area_code, priority, nth <= ceil(0.2 * n) AS is_test FROM (
-  SELECT area_code, priority, row_number() OVER (PARTITION BY g ORDER BY h, {AREA_KEYS}) AS nth, count(*) OVER (PARTITION BY g) AS n
-  FROM (SELECT *, CASE WHEN min(c) OVER () >= 2 THEN label ELSE 0 END AS g,
-               CAST('0x' || substr(md5(coalesce(area_code, '') || ':42'), 1, 15) AS bigint) AS h
-        FROM (SELECT *, count(*) OVER (PARTITION BY label) AS c FROM {_PREP} AS p) AS q) AS r) AS s""", ("idx",))
+_HASH = "CAST('0x' || substr(md5(coalesce(area_code, '') || ':42'), 1, 15) AS bigint)"
+_SPLIT = f"""(SELECT *, nth <= ceil(0.2 * n) AS is_test FROM (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY h, {AREA_KEYS}) AS nth, count(*) OVER (PARTITION BY g) AS n
+  FROM (SELECT *, CASE WHEN min(c) OVER () >= 2 THEN label ELSE 0 END AS g, {_HASH} AS h
+        FROM (SELECT *, count(*) OVER (PARTITION BY label) AS c FROM {_PREP} AS p) AS q) AS r) AS s)"""
+q("ml_split", f"SELECT area_code, priority, is_test FROM {_SPLIT}", ("idx",))
+q("ml_folds", f"""SELECT area_code, priority,
+  CAST((row_number() OVER (PARTITION BY label ORDER BY h, {AREA_KEYS}) - 1)
+       % CASE WHEN k >= 2 THEN least(5, k) ELSE 1 END AS integer) AS fold
+FROM (SELECT *, min(c2) OVER () AS k FROM (SELECT *, count(*) OVER (PARTITION BY label) AS c2 FROM {_SPLIT} WHERE NOT is_test))""", ("idx",))
+_GUESS = f"""split AS (SELECT * FROM {_SPLIT}),
+seen AS (SELECT region_name, priority, label, count(*) AS n FROM split WHERE NOT is_test GROUP BY ALL),
+own AS (SELECT * FROM seen QUALIFY row_number() OVER (PARTITION BY region_name ORDER BY n DESC, priority) = 1),
+overall AS (SELECT priority, label FROM (SELECT priority, label, sum(n) AS n FROM seen GROUP BY ALL) ORDER BY n DESC, priority LIMIT 1),
+guessed AS (SELECT t.area_code, t.region_name, t.local_name, t.priority, t.label,
+  coalesce(o.priority, (SELECT priority FROM overall)) AS predicted_priority, coalesce(o.label, (SELECT label FROM overall)) AS prediction
+  FROM split t LEFT JOIN own o ON t.region_name IS NOT DISTINCT FROM o.region_name WHERE t.is_test)"""
+_CLASSES = "(VALUES " + ", ".join(f"('{c}', {i})" for i, c in enumerate(_C.PRIORITY_ORDER, 1)) + ") AS c(cls, ord)"
+q("ml_baseline", f"WITH {_GUESS} SELECT * FROM guessed", ("idx",))
+q("ml_baseline_metrics", f"""WITH {_GUESS}, counts AS (SELECT cls, ord,
+  (SELECT count(*) FROM guessed WHERE priority = cls) AS support,
+  (SELECT count(*) FROM guessed WHERE predicted_priority = cls) AS n_pred,
+  (SELECT count(*) FROM guessed WHERE priority = cls AND predicted_priority = cls) AS tp FROM {_CLASSES}),
+rates AS (SELECT *, CASE WHEN n_pred > 0 THEN tp / n_pred ELSE 0.0 END AS p, CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS r FROM counts)
+SELECT cls AS priority, CAST(ord AS integer) AS cls_ord, CAST(p AS double) AS precision, CAST(r AS double) AS recall,
+  CAST(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END AS double) AS f1, CAST(support AS bigint) AS support,
+  coalesce((SELECT sum(CASE WHEN priority = predicted_priority THEN 1 ELSE 0 END) / count(*) FROM guessed), 0.0) AS accuracy
+FROM rates""", ("idx",))
+q("ml_baseline_confusion", f"""WITH {_GUESS} SELECT cls AS priority, CAST(ord AS integer) AS cls_ord, {", ".join(
+    f"(SELECT CAST(count(*) AS bigint) FROM guessed WHERE priority = cls AND predicted_priority = '{c}') AS pred_{i}"
+    for i, c in enumerate(_C.PRIORITY_ORDER, 1))} FROM {_CLASSES}""", ("idx",))
 _Z = ", ".join(
     f"{rnd(f'({c} - avg({c}) OVER ()) / CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1.0 ELSE stddev_pop({c}) OVER () END', 6)} AS {c}_z"
     for c in _FEATS)

@@ -4,7 +4,9 @@ accuracy, per-class metrics, z-scored k-means with an elbow scan.
 The model table is at area grain (one row per area, bounded by geography,
 not by case volume); it is rebuilt from the index and fed to Spark ML as a
 ``VectorAssembler`` column.  Splits and folds are deterministic functions of
-the area code (``xxhash64``), so they do not depend on partitioning.
+the area code (its MD5 with the seed), so they do not depend on partitioning.
+A fit runs many short jobs over its table; ``model_table`` writes that once,
+in as few partitions as its size asks for.
 """
 
 from __future__ import annotations
@@ -25,6 +27,13 @@ from ..functions.core import round_half_even
 from ..session import materialize
 
 KEYS = ("area_code", "region_name", "local_name")
+ROWS_PER_TASK = 50_000      # areas in a partition of a table that models are fitted from
+
+
+def model_table(df: DataFrame) -> DataFrame:
+    """``df`` checkpointed, in partitions of about ``ROWS_PER_TASK`` rows."""
+    kept = materialize(df)
+    return kept.coalesce(max(1, -(-kept.count() // ROWS_PER_TASK)))
 
 
 def prepare(idx: DataFrame, cfg: Config | None = None, min_cases: int | None = None,
@@ -96,10 +105,8 @@ def with_class_weight(df: DataFrame, on: DataFrame | None = None) -> DataFrame:
 
 
 def _train_test(prepared: DataFrame, cfg: Config):
-    s = split(prepared, 0.2, cfg.seed)
-    train = with_class_weight(assemble(s.where(~F.col("is_test")), cfg))
-    test = assemble(s.where(F.col("is_test")), cfg)
-    return train, test
+    s = model_table(assemble(split(prepared, 0.2, cfg.seed), cfg))
+    return model_table(with_class_weight(s.where(~F.col("is_test")))), s.where(F.col("is_test"))
 
 
 def fit_tree(train: DataFrame, seed: int = 42, max_depth: int = 5):
@@ -180,20 +187,28 @@ def importances(idx: DataFrame, cfg: Config | None = None, labels: dict[str, str
              .orderBy(F.col("importance").desc(), "feature")
 
 
+def folds(idx: DataFrame, cfg: Config | None = None, max_folds: int = 5) -> tuple[DataFrame, int]:
+    """The training areas with their fold, and the number of folds k = min(5,
+    smallest class), 0 where that is under 2 (then all are of fold 0).  A row's
+    fold is its place within its class by area hash, mod k."""
+    cfg = cfg or Config()
+    s = model_table(split(prepare(idx, cfg), 0.2, cfg.seed).where(~F.col("is_test")))
+    sizes = [r["count"] for r in s.groupBy("label").count().collect()]              # a row per class
+    k = min(max_folds, *sizes) if sizes and min(sizes) >= 2 else 0
+    ranked, _ = hash_rank(s, "label", cfg.seed)
+    return ranked.withColumn("fold", (F.col("_place") % max(k, 1)).cast("int")).drop("_place", "is_test"), k
+
+
 def cross_validate(idx: DataFrame, cfg: Config | None = None, max_folds: int = 5) -> DataFrame:
-    """k-fold accuracy of the forest over the training areas, k = min(5,
-    smallest class); skipped (0 folds, null scores) when k < 2.  Folds are
-    stratified: fold = row number within class (by area hash) mod k."""
+    """Accuracy of the forest over the ``folds`` of the training areas; skipped
+    (0 folds, null scores) where there are none."""
     cfg = cfg or Config()
-    s = split(prepare(idx, cfg), 0.2, cfg.seed).where(~F.col("is_test"))
-    min_class = s.groupBy("label").count().select(F.min("count")).first()[0] or 0
-    k = min(max_folds, min_class) if min_class >= 2 else 0
+    dealt, k = folds(idx, cfg, max_folds)
     spark = idx.sparkSession
     if k < 2:
         return spark.createDataFrame([(0, None, None)],
                                      "folds int, mean_accuracy double, std_accuracy double")
-    ranked, _ = hash_rank(with_class_weight(assemble(s, cfg)), "label", cfg.seed)
-    data = ranked.withColumn("fold", (F.col("_place") % k).cast("int")).drop("_place")
+    data = model_table(with_class_weight(assemble(dealt, cfg)))
     rf = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight",
                                 numTrees=100, maxDepth=8, seed=cfg.seed)
     ev = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
@@ -205,6 +220,22 @@ def cross_validate(idx: DataFrame, cfg: Config | None = None, max_folds: int = 5
                                  "folds int, mean_accuracy double, std_accuracy double")
 
 
+def baseline_predictions(idx: DataFrame, cfg: Config | None = None) -> DataFrame:
+    """What a model has to beat: for each test area the most frequent class of
+    its region's training areas, or of all training areas where the region has
+    none (ties: the first class by name).  Columns as of ``predictions``."""
+    cfg = cfg or Config()
+    s = model_table(split(prepare(idx, cfg), 0.2, cfg.seed))
+    counts = s.where(~F.col("is_test")).groupBy("region_name", "priority", "label").agg(F.count(F.lit(1)).alias("_n"))
+    top = F.min_by(F.struct("priority", "label"), F.struct((-F.col("_n")).alias("a"), F.col("priority").alias("b")))
+    own = counts.groupBy("region_name").agg(top.alias("_own"))
+    overall = counts.groupBy("priority", "label").agg(F.sum("_n").alias("_n")).select(top).scalar()
+    test = s.where(F.col("is_test")).alias("t").join(own.alias("o"), F.col("t.region_name").eqNullSafe(F.col("o.region_name")), "left")
+    guess = F.coalesce("_own", overall)
+    return test.select(guess["label"].alias("prediction"), *[f"t.{c}" for c in KEYS], "t.priority", "t.label",
+                       guess["priority"].alias("predicted_priority"))
+
+
 def metrics(pred: DataFrame, classes=C.PRIORITY_ORDER) -> DataFrame:
     """Per class precision / recall / F1 / support (0 when undefined), in
     severity order, plus overall accuracy on every row."""
@@ -286,7 +317,7 @@ def elbow(idx: DataFrame, cfg: Config | None = None, ks=range(2, 9), n_init: int
     """Within-cluster sum of squares for each k (best of n_init starts); all
     (k, start) fits run as concurrent Spark jobs over the checkpointed z-scores."""
     cfg = cfg or Config()
-    data = materialize(_zscored_vectors(idx, cfg))
+    data = model_table(_zscored_vectors(idx, cfg))
     jobs = [(k, cfg.seed + i) for k in ks for i in range(n_init)]
     with ThreadPoolExecutor(max_workers=parallel) as ex:
         costs = list(ex.map(lambda j: (j[0], _fit_kmeans(data, *j).summary.trainingCost), jobs))
@@ -301,7 +332,7 @@ def kmeans(idx: DataFrame, cfg: Config | None = None, n_init: int = 10, labels:
     """Cluster every area (no case minimum) on z-scored features; the
     cluster id is relabelled by ascending mean rate (0 = lowest rate)."""
     cfg = cfg or Config()
-    data = materialize(_zscored_vectors(idx, cfg))
+    data = model_table(_zscored_vectors(idx, cfg))
     model = _best_kmeans(data, cfg.n_clusters, n_init, cfg.seed)
     assigned = model.transform(data).select(*KEYS, F.col("cluster").alias("raw_cluster"))
     feats = idx.select(*KEYS, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)

@@ -780,6 +780,10 @@ def ml_class_weight(spark, d):
              .select("priority", "label", F.col("count").cast("bigint").alias("n"), "weight")
 
 
+query("ml_folds")(lambda s, d: ML.folds(inputs(s, d).index, inputs(s, d).cfg)[0].select("area_code", "priority", "fold"))
+query("ml_baseline")(lambda s, d: ML.baseline_predictions(inputs(s, d).index, inputs(s, d).cfg))
+query("ml_baseline_metrics")(lambda s, d: ML.metrics(ML.baseline_predictions(inputs(s, d).index, inputs(s, d).cfg)))
+query("ml_baseline_confusion")(lambda s, d: ML.confusion(ML.baseline_predictions(inputs(s, d).index, inputs(s, d).cfg)))
 query("ml_tree")(lambda s, d: ML.tree_predictions(inputs(s, d).index, inputs(s, d).cfg))
 query("ml_tree_rules")(lambda s, d: ML.tree_rules(inputs(s, d).index, inputs(s, d).cfg))
 query("ml_forest")(lambda s, d: inputs(s, d).forest)

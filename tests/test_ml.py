@@ -107,3 +107,35 @@ def test_folds_are_even_within_classes(spark):
     assert {r["_size"] for r in sizes.collect()} == {20}
     for label in (0.0, 1.0, 2.0):
         assert sorted(r["_place"] for r in ranked.where(F.col("label") == label).collect()) == list(range(20))
+
+
+def test_folds_partition_the_training_areas(spark):
+    df = _balanced(spark)
+    dealt, k = ML.folds(df, CFG, 4)
+    got = dealt.collect()
+    assert k == 4 and len(got) == 48 and not {"_place", "is_test"} & set(dealt.columns)
+    sizes = {}
+    for r in got:
+        sizes[r["priority"], r["fold"]] = sizes.get((r["priority"], r["fold"]), 0) + 1
+    assert set(sizes.values()) == {4} and len(sizes) == 12
+    few, none = ML.folds(df.where("priority = 'Baja'").limit(1), CFG, 4)
+    assert none == 0 and few.count() <= 1
+
+
+def test_baseline_takes_the_class_of_its_region(spark):
+    df = _balanced(spark)
+    split = {r["area_code"]: r for r in ML.split(ML.prepare(df, CFG, 0), 0.2, CFG.seed).collect()}
+    got = ML.baseline_predictions(df, CFG).collect()
+    assert len(got) == 12
+    for r in got:
+        seen = [x["priority"] for x in split.values() if not x["is_test"] and x["region_name"] == r["region_name"]]
+        best = min(set(seen), key=lambda c: (-seen.count(c), c))
+        assert r["predicted_priority"] == best
+    assert ML.metrics(ML.baseline_predictions(df, CFG)).count() == 4
+
+
+def test_model_table_partitions_follow_its_size(spark, monkeypatch):
+    df = spark.range(0, 100, 1, 8)
+    assert ML.model_table(df).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(ML, "ROWS_PER_TASK", 30)
+    assert ML.model_table(df).rdd.getNumPartitions() == 4 and ML.model_table(df.limit(0)).count() == 0
