@@ -14,7 +14,9 @@ one common boundary makes all later ones common.)
 
 Documents and their edits meet in one shuffle by id, the document first and
 its edits after it in order, so a task holds one document at a time and any
-number of edits passes by.
+number of edits passes by.  Rows that share an id are counted by text first
+(copies have one tree) and dealt by the hash of their text; the edits of such
+an id go to each of its texts, so these too are held one at a time.
 
 Defined cases: a null text is an empty one; an edit's start and length are
 clipped to the text as it is then; null starts and lengths are 0, a null
@@ -36,7 +38,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, slices, text_rows
+from .common import partitions, saved, slices, text_rows
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the split pattern of the published vocabulary.
@@ -194,16 +196,25 @@ def count_with_edits(docs: DataFrame, edits: DataFrame, ranks: str = RANKS, id_c
     of the text as it is then) and replacement."""
     with open(ranks, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
-    none = F.lit(None)
-    left = text_rows(docs, id_col, text_col).select(
-        "doc_id", F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64("text"), F.lit(100_000))).otherwise(0).alias("spread"),
-        F.lit(-1).cast("long").alias("seq"), none.cast("long").alias("start"), none.cast("long").alias("length"), "text")
-    right = edits.where("doc_id is not null").select(
+    rows = text_rows(docs, id_col, text_col)
+    repeated = saved(rows.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
+    changes = edits.where("doc_id is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.lit(0).cast("long").alias("spread"),
         F.greatest(F.coalesce(F.col("seq").cast("long"), F.lit(0)), F.lit(0)).alias("seq"),
         F.col("start").cast("long").alias("start"), F.col("length").cast("long").alias("length"),
         F.col("replacement").cast("string").alias("text"))
-    met = (left.unionByName(right).repartition(partitions(docs), "doc_id", "spread")
+    once = rows.select("doc_id", F.lit(0).cast("long").alias("spread"), "text", F.lit(1).cast("long").alias("copies"))
+    if not repeated.isEmpty():
+        of = repeated.select(F.col("doc_id").alias("_id"))
+        shared_id = F.col("doc_id").eqNullSafe(F.col("_id"))
+        texts = (rows.join(of, shared_id, "left_semi").groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("copies"))
+                 .select("doc_id", F.xxhash64("text").alias("spread"), "text", "copies"))
+        places = saved(texts.select("doc_id", "spread").where("doc_id is not null").distinct(), "repeated-places")
+        once = once.join(of, shared_id, "left_anti").unionByName(texts)
+        changes = changes.join(of, shared_id, "left_anti").unionByName(changes.drop("spread").join(places, "doc_id"))
+    none = F.lit(None).cast("long")
+    left = once.select("*", F.lit(-1).cast("long").alias("seq"), none.alias("start"), none.alias("length"))
+    met = (left.unionByName(changes.withColumn("copies", none)).repartition(partitions(docs), "doc_id", "spread")
            .sortWithinPartitions("doc_id", "spread", "seq", "start", "length", "text"))
     return met.mapInArrow(_counted(shared), COUNTED)
 
@@ -211,37 +222,46 @@ def count_with_edits(docs: DataFrame, edits: DataFrame, ranks: str = RANKS, id_c
 COUNTED = ("doc_id long, n_pretokens long, n_tokens long, n_edits long, edited_tokens long, n_reencoded long, "
            "edited_sha256 string")
 _NAMES = ["doc_id", "n_pretokens", "n_tokens", "n_edits", "edited_tokens", "n_reencoded", "edited_sha256"]
+_COLUMNS = ("doc_id", "spread", "seq", "start", "length", "text", "copies")
+ROWS_OUT = 10_000
 
 
 def _counted(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(shared.value)
-        doc, open_ = None, []               # the id and the trees of its rows, with [pre-tokens, tokens, edits] before
+        at, open_ = None, []                # the place, and its trees (one, but for equal hashes) as [tree, copies, pre-tokens, tokens, edits]
         for part in slices(batches):
             out = []
-            for i, seq, start, length, text in zip(*(part.column(c).to_pylist() for c in ("doc_id", "seq", "start", "length", "text"))):
+            for i, spread, seq, start, length, text, copies in zip(*(part.column(c).to_pylist() for c in _COLUMNS)):
                 if seq < 0:
-                    if (doc != i or i is None) and open_:
-                        out += [_result(doc, *x) for x in open_]
-                        open_ = []
-                    doc = i
+                    if at != (i, spread):
+                        out += [_result(at[0], *x) for x in open_]
+                        at, open_ = (i, spread), []
                     tree = Tree(text or "", counter)
-                    open_.append((tree, [len(tree.first), tree.n_tokens, 0]))
-                elif doc == i and open_:
-                    for tree, before in open_:
-                        tree.edit(start or 0, length or 0, text or "")
-                        before[2] += 1
-            if out:
-                yield _batch(out)
-        if open_:
-            yield _batch([_result(doc, *x) for x in open_])
+                    open_.append([tree, copies, len(tree.first), tree.n_tokens, 0])
+                elif at == (i, spread):
+                    for x in open_:
+                        x[0].edit(start or 0, length or 0, text or "")
+                        x[4] += 1
+            yield from _written(out)
+        yield from _written([_result(at[0], *x) for x in open_])
     return run
 
 
-def _result(doc, tree: Tree, before: list[int]) -> tuple:
-    return (doc, *before, tree.n_tokens, tree.encoded, hashlib.sha256(tree.text().encode()).hexdigest())
+def _result(doc, tree: Tree, copies: int, *before: int) -> tuple:
+    return copies, (doc, *before, tree.n_tokens, tree.encoded, hashlib.sha256(tree.text().encode()).hexdigest())
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64()] * 6 + [pa.string()]
-    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], _NAMES)
+def _written(results: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """The rows of the results, each as often as it has copies, in batches of a bounded size."""
+    kinds, held = [pa.int64()] * 6 + [pa.string()], []
+    for n, row in results:
+        while n:
+            take = min(n, ROWS_OUT - len(held))
+            held += [row] * take
+            n -= take
+            if len(held) == ROWS_OUT:
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*held), kinds)], _NAMES)
+                held = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*held), kinds)], _NAMES)

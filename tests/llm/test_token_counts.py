@@ -48,14 +48,13 @@ def edits():
     return rows + [(4242, 0, 0, 1, "x", 1), (0, None, None, None, None, 1), (3, 9, 10**12, 5, " end", 1), (3, 10, -4, -4, "begin ", 1)]
 
 
-def test_against_brute_force(spark):
-    e = edits()
+def check(spark, rows, e):
     by_id = defaultdict(list)
     for i, seq, start, length, rep, _ in e:
         if i is not None:
             by_id[i].append((max(seq or 0, 0), -(10**18) if start is None else start, -(10**18) if length is None else length, rep or ""))
     want = Counter()
-    for i, t in odd_rows():
+    for i, t in rows:
         text = t or ""
         before = len(T.Counter(RAW).split(text)), len(ENC.encode_ordinary(text))
         own = sorted(by_id[i]) if i is not None else []
@@ -63,10 +62,51 @@ def test_against_brute_force(spark):
             text = applied(text, s, n, rep)
         want[(i, *before, len(own), len(ENC.encode_ordinary(text)), hashlib.sha256(text.encode()).hexdigest())] += 1
     frame = spark.createDataFrame(e, "doc_id long, seq int, start long, length long, replacement string, text int")
-    got = T.count_with_edits(odd_docs(spark), frame)
+    got = T.count_with_edits(odd_docs(spark, rows), frame)
     assert Counter((r.doc_id, r.n_pretokens, r.n_tokens, r.n_edits, r.edited_tokens, r.edited_sha256) for r in got.collect()) == want
 
 
+def test_against_brute_force(spark):
+    check(spark, odd_rows(), edits())
+
+
+def test_ids_of_their_own(spark):
+    rows, seen = [], set()
+    for i, t in odd_rows():
+        if i not in seen:
+            seen.add(i)
+            rows.append((i, t))
+    check(spark, rows, edits())
+
+
+def test_many_rows_of_one_id(spark, monkeypatch):
+    """Copies, other texts and nulls under one id: a row each, edited alike; one tree is open at a time."""
+    monkeypatch.setattr(T, "ROWS_OUT", 7)
+    rows = [(7, f"text number {k % 9} of one id" if k % 9 else None) for k in range(60)] + [(8, "alone"), (None, "a"), (None, "a"), (None, None)]
+    e = [(7, 0, 5, 6, "piece", 1), (7, 1, 0, 0, "the ", 1), (8, 0, 5, 0, " now", 1)]
+    check(spark, rows, e)
+    counter = T._counted(type("Shared", (), {"value": RAW}))
+    most = []
+
+    class Watched(T.Tree):
+        alive = 0
+
+        def __init__(self, *a):
+            super().__init__(*a)
+            Watched.alive += 1
+            most.append(Watched.alive)
+
+        def __del__(self):
+            Watched.alive -= 1
+
+    monkeypatch.setattr(T, "Tree", Watched)
+    import pyarrow as pa
+    placed = [(7, k, -1, None, None, f"text {k}", 3) for k in range(50)]
+    batch = pa.RecordBatch.from_arrays([pa.array(list(c), pa.string() if n == "text" else pa.int64())
+                                        for c, n in zip(zip(*placed), T._COLUMNS)], list(T._COLUMNS))
+    assert sum(b.num_rows for b in counter(iter([batch]))) == 150 and max(most) <= 3
+
+
 @pytest.mark.parametrize("n", [0, 1])
 def test_empty(spark, n):
     frame = spark.createDataFrame([(1, 1, 1, 1, "x")] * n, "doc_id long, seq int, start long, length long, replacement string")
