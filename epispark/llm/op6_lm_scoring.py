@@ -10,7 +10,7 @@ the context's frequency, floor(log2 c(v)), and is learnt by expectation-
 maximisation on deleted counts: each training token is held out of the counts
 that predict it (one is taken off its own numerators and denominators).  As
 only the ratio of the two estimates enters, all training tokens are gathered
-into a histogram of that ratio by bucket (in 16ths of an octave), which has a
+into a histogram of that ratio by bucket (in 16ths of an octave, each with its tokens' mean place), which has a
 fixed size, and EM runs on the histogram.
 
 Counting.  Tasks gather documents into chunks of about ``chunk_tokens``
@@ -48,6 +48,7 @@ HASH_BITS = 56
 WORDS, PAIRS, HOME, TOTALS = 0, 1, 2, 3
 BUCKETS, FINE, LOW = 40, 16, -64            # buckets of contexts; bins per octave; lowest octave of a ratio
 BINS = FINE * 128 + 1                       # the first bin: ratio zero
+WITHIN = 1 << 20                            # places within a bin
 WIRE = "dest int, kind int, chunk long, n long, keys binary, counts binary, extra binary"
 NAMES = ["dest", "kind", "chunk", "n", "keys", "counts", "extra"]
 
@@ -281,29 +282,34 @@ def _estimates(one: np.ndarray, two: np.ndarray, deleted: int, n: int, v: int, d
 
 def _histogram(n: int, v: int, docs: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS * BINS, dtype=np.int64)
+        total, place = np.zeros((2, BUCKETS * BINS), dtype=np.int64)
         for batch in batches:
             for one, two in zip(batch.column("words").to_pylist(), batch.column("pairs").to_pylist()):
                 p0, ml, bucket = _estimates(unpack(one), unpack(two), 1, n, v, docs)
                 with np.errstate(divide="ignore"):
-                    at = np.floor((np.log2(ml / p0) - LOW) * FINE)
-                at = np.where(ml > 0, np.clip(at, 0, BINS - 2) + 1, 0).astype(np.int64)
-                total += np.bincount(bucket * BINS + at, minlength=BUCKETS * BINS)
+                    at = np.clip((np.log2(ml / p0) - LOW) * FINE, 0, BINS - 1.001)
+                whole = np.floor(at)
+                cell = bucket * BINS + np.where(ml > 0, whole + 1, 0).astype(np.int64)
+                np.add.at(total, cell, 1)
+                np.add.at(place, cell, ((at - whole) * WITHIN).astype(np.int64))
         cells = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], ["cell", "tokens"])
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells]), pa.array(place[cells])], ["cell", "tokens", "place"])
     return run
 
 
-def mixture_weights(histogram: np.ndarray, rounds: int = 200) -> np.ndarray:
+def mixture_weights(histogram: np.ndarray, place: np.ndarray | None = None, rounds: int = 200) -> np.ndarray:
     """Weight of the bigram estimate by context bucket, by EM on the counts of
-    the ratio (bigram / unigram estimate) of deleted tokens."""
-    ratio = np.concatenate([[0.0], 2.0 ** (LOW + (np.arange(BINS - 1) + 0.5) / FINE)])
+    the ratio (bigram / unigram estimate) of deleted tokens; a bin stands for
+    the ratio at the mean ``place`` (0 to 1) of its tokens, or at its middle."""
+    place = np.full(histogram.shape, 0.5) if place is None else place
+    ratios = 2.0 ** (LOW + (np.arange(BINS) - 1 + place) / FINE)
+    ratios[:, 0] = 0.0
     out = np.zeros(BUCKETS)
     for b in range(1, BUCKETS):
         tokens = histogram[b]
         if not tokens.sum():
             continue
-        weight = 0.5
+        weight, ratio = 0.5, ratios[b]
         for _ in range(rounds):
             share = weight * ratio / (1 - weight + weight * ratio)
             new = min(float((tokens * share).sum() / tokens.sum()), 1 - 1e-6)
@@ -322,12 +328,12 @@ def scores(docs: DataFrame, chunk_tokens: int = 2_000_000, id_col: str = "doc_id
     n, v = sums.n or 0, sums.v or 0
     rows = table.where("v is null")
     n_docs = rows.where("learn").count()
-    found = (rows.where("learn").select("words", "pairs").mapInArrow(_histogram(n, v, n_docs), "cell long, tokens long")
-             .groupBy("cell").agg(F.sum("tokens").alias("tokens")).collect())       # at most BUCKETS x BINS cells
-    histogram = np.zeros(BUCKETS * BINS)
+    found = (rows.where("learn").select("words", "pairs").mapInArrow(_histogram(n, v, n_docs), "cell long, tokens long, place long")
+             .groupBy("cell").agg(F.sum("tokens").alias("tokens"), F.sum("place").alias("place")).collect())       # at most BUCKETS x BINS cells
+    histogram, place = np.zeros((2, BUCKETS * BINS))
     for r in found:
-        histogram[r.cell] = r.tokens
-    weights = mixture_weights(histogram.reshape(BUCKETS, BINS))
+        histogram[r.cell], place[r.cell] = r.tokens, r.place / r.tokens / WITHIN
+    weights = mixture_weights(histogram.reshape(BUCKETS, BINS), place.reshape(BUCKETS, BINS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

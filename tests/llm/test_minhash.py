@@ -126,3 +126,43 @@ def test_empty(spark):
 def test_permutations_are_odd_and_fixed():
     a, b = M.permutations(128)
     assert (a & np.uint64(1) == 1).all() and len(set(a.tolist())) == 128 and (M.permutations(128)[1] == b).all()
+
+
+def plain_signature(text, a, b):
+    """Minima of all hash functions in Python integers, one shingle at a time."""
+    (x,) = M.shingle_sets([(text or "").encode()])
+    values = [int(v) for v in x]
+    return [min(((p * v + q) % 2**64 for v in values), default=2**64 - 1) >> 32 for p, q in zip(a, b)]
+
+
+def test_fingerprints_recomputed(spark):
+    rows = [r for r in odd_rows() if r[0] not in (None, 1010)]
+    rows = list({i: (i, t) for i, t in rows}.values())
+    a, b = ([int(v) for v in x] for x in M.permutations(M.N_PERM))
+    texts = [t or "" for _, t in sorted(rows)]
+    got = sorted(M.edited_fingerprints(odd_docs(spark, rows)).collect(), key=lambda r: r.doc_id)
+    sigs = [plain_signature(t, a, b) for t in texts]
+
+    def alike(x, y):
+        empty = [2**32 - 1] * len(a)
+        return float(x == y) if empty in (x, y) else sum(p == q for p, q in zip(x, y)) / len(x)
+
+    for k, r in enumerate(got):
+        after = (k + 1) % len(texts)
+        edited = plain_signature(M.edit(texts[k], texts[after]), a, b)
+        assert r.fingerprint == "".join(f"{v:08x}" for v in sigs[k]) and r.edited_fingerprint == "".join(f"{v:08x}" for v in edited)
+        assert (r.near_edited, r.near_next) == (alike(sigs[k], edited), alike(sigs[k], sigs[after]))
+
+
+def test_shingle_hashes_tell_shingles_apart():
+    """Equal hashes for equal shingles and for no others, over all odd texts."""
+    of = {}
+    for _, t in odd_rows():
+        w = WORD.findall((t or "").encode().lower())
+        k = min(5, len(w))
+        own = [tuple(w[i:i + k]) for i in range(len(w) - k + 1)] if w else []
+        (x,) = M.shingle_sets([(t or "").encode()])
+        assert len(x) == len(own)
+        for shingle, h in zip(own, x.tolist()):
+            assert of.setdefault(shingle, h) == h
+    assert len(set(of.values())) == len(of)

@@ -1,3 +1,4 @@
+import hashlib
 import random
 import zlib
 from collections import defaultdict
@@ -71,3 +72,58 @@ def test_same_rows_same_shards(spark):
 
 def test_empty(spark):
     assert S.shard(empty_docs(spark)).collect() == []
+
+
+def plain(sizes, k):
+    """Largest differencing by the book: all partial partitions in one list, sorted again at every step."""
+    parts = [(n, [(x, [n])] + [(0, [])] * (k - 1)) for n, x in enumerate(sizes)]
+    serial = len(parts)
+    while len(parts) > 1:
+        parts.sort(key=lambda p: (p[1][-1][0] - p[1][0][0], p[0]))
+        (_, a), (_, b), *parts = parts
+        joined = [(a[i][0] + b[k - 1 - i][0], a[i][1] + b[k - 1 - i][1]) for i in range(k)]
+        parts.append((serial, sorted(joined, key=lambda x: -x[0])))
+        serial += 1
+    return [members for _, members in parts[0][1]]
+
+
+def test_place_is_a_plain_run():
+    rng = random.Random(3)
+    for k in (2, 3, 5, 16):
+        sizes = [rng.randrange(1, 10**6) for _ in range(120)]
+        at = S.place(sizes, k)
+        want = sorted(sum(sizes[n] for n in members) for members in plain(sizes, k))
+        assert sorted(sum(x for x, j in zip(sizes, at) if j == s) for s in range(k)) == want
+
+
+def by_text(docs):
+    sizes = defaultdict(int)
+    for r in docs.select("text").collect():
+        sizes[r.text or ""] += len((r.text or "").encode()) + 1
+    return [sizes[t] for t in sorted(sizes, key=lambda t: (-sizes[t], hashlib.sha256(t.encode()).digest()))]
+
+
+def shard_sums(docs, **kw):
+    got = [0] * 16
+    for r in S.shard(docs, 16, **kw).collect():
+        got[r.shard] += r.size
+    return got
+
+
+def test_groups_of_a_size_are_placed_as_a_plain_run_does(spark):
+    """Without small groups the operator is one run over all groups."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("length(text) > 200")
+    sizes = by_text(docs)
+    want = sorted(sum(sizes[n] for n in members) for members in plain(sizes, 16))
+    assert min(sizes) * S.LARGE >= sum(sizes) and sorted(shard_sums(docs)) == want
+
+
+def test_whole_table_is_nearly_as_even_as_a_plain_run(spark):
+    """Small groups are differenced after the large ones, in blocks: within half
+    a percent of a shard of one run over all groups."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    sizes = by_text(docs)
+    sums = [sum(sizes[n] for n in members) for members in plain(sizes, 16)]
+    for blocks in (20_000, 50):
+        got = shard_sums(docs, block_groups=blocks)
+        assert sum(got) == sum(sums) and max(got) - min(got) <= max(sums) - min(sums) + 0.005 * sum(sums) / 16
