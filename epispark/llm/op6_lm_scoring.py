@@ -20,7 +20,9 @@ hot it is.  The entries are dealt by hash range to buckets (shuffle 1), where
 they are added up; the totals go back to their chunks in the order in which
 the entries came (shuffle 2), and each chunk gives every document the counts
 of its tokens.  Tokens themselves are not shuffled one by one, and no count
-table is broadcast or collected.
+table is broadcast or collected.  A chunk has one row of entries for each bucket
+and kind, two buckets a shuffle partition; with many partitions these rows are
+small, so they travel many to a batch, short ones uncompressed.
 
 Defined cases: a null or empty text is the end token alone; rows with one id
 are documents of their own, learnt from or held out together; a null id is
@@ -49,6 +51,8 @@ WORDS, PAIRS, HOME, TOTALS = 0, 1, 2, 3
 BUCKETS, FINE, LOW = 40, 16, -64            # buckets of contexts; bins per octave; lowest octave of a ratio
 BINS = FINE * 128 + 1                       # the first bin: ratio zero
 WITHIN = 1 << 20                            # places within a bin
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 1024     # rows that travel together
+SMALL = 64                                  # planes not worth compressing
 WIRE = "dest int, kind int, chunk long, n long, keys binary, counts binary, extra binary"
 NAMES = ["dest", "kind", "chunk", "n", "keys", "counts", "extra"]
 
@@ -70,12 +74,17 @@ def pack(x: np.ndarray) -> bytes:
 
 
 def squeeze(x: np.ndarray) -> bytes:
-    """``pack`` for what is shuffled: compressed."""
-    return zstd.ZstdCompressor(level=1).compress(pack(x))
+    """``pack`` for what is shuffled: compressed, where that makes it shorter."""
+    planes = pack(x)
+    if len(planes) > SMALL:
+        less = zstd.ZstdCompressor(level=1).compress(planes)
+        if len(less) < len(planes):
+            return b"z" + less
+    return b"p" + planes
 
 
 def expand(data: bytes) -> np.ndarray:
-    return unpack(zstd.ZstdDecompressor().decompress(data))
+    return unpack(zstd.ZstdDecompressor().decompress(data[1:]) if data[:1] == b"z" else data[1:])
 
 
 def unpack(data: bytes) -> np.ndarray:
@@ -112,13 +121,25 @@ def _order(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h[order], order
 
 
-def _row(dest: int, kind: int, chunk: int, n: int, keys: bytes, counts: bytes, extra: bytes = b"") -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([dest], pa.int32()), pa.array([kind], pa.int32()), pa.array([chunk], pa.int64()), pa.array([n], pa.int64()),
-         pa.array([keys], pa.binary()), pa.array([counts], pa.binary()), pa.array([extra], pa.binary())], NAMES)
+def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows (dest, kind, chunk, n, keys, counts, extra) as batches of bounded size."""
+    types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
 
+    def batch():
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], NAMES)
 
-def _entries(kind: int, chunk: int, h: np.ndarray, counts: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(map(len, row[4:]))
+        if size >= BATCH_BYTES or len(held) >= BATCH_ROWS:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
+
+
+def _entries(kind: int, chunk: int, h: np.ndarray, counts: np.ndarray, buckets: int) -> Iterator[tuple]:
     """The chunk's entries by bucket: ascending hashes as differences, and counts."""
     h, order = _order(h)
     counts = counts[order]
@@ -127,7 +148,7 @@ def _entries(kind: int, chunk: int, h: np.ndarray, counts: np.ndarray, buckets:
     for b in range(buckets):
         i, j = int(cut[b]), int(cut[b + 1])
         if i < j:
-            yield _row(b, kind, chunk, j - i, int(h[i]).to_bytes(8, "little") + squeeze(np.diff(h[i:j])), squeeze(counts[i:j]))
+            yield b, kind, chunk, j - i, int(h[i]).to_bytes(8, "little") + squeeze(np.diff(h[i:j])), squeeze(counts[i:j]), b""
 
 
 def _hashes(keys: bytes) -> np.ndarray:
@@ -138,7 +159,7 @@ def _hashes(keys: bytes) -> np.ndarray:
 def _chunks(chunk_tokens: int, buckets: int):
     """Tasks of the first kind: documents to chunks, chunks to entries."""
 
-    def flush(number: int, ids: list, learn: list, sizes: list, hashes: list) -> Iterator[pa.RecordBatch]:
+    def flush(number: int, ids: list, learn: list, sizes: list, hashes: list) -> Iterator[tuple]:
         size = np.concatenate(sizes)
         words, token, count = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
         hashes.clear()
@@ -152,10 +173,10 @@ def _chunks(chunk_tokens: int, buckets: int):
         h, _, _, which = c.pairs()
         yield from _entries(PAIRS, number, h, np.bincount(which[train], minlength=len(h)), buckets)
         doc = np.concatenate(ids)
-        yield _row(number % buckets, HOME, number, len(doc), c.words.tobytes(), squeeze(c.token),
-                   doc.tobytes() + size.astype(np.int64).tobytes() + np.concatenate(learn).tobytes())
+        yield (number % buckets, HOME, number, len(doc), c.words.tobytes(), squeeze(c.token),
+               doc.tobytes() + size.astype(np.int64).tobytes() + np.concatenate(learn).tobytes())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         number, held = TaskContext.get().partitionId() << 24, 0
         ids, learn, sizes, hashes = [], [], [], []
         for part in slices(batches):
@@ -175,21 +196,26 @@ def _chunks(chunk_tokens: int, buckets: int):
         if held:
             yield from flush(number, ids, learn, sizes, hashes)
 
-    return run
+    return lambda batches: _batches(rows(batches))
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
+        columns = [batch.column(c) for c in NAMES]
         for i in range(batch.num_rows):
-            yield tuple(batch.column(c)[i].as_py() for c in NAMES)
+            yield tuple(c[i].as_py() for c in columns)
 
 
 def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Tasks of the second kind: the entries of a bucket to totals, given back
     in the order of each chunk's entries; homes pass."""
+    return _batches(_added(batches))
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     group, held = None, []
 
-    def flush() -> Iterator[pa.RecordBatch]:
+    def flush() -> Iterator[tuple]:
         dest, kind = group
         h = np.concatenate([_hashes(k) for _, k, _ in held])
         parts = [expand(c) for _, _, c in held]
@@ -197,16 +223,16 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         distinct, which = np.unique(h, return_inverse=True)
         total = np.bincount(which, weights=own, minlength=len(distinct)).astype(np.int64)
         if kind == WORDS:
-            yield _row(dest, TOTALS, -1 - dest, int((total > 0).sum()), int(total.sum()).to_bytes(8, "little"), b"")
+            yield dest, TOTALS, -1 - dest, int((total > 0).sum()), int(total.sum()).to_bytes(8, "little"), b"", b""
         start = 0
         for (chunk, _, _), part in zip(held, parts):
             n = len(part)
-            yield _row(dest, kind, chunk, n, b"", squeeze(total[which[start:start + n]]))
+            yield dest, kind, chunk, n, b"", squeeze(total[which[start:start + n]]), b""
             start += n
 
     for dest, kind, chunk, n, keys, counts, extra in _rows(batches):
         if kind == HOME:
-            yield _row(dest, kind, chunk, n, keys, counts, extra)
+            yield dest, kind, chunk, n, keys, counts, extra
             continue
         if group != (dest, kind):
             if held:

@@ -78,6 +78,32 @@ def test_packing():
         assert L.unpack(L.pack(np.array(x, dtype=np.int64))).tolist() == x
 
 
+def test_what_is_shuffled_comes_back():
+    for x in ([], [7], range(10_000), [2**50] * 500, [3, 1, 2]):
+        assert L.expand(L.squeeze(np.array(x, dtype=np.int64))).tolist() == list(x)
+
+
+def test_small_rows_travel_together():
+    lines = [(b, L.WORDS, 1, 2, b"12345678", b"12", b"") for b in range(3000)]
+    batches = list(L._batches(iter(lines)))
+    assert [b.num_rows for b in batches] == [1024, 1024, 952]
+    assert list(L._rows(iter(batches))) == lines
+    assert len(list(L._batches(iter([(0, L.HOME, 1, 2, bytes(L.BATCH_BYTES), b"", b"")] * 3)))) == 3
+    assert list(L._batches(iter([]))) == []
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 5000])
+def test_entries_by_bucket(buckets):
+    rng = np.random.default_rng(buckets)
+    h, counts = rng.integers(0, 2**63, 2000).astype(np.uint64) * np.uint64(2), rng.integers(0, 50, 2000)
+    found = {}
+    for dest, kind, chunk, n, keys, packed, _ in L._entries(L.PAIRS, 9, h, counts, buckets):
+        back = L._hashes(keys)
+        assert (kind, chunk, n) == (L.PAIRS, 9, len(back)) and 0 <= dest < buckets
+        found.update(zip(back.tolist(), L.expand(packed).tolist()))
+    assert found == dict(zip((h >> np.uint64(64 - L.HASH_BITS)).astype(np.int64).tolist(), counts.tolist()))
+
+
 def test_empty_and_untrained(spark):
     assert L.scores(empty_docs(spark)).collect() == []
     i = next(i for i in range(100) if held(i))
