@@ -3,16 +3,18 @@
 A quantile needs the values at one or two ranks.  Each pass counts the rows of
 a range in bins and goes on with the bin that holds the rank:
 
-* the first pass has bins of a 16th of an e-fold (``sign(x) * log1p(|x|)``, at
-  most some 23,000 bins for all doubles);
+* the first pass has a bin for every whole number below ``UNITS`` and bins of
+  a 16th of an e-fold beyond (at most some 30,000 bins for all doubles); the
+  ranks of all quantiles are found in its counts at once;
 * later passes cut the range between the smallest and the largest value of
   the chosen bin into ``BINS`` equal parts.
 
 Bins never overlap, since their formulas do not fall where x rises.  A range
 of one value is done; one of at most ``SMALL`` rows is sorted.  No state grows
-with the number of different values; rows are scanned once a pass, two passes
+with the number of different values; rows are scanned once a pass, one pass
 for whole numbers such as ages, and counted in the tasks before they are
-shuffled.  The interpolation is the linear rule of ``percentile``.
+shuffled.  The interpolation is the linear rule of ``percentile``.  Infinite
+values are the outermost ones, NaN comes after all others.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
+UNITS = 2048                # whole numbers below it have a bin of their own
 BINS = 4096
 SMALL = 10_000              # rows of a range that are sorted at the end
 TARGETS = 10_000            # (group, rank) rows up to which they are broadcast
@@ -42,19 +45,36 @@ def _chosen(counts: DataFrame, by: list[str]) -> DataFrame:
                .select(*by, "rank", "lo", "hi", (F.col("rem") - F.col("upto") + F.col("n")).alias("rem"), "n")
 
 
-def first_bins(values: DataFrame, by: list[str]) -> DataFrame:
-    """(by, bin, n, lo, hi): the rows of ``values`` (by, x) in bins of a 16th of an e-fold."""
+def first_bin(x: Column) -> Column:
+    """The bin of a number in the first pass."""
+    size = F.abs(x)
+    fold = F.floor(F.least((F.log1p(size) - F.log1p(F.lit(float(UNITS)))) * 16, F.lit(20_000.0))).cast("int")
+    return (F.when(F.isnan(x), F.lit(1 << 30)).when(size <= UNITS, F.floor(x).cast("int"))
+            .when(x > 0, F.lit(UNITS + 1) + fold).otherwise(F.lit(-UNITS - 1) - fold))
+
+
+def _placed(values: DataFrame, probs: Sequence[float], by: list[str]) -> DataFrame:
+    """(by, i, at, rank, rem, n, lo, hi): for the two ranks next to the place
+    ``at`` of each quantile, the first-pass bin that holds the rank, as its
+    ``rem``-th row of ``n``."""
+    first = values.groupBy(*by, first_bin(F.col("x")).alias("bin")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    group = Window.partitionBy(*by)
+    counts = first.withColumn("upto", F.sum("n").over(group.orderBy("bin"))).withColumn("size", F.sum("n").over(group))
+    at = [(F.col("size") - 1) * F.lit(float(p)) for p in probs]
+    places = F.array(*[F.struct(F.lit(i).alias("i"), a.alias("at"), end(a).alias("rank"))
+                       for i, a in enumerate(at) for end in (F.floor, F.ceil)])
+    start = F.col("upto") - F.col("n")
+    here = F.filter(places, lambda e: (e["rank"] >= start) & (e["rank"] < F.col("upto")))
+    return (counts.select(*by, start.alias("start"), "n", "lo", "hi", F.explode(here).alias("p"))
+            .select(*by, "p.i", "p.at", "p.rank", (F.col("p.rank") - F.col("start")).alias("rem"), "n", "lo", "hi"))
+
+
+def order_statistics(values: DataFrame, left: DataFrame, by: list[str]) -> DataFrame:
+    """(by, rank, x): the value at each rank of ``left`` (by, rank, rem, n, lo,
+    hi), row ``rem`` (from 0) among the ``n`` rows of ``values`` (by, x) from
+    lo to hi."""
     x = F.col("x")
-    fold = F.floor(F.signum(x) * F.log1p(F.abs(x)) * 16)
-    return materialize(values.groupBy(*by, fold.alias("bin")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")))
-
-
-def order_statistics(values: DataFrame, first: DataFrame, ranks: DataFrame, by: list[str]) -> DataFrame:
-    """(by, rank, x): the value at each rank (from 0) of ``ranks`` (by, rank)
-    among the rows of ``values`` (by, x), whose first bins are ``first``."""
-    x = F.col("x")
-    left = materialize(_chosen(first.join(_near(ranks.withColumn("rem", F.col("rank"))), by), by))
     found = left.where("lo = hi").select(*by, "rank", F.col("lo").alias("x"))
     while True:
         left = left.where("lo < hi")
@@ -87,18 +107,16 @@ def quantiles_by(df: DataFrame, value: str | Column, probs: Sequence[float], by:
                         *[F.coalesce(F.col(n), F.lit(0 if rows.schema[n].dataType.simpleString() != "string" else "").cast(
                             rows.schema[n].dataType)).alias(n) for n in names], F.when(F.col("x") == 0, 0.0).otherwise(F.col("x")).alias("x"))
     group = [*marks, *names]
-    first = first_bins(keyed, group)
-    sizes = first.groupBy(*group).agg(F.sum("n").alias("size"))
-    place = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), ((F.col("size") - 1) * F.lit(float(p))).alias("at"))
-                                for i, p in enumerate(probs)]))
-    wanted = sizes.select(*group, place.alias("p")).select(*group, "p.i", "p.at", F.floor("p.at").alias("low"), F.ceil("p.at").alias("high"))
-    ranks = wanted.select(*group, F.explode(F.array("low", "high")).alias("rank")).distinct()
-    values = materialize(order_statistics(keyed, first, ranks, group))
-    low = values.select(*group, F.col("rank").alias("low"), F.col("x").alias("a"))
-    high = values.select(*group, F.col("rank").alias("high"), F.col("x").alias("b"))
-    both = wanted.join(low, [*group, "low"]).join(high, [*group, "high"])
-    q = F.when(F.col("low") == F.col("high"), F.col("a")).otherwise(
-        (F.col("high") - F.col("at")) * F.col("a") + (F.col("at") - F.col("low")) * F.col("b"))
+    placed = materialize(_placed(keyed, probs, group))          # two rows a group and quantile
+    if placed.where("lo < hi").isEmpty():
+        values = placed.withColumn("x", F.col("lo"))
+    else:
+        ranks = placed.select(*group, "rank", "rem", "n", "lo", "hi").distinct()
+        values = placed.join(order_statistics(keyed, ranks, group), [*group, "rank"])
+    # the value at the lower rank is the smaller one
+    both = values.groupBy(*group, "i", "at").agg(F.min("x").alias("a"), F.max("x").alias("b"))
+    low, high = F.floor("at"), F.ceil("at")
+    q = F.when(low == high, F.col("a")).otherwise((high - F.col("at")) * F.col("a") + (F.col("at") - low) * F.col("b"))
     out = both.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("i", q.alias("q")))).alias("s"))
     restored = [F.when(~F.col(m), F.col(n)).alias(n) for n, m in zip(names, marks) if n != "_all"]
     return out.select(*restored, F.transform("s", lambda e: e["q"]).alias("q"))

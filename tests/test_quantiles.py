@@ -26,6 +26,29 @@ def test_selection_equals_percentile(spark, monkeypatch, small):
     check(spark, [7.0] * 40)
 
 
+def test_first_bins_never_fall(spark):
+    rng = random.Random(5)
+    xs = [s * (b + d) for s in (-1, 1) for b in (0, 1, 2047, 2048, 2049, 4096, 1e9) for d in (0, 0.25, 0.5, 1e-9)]
+    xs += [rng.choice([-1, 1]) * 10 ** rng.uniform(-20, 300) for _ in range(2000)]
+    xs += [float("inf"), float("-inf"), 1.7976931348623157e308, 5e-324, float("nan")]
+    df = spark.createDataFrame([(float(v),) for v in xs], "x double")
+    bins = [r.b for r in df.select("x", Q.first_bin(F.col("x")).alias("b")).orderBy("x").collect()]
+    assert bins == sorted(bins) and max(bins[:-1]) < bins[-1]
+    whole = spark.range(-2048, 2049).select(Q.first_bin(F.col("id").cast("double")).alias("b"), "id")
+    assert whole.where("b != id").isEmpty()
+
+
+def test_whole_numbers_take_one_pass(spark, monkeypatch):
+    monkeypatch.setattr(Q, "order_statistics", None)        # the later passes
+    check(spark, [random.Random(2).randrange(-20, 2000) for _ in range(500)])
+
+
+def test_infinite_values(spark):
+    check(spark, [float("inf")] * 3 + [1.5, 2.5, 3e9, 4e9] + [float("-inf")], probs=(0.0, 1.0))
+    df = spark.createDataFrame([(float("inf"),), (1.0,), (2.0,)], "v double")
+    assert Q.quantiles_by(df, "v", (0.5,)).first()["q"] == [2.0]
+
+
 def test_groups_with_null_keys_and_values(spark):
     rows = [("a", 1.0), ("a", 4.0), ("a", None), (None, 2.0), (None, 3.0), ("", 9.0), ("b", None)]
     df = spark.createDataFrame(rows, "g string, v double")
