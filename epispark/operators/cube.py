@@ -5,8 +5,8 @@ At 100 TB every descriptive table would otherwise scan a few columns of the
 whole clean table; the cube is built by ONE partial aggregation and holds at
 most areas x weeks x sexes x ages x area types x flags rows (usually far
 fewer, it is sparse).  Counts add up, means come from exact integer sums,
-and medians from ``percentile(age, p, frequency)`` — the same values as over
-the case rows.  Null dimension values are kept as their own cells so shares
+and medians from the cells as weighted rows (``quantiles``) — the same values
+as over the case rows.  Null dimension values are kept as their own cells so shares
 keep nulls in their denominators.
 """
 
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import derive as D
 from ..functions.core import round_half_even, share
 from .describe import PUBLIC_DIMS
+from .quantiles import quantiles_by
 
 CUBE_DIMS = ("area_code", "region_name", "local_name", "month", "epi_week", "sex",
              "age", "area_type", "hospital_code")
@@ -59,7 +60,6 @@ def kpis(cube: DataFrame) -> DataFrame:
         total.cast("bigint").alias("total_cases"),
         round_half_even(F.sum(age.cast("bigint") * n)
                         / F.sum(F.when(age.isNotNull(), n)), 1).alias("mean_age"),
-        F.percentile(age.cast("double"), F.lit(0.5), n).alias("median_age"),
         _pct1(_sum_if(F.col("sex") == "F"), total).alias("pct_female"),
         _pct1(_sum_if(F.col("sex") == "M"), total).alias("pct_male"),
         _pct1(_sum_if(D.is_minor(age)), total).alias("pct_minor"),
@@ -68,8 +68,10 @@ def kpis(cube: DataFrame) -> DataFrame:
         _pct1(_sum_if(D.is_rural(F.col("area_type"))), total).alias("pct_rural"))
     regions = cube.select(F.count_distinct("region_name")).scalar()
     areas = cube.select(F.count_distinct("area_code")).scalar()
+    median = quantiles_by(cube, "age", (0.5,), weight="n").select(F.col("q")[0]).scalar()
     return main.select(
-        "*", regions.cast("bigint").alias("regions"), areas.cast("bigint").alias("areas"),
+        "total_cases", "mean_age", median.alias("median_age"), *main.columns[2:],
+        regions.cast("bigint").alias("regions"), areas.cast("bigint").alias("areas"),
         _mode(cube, F.col("region_name")).alias("top_region"),
         _mode(cube, F.col("month")).alias("top_month"),
         _mode(cube, D.age_group(age)).alias("top_age_group"))

@@ -10,8 +10,8 @@ a range in bins and goes on with the bin that holds the rank:
   the chosen bin into ``BINS`` equal parts.
 
 Bins never overlap, since their formulas do not fall where x rises.  A range
-of one value is done; one of at most ``SMALL`` rows is sorted.  No state grows
-with the number of different values; rows are scanned once a pass, one pass
+of one value is done; one of at most ``SMALL`` rows is counted by value.  No
+state grows with the number of different values; rows are scanned once a pass, one pass
 for whole numbers such as ages, and counted in the tasks before they are
 shuffled.  The interpolation is the linear rule of ``percentile``.  Infinite
 values are the outermost ones, NaN comes after all others.
@@ -28,7 +28,7 @@ from ..session import materialize
 
 UNITS = 2048                # whole numbers below it have a bin of their own
 BINS = 4096
-SMALL = 10_000              # rows of a range that are sorted at the end
+SMALL = 10_000              # rows of a range that are counted by value at the end
 TARGETS = 10_000            # (group, rank) rows up to which they are broadcast
 
 
@@ -45,6 +45,11 @@ def _chosen(counts: DataFrame, by: list[str]) -> DataFrame:
                .select(*by, "rank", "lo", "hi", (F.col("rem") - F.col("upto") + F.col("n")).alias("rem"), "n")
 
 
+def _size(values: DataFrame) -> Column:
+    """How many rows there are: records, or the sum of their weights ``w``."""
+    return F.sum("w") if "w" in values.columns else F.count(F.lit(1))
+
+
 def first_bin(x: Column) -> Column:
     """The bin of a number in the first pass."""
     size = F.abs(x)
@@ -58,7 +63,7 @@ def _placed(values: DataFrame, probs: Sequence[float], by: list[str]) -> DataFra
     ``at`` of each quantile, the first-pass bin that holds the rank, as its
     ``rem``-th row of ``n``."""
     first = values.groupBy(*by, first_bin(F.col("x")).alias("bin")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+        _size(values).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
     group = Window.partitionBy(*by)
     counts = first.withColumn("upto", F.sum("n").over(group.orderBy("bin"))).withColumn("size", F.sum("n").over(group))
     at = [(F.col("size") - 1) * F.lit(float(p)) for p in probs]
@@ -86,26 +91,32 @@ def order_statistics(values: DataFrame, left: DataFrame, by: list[str]) -> DataF
         part = F.least(F.floor((x - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS), F.lit(BINS - 1))
         inside = values.join(_near(left.drop("n")), by).where((x >= F.col("lo")) & (x <= F.col("hi")))
         counts = inside.groupBy(*by, "rank", "rem", part.alias("bin")).agg(
-            F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+            _size(values).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
         left = materialize(_chosen(counts, by))
         found = found.unionByName(left.where("lo = hi").select(*by, "rank", F.col("lo").alias("x")))
-    inside = values.join(_near(left), by).where((x >= F.col("lo")) & (x <= F.col("hi")))
-    last = inside.groupBy(*by, "rank", "rem").agg(F.sort_array(F.collect_list("x")).alias("xs"))       # SMALL values at most
-    return found.unionByName(last.select(*by, "rank", F.col("xs")[F.col("rem").cast("int")].alias("x")))
+    inside = values.join(_near(left.drop("n")), by).where((x >= F.col("lo")) & (x <= F.col("hi")))
+    last = inside.groupBy(*by, "rank", "rem", x.alias("bin")).agg(
+        _size(values).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))      # SMALL values at most
+    return found.unionByName(_chosen(last, by).select(*by, "rank", F.col("lo").alias("x")))
 
 
-def quantiles_by(df: DataFrame, value: str | Column, probs: Sequence[float], by: Sequence[str | Column] = ()) -> DataFrame:
+def quantiles_by(df: DataFrame, value: str | Column, probs: Sequence[float], by: Sequence[str | Column] = (),
+                 weight: str | None = None) -> DataFrame:
     """(by, q): exact quantiles of each group as an array in the order of
-    ``probs``; groups without a value have no row."""
+    ``probs``; groups without a value have no row.  A record with a ``weight``
+    (a whole number) stands for as many rows, with none or 0 for no row."""
     v = F.col(value) if isinstance(value, str) else value
     keys = [F.col(b) if isinstance(b, str) else b for b in by] or [F.lit(0).alias("_all")]
-    rows = df.select(*keys, v.cast("double").alias("x")).where("x is not null")
-    names = rows.columns[:-1]
+    counted = [F.col(weight).cast("bigint").alias("w")] if weight else []
+    rows = df.select(*keys, v.cast("double").alias("x"), *counted).where("x is not null")
+    if weight:
+        rows = rows.where("w > 0")
+    names = rows.columns[:len(keys)]
     # null keys are a group of their own, which joins by a mark
     marks = [f"_null_{i}" for i in range(len(names))]
     keyed = rows.select(*[F.col(n).isNull().alias(m) for n, m in zip(names, marks)],
                         *[F.coalesce(F.col(n), F.lit(0 if rows.schema[n].dataType.simpleString() != "string" else "").cast(
-                            rows.schema[n].dataType)).alias(n) for n in names], F.when(F.col("x") == 0, 0.0).otherwise(F.col("x")).alias("x"))
+                            rows.schema[n].dataType)).alias(n) for n in names], F.when(F.col("x") == 0, 0.0).otherwise(F.col("x")).alias("x"), *(["w"] if weight else []))
     group = [*marks, *names]
     placed = materialize(_placed(keyed, probs, group))          # two rows a group and quantile
     if placed.where("lo < hi").isEmpty():

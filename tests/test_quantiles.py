@@ -43,6 +43,20 @@ def test_whole_numbers_take_one_pass(spark, monkeypatch):
     check(spark, [random.Random(2).randrange(-20, 2000) for _ in range(500)])
 
 
+@pytest.mark.parametrize("small", [1, 10_000])
+def test_weights_stand_for_rows(spark, monkeypatch, small):
+    monkeypatch.setattr(Q, "SMALL", small)
+    rng = random.Random(small)
+    rows = [(rng.choice("ab"), rng.choice([0.25, 0.5, 0.75, 3.0, 40.5, 1e6, 1e6 + 1]), rng.choice([None, 0, 1, 5, 900])) for _ in range(80)]
+    df = spark.createDataFrame(rows, "g string, v double, n bigint")
+    probs = (0.0, 0.3, 0.5, 0.99, 1.0)
+    got = {r["g"]: r["q"] for r in Q.quantiles_by(df, "v", probs, ["g"], weight="n").collect()}
+    each = df.where("n > 0").withColumn("k", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+    want = {r["g"]: r["q"] for r in each.groupBy("g").agg(F.percentile("v", F.array(*[F.lit(p) for p in probs])).alias("q")).collect()}
+    assert got == want
+    assert Q.quantiles_by(df.where("n = 0"), "v", probs, weight="n").collect() == []
+
+
 def test_infinite_values(spark):
     check(spark, [float("inf")] * 3 + [1.5, 2.5, 3e9, 4e9] + [float("-inf")], probs=(0.0, 1.0))
     df = spark.createDataFrame([(float("inf"),), (1.0,), (2.0,)], "v double")
