@@ -540,10 +540,13 @@ def flt_emerging(spark, d):
     """Areas that grow by more than half.  Over all years the stand-in is level,
     so half of the first-semester cases of one local code are set in the second."""
     i = inputs(spark, d)
-    late = (F.col("local_code") == "3") & (F.col("epi_week") <= 26) & (F.col("case_id") % 2 == 0)
-    raw = i.raw.withColumn("epi_week", F.when(late, F.col("epi_week") + 26).otherwise(F.col("epi_week")))
-    idx = IX.index_flow(CL.clean(raw, i.cfg, i.aliases), i.population, i.cfg)
-    return IX.emerging(idx, i.cfg, 10).select(*EMERGING_COLS)
+
+    def growing():
+        late = (F.col("local_code") == "3") & (F.col("epi_week") <= 26) & (F.col("case_id") % 2 == 0)
+        raw = i.raw.withColumn("epi_week", F.when(late, F.col("epi_week") + 26).otherwise(F.col("epi_week")))
+        return IX.index_flow(CL.clean(raw, i.cfg, i.aliases), i.population, i.cfg)
+
+    return IX.emerging(i._get("growing", growing), i.cfg, 10).select(*EMERGING_COLS)
 
 
 # the level stand-in itself, which needs a lower threshold
