@@ -32,9 +32,13 @@ SMALL = 10_000              # rows of a range that are counted by value at the e
 TARGETS = 10_000            # (group, rank) rows up to which they are broadcast
 
 
-def _near(targets: DataFrame) -> DataFrame:
-    """The targets, broadcast if they are few."""
-    return F.broadcast(targets) if targets.limit(TARGETS + 1).count() <= TARGETS else targets
+def _meet(rows: DataFrame, targets: DataFrame, by: list[str]) -> DataFrame:
+    """``rows`` with the columns of the targets of their group (null keys are
+    equal); targets are broadcast if they are few."""
+    other = targets.withColumnsRenamed({c: f"_of_{c}" for c in by})
+    if targets.limit(TARGETS + 1).count() <= TARGETS:
+        other = F.broadcast(other)
+    return rows.join(other, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by]).drop(*[f"_of_{c}" for c in by])
 
 
 def _chosen(counts: DataFrame, by: list[str]) -> DataFrame:
@@ -89,12 +93,12 @@ def order_statistics(values: DataFrame, left: DataFrame, by: list[str]) -> DataF
         if big.isEmpty():
             break
         part = F.least(F.floor((x - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS), F.lit(BINS - 1))
-        inside = values.join(_near(left.drop("n")), by).where((x >= F.col("lo")) & (x <= F.col("hi")))
+        inside = _meet(values, left.drop("n"), by).where((x >= F.col("lo")) & (x <= F.col("hi")))
         counts = inside.groupBy(*by, "rank", "rem", part.alias("bin")).agg(
             _size(values).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
         left = materialize(_chosen(counts, by))
         found = found.unionByName(left.where("lo = hi").select(*by, "rank", F.col("lo").alias("x")))
-    inside = values.join(_near(left.drop("n")), by).where((x >= F.col("lo")) & (x <= F.col("hi")))
+    inside = _meet(values, left.drop("n"), by).where((x >= F.col("lo")) & (x <= F.col("hi")))
     last = inside.groupBy(*by, "rank", "rem", x.alias("bin")).agg(
         _size(values).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))      # SMALL values at most
     return found.unionByName(_chosen(last, by).select(*by, "rank", F.col("lo").alias("x")))
@@ -103,31 +107,28 @@ def order_statistics(values: DataFrame, left: DataFrame, by: list[str]) -> DataF
 def quantiles_by(df: DataFrame, value: str | Column, probs: Sequence[float], by: Sequence[str | Column] = (),
                  weight: str | None = None) -> DataFrame:
     """(by, q): exact quantiles of each group as an array in the order of
-    ``probs``; groups without a value have no row.  A record with a ``weight``
-    (a whole number) stands for as many rows, with none or 0 for no row."""
+    ``probs``; groups without a value have no row, null keys are a group.  A
+    record with a ``weight`` (a whole number) stands for as many rows, with
+    none or 0 for no row."""
     v = F.col(value) if isinstance(value, str) else value
-    keys = [F.col(b) if isinstance(b, str) else b for b in by] or [F.lit(0).alias("_all")]
+    keys = [F.col(b) if isinstance(b, str) else b for b in by]
+    names = df.select(*keys).columns if keys else []
+    group = [f"_key_{i}" for i in range(max(1, len(keys)))]     # no clash with the columns made here
     counted = [F.col(weight).cast("bigint").alias("w")] if weight else []
-    rows = df.select(*keys, v.cast("double").alias("x"), *counted).where("x is not null")
+    rows = df.select(*[c.alias(g) for c, g in zip(keys or [F.lit(0)], group)], v.cast("double").alias("x"), *counted).where("x is not null")
     if weight:
         rows = rows.where("w > 0")
-    names = rows.columns[:len(keys)]
-    # null keys are a group of their own, which joins by a mark
-    marks = [f"_null_{i}" for i in range(len(names))]
-    keyed = rows.select(*[F.col(n).isNull().alias(m) for n, m in zip(names, marks)],
-                        *[F.coalesce(F.col(n), F.lit(0 if rows.schema[n].dataType.simpleString() != "string" else "").cast(
-                            rows.schema[n].dataType)).alias(n) for n in names], F.when(F.col("x") == 0, 0.0).otherwise(F.col("x")).alias("x"), *(["w"] if weight else []))
-    group = [*marks, *names]
-    placed = materialize(_placed(keyed, probs, group))          # two rows a group and quantile
+    rows = rows.withColumn("x", F.when(F.col("x") == 0, 0.0).otherwise(F.col("x")))
+    placed = materialize(_placed(rows, probs, group))           # two rows a group and quantile
     if placed.where("lo < hi").isEmpty():
         values = placed.withColumn("x", F.col("lo"))
     else:
         ranks = placed.select(*group, "rank", "rem", "n", "lo", "hi").distinct()
-        values = placed.join(order_statistics(keyed, ranks, group), [*group, "rank"])
+        found = order_statistics(rows, ranks, group).withColumnRenamed("rank", "_of_rank")
+        values = _meet(placed, found, group).where(F.col("rank") == F.col("_of_rank"))
     # the value at the lower rank is the smaller one
     both = values.groupBy(*group, "i", "at").agg(F.min("x").alias("a"), F.max("x").alias("b"))
     low, high = F.floor("at"), F.ceil("at")
     q = F.when(low == high, F.col("a")).otherwise((high - F.col("at")) * F.col("a") + (F.col("at") - low) * F.col("b"))
     out = both.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("i", q.alias("q")))).alias("s"))
-    restored = [F.when(~F.col(m), F.col(n)).alias(n) for n, m in zip(names, marks) if n != "_all"]
-    return out.select(*restored, F.transform("s", lambda e: e["q"]).alias("q"))
+    return out.select(*[F.col(g).alias(c) for g, c in zip(group, names)], F.transform("s", lambda e: e["q"]).alias("q"))

@@ -70,6 +70,19 @@ def test_groups_with_null_keys_and_values(spark):
     assert got == {"a": [2.5], None: [2.5], "": [9.0]}
 
 
+@pytest.mark.parametrize("small", [1, 10_000])
+def test_keys_of_any_type(spark, monkeypatch, small):
+    monkeypatch.setattr(Q, "SMALL", small)
+    rows = [(d, b, v / 7) for d in ("2024-01-01", "1970-01-01", None) for b in (True, None) for v in range(len(d or "x") * 3)]
+    df = spark.createDataFrame(rows, "d string, b boolean, v double").select(
+        F.col("d").cast("date").alias("d"), "b", F.col("v").cast("decimal(9,4)").alias("m"), "v")
+    got = {(r["d"], r["b"]): r["q"] for r in Q.quantiles_by(df, "v", (0.25, 0.5), ["d", "b"]).collect()}
+    want = {(r["d"], r["b"]): r["q"] for r in df.groupBy("d", "b").agg(
+        F.percentile("v", F.array(F.lit(0.25), F.lit(0.5))).alias("q")).collect()}
+    assert got == want and len(got) == 6
+    assert Q.quantiles_by(df, "v", (0.5,), ["m"]).count() == df.select("m").distinct().count()
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "v double")
     assert Q.quantiles_by(df, "v", (0.5,)).collect() == []
