@@ -140,3 +140,18 @@ def test_rows_are_deduplicated_by_digest(spark):
     text = plan._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     unique = text.split("Union", 1)[1].split("BroadcastHashJoin", 1)
     assert len(unique) == 2 and "Exchange" not in unique[0]         # the unique rows meet a broadcast
+
+
+def test_unique_rows_are_read_once_more_and_not_shuffled(spark, tmp_dir, monkeypatch):
+    """Without copies the clean table is one scan without a shuffle; few and
+    many copies give the same rows."""
+    rows = [{"case_id": i, "age": 20 + i % 9} for i in range(40)]
+    raw_df(spark, rows).write.parquet(f"{tmp_dir}/raw")
+    clean = CL.clean(spark.read.parquet(f"{tmp_dir}/raw"), CFG)
+    plan = clean._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Exchange" not in plan
+    want = sorted(map(repr, clean.collect()))
+    copied = raw_df(spark, rows + rows[:7])
+    for few in (CL.REPEATED, 3):
+        monkeypatch.setattr(CL, "REPEATED", few)
+        assert sorted(map(repr, CL.clean(copied, CFG).collect())) == want
