@@ -115,3 +115,11 @@ def test_cluster_conf_sizes_partitions():
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert c["spark.sql.adaptive.enabled"] == "true"
     assert int(cluster_conf(1)["spark.sql.shuffle.partitions"]) == 200
+
+
+def test_raw_files_grow_in_number_not_in_size(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from epispark.plans import catalog
+    monkeypatch.setattr(catalog, "FILE_ROWS", 100)
+    raw = catalog.Inputs(spark, SF_SMALL).raw
+    assert len(raw.inputFiles()) >= raw.count() // 100 > int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -103,3 +103,18 @@ def test_updates_equal_one_run_over_all_rows(spark, tmp_dir):
     assert again["report"] == done["report"]
     pub = workflows.republish(spark, tmp_dir, 1, f"{tmp_dir}/pub")
     assert spark.read.parquet(pub["areas"]).agg({"cases": "sum"}).first()[0] <= 140
+
+
+def test_rows_of_single_ids_are_not_sorted(spark, monkeypatch):
+    """Only rows whose id comes more than once are compared, the null id's
+    among them; with many such ids the result is the same."""
+    ids = [1, 2, 3, 3, None, None, 4]
+    rows = raw_df(spark, [{"case_id": i, "age": 50 - n} for n, i in enumerate(ids)]).withColumn(UP.SOURCE_COL, F.lit(1))
+    want = [(None, 45), (1, 50), (2, 49), (3, 47), (4, 44)]
+    for few in (UP.REPEATED, 1):
+        monkeypatch.setattr(UP, "REPEATED", few)
+        got = UP.dedup_first(rows).select("case_id", "age").collect()
+        assert sorted(map(tuple, got), key=lambda r: r[0] or 0) == want
+    single = UP.dedup_first(rows.where("case_id in (1, 2, 4)"))
+    plan = single._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Exchange" not in plan and single.count() == 3
