@@ -113,8 +113,8 @@ def test_rows_of_single_ids_are_not_sorted(spark, monkeypatch):
     want = [(None, 45), (1, 50), (2, 49), (3, 47), (4, 44)]
     for few in (UP.REPEATED, 1):
         monkeypatch.setattr(UP, "REPEATED", few)
-        got = UP.dedup_first(rows).select("case_id", "age").collect()
+        got = UP.first_rows(rows).select("case_id", "age").collect()
         assert sorted(map(tuple, got), key=lambda r: r[0] or 0) == want
-    single = UP.dedup_first(rows.where("case_id in (1, 2, 4)"))
+    single = UP.first_rows(rows.where("case_id in (1, 2, 4)"))
     plan = single._jdf.queryExecution().executedPlan().toString()
     assert "Sort" not in plan and "Exchange" not in plan and single.count() == 3
